@@ -7,6 +7,7 @@ Placeholders in braces name either a base table or an earlier fixture.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,12 +133,10 @@ def _plain(name: str) -> str:
 def with_fixtures(names: tuple[str, ...] | list[str], body: str) -> str:
     """DuckDB text: the needed fixtures as CTEs in front of ``body``.
 
-    ``body`` may itself start with further CTEs (``name as (...), ...``)
-    when it begins with a comma-free prefix ``WITH_MORE``; plain bodies are
-    appended after the CTE list.
-    """
+    A body that starts with its own ``with`` has its CTEs appended to the
+    fixture CTEs."""
     ctes = ",\n".join(f"{n} as ({_plain(n)})" for n in _closure(names))
     body = body.strip()
-    if body.lower().startswith("with "):
+    if re.match(r"(?is)^with\s", body):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
