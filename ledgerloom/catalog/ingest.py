@@ -1 +1,283 @@
-"""Registered queries (filled in as operators land)."""
+"""Ingestion, cleaning, routing, documents, silver channels (A1-A13, B1-B11,
+C1-C14, D2-D7, E1-E5, H4-H6, I1-I2)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from .. import fixtures as fx
+from ..fixtures import AS_OF, fixture, with_fixtures
+from ..functions import columns as C
+from ..operators import rules_profile
+from ..operators.validate import valid_rows, validate_accounts, validate_customers
+from ..plans import ingest
+from ..plans.silver import silver_alerts, silver_atm, silver_upi, union_channels
+from ..session import checkpoint_dir
+from ..sources import documents as D
+from ..sources.files import list_files
+from ..streaming.file_stream import read_audit, start_ingest_stream
+from . import export, register
+from .alerts import NUM_RE, VALID_SQL
+
+
+@register("clean_scalars", with_fixtures(("fx_txn_raw",), f"""
+with s as (select *, trim(replace(coalesce(nullif(trim(TransactionAmount), ''), nullif(trim(Amount), '')), ',', ''))
+                  as amt_s,
+                  try_strptime(nullif(trim(TransactionTime), ''), '%Y-%m-%d %H:%M:%S') as ts
+           from fx_txn_raw)
+select trim(TransactionID) as txn_id, nullif(trim(TransactionID), '') as txn_id_or_null,
+       case when regexp_full_match(amt_s, '{NUM_RE}') then try_cast(amt_s as double) end as amount,
+       case when regexp_full_match(trim(replace(TransactionAmount, ',', '')), '{NUM_RE}')
+            then try_cast(trim(replace(TransactionAmount, ',', '')) as double) end as amount_primary,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' as ts_iso,
+       coalesce(try_cast(BalanceAfter as double), 0.0) as balance_after
+from s"""))
+def q_clean_scalars(spark, sf):
+    raw = fixture(spark, sf, "fx_txn_raw")
+    ts = C.parse_ts("TransactionTime")
+    return export(raw.select(
+        C.strip("TransactionID").alias("txn_id"), C.blank_to_null("TransactionID").alias("txn_id_or_null"),
+        C.to_float(C.first_non_empty("TransactionAmount", "Amount")).alias("amount"),
+        C.to_float("TransactionAmount").alias("amount_primary"),
+        ts.alias("ts"), C.iso_utc(ts).alias("ts_iso"),
+        C.default_zero(C.to_float("BalanceAfter")).alias("balance_after")))
+
+
+@register("clean_flags", with_fixtures(("fx_account",), """
+select AccountNumber,
+       case when lower(trim(KYC_Done)) in ('yes', 'true', '1', 'y') then true
+            when lower(trim(KYC_Done)) in ('no', 'false', '0', 'n') then false end as kyc_done,
+       coalesce(lower(KYC_DocumentVerificationStatus) in ('verified', 'true'), false) as verified,
+       case when KYC_DocumentVerificationStatus is null then 'CUSTOMER_' || CustomerID
+            else AccountNumber end as doc_id
+from fx_account"""))
+def q_clean_flags(spark, sf):
+    a = fixture(spark, sf, "fx_account")
+    return a.select("AccountNumber", C.to_bool("KYC_Done").alias("kyc_done"),
+                    C.truthy_status("KYC_DocumentVerificationStatus").alias("verified"),
+                    C.surrogate_id(F.when(F.col("KYC_DocumentVerificationStatus").isNotNull(),
+                                          F.col("AccountNumber")), F.col("CustomerID")).alias("doc_id"))
+
+
+_ROUTE_NAMES = """
+n as (select distinct file_name from fx_txn_raw),
+v as (select file_name as name from n
+      union all select upper(file_name) from n
+      union all select replace(file_name, '.csv', '.txt') from n
+      union all select 'customer_' || file_name from n
+      union all select 'Account_master_' || replace(replace(file_name, 'atm', 'x'), 'upi', 'y') from n
+      union all select 'CUSTOMER_master_' || replace(replace(file_name, 'atm', 'x'), 'upi', 'y') from n
+      union all select 'login_' || replace(replace(file_name, 'atm', 'x'), 'upi', 'y') from n)"""
+
+
+@register("route_source_type", with_fixtures(("fx_txn_raw",), f"""with {_ROUTE_NAMES}
+select name as file_name,
+       case when lower(name) like '%atm%' then 'ATM' when lower(name) like '%upi%' then 'UPI'
+            when lower(name) like '%account%' then 'ACCOUNT' when lower(name) like '%customer%' then 'CUSTOMER'
+            else 'UNKNOWN' end as source_type,
+       name like '%.csv' as is_csv
+from v"""))
+def q_route_source_type(spark, sf):
+    n = fixture(spark, sf, "fx_txn_raw").select("file_name").distinct()
+    x = F.replace(F.replace("file_name", F.lit("atm"), F.lit("x")), F.lit("upi"), F.lit("y"))
+    names = (n.select(F.col("file_name").alias("name"))
+             .unionByName(n.select(F.upper("file_name").alias("name")))
+             .unionByName(n.select(F.replace("file_name", F.lit(".csv"), F.lit(".txt")).alias("name")))
+             .unionByName(n.select(F.concat(F.lit("customer_"), "file_name").alias("name")))
+             .unionByName(n.select(F.concat(F.lit("Account_master_"), x).alias("name")))
+             .unionByName(n.select(F.concat(F.lit("CUSTOMER_master_"), x).alias("name")))
+             .unionByName(n.select(F.concat(F.lit("login_"), x).alias("name"))))
+    # A10: names arrive as URLs; the last path segment is the file name.
+    urls = names.select(F.concat(F.lit("https://store.example/landing/"), "name").alias("url"))
+    fname = C.file_name_of(F.col("url"))
+    return urls.select(fname.alias("file_name"), C.source_type(fname).alias("source_type"),
+                       C.is_csv_name(fname).alias("is_csv"))
+
+
+def _account_text(spark, sf):
+    a = fixture(spark, sf, "fx_account")
+    return a.select(*[F.col(c).cast("string").alias(c) for c in a.columns])
+
+
+@register("validate_accounts", with_fixtures(("fx_account",), """
+select AccountNumber, concat_ws(',',
+         case when AccountNumber is null then 'Missing AccountNumber' end,
+         case when CustomerID is null then 'Missing CustomerID' end,
+         case when Balance is null then 'Invalid Balance' end,
+         case when AccountOpenDate is null then 'Invalid AccountOpenDate' end) as errors
+from fx_account"""))
+def q_validate_accounts(spark, sf):
+    return export(validate_accounts(_account_text(spark, sf)).select("AccountNumber", "errors"))
+
+
+@register("validate_customers", with_fixtures(("fx_account",), """
+select CustomerID, AccountNumber, concat_ws(',',
+         case when CustomerID is null then 'Missing CustomerID' end,
+         case when DOB is null then 'Invalid DOB' end,
+         case when AnnualIncome is null then 'Invalid AnnualIncome' end) as errors
+from fx_account"""))
+def q_validate_customers(spark, sf):
+    return export(validate_customers(_account_text(spark, sf)).select("CustomerID", "AccountNumber", "errors"))
+
+
+@register("flatten_documents", with_fixtures(("fx_account",), """
+select AccountNumber as id, AccountNumber, CustomerID,
+       AccountHolderName as Account_AccountHolderName, AccountType as Account_AccountType,
+       AccountStatus as Account_AccountStatus,
+       strftime(AccountOpenDate, '%Y-%m-%dT%H:%M:%S') || '+00:00' as Account_AccountOpenDate,
+       cast(Balance as varchar) as Account_Balance, KYC_Done as Account_KYC_Done,
+       KYC_DocumentVerificationStatus as Account_KYC_DocumentVerificationStatus
+from fx_account"""))
+def q_flatten_documents(spark, sf):
+    docs = ingest.account_documents(valid_rows(validate_accounts(_account_text(spark, sf))))
+    b = D.bronze(docs, numeric_fields=["Account_Balance"])
+    return b.select("id", "AccountNumber", "CustomerID", "Account_AccountHolderName", "Account_AccountType",
+                    "Account_AccountStatus", "Account_AccountOpenDate", "Account_Balance",
+                    "Account_KYC_Done", "Account_KYC_DocumentVerificationStatus")
+
+
+@register("merge_customer_profiles", with_fixtures(("fx_account", "fx_dim_v2"), """
+with p as (select AccountNumber as id, AccountNumber, CustomerID from fx_account
+           where cast(substring(AccountNumber, 3, 10) as int) % 3 <> 0),
+c as (select CustomerID, FirstName, KYC_Tier from fx_dim_v2)
+select coalesce(p.id, 'CUSTOMER_' || c.CustomerID) as id, p.AccountNumber,
+       coalesce(p.CustomerID, c.CustomerID) as CustomerID, c.FirstName, c.KYC_Tier,
+       case when c.CustomerID is not null then 0.0 end as AnnualIncome
+from p full outer join c on p.CustomerID = c.CustomerID"""))
+def q_merge_customer_profiles(spark, sf):
+    acc = _account_text(spark, sf).filter(F.substring("AccountNumber", 3, 10).cast("int") % 3 != 0)
+    docs = ingest.merge_accounts_into_profiles(None, ingest.account_documents(acc))
+    cust = fixture(spark, sf, "fx_dim_v2").select("CustomerID", "FirstName", "KYC_Tier")
+    m = ingest.merge_customer_profiles(docs, cust)
+    return m.select("id", "AccountNumber", "CustomerID", F.col("Customer.FirstName").alias("FirstName"),
+                    F.col("Customer.KYC_Tier").alias("KYC_Tier"),
+                    F.col("Customer.AnnualIncome").alias("AnnualIncome"))
+
+
+def _atm_bronze(raw):
+    return raw.filter(F.col("Channel") == "ATM").select(
+        "TransactionID", "AccountNumber", "CustomerID", "Amount", "TransactionTime",
+        F.col("Location").alias("ATMID"), "TransactionType", F.col("Status").alias("TransactionStatus"),
+        "BalanceBefore", "BalanceAfter")
+
+
+def _upi_bronze(raw):
+    return raw.filter(F.col("Channel") == "UPI").select(
+        "TransactionID", "AccountNumber", "CustomerID", "Amount", "TransactionTime", "GeoLocation",
+        F.col("Location").alias("Payer_UPI_ID"), "TransactionType", "Status", "BalanceBefore", "BalanceAfter")
+
+
+_SILVER_TXN_SQL = """
+atm as (select distinct TransactionID, AccountNumber, CustomerID, try_cast(Amount as double) as Amount,
+               Location as ATM_ID, TransactionType as Transaction_Type, Status as Transaction_Status,
+               try_cast(BalanceBefore as double) as BalanceBefore, try_cast(BalanceAfter as double) as BalanceAfter,
+               try_cast(BalanceAfter as double) - try_cast(BalanceBefore as double) as BalanceChange,
+               cast(try_strptime(TransactionTime, '%Y-%m-%d %H:%M:%S') as date) as Transaction_Date,
+               strftime(try_strptime(TransactionTime, '%Y-%m-%d %H:%M:%S'), '%H:%M:%S') as Transaction_Time
+        from fx_txn_raw where Channel = 'ATM'),
+upi as (select distinct TransactionID, AccountNumber, CustomerID, try_cast(Amount as double) as Amount,
+               split_part(GeoLocation, ',', 1) as Geo_Lat,
+               case when GeoLocation like '%,%' then split_part(GeoLocation, ',', 2) end as Geo_Long,
+               Location as Payer_UPI_ID, TransactionType, Status,
+               try_cast(BalanceBefore as double) as BalanceBefore, try_cast(BalanceAfter as double) as BalanceAfter,
+               cast(try_strptime(TransactionTime, '%Y-%m-%d %H:%M:%S') as date) as Transaction_Date,
+               strftime(try_strptime(TransactionTime, '%Y-%m-%d %H:%M:%S'), '%H:%M:%S') as Transaction_Time
+        from fx_txn_raw where Channel = 'UPI')"""
+
+
+@register("silver_atm", with_fixtures(("fx_txn_raw",), f"""with {_SILVER_TXN_SQL}
+select TransactionID, AccountNumber, CustomerID, Amount, ATM_ID, Transaction_Type, Transaction_Status,
+       BalanceBefore, BalanceAfter, BalanceChange, cast(Transaction_Date as varchar) as Transaction_Date,
+       Transaction_Time from atm"""))
+def q_silver_atm(spark, sf):
+    return export(silver_atm(_atm_bronze(fixture(spark, sf, "fx_txn_raw"))))
+
+
+@register("silver_upi", with_fixtures(("fx_txn_raw",), f"""with {_SILVER_TXN_SQL}
+select TransactionID, AccountNumber, CustomerID, Amount, Geo_Lat, Geo_Long, Payer_UPI_ID, TransactionType,
+       Status, BalanceBefore, BalanceAfter, cast(Transaction_Date as varchar) as Transaction_Date,
+       Transaction_Time from upi"""))
+def q_silver_upi(spark, sf):
+    return export(silver_upi(_upi_bronze(fixture(spark, sf, "fx_txn_raw"))))
+
+
+@register("union_channels", with_fixtures(("fx_txn_raw",), f"""with {_SILVER_TXN_SQL},
+u as (select AccountNumber, Transaction_Date, Transaction_Time, Amount, 'ATM' as Channel, ATM_ID as Location_ID,
+             Transaction_Type, Transaction_Status from atm
+      union all
+      select AccountNumber, Transaction_Date, Transaction_Time, Amount, 'UPI', Payer_UPI_ID, TransactionType,
+             Status from upi)
+select AccountNumber, cast(Transaction_Date as varchar) as Transaction_Date, Transaction_Time, Amount, Channel,
+       Location_ID, Transaction_Type, Transaction_Status from u"""))
+def q_union_channels(spark, sf):
+    raw = fixture(spark, sf, "fx_txn_raw")
+    return export(union_channels(silver_atm(_atm_bronze(raw)), silver_upi(_upi_bronze(raw))))
+
+
+@register("silver_alerts", with_fixtures(("fx_account",), f"""
+with a as (
+  select AccountNumber, 'KYC_NOT_DONE' as type from fx_account where upper(coalesce(KYC_Done, '')) in ('NO', 'FALSE', '0', 'N')
+  union all select AccountNumber, 'KYC_VERIFICATION_FAILED' from fx_account
+   where upper(coalesce(KYC_DocumentVerificationStatus, '')) = 'FAILED'
+  union all select AccountNumber, 'ACCOUNT_DORMANT' from fx_account where upper(coalesce(AccountStatus, '')) in ('DORMANT', 'INACTIVE')
+  union all select AccountNumber, 'ACCOUNT_CLOSED' from fx_account where upper(coalesce(AccountStatus, '')) = 'CLOSED'
+  union all select AccountNumber, 'BALANCE_INCOME_MISMATCH' from fx_account
+   where coalesce(AnnualIncome, 0) > 0 and coalesce(Balance, 0) > coalesce(AnnualIncome, 0) * 10
+  union all select AccountNumber, 'STALE_ACCOUNT' from fx_account
+   where date_diff('day', AccountOpenDate, date '{AS_OF}') / 365 >= 5 and coalesce(Balance, 0) < 100)
+select 'ALERT_' || type || '_' || AccountNumber as alert_id, type, AccountNumber,
+       case when lower(type) like '%mismatch%' then 'HIGH' when lower(type) like '%unverified%' then 'MEDIUM'
+            else 'LOW' end as AlertSeverity, '{AS_OF}' as AlertDate
+from a"""))
+def q_silver_alerts(spark, sf):
+    a = rules_profile.profile_alerts(fixture(spark, sf, "fx_account"), as_of=AS_OF)
+    docs = ingest.normalize_alerts(a.select("alert_id", "type", "reason", "AccountNumber"))
+    s = silver_alerts(docs, as_of=AS_OF, reason_col="type")
+    return export(s.select("alert_id", "type", "AccountNumber", "AlertSeverity", "AlertDate"))
+
+
+def _land_files(raw, landing: str) -> None:
+    """Write one CSV file per ``file_name`` (test input of the stream)."""
+    spark = raw.sparkSession
+    stage = f"{landing}/_stage"
+    (raw.repartition("file_name").write.mode("overwrite").option("header", True)
+     .partitionBy("file_name").csv(stage))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(stage)
+    fs = root.getFileSystem(conf)
+    inbox = f"{landing}/inbox"
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(inbox))
+    for part_dir in fs.listStatus(root):
+        name = part_dir.getPath().getName()
+        if not name.startswith("file_name="):
+            continue
+        parts = [s.getPath() for s in fs.listStatus(part_dir.getPath())
+                 if s.getPath().getName().endswith(".csv")]
+        for i, p in enumerate(sorted(parts, key=lambda x: x.getName())):
+            target = name.split("=", 1)[1]
+            if i:
+                target = target.replace(".csv", f"_{i}.csv")
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{inbox}/{target}"))
+
+
+@register("stream_ingest_available_now", with_fixtures(("fx_txn_raw",), f"""with {VALID_SQL}
+select file_name, upper(split_part(file_name, '_', 1)) as source_type, 'COMPLETED' as status,
+       count(*) as rows_parsed, count(*) filter (where errors = '') as valid,
+       count(*) filter (where errors <> '') as invalid
+from ve group by file_name"""))
+def q_stream_ingest(spark, sf):
+    base = f"{checkpoint_dir(spark)}/ledgerloom-stream-{uuid.uuid4().hex}"
+    raw = fixture(spark, sf, "fx_txn_raw")
+    _land_files(raw, base)
+    params = dict(high_value_threshold=fx.HIGH_VALUE, velocity_count=fx.VELOCITY_COUNT,
+                  velocity_window_sec=fx.VELOCITY_WINDOW_SEC, geo_window_sec=fx.GEO_WINDOW_SEC,
+                  drain_threshold=fx.DRAIN_AMOUNT, drain_window_sec=fx.DRAIN_WINDOW_SEC)
+    q = start_ingest_stream(spark, f"{base}/inbox", f"{base}/out", f"{base}/checkpoint",
+                            as_of=AS_OF, rule_params=params)
+    q.awaitTermination()
+    assert list_files(spark, f"{base}/inbox")
+    return read_audit(spark, f"{base}/out").select(
+        "file_name", "source_type", "status", "rows_parsed", "valid", "invalid")
