@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
-# Whitespace stripped by trim (Python str.strip on ASCII).
-_WS = "[ \\t\\r\\n\\f\\u000B]"
+# Whitespace stripped by strip (Python str.strip on ASCII).
+_WS = " \t\r\n\f\u000b"
 # A plain decimal number, optionally signed, with an exponent; underscores
 # may separate digits (as Python's float() accepts).
 NUMERIC_RE = r"^[+-]?(\d(_?\d)*(\.(\d(_?\d)*)?)?|\.\d(_?\d)*)([eE][+-]?\d(_?\d)*)?$"
@@ -47,7 +47,7 @@ def _c(c: ColumnLike) -> Column:
 
 def strip(c: ColumnLike) -> Column:
     """Trim leading/trailing whitespace (NULL stays NULL)."""
-    return F.regexp_replace(_c(c), f"^{_WS}+|{_WS}+$", "")
+    return F.btrim(_c(c), F.lit(_WS))
 
 
 def blank_to_null(c: ColumnLike) -> Column:
@@ -63,8 +63,8 @@ def to_float(c: ColumnLike) -> Column:
     """Drop thousands commas, trim, parse; anything else is NULL.
 
     NaN and infinities are rejected (they would pass ``> 0`` checks)."""
-    s = strip(F.regexp_replace(_c(c).cast("string"), ",", ""))
-    parsed = F.regexp_replace(s, "_", "").try_cast("double")
+    s = strip(F.replace(_c(c).cast("string"), F.lit(","), F.lit("")))
+    parsed = F.replace(s, F.lit("_"), F.lit("")).try_cast("double")
     return F.when(s.rlike(NUMERIC_RE), parsed)
 
 
@@ -74,12 +74,15 @@ def to_bool(c: ColumnLike) -> Column:
     return F.when(s.isin(*TRUE_WORDS), F.lit(True)).when(s.isin(*FALSE_WORDS), F.lit(False))
 
 
-def parse_ts(c: ColumnLike, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
+def parse_ts(c: ColumnLike, formats: tuple[str, ...] = TIMESTAMP_FORMATS,
+             clean: bool = False) -> Column:
     """C4: permissive timestamp parse to a UTC instant; NULL when nothing fits.
 
     ISO-8601 text (with ``T``, fractions and zone offsets) goes through the
-    cast rules; naive values are read in the session zone, which is UTC."""
-    s = blank_to_null(_c(c).cast("string"))
+    cast rules; naive values are read in the session zone, which is UTC.
+    ``clean=True`` says the input is already trimmed text (or NULL); pass a
+    column reference then, so the many tries refer to one value."""
+    s = _c(c) if clean else blank_to_null(_c(c).cast("string"))
     tries = [F.try_to_timestamp(s)] + [F.try_to_timestamp(s, F.lit(f)) for f in formats]
     return F.coalesce(*tries)
 

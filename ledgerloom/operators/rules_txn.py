@@ -16,11 +16,11 @@ No pair of rows is ever materialised.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .scan import segmented_scan
+from .scan import _range_scan, hot_groups, segmented_scan, split_hot
 
 # Reference thresholds (defaults of the rule functions).
 HIGH_VALUE_THRESHOLD = 50000.0
@@ -110,28 +110,43 @@ def _with_probes(p: DataFrame, window_sec: int, extra_group: list[str] = ()) ->
 
 
 def forward_window_counts(p: DataFrame, window_sec: int, extra_group: list[str] = (),
-                          out: str = "_n") -> DataFrame:
+                          out: str = "_n", hot_rows: int | None = None) -> DataFrame:
     """For every (folded) row: rows of its group from its first copy up to
-    time t + W, in order, the row's own copies included."""
+    time t + W, in order, the row's own copies included.
+
+    Ordinary groups: a RANGE frame over time counts rows in [t, t + W]; rows
+    at the same instant ordered before this one are subtracted (a RANGE frame
+    includes all peers). Hot groups use probes over the range-partitioned
+    scan, so a group holding a large share of the rows is split."""
     group = _GROUP + list(extra_group)
-    u = _with_probes(p, window_sec, extra_group)
-    s = segmented_scan(u, group, _ORDER, {"_before": ("sum", "_w", False)})
+    hot = hot_groups(p, group, "_mult", hot_rows)
+    cold, hot_p = (p, None) if hot is None else split_hot(p, hot, group)
+    w_range = (Window.partitionBy(*group).orderBy("_t")
+               .rangeBetween(0, window_sec * 1_000_000))
+    w_peers = (Window.partitionBy(*group, "_t").orderBy("_tid", "_h")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    counted = cold.withColumn(out, F.sum("_mult").over(w_range)
+                              - F.coalesce(F.sum("_mult").over(w_peers), F.lit(0)))
+    if hot_p is None:
+        return counted
+    u = _with_probes(hot_p, window_sec, extra_group)
+    s = _range_scan(u, group, _ORDER, {"_before": ("sum", "_w", False)})
     key = group + ["_tid", "_h"]
     data = s.filter("_kind = 0").select(*key, F.col("_before").alias("_b0"))
     probe = s.filter("_kind = 1").select(*key, F.col("_before").alias("_b1"))
     # Join on (group, id, hash): the hash spreads a hot group over all tasks.
     counts = data.join(probe, key).select(*key, (F.col("_b1") - F.col("_b0")).alias(out))
-    return p.join(counts, key)
+    return counted.unionByName(hot_p.join(counts, key))
 
 
 def velocity(rows: DataFrame, min_count: int = VELOCITY_TXN_COUNT,
              window_sec: int = VELOCITY_WINDOW_SEC, file_col: str = "file_name",
-             collapse: bool = False) -> DataFrame:
+             collapse: bool = False, hot_rows: int | None = None) -> DataFrame:
     """for each row (anchor), the rows from it up to W later; alert when
     that count reaches ``min_count``. Alert ids carry the key and anchor time,
     so anchors at one instant share an id (``collapse`` keeps the last)."""
     p = prepare(rows, file_col)
-    counted = forward_window_counts(p, window_sec)
+    counted = forward_window_counts(p, window_sec, hot_rows=hot_rows)
     hits = counted.filter(F.col("_n") >= min_count)
     aid = F.concat(F.lit("ALERT_VELOCITY_"), F.col("_key"), F.lit("_"), C.iso_utc("Timestamp"))
     reason = F.concat(F.col("_n").cast("string"),
@@ -141,7 +156,7 @@ def velocity(rows: DataFrame, min_count: int = VELOCITY_TXN_COUNT,
 
 
 def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
-               file_col: str = "file_name") -> DataFrame:
+               file_col: str = "file_name", hot_rows: int | None = None) -> DataFrame:
     """an anchor row pairs with every later row of its group within W
     whose Location differs (NULL differs from a value, equals NULL).
 
@@ -154,9 +169,9 @@ def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
         "_locnull": F.col("Location").isNull(),
         "_loc": F.coalesce(F.col("Location"), F.lit("")),
     })
-    n_all = forward_window_counts(p, window_sec, out="_n_all")
+    n_all = forward_window_counts(p, window_sec, out="_n_all", hot_rows=hot_rows)
     n_same = forward_window_counts(p.select(*_GROUP, "_locnull", "_loc", "_t", "_tid", "_h", "_mult"),
-                                   window_sec, ["_locnull", "_loc"], out="_n_same")
+                                   window_sec, ["_locnull", "_loc"], out="_n_same", hot_rows=hot_rows)
     key = _GROUP + ["_tid", "_h"]
     j = n_all.join(n_same.select(*key, "_n_same"), key).withColumn(
         "_pairs", (F.col("_n_all") - F.col("_n_same")) * F.col("_mult"))
@@ -174,7 +189,8 @@ def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
 
 
 def balance_drain(rows: DataFrame, threshold: float = DRAIN_THRESHOLD,
-                  window_sec: int = DRAIN_WINDOW_SEC, file_col: str = "file_name") -> DataFrame:
+                  window_sec: int = DRAIN_WINDOW_SEC, file_col: str = "file_name",
+                  hot_rows: int | None = None) -> DataFrame:
     """running sum of Amount from the group's first row; the first row
     within W of that first row whose running sum reaches the threshold raises
     one alert per group (the window is anchored, not sliding: Q16)."""
@@ -182,7 +198,7 @@ def balance_drain(rows: DataFrame, threshold: float = DRAIN_THRESHOLD,
                                              "_amt": F.coalesce(F.col("Amount"), F.lit(0.0))})
     p = p.withColumn("_wamt", F.col("_amt") * F.col("_mult"))
     s = segmented_scan(p, _GROUP, _ORDER, {"_run": ("sum", "_wamt", True),
-                                           "_start": ("min", "_t", True)})
+                                           "_start": ("min", "_t", True)}, hot_rows=hot_rows)
     hits = s.filter((F.col("_t") - F.col("_start") <= window_sec * 1_000_000)
                     & (F.col("_run") >= threshold))
     # Copies are consecutive: find the first copy whose running sum reaches

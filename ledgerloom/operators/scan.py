@@ -41,15 +41,10 @@ def _partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def segmented_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                   aggs: dict[str, tuple[str, str, bool]],
-                   num_partitions: int | None = None) -> DataFrame:
-    """Running aggregates within each group, in ``order``.
-
-    ``aggs`` maps output name -> (fn, column, inclusive) with fn one of
-    sum/min/max; inclusive=False excludes the current row (NULL before the
-    first row of a group, 0 for sums).
-    """
+def _range_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                aggs: dict[str, tuple[str, str, bool]],
+                num_partitions: int | None = None) -> DataFrame:
+    """The range-partitioned scan (steps 1-4 above)."""
     group, order = list(group), list(order)
     n = _partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *_cols(group + order)).withColumn(
@@ -95,15 +90,103 @@ def segmented_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return joined.withColumns(out).drop("_pid", *[f"_carry_{k}" for k in aggs])
 
 
+# A window task may hold this many rows of one group; larger groups are hot.
+DEFAULT_HOT_ROWS = 2_000_000
+# At most this many groups are treated as hot, so the hot-group list that is
+# broadcast has a proven size bound (groups larger than total/MAX_HOT_GROUPS).
+MAX_HOT_GROUPS = 1024
+
+
+def hot_groups(df: DataFrame, group: Sequence[str], weight: str | None = None,
+               hot_rows: int | None = None) -> DataFrame | None:
+    """Groups whose row count exceeds ``max(hot_rows, total / MAX_HOT_GROUPS)``,
+    or None when there are none. Sizes come from a partial aggregate; one
+    scalar pair (largest group, total) is read on the driver to choose the
+    plan."""
+    w = F.col(weight) if weight else F.lit(1)
+    sizes = df.groupBy(*group).agg(F.sum(w).alias("_gsize"))
+    largest, total = sizes.agg(F.max("_gsize"), F.sum("_gsize")).first()
+    if largest is None:
+        return None
+    threshold = max(DEFAULT_HOT_ROWS if hot_rows is None else hot_rows,
+                    -(-int(total) // MAX_HOT_GROUPS))
+    if largest <= threshold:
+        return None
+    return sizes.filter(F.col("_gsize") > threshold).select(*group)
+
+
+def split_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary groups, rows of hot groups); the hot list has at most
+    MAX_HOT_GROUPS rows, so it is broadcast. Keys match NULL-safely."""
+    h = hot.select(*[F.col(g).alias(f"_hg{i}") for i, g in enumerate(group)])
+    cond = [F.col(g).eqNullSafe(F.col(f"_hg{i}")) for i, g in enumerate(group)]
+    cold = df.join(F.broadcast(h), cond, "left_anti")
+    hot_rows = df.join(F.broadcast(h), cond, "left_semi")
+    return cold, hot_rows
+
+
+def _window_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                 aggs: dict[str, tuple[str, str, bool]]) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(*_cols(order))
+    cols = {}
+    for name, (fn, col, inclusive) in aggs.items():
+        v = _COMBINE[fn](F.col(col)).over(w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+        cols[name] = F.coalesce(v, F.lit(0)) if fn == "sum" and not inclusive else v
+    return df.withColumns(cols)
+
+
+def segmented_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                   aggs: dict[str, tuple[str, str, bool]],
+                   num_partitions: int | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Running aggregates within each group, in ``order``.
+
+    ``aggs`` maps output name -> (fn, column, inclusive) with fn one of
+    sum/min/max; inclusive=False excludes the current row (NULL before the
+    first row of a group, 0 for sums).
+
+    Ordinary groups use a window partitioned by the group (one shuffle; each
+    group is below the hot threshold, so no task gets an outsized share);
+    hot groups - and the whole frame when there is no group - go through the
+    range-partitioned scan.
+    """
+    group = list(group)
+    if not group:
+        return _range_scan(df, group, order, aggs, num_partitions)
+    hot = hot_groups(df, group, None, hot_rows)
+    if hot is None:
+        return _window_scan(df, group, order, aggs)
+    cold, hot_df = split_hot(df, hot, group)
+    return _window_scan(cold, group, order, aggs).unionByName(
+        _range_scan(hot_df, group, order, aggs, num_partitions))
+
+
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_number",
-                      group: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                      group: Sequence[str] = (), num_partitions: int | None = None,
+                      hot_rows: int | None = None) -> DataFrame:
     """Dense 1-based row numbers over a total order, without
     ``Exchange SinglePartition``; with ``group`` it numbers within groups
     (same result as ``row_number`` over ``partitionBy(group)``) without
-    putting a hot group in one task."""
-    df = df.withColumn("_one", F.lit(1))
-    r = segmented_scan(df, group, order, {out: ("sum", "_one", True)}, num_partitions)
-    return r.drop("_one").withColumn(out, F.col(out).cast("long"))
+    putting a hot group in one task.
+
+    Without a group: range-partition, sort inside partitions, take each row's
+    position from ``monotonically_increasing_id`` (partition id in the high
+    bits, position in the low 33 bits), checkpoint, and add the count of all
+    earlier partitions (a table of one row per partition, broadcast)."""
+    if group:
+        d = df.withColumn("_one", F.lit(1))
+        r = segmented_scan(d, group, order, {out: ("sum", "_one", True)}, num_partitions, hot_rows)
+        return r.drop("_one").withColumn(out, F.col(out).cast("long"))
+    n = _partitions(df, num_partitions)
+    ranged = (df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = materialize(ranged).withColumns({
+        "_pid": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, (F.col("_off") + F.col("_pos") + 1).cast("long"))
+            .drop("_mid", "_pid", "_pos", "_off"))
 
 
 def systematic_sample(df: DataFrame, k: int, order: Sequence[str], out: str = "row_number",

@@ -29,9 +29,24 @@ def _col_or_null(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def _errors(*checks: tuple[Column, str]) -> Column:
+def _errors(df: DataFrame, *checks: tuple[Column, str]) -> DataFrame:
+    """Adds ``errors`` (texts of the failed checks, in order) and
+    ``is_valid`` (no check failed). Filters use the boolean: building the
+    array for every row only to test its size costs several times more."""
+    # array_except drops the NULL slots and keeps order (texts are distinct);
+    # unlike a lambda filter it stays inside whole-stage codegen.
     arr = F.array(*[F.when(bad, F.lit(msg)) for bad, msg in checks])
-    return F.filter(arr, lambda x: x.isNotNull())
+    ok = None
+    for bad, _ in checks:
+        good = ~F.coalesce(bad, F.lit(False))
+        ok = good if ok is None else ok & good
+    # The always-true partition-id term makes ``is_valid`` a computed column
+    # Catalyst cannot inline: otherwise a filter on it is rewritten into the
+    # whole parse expression and pushed to the scan, where (filters have no
+    # common-subexpression elimination) each row is parsed several times.
+    ok = ok & (F.spark_partition_id() >= 0)
+    return df.withColumns({"errors": F.array_except(arr, F.array(F.lit(None).cast("string"))),
+                           "is_valid": ok})
 
 
 def _corrupt(df: DataFrame, corrupt_col: str | None):
@@ -45,64 +60,71 @@ def validate_transactions(df: DataFrame, corrupt_col: str | None = "_corrupt_rec
     parses and is > 0 (NaN/Inf rejected), time (TransactionTime, else
     Timestamp) parses. Adds trimmed text columns, ``Amount`` double,
     ``Timestamp`` timestamp and ``errors``."""
-    txn_id = C.blank_to_null(_col_or_null(df, "TransactionID"))
-    amount = C.to_float(C.first_non_empty(_col_or_null(df, "TransactionAmount"),
-                                          _col_or_null(df, "Amount")))
-    ts = C.parse_ts(C.first_non_empty(_col_or_null(df, "TransactionTime"),
-                                      _col_or_null(df, "Timestamp")))
-    out = df.withColumns({
-        "TransactionID": txn_id,
+    # Cleaned text first, in its own projection: the parsers below refer to
+    # it many times, and staging keeps the generated code small.
+    staged = df.withColumns({
+        "TransactionID": C.blank_to_null(_col_or_null(df, "TransactionID")),
         "AccountNumber": C.blank_to_null(_col_or_null(df, "AccountNumber")),
         "CustomerID": C.blank_to_null(_col_or_null(df, "CustomerID")),
-        "Amount": amount,
-        "Timestamp": ts,
+        "_amt_text": C.first_non_empty(_col_or_null(df, "TransactionAmount"), _col_or_null(df, "Amount")),
+        "_ts_text": C.first_non_empty(_col_or_null(df, "TransactionTime"), _col_or_null(df, "Timestamp")),
     })
-    return out.withColumn("errors", _errors(
-        *_corrupt(df, corrupt_col),
+    out = staged.withColumns({
+        "Amount": C.to_float(F.col("_amt_text")),
+        "Timestamp": C.parse_ts(F.col("_ts_text"), clean=True),
+    }).drop("_amt_text", "_ts_text")
+    return _errors(
+        out, *_corrupt(df, corrupt_col),
         (F.col("TransactionID").isNull(), E_TXN_ID),
         (F.col("Amount").isNull() | (F.col("Amount") <= 0), E_AMOUNT),
-        (F.col("Timestamp").isNull(), E_TS)))
+        (F.col("Timestamp").isNull(), E_TS))
 
 
 def validate_accounts(df: DataFrame, corrupt_col: str | None = "_corrupt_record") -> DataFrame:
     """AccountNumber and CustomerID present, Balance parses,
     AccountOpenDate parses."""
-    out = df.withColumns({
+    staged = df.withColumns({
         "AccountNumber": C.blank_to_null(_col_or_null(df, "AccountNumber")),
         "CustomerID": C.blank_to_null(_col_or_null(df, "CustomerID")),
-        "_balance": C.to_float(_col_or_null(df, "Balance")),
-        "_open_ts": C.parse_ts(_col_or_null(df, "AccountOpenDate")),
+        "_open_text": C.blank_to_null(_col_or_null(df, "AccountOpenDate")),
     })
-    return out.withColumn("errors", _errors(
-        *_corrupt(df, corrupt_col),
+    out = staged.withColumns({
+        "_balance": C.to_float(_col_or_null(df, "Balance")),
+        "_open_ts": C.parse_ts(F.col("_open_text"), clean=True),
+    }).drop("_open_text")
+    return _errors(
+        out, *_corrupt(df, corrupt_col),
         (F.col("AccountNumber").isNull(), E_ACC),
         (F.col("CustomerID").isNull(), E_CUST),
         (F.col("_balance").isNull(), E_BALANCE),
-        (F.col("_open_ts").isNull(), E_OPEN))).drop("_balance", "_open_ts")
+        (F.col("_open_ts").isNull(), E_OPEN)).drop("_balance", "_open_ts")
 
 
 def validate_customers(df: DataFrame, corrupt_col: str | None = "_corrupt_record") -> DataFrame:
     """D3: CustomerID present, DOB parses, AnnualIncome parses."""
-    out = df.withColumns({
+    staged = df.withColumns({
         "CustomerID": C.blank_to_null(_col_or_null(df, "CustomerID")),
-        "_dob": C.parse_ts(_col_or_null(df, "DOB")),
-        "_income": C.to_float(_col_or_null(df, "AnnualIncome")),
+        "_dob_text": C.blank_to_null(_col_or_null(df, "DOB")),
     })
-    return out.withColumn("errors", _errors(
-        *_corrupt(df, corrupt_col),
+    out = staged.withColumns({
+        "_dob": C.parse_ts(F.col("_dob_text"), clean=True),
+        "_income": C.to_float(_col_or_null(df, "AnnualIncome")),
+    }).drop("_dob_text")
+    return _errors(
+        out, *_corrupt(df, corrupt_col),
         (F.col("CustomerID").isNull(), E_CUST),
         (F.col("_dob").isNull(), E_DOB),
-        (F.col("_income").isNull(), E_INCOME))).drop("_dob", "_income")
+        (F.col("_income").isNull(), E_INCOME)).drop("_dob", "_income")
 
 
 def valid_rows(annotated: DataFrame) -> DataFrame:
     """Rows without errors."""
-    return annotated.filter(F.size("errors") == 0)
+    return annotated.filter(F.col("is_valid"))
 
 
 def invalid_rows(annotated: DataFrame) -> DataFrame:
     """Rows with at least one error (the quarantine set)."""
-    return annotated.filter(F.size("errors") > 0)
+    return annotated.filter(~F.col("is_valid"))
 
 
 def file_counters(annotated: DataFrame, alerts: DataFrame | None = None,
@@ -113,8 +135,8 @@ def file_counters(annotated: DataFrame, alerts: DataFrame | None = None,
     and joined on the (small) per-file result."""
     counts = annotated.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("rows_parsed"),
-        F.count_if(F.size("errors") == 0).alias("valid"),
-        F.count_if(F.size("errors") > 0).alias("invalid"))
+        F.count_if(F.col("is_valid")).alias("valid"),
+        F.count_if(~F.col("is_valid")).alias("invalid"))
     counts = counts.withColumn("quarantined", F.col("invalid"))
     if alerts is None:
         return counts.withColumn("alerts_generated", F.lit(0).cast("long"))
