@@ -109,34 +109,52 @@ def _with_probes(p: DataFrame, window_sec: int, extra_group: list[str] = ()) ->
     return data.unionByName(probe)
 
 
-def forward_window_counts(p: DataFrame, window_sec: int, extra_group: list[str] = (),
-                          out: str = "_n", hot_rows: int | None = None) -> DataFrame:
-    """For every (folded) row: rows of its group from its first copy up to
-    time t + W, in order, the row's own copies included.
-
-    Ordinary groups: a RANGE frame over time counts rows in [t, t + W]; rows
-    at the same instant ordered before this one are subtracted (a RANGE frame
-    includes all peers). Hot groups use probes over the range-partitioned
-    scan, so a group holding a large share of the rows is split."""
-    group = _GROUP + list(extra_group)
-    hot = hot_groups(p, group, "_mult", hot_rows)
-    cold, hot_p = (p, None) if hot is None else split_hot(p, hot, group)
-    w_range = (Window.partitionBy(*group).orderBy("_t")
-               .rangeBetween(0, window_sec * 1_000_000))
+def _window_counts(df: DataFrame, group: list[str], window_sec: int, out: str) -> DataFrame:
+    """Ordinary groups: a RANGE frame over time counts rows in [t, t + W];
+    rows at the same instant ordered before this one are subtracted (a RANGE
+    frame includes all peers)."""
+    w_range = Window.partitionBy(*group).orderBy("_t").rangeBetween(0, window_sec * 1_000_000)
     w_peers = (Window.partitionBy(*group, "_t").orderBy("_tid", "_h")
                .rowsBetween(Window.unboundedPreceding, -1))
-    counted = cold.withColumn(out, F.sum("_mult").over(w_range)
-                              - F.coalesce(F.sum("_mult").over(w_peers), F.lit(0)))
-    if hot_p is None:
-        return counted
-    u = _with_probes(hot_p, window_sec, extra_group)
+    return df.withColumn(out, F.sum("_mult").over(w_range)
+                         - F.coalesce(F.sum("_mult").over(w_peers), F.lit(0)))
+
+
+def _probe_counts(p: DataFrame, group: list[str], window_sec: int, out: str) -> DataFrame:
+    """Hot groups: probes over the range-partitioned scan."""
+    extra = [g for g in group if g not in _GROUP]
+    u = _with_probes(p, window_sec, extra)
     s = _range_scan(u, group, _ORDER, {"_before": ("sum", "_w", False)})
     key = group + ["_tid", "_h"]
     data = s.filter("_kind = 0").select(*key, F.col("_before").alias("_b0"))
     probe = s.filter("_kind = 1").select(*key, F.col("_before").alias("_b1"))
     # Join on (group, id, hash): the hash spreads a hot group over all tasks.
     counts = data.join(probe, key).select(*key, (F.col("_b1") - F.col("_b0")).alias(out))
-    return counted.unionByName(hot_p.join(counts, key))
+    return p.join(counts, key)
+
+
+def forward_window_counts(p: DataFrame, window_sec: int, extra_groups: list[list[str]] = ([],),
+                          outs: list[str] = ("_n",), hot_rows: int | None = None) -> DataFrame:
+    """For every (folded) row and each grouping ``_GROUP + extra``: rows of
+    its group from its first copy up to time t + W, in order, the row's own
+    copies included.
+
+    One hot-group check on ``_GROUP`` serves all groupings (a sub-group is
+    never larger than its group); all ordinary-group windows share one
+    shuffle, as every grouping refines ``_GROUP``."""
+    hot = hot_groups(p, _GROUP, "_mult", hot_rows)
+    cold, hot_p = (p, None) if hot is None else split_hot(p, hot, _GROUP)
+    for extra, out in zip(extra_groups, outs):
+        cold = _window_counts(cold, _GROUP + list(extra), window_sec, out)
+    if hot_p is None:
+        return cold
+    key = _GROUP + ["_tid", "_h"]
+    hot_out = hot_p
+    for extra, out in zip(extra_groups, outs):
+        g = _GROUP + list(extra)
+        counted = _probe_counts(hot_p.select(*g, "_t", "_tid", "_h", "_mult"), g, window_sec, out)
+        hot_out = hot_out.join(counted.select(*key, out), key)
+    return cold.unionByName(hot_out)
 
 
 def velocity(rows: DataFrame, min_count: int = VELOCITY_TXN_COUNT,
@@ -169,11 +187,8 @@ def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
         "_locnull": F.col("Location").isNull(),
         "_loc": F.coalesce(F.col("Location"), F.lit("")),
     })
-    n_all = forward_window_counts(p, window_sec, out="_n_all", hot_rows=hot_rows)
-    n_same = forward_window_counts(p.select(*_GROUP, "_locnull", "_loc", "_t", "_tid", "_h", "_mult"),
-                                   window_sec, ["_locnull", "_loc"], out="_n_same", hot_rows=hot_rows)
-    key = _GROUP + ["_tid", "_h"]
-    j = n_all.join(n_same.select(*key, "_n_same"), key).withColumn(
+    j = forward_window_counts(p, window_sec, [[], ["_locnull", "_loc"]], ["_n_all", "_n_same"],
+                              hot_rows=hot_rows).withColumn(
         "_pairs", (F.col("_n_all") - F.col("_n_same")) * F.col("_mult"))
     hits = j.filter(F.col("_pairs") > 0)
     aid = F.concat(F.lit("ALERT_GEO_"), F.col("_key"), F.lit("_"), C.iso_utc("Timestamp"))
