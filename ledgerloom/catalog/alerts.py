@@ -112,7 +112,8 @@ def q_alerts_velocity(spark, sf):
 
 @register("alerts_geo_switch", with_fixtures(("fx_txn_raw",), f"""
 with {VALID_SQL},
-pairs as (select a.file_name, a.grp, a.ts, a.TransactionID, a.AccountNumber, a.Location, count(*) as n
+pairs as (select a.file_name, a.grp, a.ts, a.TransactionID, a.AccountNumber, a.Location, count(*) as n,
+                 arg_max(coalesce(b.Location, 'None'), (b.ts, b.TransactionID)) as loc2
           from valid a join valid b
             on a.file_name = b.file_name and a.grp = b.grp
            and (b.ts > a.ts or (b.ts = a.ts and b.TransactionID > a.TransactionID))
@@ -120,7 +121,7 @@ pairs as (select a.file_name, a.grp, a.ts, a.TransactionID, a.AccountNumber, a.L
            and a.Location is distinct from b.Location
           group by all)
 select 'ALERT_GEO_' || grp || '_' || {_iso('ts')} as alert_id, 'GEO_LOCATION_SWITCH' as type,
-       'Transaction from ' || coalesce(Location, 'None') || ' to another location within {fx.GEO_WINDOW_SEC // 60} minutes' as reason,
+       'Transaction from ' || coalesce(Location, 'None') || ' → ' || loc2 || ' within {fx.GEO_WINDOW_SEC // 60} minutes' as reason,
        {_iso('ts')} as created_at, file_name, grp as group_key,
        coalesce(AccountNumber, 'UNKNOWN') as AccountNumber, TransactionID, cast(n as double) as metric
 from pairs"""))

@@ -76,8 +76,8 @@ def _minutes(sec: int) -> str:
 
 
 def _alert(kind: str, alert_id: Column, reason: Column, df: DataFrame, metric: Column,
-           file_col: str) -> DataFrame:
-    return df.select(
+           file_col: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    return df.select(*[c.alias(n) for n, c in (extra or {}).items()],
         alert_id.alias("alert_id"), F.lit(kind).alias("type"), reason.alias("reason"),
         C.iso_utc("Timestamp").alias("created_at"),
         F.col(file_col).alias("file_name"), F.col("_key").alias("group_key"),
@@ -173,34 +173,115 @@ def velocity(rows: DataFrame, min_count: int = VELOCITY_TXN_COUNT,
     return collapse_by_id(out) if collapse else out
 
 
+_ROW = ["_t", "_tid", "_h", "_locnull", "_loc", "Location", "Timestamp", "TransactionID"]
+_LOC_GROUP = ["_locnull", "_loc"]
+
+
+def _row_struct() -> Column:
+    return F.struct(*[F.col(c) for c in _ROW])
+
+
+def _same_loc(a: Column, b: Column) -> Column:
+    return a["_locnull"].eqNullSafe(b["_locnull"]) & a["_loc"].eqNullSafe(b["_loc"])
+
+
+def _run_start(prev: Column, pd_name: str) -> dict:
+    """A row starts a run of equal locations when the previous row of its
+    group (``prev``) is absent or elsewhere; the run's 'previous other
+    location' row is then ``prev``."""
+    me = _row_struct()
+    starts = prev.isNull() | ~_same_loc(prev, me)
+    return {pd_name: F.when(starts & prev.isNotNull(), prev)}
+
+
+def _partner(last: Column) -> Column:
+    """Last row in the anchor's window at another location: the window's last
+    row if it is elsewhere, else the row before that row's location run."""
+    me = _row_struct()
+    cand = F.when(~_same_loc(last, me), last.dropFields("_pd")).otherwise(last["_pd"])
+    after = F.struct(cand["_t"], cand["_tid"], cand["_h"]) > F.struct("_t", "_tid", "_h")
+    return F.when(cand.isNotNull() & after, cand)
+
+
+def _partner_window(df: DataFrame, window_sec: int) -> DataFrame:
+    w = Window.partitionBy(*_GROUP).orderBy("_t", "_tid", "_h")
+    d = df.withColumn("_prev", F.lag(_row_struct()).over(w))
+    d = d.withColumns(_run_start(F.col("_prev"), "_pd_start"))
+    d = d.withColumn("_pd", F.last("_pd_start", ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    frame = Window.partitionBy(*_GROUP).orderBy("_t").rangeBetween(0, window_sec * 1_000_000)
+    d = d.withColumn("_last", F.max(_row_struct().withField("_pd", F.col("_pd"))).over(frame))
+    return d.withColumn("_partner", _partner(F.col("_last"))).drop("_prev", "_pd_start", "_pd", "_last")
+
+
+def _partner_scan(hot_p: DataFrame, window_sec: int) -> DataFrame:
+    """Same as ``_partner_window`` for hot groups, with range-partitioned
+    scans: previous row (exclusive running max of the row struct), the
+    run's previous-other-location row carried forward, then probes at t + W
+    whose exclusive running max over data rows is the window's last row."""
+    d = hot_p.withColumns({"_kind": F.lit(0), "_row": _row_struct()})
+    d = _range_scan(d, _GROUP, _ORDER, {"_prev": ("max", "_row", False)})
+    d = d.withColumns(_run_start(F.col("_prev"), "_pd_start"))
+    d = d.withColumn("_pd_key", F.when(F.col("_pd_start").isNotNull(),
+                                       F.struct(F.col("_t").alias("k1"), F.col("_tid").alias("k2"),
+                                                F.col("_h").alias("k3"), F.col("_pd_start").alias("pd"))))
+    d = _range_scan(d, _GROUP, _ORDER, {"_pd_run": ("max", "_pd_key", True)})
+    d = d.withColumn("_rowpd", _row_struct().withField("_pd", F.col("_pd_run")["pd"]))
+    keep = _GROUP + ["_t", "_tid", "_h"]
+    data = d.select(*keep, F.lit(0).alias("_kind"), "_rowpd")
+    probe = (d.select(*keep).withColumn("_t", F.col("_t") + F.lit(window_sec * 1_000_000))
+             .withColumn("_kind", F.lit(1)).withColumn("_rowpd", F.lit(None).cast(data.schema["_rowpd"].dataType)))
+    s = _range_scan(data.unionByName(probe), _GROUP, _ORDER, {"_last": ("max", "_rowpd", False)})
+    last = s.filter("_kind = 1").select(*_GROUP, "_tid", "_h", "_last")
+    j = hot_p.join(last, _GROUP + ["_tid", "_h"])
+    return j.withColumn("_partner", _partner(F.col("_last"))).drop("_last")
+
+
 def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
                file_col: str = "file_name", hot_rows: int | None = None) -> DataFrame:
     """an anchor row pairs with every later row of its group within W
     whose Location differs (NULL differs from a value, equals NULL).
 
-    Output is one alert per alert id (key + anchor time) with the number of
-    such pairs as ``metric`` - the rows the reference's store keeps after its
-    upserts collapse same-id alerts. Pairs are counted, never built:
-    pairs(i) = rows after i in window - rows after i in window at i's
-    location."""
+    Output is one alert per alert id (key + anchor time) - the rows the
+    reference's store keeps after its upserts collapse same-id alerts: the
+    last anchor of that instant with its last partner, and the number of
+    pairs of all anchors of that instant as ``metric``. Pairs are counted,
+    never built: pairs(i) = rows after i in window - rows after i in window
+    at i's location."""
     p = prepare(rows, file_col).withColumns({
         "_locnull": F.col("Location").isNull(),
         "_loc": F.coalesce(F.col("Location"), F.lit("")),
     })
-    j = forward_window_counts(p, window_sec, [[], ["_locnull", "_loc"]], ["_n_all", "_n_same"],
-                              hot_rows=hot_rows).withColumn(
-        "_pairs", (F.col("_n_all") - F.col("_n_same")) * F.col("_mult"))
+    hot = hot_groups(p, _GROUP, "_mult", hot_rows)
+    cold, hot_p = (p, None) if hot is None else split_hot(p, hot, _GROUP)
+    cold = _window_counts(_window_counts(cold, _GROUP, window_sec, "_n_all"),
+                          _GROUP + _LOC_GROUP, window_sec, "_n_same")
+    j = _partner_window(cold, window_sec)
+    if hot_p is not None:
+        key = _GROUP + ["_tid", "_h"]
+        h = hot_p
+        for g, out in ((_GROUP, "_n_all"), (_GROUP + _LOC_GROUP, "_n_same")):
+            counted = _probe_counts(hot_p.select(*g, "_t", "_tid", "_h", "_mult"), g, window_sec, out)
+            h = h.join(counted.select(*key, out), key)
+        j = j.unionByName(_partner_scan(h, window_sec))
+    j = j.withColumn("_pairs", (F.col("_n_all") - F.col("_n_same")) * F.col("_mult"))
     hits = j.filter(F.col("_pairs") > 0)
     aid = F.concat(F.lit("ALERT_GEO_"), F.col("_key"), F.lit("_"), C.iso_utc("Timestamp"))
-    reason = F.concat(F.lit("Transaction from "), F.coalesce(F.col("Location"), F.lit("None")),
-                      F.lit(f" to another location within {_minutes(window_sec)} minutes"))
-    anchors = _alert("GEO_LOCATION_SWITCH", aid, reason, hits, F.col("_pairs"), file_col)
+    loc_text = lambda c: F.coalesce(c, F.lit("None"))
+    reason = F.concat(F.lit("Transaction from "), loc_text(F.col("Location")), F.lit(" \u2192 "),
+                      loc_text(F.col("_partner.Location")),
+                      F.lit(f" within {_minutes(window_sec)} minutes"))
+    anchors = _alert("GEO_LOCATION_SWITCH", aid, reason, hits, F.col("_pairs"), file_col, extra={
+        "_order": F.struct("_t", "_tid", "_h"),
+        "partner_TransactionID": F.col("_partner.TransactionID"),
+        "partner_location": F.col("_partner.Location"),
+        "partner_ts": F.col("_partner.Timestamp")})
     # Anchors at one instant share an id: sum their pairs, keep the last anchor.
-    last = F.max_by(F.struct(*[c for c in ALERT_COLUMNS if c not in ("alert_id", "metric")]),
-                    F.struct("anchor_ts", "TransactionID"))
+    rest = [c for c in anchors.columns if c not in ("alert_id", "metric", "_order")]
+    last = F.max_by(F.struct(*rest), F.col("_order"))
     return (anchors.groupBy("alert_id")
             .agg(last.alias("_a"), F.sum("metric").alias("metric"))
-            .select("alert_id", "_a.*", "metric").select(*ALERT_COLUMNS))
+            .select("alert_id", "_a.*", "metric"))
 
 
 def balance_drain(rows: DataFrame, threshold: float = DRAIN_THRESHOLD,
@@ -250,5 +331,6 @@ def fraud_detection(rows: DataFrame, high_value_threshold: float = HIGH_VALUE_TH
     """All four rules, one alert schema (E5)."""
     return (high_value(rows, high_value_threshold, file_col)
             .unionByName(velocity(rows, velocity_count, velocity_window_sec, file_col))
-            .unionByName(geo_switch(rows, geo_window_sec, file_col))
-            .unionByName(balance_drain(rows, drain_threshold, drain_window_sec, file_col)))
+            .unionByName(geo_switch(rows, geo_window_sec, file_col), allowMissingColumns=True)
+            .unionByName(balance_drain(rows, drain_threshold, drain_window_sec, file_col),
+                         allowMissingColumns=True))

@@ -44,13 +44,18 @@ def model_velocity(rows, n, w):
 
 
 def model_geo(rows, w):
-    pairs = defaultdict(int)
+    """Pairs per alert id; the kept alert is the last anchor (by time, id)
+    with its last partner, as the store's last write."""
+    pairs, kept = defaultdict(int), {}
     for (f, k), items in groups(rows).items():
         for i, a in enumerate(items):
             for b in items[i + 1:]:
                 if (b[5] - a[5]).total_seconds() <= w and a[6] != b[6]:
-                    pairs[f"ALERT_GEO_{k}_{iso(a[5])}"] += 1
-    return {(aid, float(n)) for aid, n in pairs.items()}
+                    aid = f"ALERT_GEO_{k}_{iso(a[5])}"
+                    pairs[aid] += 1
+                    if aid not in kept or (a[5], a[1]) >= kept[aid][0]:
+                        kept[aid] = ((a[5], a[1]), b[1], f"Transaction from {a[6]} \u2192 {b[6]} within 1 minutes")
+    return {(aid, float(n), kept[aid][1], kept[aid][2]) for aid, n in pairs.items()}
 
 
 def model_drain(rows, thr, w):
@@ -98,7 +103,8 @@ def test_velocity_matches_model(rows, hot_rows):
 @pytest.mark.parametrize("hot_rows", [None, 1])
 def test_geo_matches_model(rows, hot_rows):
     data, df = rows
-    got = {(r.alert_id, r.metric) for r in R.geo_switch(df, 60, hot_rows=hot_rows).collect()}
+    got = {(r.alert_id, r.metric, r.partner_TransactionID, r.reason)
+           for r in R.geo_switch(df, 60, hot_rows=hot_rows).collect()}
     assert got == model_geo(data, 60)
 
 
@@ -126,7 +132,7 @@ def test_copies_are_weighted(spark):
     data = [copy, copy, copy, ("f.csv", "T2", "A", "C", 1.0, t + dt.timedelta(seconds=1), "L2")]
     df = spark.createDataFrame(data, SCHEMA)
     geo = R.geo_switch(df, 60).collect()
-    assert [(g.alert_id, g.metric) for g in geo] == [(f"ALERT_GEO_C_{iso(t)}", 3.0)]
+    assert [(g.alert_id, g.metric, g.partner_TransactionID) for g in geo] == [(f"ALERT_GEO_C_{iso(t)}", 3.0, "T2")]
     drain = R.balance_drain(df, 100000.0, 60).collect()
     assert [(d.TransactionID, d.metric) for d in drain] == [("T1", 120000.0)]
     vel = R.velocity(df, 4, 60).collect()
