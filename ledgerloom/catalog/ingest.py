@@ -239,11 +239,13 @@ def q_silver_alerts(spark, sf):
 
 
 def _land_files(raw, landing: str) -> None:
-    """Write one CSV file per ``file_name`` (test input of the stream)."""
+    """Test input of the stream: the rows of each ``file_name`` land as CSV
+    part files named after it (``atm_0-part00000.csv``...). Rows are written
+    by as many tasks as the data needs - a large name is split, never sent
+    to one task."""
     spark = raw.sparkSession
     stage = f"{landing}/_stage"
-    (raw.repartition("file_name").write.mode("overwrite").option("header", True)
-     .partitionBy("file_name").csv(stage))
+    raw.write.mode("overwrite").option("header", True).partitionBy("file_name").csv(stage)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(stage)
@@ -254,13 +256,11 @@ def _land_files(raw, landing: str) -> None:
         name = part_dir.getPath().getName()
         if not name.startswith("file_name="):
             continue
-        parts = [s.getPath() for s in fs.listStatus(part_dir.getPath())
-                 if s.getPath().getName().endswith(".csv")]
-        for i, p in enumerate(sorted(parts, key=lambda x: x.getName())):
-            target = name.split("=", 1)[1]
-            if i:
-                target = target.replace(".csv", f"_{i}.csv")
-            fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{inbox}/{target}"))
+        stem = name.split("=", 1)[1].removesuffix(".csv")
+        parts = sorted((s.getPath() for s in fs.listStatus(part_dir.getPath())
+                        if s.getPath().getName().endswith(".csv")), key=lambda x: x.getName())
+        for i, p in enumerate(parts):
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{inbox}/{stem}-part{i:05d}.csv"))
 
 
 @register("stream_ingest_available_now", with_fixtures(("fx_txn_raw",), f"""with {VALID_SQL}
@@ -279,5 +279,7 @@ def q_stream_ingest(spark, sf):
                             as_of=AS_OF, rule_params=params)
     q.awaitTermination()
     assert list_files(spark, f"{base}/inbox")
-    return read_audit(spark, f"{base}/out").select(
-        "file_name", "source_type", "status", "rows_parsed", "valid", "invalid")
+    audit = read_audit(spark, f"{base}/out").withColumn(
+        "file_name", F.concat(F.regexp_replace("file_name", "-part[0-9]+[.]csv$", ""), F.lit(".csv")))
+    return audit.groupBy("file_name", "source_type", "status").agg(
+        *[F.sum(c).alias(c) for c in ("rows_parsed", "valid", "invalid")])

@@ -113,8 +113,11 @@ class PartitionedTable:
         fs, p = _fs(self.spark, self.root)
         return fs.exists(p)
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root)
+    def read(self, schema=None) -> DataFrame:
+        """The table; with ``schema``, a table holding no file yet (created
+        from an empty batch) reads as empty instead of failing inference."""
+        r = self.spark.read
+        return (r.schema(schema) if schema is not None else r).parquet(self.root)
 
     def create(self, df: DataFrame) -> None:
         """Partitioned write."""
@@ -130,11 +133,11 @@ class PartitionedTable:
             self.create(source)
             return
         touched = source.select(*self.partition_by).distinct()
-        target = self.read().join(F.broadcast(touched), self.partition_by, "left_semi")
+        target = self.read(source.schema).join(F.broadcast(touched), self.partition_by, "left_semi")
         merged = upsert(target, source, keys)
         stage = f"{self.staging_root}/{run_id}"
         merged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(stage)
-        staged = self.spark.read.parquet(stage)
+        staged = self.spark.read.schema(merged.schema).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.root))
 

@@ -21,14 +21,18 @@ from ..functions import columns as C
 from ..plans.ingest import (STATUS_COMPLETED, STATUS_REJECTED, STATUS_UNKNOWN, ingest_accounts,
                             ingest_customers, ingest_transactions)
 from ..sources.files import read_delimited
-from ..sources.tables import SnapshotTable, append_parquet
+from ..sources.tables import PartitionedTable, SnapshotTable, append_parquet
 
 AUDIT_COLUMNS = ("file_name", "source_type", "status", "rows_parsed", "valid", "invalid",
                  "quarantined", "alerts_generated", "batch_id", "completed_at")
 
 
 class IngestSink:
-    """``foreachBatch`` target: stores under ``out_root``."""
+    """``foreachBatch`` target: stores under ``out_root``.
+
+    Transaction and alert stores are partitioned by day, and a batch merges
+    into the days it touches only (a transaction's id and time fix its day).
+    Profiles are a snapshot table keyed by document id."""
 
     def __init__(self, out_root: str, as_of=None, rule_params: dict | None = None):
         self.root = out_root.rstrip("/")
@@ -38,6 +42,9 @@ class IngestSink:
     def table(self, spark: SparkSession, name: str) -> SnapshotTable:
         return SnapshotTable(spark, f"{self.root}/{name}")
 
+    def by_day(self, spark: SparkSession, name: str) -> PartitionedTable:
+        return PartitionedTable(spark, f"{self.root}/{name}", ["day"], f"{self.root}/_staging/{name}")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The new file paths: bounded by the trigger's file limit.
@@ -60,9 +67,12 @@ class IngestSink:
             if by_type.get(stype):
                 raw = read_delimited(spark, by_type[stype])
                 out = ingest_transactions(raw, **self.rule_params)
-                valid = out["valid"].drop("errors", "_corrupt_record").withColumn("batch_id", F.lit(batch_id))
-                self.table(spark, stype.lower()).merge(valid, ["TransactionID", "AccountNumber"])
-                self.table(spark, "alerts").merge(out["alerts"], ["alert_id"])
+                valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
+                         .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
+                self.by_day(spark, stype.lower()).merge(valid, ["TransactionID", "AccountNumber"],
+                                                        f"b{batch_id}")
+                alerts = out["alerts"].withColumn("day", F.to_date(F.try_to_timestamp("created_at")))
+                self.by_day(spark, "alerts").merge(alerts, ["alert_id"], f"b{batch_id}")
                 append_parquet(out["quarantine"].withColumn("source_type", F.lit(stype)),
                                f"{self.root}/quarantine", ["source_type"])
                 audits.append(out["counters"].withColumns(
@@ -72,7 +82,7 @@ class IngestSink:
             from ..plans.ingest import merge_accounts_into_profiles
             out = ingest_accounts(read_delimited(spark, by_type["ACCOUNT"]), as_of=self.as_of)
             profiles.write(merge_accounts_into_profiles(profiles.read_or_none(), out["documents"]))
-            self.table(spark, "alerts").merge(out["alerts"], ["alert_id"])
+            self.table(spark, "profile_alerts").merge(out["alerts"], ["alert_id"])
             audits.append(out["counters"].withColumns(
                 {"source_type": F.lit("ACCOUNT"), "status": F.lit(STATUS_COMPLETED)}))
         if by_type.get("CUSTOMER"):

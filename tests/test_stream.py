@@ -32,3 +32,5 @@ def test_two_runs_equal_one_batch(spark, scratch):
     batch = ingest_transactions(read_delimited(spark, [f"{inbox}/atm_a.csv", f"{inbox}/upi_b.csv"]))
     assert batch["valid"].count() == 2
     assert spark.read.parquet(f"{out}/quarantine").count() == 2
+    assert [d for d in os.listdir(f"{out}/atm") if d.startswith("day=")] == ["day=2024-01-01"]
+    assert spark.read.parquet(f"{out}/alerts").count() >= 1
