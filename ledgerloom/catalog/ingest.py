@@ -283,3 +283,59 @@ def q_stream_ingest(spark, sf):
         "file_name", F.concat(F.regexp_replace("file_name", "-part[0-9]+[.]csv$", ""), F.lit(".csv")))
     return audit.groupBy("file_name", "source_type", "status").agg(
         *[F.sum(c).alias(c) for c in ("rows_parsed", "valid", "invalid")])
+
+
+def _scratch(spark, kind: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/ledgerloom-{kind}-{uuid.uuid4().hex}"
+
+
+_ACCOUNT_TYPES = {"AccountNumber": "string", "CustomerID": "string", "AccountHolderName": "string",
+                  "AccountType": "string", "AccountStatus": "string", "AccountOpenDate": "date",
+                  "Balance": "double", "KYC_Done": "string", "AnnualIncome": "double", "DOB": "date",
+                  "City": "string"}
+
+
+@register("csv_roundtrip_typed", with_fixtures(("fx_account",), """
+select AccountNumber, CustomerID, AccountHolderName, AccountType, AccountStatus,
+       cast(AccountOpenDate as varchar) as AccountOpenDate, Balance, KYC_Done, AnnualIncome,
+       cast(DOB as varchar) as DOB, City, 'account_master.csv' as source_file
+from fx_account"""))
+def q_csv_roundtrip_typed(spark, sf):
+    from ..schemas import align
+    from ..sources.files import read_delimited
+    from ..sources.tables import write_csv
+    base = _scratch(spark, "csv")
+    acc = _account_text(spark, sf).select(*_ACCOUNT_TYPES)
+    write_csv(acc, f"{base}/account_master.csv", sep=";")           # B1: a directory of part files
+    back = read_delimited(spark, list_files(spark, f"{base}/account_master.csv"))   # A1-A3
+    typed = align(back, _ACCOUNT_TYPES)                               # H18 + explicit types
+    return export(typed.withColumn("source_file", F.lit("account_master.csv")))
+
+
+@register("snapshot_roundtrip", with_fixtures(("fx_account", "fx_dim_v1"), """
+select CustomerID, FirstName, KYC_Tier, Total_Balance, 2 as version, n1 as v1_rows
+from fx_dim_v1, (select count(*) as n1 from fx_account)"""))
+def q_snapshot_roundtrip(spark, sf):
+    from ..sources.tables import SnapshotTable
+    t = SnapshotTable(spark, _scratch(spark, "snapshot"))
+    assert not t.exists()                                             # A12
+    t.write(fixture(spark, sf, "fx_account"))                         # B3
+    v = t.write(fixture(spark, sf, "fx_dim_v1"))                      # B4: schema replaced
+    n1 = t.read(1).count()                                            # A6: older version
+    return t.read().withColumns({"version": F.lit(v), "v1_rows": F.lit(n1).cast("long")})
+
+
+@register("documents_json_scan", with_fixtures(("fx_account",), """
+select AccountNumber as id, AccountNumber, CustomerID, AccountHolderName as Account_AccountHolderName,
+       strftime(AccountOpenDate, '%Y-%m-%dT%H:%M:%S') || '+00:00' as Account_AccountOpenDate,
+       cast(Balance as varchar) as Account_Balance, KYC_Done as Account_KYC_Done
+from fx_account"""))
+def q_documents_json_scan(spark, sf):
+    base = _scratch(spark, "docs")
+    docs = ingest.account_documents(valid_rows(validate_accounts(_account_text(spark, sf))))
+    docs.withColumn("_ts", F.lit(1)).write.mode("overwrite").json(base)   # store adds _ts
+    scanned = D.read_documents(spark, base, docs.schema.add("_ts", "long"))    # A4
+    b = D.bronze(scanned, numeric_fields=["Account_Balance"])                 # C8-C11
+    return b.select("id", "AccountNumber", "CustomerID", "Account_AccountHolderName",
+                    "Account_AccountOpenDate", "Account_Balance", "Account_KYC_Done")

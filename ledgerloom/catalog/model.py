@@ -214,3 +214,20 @@ def q_upsert_last_wins(spark, sf):
     target = latest_per_key(ok.filter(first), ["AccountNumber"], ["Timestamp", "TransactionID"])
     out = upsert(target, ok.filter(~first), ["AccountNumber"], order=["Timestamp", "TransactionID"])
     return out.select("AccountNumber", "TransactionID")
+
+
+@register("fact_partitioned_merge", with_fixtures(("fx_transactions", "fx_account", "fx_dim_v1"), _FACT_SQL + """
+select TransactionID, cast(Year as int) as Year, cast(Month as int) as Month,
+       case when cast(substring(Transaction_Date, 9, 2) as int) >= 10 then Amount * 2 else Amount end as Amount
+from f"""))
+def q_fact_partitioned_merge(spark, sf):
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.tables import PartitionedTable
+    base = f"{checkpoint_dir(spark)}/ledgerloom-fact-{uuid.uuid4().hex}"
+    t = PartitionedTable(spark, f"{base}/fact", ["Year", "Month"], f"{base}/_staging")
+    f = _fact(spark, sf)
+    day = F.dayofmonth("Transaction_Date")
+    t.merge(f.filter(day <= 20), ["TransactionID"], "run1")                      # B5: create
+    t.merge(f.filter(day >= 10).withColumn("Amount", F.col("Amount") * 2), ["TransactionID"], "run2")
+    return t.read().select("TransactionID", "Year", "Month", "Amount")

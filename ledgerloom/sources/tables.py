@@ -166,9 +166,12 @@ def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 
 def create_table_as_select(spark: SparkSession, name: str, df: DataFrame,
-                           partition_by: Sequence[str] = ()) -> DataFrame:
-    """A catalog table from a DataFrame (CTAS)."""
+                           partition_by: Sequence[str] = (), path: str | None = None) -> DataFrame:
+    """A catalog table from a DataFrame (CTAS); with ``path`` the data
+    lives there (external table), else in the session's warehouse."""
     w = df.write.mode("overwrite").format("parquet")
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
