@@ -85,7 +85,7 @@ s as (select *,
 select CustomerID, FirstName, LastName, Email, Phone, City, State, ZipCode, Occupation,
        AnnualIncome, Customer_Age, KYC_Tier, Customer_KYC_Status, Latest_KYC_VerificationStatus,
        cast(Latest_KYC_Expiry as varchar) as Latest_KYC_Expiry, Is_KYC_Expired, Any_KYC_Verified,
-       Accounts, Num_Accounts, Total_Balance, Total_Transactions, Total_Spend, Total_Income,
+       Num_Accounts, Total_Balance, Total_Transactions, Total_Spend, Total_Income,
        Total_Spend_12M, Txn_Count_12M, Failed_Transactions,
        cast(Last_Transaction_Date as varchar) as Last_Transaction_Date, Max_Transaction,
        Is_Recent_Active, round(case when raw_score > 100 then 100.0 else raw_score end, 6) as RiskScore
@@ -104,8 +104,7 @@ def q_customer360(spark, sf):
     + "select CustomerID, round(case when raw_score > 100 then 100.0 else raw_score end, 6) "
       "as RiskScore, Is_KYC_Expired, Is_Recent_Active from s"))
 def q_risk_score(spark, sf):
-    df = c360.customer360(transactions(spark, sf), accounts(spark, sf), kyc(spark, sf),
-                          as_of=AS_OF, account_list=False)
+    df = c360.customer360(transactions(spark, sf), accounts(spark, sf), kyc(spark, sf), as_of=AS_OF)
     return export(df.select("CustomerID", "RiskScore", "Is_KYC_Expired", "Is_Recent_Active"))
 
 
@@ -139,7 +138,7 @@ def q_account_metrics_12m(spark, sf):
 
 @register("customer_rollup", with_fixtures(("fx_transactions", "fx_account"), f"""
 with {_ROLLUP_SQL}
-select CustomerID, Accounts, Num_Accounts, Total_Balance, Total_Transactions, Total_Spend, Total_Income,
+select CustomerID, Num_Accounts, Total_Balance, Total_Transactions, Total_Spend, Total_Income,
        Failed_Transactions, cast(Last_Transaction_Date as varchar) as Last_Transaction_Date,
        Max_Transaction, Total_Spend_12M, Txn_Count_12M from roll"""))
 def q_customer_rollup(spark, sf):
@@ -148,6 +147,13 @@ def q_customer_rollup(spark, sf):
     return export(c360.customer_rollup(acc, m))
 
 
+@register("customer_accounts", with_fixtures(("fx_account",), f"""
+with {ACC_SQL}
+select distinct CustomerID, AccountNumber from acc where AccountNumber is not null"""))
+def q_customer_accounts(spark, sf):
+    return c360.customer_accounts(accounts(spark, sf))
+
+
 @register("customer_profile", with_fixtures(("fx_account",), f"""
 with {ACC_SQL}, {_PROFILE_SQL}
 select * from prof"""))

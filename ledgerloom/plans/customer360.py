@@ -118,12 +118,14 @@ def account_metrics(txn: DataFrame, accounts: DataFrame, as_of=None) -> DataFram
         .select("AccountNumber", "CustomerID", *[c for c in m.columns if c != "AccountNumber"])
 
 
-def customer_rollup(accounts: DataFrame, metrics: DataFrame, account_list: bool = True) -> DataFrame:
+def customer_rollup(accounts: DataFrame, metrics: DataFrame, account_list: bool = False) -> DataFrame:
     """I10 + I11: accounts joined with their metrics, rolled up per customer.
 
-    ``Accounts`` is the one collected list in the model; it is as long as a
-    customer's account count. ``account_list=False`` leaves it out (see
-    ``customer_accounts`` for the long form)."""
+    The reference also collects each customer's account numbers into an
+    array; a customer holding a large share of all accounts would make that
+    one unbounded row built in one task, so by default the list is left to
+    ``customer_accounts`` (one row per customer and account).
+    ``account_list=True`` adds the sorted array for bounded inputs."""
     a = accounts_small(accounts).join(metrics, ["AccountNumber", "CustomerID"], "left")
     aggs = [
         F.countDistinct("AccountNumber").alias("Num_Accounts"),
@@ -143,8 +145,10 @@ def customer_rollup(accounts: DataFrame, metrics: DataFrame, account_list: bool
 
 
 def customer_accounts(accounts: DataFrame) -> DataFrame:
-    """Long form of ``Accounts``: one (CustomerID, AccountNumber) row each."""
-    return accounts.select("CustomerID", "AccountNumber").dropDuplicates()
+    """Long form of ``Accounts``: one (CustomerID, AccountNumber) row each,
+    deduplicated by a partial aggregate."""
+    return (accounts.filter(F.col("AccountNumber").isNotNull())
+            .select("CustomerID", "AccountNumber").dropDuplicates())
 
 
 def customer_profile(accounts: DataFrame) -> DataFrame:
@@ -183,8 +187,10 @@ def risk_score(failed="Failed_Transactions", max_txn="Max_Transaction",
 
 
 def customer360(transactions: DataFrame, accounts: DataFrame, kyc: DataFrame,
-                as_of=None, account_list: bool = True) -> DataFrame:
-    """Profile + roll-up + KYC, flags and RiskScore, 30 columns."""
+                as_of=None, account_list: bool = False) -> DataFrame:
+    """Profile + roll-up + KYC, flags and RiskScore: the reference's
+    30 columns, without ``Accounts`` unless ``account_list=True`` (see
+    ``customer_rollup``)."""
     metrics = account_metrics(transactions, accounts, as_of)
     c360 = (customer_profile(accounts)
             .join(customer_rollup(accounts, metrics, account_list), "CustomerID", "left")
