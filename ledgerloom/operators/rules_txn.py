@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .scan import _range_scan, hot_groups, segmented_scan, split_hot
+from .scan import AUTO, _range_scan, hot_groups, segmented_scan, split_hot
 
 # Reference thresholds (defaults of the rule functions).
 HIGH_VALUE_THRESHOLD = 50000.0
@@ -66,6 +66,13 @@ _GROUP = ["_file", "_key"]
 _ORDER = ["_t", "_kind", "_tid", "_h"]
 
 
+def _prepare_with_hot(rows: DataFrame, file_col: str, hot_rows: int | None):
+    """Folded rows and their hot (file, key) groups: one sizing job that all
+    windowed rules of a batch can share."""
+    p = prepare(rows, file_col)
+    return p, hot_groups(p, _GROUP, "_mult", hot_rows)
+
+
 def _fmt_num(c: Column) -> Column:
     """Python-like text of a float (``12.0``, ``1234.5``)."""
     return F.format_string("%s", c.cast("double"))
@@ -134,7 +141,8 @@ def _probe_counts(p: DataFrame, group: list[str], window_sec: int, out: str) ->
 
 
 def forward_window_counts(p: DataFrame, window_sec: int, extra_groups: list[list[str]] = ([],),
-                          outs: list[str] = ("_n",), hot_rows: int | None = None) -> DataFrame:
+                          outs: list[str] = ("_n",), hot_rows: int | None = None,
+                          hot: DataFrame | None | str = AUTO) -> DataFrame:
     """For every (folded) row and each grouping ``_GROUP + extra``: rows of
     its group from its first copy up to time t + W, in order, the row's own
     copies included.
@@ -142,7 +150,8 @@ def forward_window_counts(p: DataFrame, window_sec: int, extra_groups: list[list
     One hot-group check on ``_GROUP`` serves all groupings (a sub-group is
     never larger than its group); all ordinary-group windows share one
     shuffle, as every grouping refines ``_GROUP``."""
-    hot = hot_groups(p, _GROUP, "_mult", hot_rows)
+    if isinstance(hot, str):
+        hot = hot_groups(p, _GROUP, "_mult", hot_rows)
     cold, hot_p = (p, None) if hot is None else split_hot(p, hot, _GROUP)
     for extra, out in zip(extra_groups, outs):
         cold = _window_counts(cold, _GROUP + list(extra), window_sec, out)
@@ -159,12 +168,14 @@ def forward_window_counts(p: DataFrame, window_sec: int, extra_groups: list[list
 
 def velocity(rows: DataFrame, min_count: int = VELOCITY_TXN_COUNT,
              window_sec: int = VELOCITY_WINDOW_SEC, file_col: str = "file_name",
-             collapse: bool = False, hot_rows: int | None = None) -> DataFrame:
+             collapse: bool = False, hot_rows: int | None = None,
+             prepared: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
     """for each row (anchor), the rows from it up to W later; alert when
     that count reaches ``min_count``. Alert ids carry the key and anchor time,
-    so anchors at one instant share an id (``collapse`` keeps the last)."""
-    p = prepare(rows, file_col)
-    counted = forward_window_counts(p, window_sec, hot_rows=hot_rows)
+    so anchors at one instant share an id (``collapse`` keeps the last).
+    ``prepared`` = (folded rows, hot groups) shared by several rules."""
+    p, hot = prepared or _prepare_with_hot(rows, file_col, hot_rows)
+    counted = forward_window_counts(p, window_sec, hot=hot)
     hits = counted.filter(F.col("_n") >= min_count)
     aid = F.concat(F.lit("ALERT_VELOCITY_"), F.col("_key"), F.lit("_"), C.iso_utc("Timestamp"))
     reason = F.concat(F.col("_n").cast("string"),
@@ -238,7 +249,8 @@ def _partner_scan(hot_p: DataFrame, window_sec: int) -> DataFrame:
 
 
 def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
-               file_col: str = "file_name", hot_rows: int | None = None) -> DataFrame:
+               file_col: str = "file_name", hot_rows: int | None = None,
+               prepared: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
     """an anchor row pairs with every later row of its group within W
     whose Location differs (NULL differs from a value, equals NULL).
 
@@ -248,11 +260,11 @@ def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
     pairs of all anchors of that instant as ``metric``. Pairs are counted,
     never built: pairs(i) = rows after i in window - rows after i in window
     at i's location."""
-    p = prepare(rows, file_col).withColumns({
+    p, hot = prepared or _prepare_with_hot(rows, file_col, hot_rows)
+    p = p.withColumns({
         "_locnull": F.col("Location").isNull(),
         "_loc": F.coalesce(F.col("Location"), F.lit("")),
     })
-    hot = hot_groups(p, _GROUP, "_mult", hot_rows)
     cold, hot_p = (p, None) if hot is None else split_hot(p, hot, _GROUP)
     cold = _window_counts(_window_counts(cold, _GROUP, window_sec, "_n_all"),
                           _GROUP + _LOC_GROUP, window_sec, "_n_same")
@@ -286,15 +298,16 @@ def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
 
 def balance_drain(rows: DataFrame, threshold: float = DRAIN_THRESHOLD,
                   window_sec: int = DRAIN_WINDOW_SEC, file_col: str = "file_name",
-                  hot_rows: int | None = None) -> DataFrame:
+                  hot_rows: int | None = None,
+                  prepared: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
     """running sum of Amount from the group's first row; the first row
     within W of that first row whose running sum reaches the threshold raises
     one alert per group (the window is anchored, not sliding: Q16)."""
-    p = prepare(rows, file_col).withColumns({"_kind": F.lit(0),
-                                             "_amt": F.coalesce(F.col("Amount"), F.lit(0.0))})
+    p, hot = prepared or _prepare_with_hot(rows, file_col, hot_rows)
+    p = p.withColumns({"_kind": F.lit(0), "_amt": F.coalesce(F.col("Amount"), F.lit(0.0))})
     p = p.withColumn("_wamt", F.col("_amt") * F.col("_mult"))
     s = segmented_scan(p, _GROUP, _ORDER, {"_run": ("sum", "_wamt", True),
-                                           "_start": ("min", "_t", True)}, hot_rows=hot_rows)
+                                           "_start": ("min", "_t", True)}, hot=hot)
     hits = s.filter((F.col("_t") - F.col("_start") <= window_sec * 1_000_000)
                     & (F.col("_run") >= threshold))
     # Copies are consecutive: find the first copy whose running sum reaches
@@ -327,10 +340,14 @@ def fraud_detection(rows: DataFrame, high_value_threshold: float = HIGH_VALUE_TH
                     geo_window_sec: int = GEO_WINDOW_SEC,
                     drain_threshold: float = DRAIN_THRESHOLD,
                     drain_window_sec: int = DRAIN_WINDOW_SEC,
-                    file_col: str = "file_name") -> DataFrame:
-    """All four rules, one alert schema (E5)."""
+                    file_col: str = "file_name", hot_rows: int | None = None) -> DataFrame:
+    """All four rules, one alert schema (E5). The windowed rules share one
+    folding of the rows and one hot-group sizing; in the single plan of the
+    union their identical fold subtrees reuse one exchange."""
+    shared = _prepare_with_hot(rows, file_col, hot_rows)
     return (high_value(rows, high_value_threshold, file_col)
-            .unionByName(velocity(rows, velocity_count, velocity_window_sec, file_col))
-            .unionByName(geo_switch(rows, geo_window_sec, file_col), allowMissingColumns=True)
-            .unionByName(balance_drain(rows, drain_threshold, drain_window_sec, file_col),
+            .unionByName(velocity(rows, velocity_count, velocity_window_sec, file_col, prepared=shared))
+            .unionByName(geo_switch(rows, geo_window_sec, file_col, prepared=shared),
+                         allowMissingColumns=True)
+            .unionByName(balance_drain(rows, drain_threshold, drain_window_sec, file_col, prepared=shared),
                          allowMissingColumns=True))

@@ -135,9 +135,13 @@ def _window_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return df.withColumns(cols)
 
 
+AUTO = "auto"
+
+
 def segmented_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
                    aggs: dict[str, tuple[str, str, bool]],
-                   num_partitions: int | None = None, hot_rows: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, hot_rows: int | None = None,
+                   hot: DataFrame | None | str = AUTO) -> DataFrame:
     """Running aggregates within each group, in ``order``.
 
     ``aggs`` maps output name -> (fn, column, inclusive) with fn one of
@@ -147,12 +151,14 @@ def segmented_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
     Ordinary groups use a window partitioned by the group (one shuffle; each
     group is below the hot threshold, so no task gets an outsized share);
     hot groups - and the whole frame when there is no group - go through the
-    range-partitioned scan.
+    range-partitioned scan. ``hot`` may pass a hot-group list already computed
+    for these groups (None: there are none).
     """
     group = list(group)
     if not group:
         return _range_scan(df, group, order, aggs, num_partitions)
-    hot = hot_groups(df, group, None, hot_rows)
+    if isinstance(hot, str):
+        hot = hot_groups(df, group, None, hot_rows)
     if hot is None:
         return _window_scan(df, group, order, aggs)
     cold, hot_df = split_hot(df, hot, group)

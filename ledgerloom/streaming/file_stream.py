@@ -54,7 +54,7 @@ class IngestSink:
         names = spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in paths], "path string, file_name string")
         routed = names.withColumns({"source_type": C.source_type(F.col("file_name")),
                                     "is_csv": C.is_csv_name(F.col("file_name"))})
-        audits = []
+        audits, cached = [], []
         rejected = routed.filter(~F.col("is_csv")).withColumn("status", F.lit(STATUS_REJECTED))
         unknown = routed.filter(F.col("is_csv") & (F.col("source_type") == "UNKNOWN")).withColumn(
             "status", F.lit(STATUS_UNKNOWN))
@@ -67,6 +67,10 @@ class IngestSink:
             if by_type.get(stype):
                 raw = read_delimited(spark, by_type[stype])
                 out = ingest_transactions(raw, **self.rule_params)
+                # Several sinks read the validated rows and the alerts: keep
+                # them for this micro-batch (bounded by the trigger's file
+                # limit), release them at the end.
+                cached += [out["valid"].persist(), out["alerts"].persist()]
                 valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
                          .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
                 self.by_day(spark, stype.lower()).merge(valid, ["TransactionID", "AccountNumber"],
@@ -100,6 +104,8 @@ class IngestSink:
         if audit is not None:
             append_parquet(audit.select(*[F.col(c) if c in audit.columns else F.lit(None).alias(c)
                                           for c in AUDIT_COLUMNS]), f"{self.root}/audit")
+        for c in cached:
+            c.unpersist()
 
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, out_root: str, checkpoint: str,
