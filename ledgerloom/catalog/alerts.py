@@ -16,7 +16,11 @@ NUM_RE = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 # Validation written directly in SQL: first non-empty of the two amount and
 # time columns, commas removed, numeric text only, a fixed time layout.
-VALID_SQL = f"""v as (
+def valid_sql(source: str = "fx_txn_raw") -> str:
+    return VALID_SQL_TEMPLATE.replace("from fx_txn_raw))", f"from {source}))")
+
+
+VALID_SQL_TEMPLATE = VALID_SQL = f"""v as (
   select file_name, nullif(trim(TransactionID), '') as TransactionID,
          nullif(trim(AccountNumber), '') as AccountNumber, nullif(trim(CustomerID), '') as CustomerID,
          Location,
@@ -94,7 +98,8 @@ def q_alerts_high_value(spark, sf):
 
 _VEL_SQL = f"""with {VALID_SQL},
 c as (select a.*, (select count(*) from valid b
-                   where b.file_name = a.file_name and b.grp = a.grp and b.ts >= a.ts
+                   where b.file_name = a.file_name and b.grp = a.grp
+                     and (b.ts > a.ts or (b.ts = a.ts and b.TransactionID >= a.TransactionID))
                      and b.ts <= a.ts + interval {fx.VELOCITY_WINDOW_SEC} second) as n
       from valid a)
 select 'ALERT_VELOCITY_' || grp || '_' || {_iso('ts')} as alert_id, 'VELOCITY_ATTACK' as type,
@@ -110,7 +115,7 @@ def q_alerts_velocity(spark, sf):
                                             fx.VELOCITY_WINDOW_SEC))
 
 
-@register("alerts_geo_switch", with_fixtures(("fx_txn_raw",), f"""
+ORACLES_GEO = f"""
 with {VALID_SQL},
 pairs as (select a.file_name, a.grp, a.ts, a.TransactionID, a.AccountNumber, a.Location, count(*) as n,
                  arg_max(coalesce(b.Location, 'None'), (b.ts, b.TransactionID)) as loc2
@@ -119,17 +124,23 @@ pairs as (select a.file_name, a.grp, a.ts, a.TransactionID, a.AccountNumber, a.L
            and (b.ts > a.ts or (b.ts = a.ts and b.TransactionID > a.TransactionID))
            and b.ts <= a.ts + interval {fx.GEO_WINDOW_SEC} second
            and a.Location is distinct from b.Location
-          group by all)
-select 'ALERT_GEO_' || grp || '_' || {_iso('ts')} as alert_id, 'GEO_LOCATION_SWITCH' as type,
+          group by all),
+g as (select *, 'ALERT_GEO_' || grp || '_' || {_iso('ts')} as aid from pairs),
+gk as (select *, sum(n) over (partition by aid) as total,
+              row_number() over (partition by aid order by TransactionID desc) as k from g)
+select aid as alert_id, 'GEO_LOCATION_SWITCH' as type,
        'Transaction from ' || coalesce(Location, 'None') || ' → ' || loc2 || ' within {fx.GEO_WINDOW_SEC // 60} minutes' as reason,
        {_iso('ts')} as created_at, file_name, grp as group_key,
-       coalesce(AccountNumber, 'UNKNOWN') as AccountNumber, TransactionID, cast(n as double) as metric
-from pairs"""))
+       coalesce(AccountNumber, 'UNKNOWN') as AccountNumber, TransactionID, cast(total as double) as metric
+from gk where k = 1"""
+
+
+@register("alerts_geo_switch", with_fixtures(("fx_txn_raw",), ORACLES_GEO))
 def q_alerts_geo_switch(spark, sf):
     return _alert_export(rules_txn.geo_switch(_valid(spark, sf), fx.GEO_WINDOW_SEC))
 
 
-@register("alerts_balance_drain", with_fixtures(("fx_txn_raw",), f"""
+ORACLES_DRAIN = f"""
 with {VALID_SQL},
 r as (select *, min(ts) over (partition by file_name, grp) as st,
              sum(Amount) over (partition by file_name, grp order by ts, TransactionID
@@ -141,7 +152,10 @@ select 'ALERT_BALANCE_DRAIN_' || grp || '_' || {_iso('ts')} as alert_id, 'BALANC
        'Total withdrawals ' || cast(run as varchar) || ' in {fx.DRAIN_WINDOW_SEC // 60} minutes' as reason,
        {_iso('ts')} as created_at, file_name, grp as group_key,
        coalesce(AccountNumber, 'UNKNOWN') as AccountNumber, TransactionID, run as metric
-from h where k = 1"""))
+from h where k = 1"""
+
+
+@register("alerts_balance_drain", with_fixtures(("fx_txn_raw",), ORACLES_DRAIN))
 def q_alerts_balance_drain(spark, sf):
     return _alert_export(rules_txn.balance_drain(_valid(spark, sf), fx.DRAIN_AMOUNT,
                                                  fx.DRAIN_WINDOW_SEC))
@@ -261,3 +275,40 @@ def q_global_row_number(spark, sf):
     r = global_row_number(raw, ["AccountNumber", "TransactionID", "TransactionTime"], "rn",
                           group=["file_name"])
     return r.select("file_name", "TransactionID", "AccountNumber", "rn")
+
+
+# ---- the same rules with one customer holding a third of the accounts ------
+# The hot threshold is lowered so that the hot customer takes the
+# range-partitioned scan path on the whole table (the default threshold,
+# 2M rows, is above the test data). Results must not change.
+
+HOT_ROWS = 500
+_HOT_SQL = """fx_hot as (select * replace (case when cast(substring(AccountNumber, 3, 10) as int) % 3 = 0
+                                               then 'C_HOT' else CustomerID end as CustomerID) from fx_txn_raw)"""
+
+
+def _valid_hot(spark, sf):
+    raw = fixture(spark, sf, "fx_txn_raw")
+    hot = F.when(F.substring("AccountNumber", 3, 10).cast("int") % 3 == 0, F.lit("C_HOT"))
+    return valid_rows(validate_transactions(raw.withColumn("CustomerID", hot.otherwise(F.col("CustomerID")))))
+
+
+def _hot(sql: str) -> str:
+    return sql.replace("with " + VALID_SQL, f"with {_HOT_SQL}, " + valid_sql("fx_hot"), 1)
+
+
+@register("alerts_velocity_hot_key", with_fixtures(("fx_txn_raw",), _hot(_VEL_SQL)))
+def q_alerts_velocity_hot_key(spark, sf):
+    return _alert_export(rules_txn.velocity(_valid_hot(spark, sf), fx.VELOCITY_COUNT,
+                                            fx.VELOCITY_WINDOW_SEC, hot_rows=HOT_ROWS))
+
+
+@register("alerts_geo_switch_hot_key", with_fixtures(("fx_txn_raw",), _hot(ORACLES_GEO)))
+def q_alerts_geo_switch_hot_key(spark, sf):
+    return _alert_export(rules_txn.geo_switch(_valid_hot(spark, sf), fx.GEO_WINDOW_SEC, hot_rows=HOT_ROWS))
+
+
+@register("alerts_balance_drain_hot_key", with_fixtures(("fx_txn_raw",), _hot(ORACLES_DRAIN)))
+def q_alerts_balance_drain_hot_key(spark, sf):
+    return _alert_export(rules_txn.balance_drain(_valid_hot(spark, sf), fx.DRAIN_AMOUNT,
+                                                 fx.DRAIN_WINDOW_SEC, hot_rows=HOT_ROWS))
