@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import fixture, with_fixtures
 from ..operators.merge import latest_per_key, scd2_merge, upsert
-from ..operators.validate import valid_rows, validate_transactions
+from ..operators.validate import validate_transactions
 from ..plans import dims, fact
 from ..plans.silver import keyed_distinct
 from . import export, register

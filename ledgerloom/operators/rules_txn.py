@@ -5,13 +5,14 @@ key = CustomerID, else AccountNumber, else "UNKNOWN" (F5). Rows are ordered
 by (time, TransactionID, row hash): the hash only orders rows that agree on
 time and id.
 
-Windowed rules never use ``Window.partitionBy(key)``; they use the ordered
-scans of ``operators.scan`` so that a key holding a large share of the rows
-is split across tasks. Counting rows in a forward time window is done with
-*probe rows*: each row i adds a probe at ``t_i + W`` sorted after the data
-rows of that instant; the running count of data rows before the probe minus
-the running count before row i is the number of rows in ``[row i, t_i + W]``.
-No pair of rows is ever materialised.
+Windowed rules size the (file, key) groups first. Ordinary groups - below
+``max(2M rows, total / 100k)`` - use windows partitioned by the group, so no
+task holds more than that; hot groups take the range-partitioned scans of
+``operators.scan``, which split a group over many tasks. Counting rows in a
+forward time window there uses *probe rows*: each row i adds a probe at
+``t_i + W`` sorted after the data rows of that instant; the running count of
+data rows before the probe minus the running count before row i is the number
+of rows in ``[row i, t_i + W]``. No pair of rows is ever materialised.
 """
 
 from __future__ import annotations

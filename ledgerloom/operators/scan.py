@@ -92,9 +92,11 @@ def _range_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
 # A window task may hold this many rows of one group; larger groups are hot.
 DEFAULT_HOT_ROWS = 2_000_000
-# At most this many groups are treated as hot, so the hot-group list that is
-# broadcast has a proven size bound (groups larger than total/MAX_HOT_GROUPS).
-MAX_HOT_GROUPS = 1024
+# Groups larger than total/MAX_HOT_GROUPS are hot too, so at most this many
+# groups can be hot: the broadcast hot list is bounded (about 100k keys, a
+# few MB), while an ordinary group stays below max(2M, total/100k) rows -
+# about 1e7 rows per window task even at 1e12 rows in total.
+MAX_HOT_GROUPS = 100_000
 
 
 def hot_groups(df: DataFrame, group: Sequence[str], weight: str | None = None,

@@ -3,7 +3,6 @@ versions, partition-level merge."""
 
 import os
 
-from pyspark.sql import functions as F
 
 from ledgerloom.sources.files import detect_delimiter, read_delimited, route
 from ledgerloom.sources.tables import PartitionedTable, SnapshotTable
