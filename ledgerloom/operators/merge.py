@@ -37,7 +37,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     keys = list(keys)
     src = latest_per_key(source, keys, order) if order else source
     src = src.select(*target.columns) if set(target.columns) <= set(src.columns) else src
-    kept = target.join(src.select(*keys), keys, "left_anti")
+    kept = target.join(src.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(src, allowMissingColumns=True)
 
 

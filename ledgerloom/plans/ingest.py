@@ -88,12 +88,19 @@ def merge_customer_profiles(profiles: DataFrame, customers: DataFrame,
     rows of one customer: the last in ``order`` wins."""
     subs = customer_subdocuments(customers)
     subs = latest_per_key(subs, ["CustomerID"], order or ["Customer"])
-    j = profiles.alias("p").join(subs.alias("c"), "CustomerID", "full_outer")
-    return j.select(
-        F.coalesce(F.col("p.id"), C.surrogate_id(F.col("p.AccountNumber"), F.col("CustomerID"))).alias("id"),
-        F.col("p.AccountNumber").alias("AccountNumber"), "CustomerID",
-        F.col("p.Account").alias("Account"),
-        F.coalesce(F.col("c.Customer"), F.col("p.Customer")).alias("Customer"))
+    # Left join (AQE can split a customer with very many documents; a full
+    # outer join could not be split) plus customers without any document.
+    updated = (profiles.alias("p").join(subs.alias("c"), "CustomerID", "left")
+               .select(F.col("p.id").alias("id"), F.col("p.AccountNumber").alias("AccountNumber"),
+                       "CustomerID", F.col("p.Account").alias("Account"),
+                       F.coalesce(F.col("c.Customer"), F.col("p.Customer")).alias("Customer")))
+    known = profiles.select("CustomerID").distinct()
+    standalone = (subs.join(known, "CustomerID", "left_anti")
+                  .select(C.surrogate_id(F.lit(None).cast("string"), F.col("CustomerID")).alias("id"),
+                          F.lit(None).cast("string").alias("AccountNumber"), "CustomerID",
+                          F.lit(None).cast(profiles.schema["Account"].dataType).alias("Account"),
+                          "Customer"))
+    return updated.unionByName(standalone)
 
 
 def normalize_alerts(alerts: DataFrame) -> DataFrame:
