@@ -231,3 +231,20 @@ def q_fact_partitioned_merge(spark, sf):
     t.merge(f.filter(day <= 20), ["TransactionID"], "run1")                      # B5: create
     t.merge(f.filter(day >= 10).withColumn("Amount", F.col("Amount") * 2), ["TransactionID"], "run2")
     return t.read().select("TransactionID", "Year", "Month", "Amount")
+
+
+@register("ctas_fact", with_fixtures(("fx_transactions", "fx_account", "fx_dim_v1"), _FACT_SQL + """
+select TransactionID, CustomerSK, AccountSK, DateKey, Amount, Channel, cast(Year as int) as Year,
+       cast(Month as int) as Month, n as table_rows
+from f, (select count(*) as n from f)"""))
+def q_ctas_fact(spark, sf):
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.tables import count_and_preview, create_table_as_select
+    tag = uuid.uuid4().hex[:12]
+    name = f"ledgerloom_fact_{tag}"
+    table = create_table_as_select(spark, name, _fact(spark, sf), ["Year", "Month"],
+                                   path=f"{checkpoint_dir(spark)}/ledgerloom-ctas-{tag}")   # B13
+    rows, _ = count_and_preview(table)                                                    # B14
+    return table.select("TransactionID", "CustomerSK", "AccountSK", "DateKey", "Amount", "Channel",
+                        "Year", "Month").withColumn("table_rows", F.lit(rows.first().rows))
