@@ -339,3 +339,43 @@ def q_documents_json_scan(spark, sf):
     b = D.bronze(scanned, numeric_fields=["Account_Balance"])                 # C8-C11
     return b.select("id", "AccountNumber", "CustomerID", "Account_AccountHolderName",
                     "Account_AccountOpenDate", "Account_Balance", "Account_KYC_Done")
+
+
+def _land_as(df, landing: str, stem: str) -> None:
+    """Land ``df`` as CSV part files named ``<stem>-partNNNNN.csv`` in the inbox."""
+    from ..sources.tables import write_csv
+    spark = df.sparkSession
+    stage = f"{landing}/_stage_{stem}"
+    write_csv(df, stage)
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    inbox = jvm.org.apache.hadoop.fs.Path(f"{landing}/inbox")
+    fs.mkdirs(inbox)
+    parts = sorted((s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage))
+                    if s.getPath().getName().endswith(".csv")), key=lambda x: x.getName())
+    for i, p in enumerate(parts):
+        fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{landing}/inbox/{stem}-part{i:05d}.csv"))
+
+
+@register("lakehouse_end_to_end", with_fixtures(("fx_txn_raw",), f"""with {VALID_SQL}
+select upper(split_part(file_name, '_', 1)) as Channel, count(*) as txns, sum(Amount) as amount,
+       count(*) as with_customer_sk, count(*) as with_account_sk
+from valid group by 1"""))
+def q_lakehouse_end_to_end(spark, sf):
+    """Files land -> stream ingestion -> stores -> silver -> 360 -> dims -> fact."""
+    from ..plans import lakehouse as L
+    base = _scratch(spark, "lakehouse")
+    _land_files(fixture(spark, sf, "fx_txn_raw"), base)
+    acc = _account_text(spark, sf)
+    _land_as(acc.select("AccountNumber", "CustomerID", "AccountHolderName", "AccountType", "AccountStatus",
+                        "AccountOpenDate", "Balance", "KYC_Done", "KYC_DocumentVerificationStatus"),
+             base, "account_master")
+    _land_as(acc.select("CustomerID", "DOB", "AnnualIncome", "City"), base, "customer_master")
+    params = dict(high_value_threshold=fx.HIGH_VALUE, velocity_count=fx.VELOCITY_COUNT,
+                  velocity_window_sec=fx.VELOCITY_WINDOW_SEC, geo_window_sec=fx.GEO_WINDOW_SEC,
+                  drain_threshold=fx.DRAIN_AMOUNT, drain_window_sec=fx.DRAIN_WINDOW_SEC)
+    start_ingest_stream(spark, f"{base}/inbox", f"{base}/stores", f"{base}/checkpoint",
+                        as_of=AS_OF, rule_params=params).awaitTermination()
+    silver = L.build_silver(L.read_stores(spark, f"{base}/stores"), as_of=AS_OF)
+    L.write_gold(spark, L.build_gold(silver, as_of=AS_OF), f"{base}/gold", "run1")
+    return L.channel_summary(L.read_gold(spark, f"{base}/gold")["fact_transactions"])

@@ -136,16 +136,21 @@ def keyed_distinct(df: DataFrame, keys: list[str], order: list[str] | None = Non
     return df.groupBy(*keys).agg(win).select(*keys, "_w.*").select(*df.columns)
 
 
+def _opt(df: DataFrame, name: str):
+    return F.col(name) if name in df.columns else F.lit(None).cast("string")
+
+
 def union_channels(silver_atm_df: DataFrame, silver_upi_df: DataFrame) -> DataFrame:
-    """I1 + I2: project both channels onto the unified transaction shape."""
+    """I1 + I2: project both channels onto the unified transaction shape
+    (optional source columns that are absent become NULL)."""
     atm = silver_atm_df.select(
         "AccountNumber", "Transaction_Date", "Transaction_Time", "Amount",
-        F.lit("ATM").alias("Channel"), F.col("ATM_ID").alias("Location_ID"),
-        "Transaction_Type", "Transaction_Status")
+        F.lit("ATM").alias("Channel"), _opt(silver_atm_df, "ATM_ID").alias("Location_ID"),
+        _opt(silver_atm_df, "Transaction_Type").alias("Transaction_Type"),
+        _opt(silver_atm_df, "Transaction_Status").alias("Transaction_Status"))
     upi = silver_upi_df.select(
         "AccountNumber", "Transaction_Date", "Transaction_Time", "Amount",
-        F.lit("UPI").alias("Channel"), F.col("Payer_UPI_ID").alias("Location_ID"),
-        F.col("TransactionType").alias("Transaction_Type"),
-        F.col("Status").alias("Transaction_Status"))
+        F.lit("UPI").alias("Channel"), _opt(silver_upi_df, "Payer_UPI_ID").alias("Location_ID"),
+        _opt(silver_upi_df, "TransactionType").alias("Transaction_Type"),
+        _opt(silver_upi_df, "Status").alias("Transaction_Status"))
     return atm.unionByName(upi)
-

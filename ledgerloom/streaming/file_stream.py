@@ -63,24 +63,29 @@ class IngestSink:
         by_type = {r.source_type: [] for r in routed.select("source_type").distinct().collect()}
         for r in routed.filter("is_csv").collect():
             by_type.setdefault(r.source_type, []).append(r.path)
-        for stype in ("ATM", "UPI"):
-            if by_type.get(stype):
-                raw = read_delimited(spark, by_type[stype])
-                out = ingest_transactions(raw, **self.rule_params)
-                # Several sinks read the validated rows and the alerts: keep
-                # them for this micro-batch (bounded by the trigger's file
-                # limit), release them at the end.
-                cached += [out["valid"].persist(), out["alerts"].persist()]
-                valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
-                         .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
-                self.by_day(spark, stype.lower()).merge(valid, ["TransactionID", "AccountNumber"],
-                                                        f"b{batch_id}")
-                alerts = out["alerts"].withColumn("day", F.to_date(F.try_to_timestamp("created_at")))
-                self.by_day(spark, "alerts").merge(alerts, ["alert_id"], f"b{batch_id}")
-                append_parquet(out["quarantine"].withColumn("source_type", F.lit(stype)),
-                               f"{self.root}/quarantine", ["source_type"])
-                audits.append(out["counters"].withColumns(
-                    {"source_type": F.lit(stype), "status": F.lit(STATUS_COMPLETED)}))
+        txn_paths = by_type.get("ATM", []) + by_type.get("UPI", [])
+        if txn_paths:
+            # All transaction files of the batch in one pass (the rules are
+            # per file anyway); rows are routed to their store by file name.
+            raw = read_delimited(spark, txn_paths)
+            raw = raw.withColumn("source_type", C.source_type(F.col("file_name")))
+            out = ingest_transactions(raw, **self.rule_params)
+            # Several sinks read the validated rows and the alerts: keep them
+            # for this micro-batch (bounded by the trigger's file limit).
+            cached += [out["valid"].persist(), out["alerts"].persist()]
+            valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
+                     .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
+            for stype in ("ATM", "UPI"):
+                if by_type.get(stype):
+                    self.by_day(spark, stype.lower()).merge(
+                        valid.filter(F.col("source_type") == stype).drop("source_type"),
+                        ["TransactionID", "AccountNumber"], f"b{batch_id}")
+            alerts = out["alerts"].withColumn("day", F.to_date(F.try_to_timestamp("created_at")))
+            self.by_day(spark, "alerts").merge(alerts, ["alert_id"], f"b{batch_id}")
+            append_parquet(out["quarantine"], f"{self.root}/quarantine", ["source_type"])
+            audits.append(out["counters"].withColumns({
+                "source_type": C.source_type(F.col("file_name")),
+                "status": F.lit(STATUS_COMPLETED)}))
         profiles = self.table(spark, "profiles")
         if by_type.get("ACCOUNT"):
             from ..plans.ingest import merge_accounts_into_profiles
