@@ -88,9 +88,14 @@ class IngestSink:
                 "status": F.lit(STATUS_COMPLETED)}))
         profiles = self.table(spark, "profiles")
         if by_type.get("ACCOUNT"):
+            from ..operators.rules_profile import customer_lookup
             from ..plans.ingest import merge_accounts_into_profiles
-            out = ingest_accounts(read_delimited(spark, by_type["ACCOUNT"]), as_of=self.as_of)
-            profiles.write(merge_accounts_into_profiles(profiles.read_or_none(), out["documents"]))
+            current = profiles.read_or_none()
+            # Income of the customer documents already stored.
+            customers = None if current is None else customer_lookup(current).select(
+                "CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
+            out = ingest_accounts(read_delimited(spark, by_type["ACCOUNT"]), customers, as_of=self.as_of)
+            profiles.write(merge_accounts_into_profiles(current, out["documents"]))
             self.table(spark, "profile_alerts").merge(out["alerts"], ["alert_id"])
             audits.append(out["counters"].withColumns(
                 {"source_type": F.lit("ACCOUNT"), "status": F.lit(STATUS_COMPLETED)}))
