@@ -75,6 +75,16 @@ CUSTOMER_DOC_TYPE = "struct<" + ",".join(
     f"{f}:{'double' if f == 'AnnualIncome' else 'string'}" for f in CUSTOMER_DOC_FIELDS) + ">"
 
 
+ACCOUNT_DOC_TYPE = "struct<" + ",".join(
+    f"{f}:{'double' if f == 'Balance' else 'string'}" for f in ACCOUNT_DOC_FIELDS) + ">"
+PROFILE_DDL = (f"id string, AccountNumber string, CustomerID string, Account {ACCOUNT_DOC_TYPE}, "
+               f"Customer {CUSTOMER_DOC_TYPE}")
+
+
+def empty_profiles(spark) -> DataFrame:
+    return spark.createDataFrame([], PROFILE_DDL)
+
+
 def _customer_type(profiles, accounts):
     if profiles is not None and "Customer" in profiles.columns:
         return profiles.schema["Customer"].dataType

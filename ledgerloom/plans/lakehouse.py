@@ -24,7 +24,7 @@ KYC_EMPTY = "CustomerID string, VerificationStatus string, IssueDate date, Expir
 def read_stores(spark: SparkSession, stores_root: str) -> dict[str, DataFrame]:
     """The ingestion stores written by ``streaming.file_stream``."""
     root = stores_root.rstrip("/")
-    return {"profiles": SnapshotTable(spark, f"{root}/profiles").read(),
+    return {"profiles": spark.read.parquet(f"{root}/profiles").drop("bucket"),
             "atm": spark.read.parquet(f"{root}/atm"),
             "upi": spark.read.parquet(f"{root}/upi")}
 

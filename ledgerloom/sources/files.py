@@ -4,9 +4,9 @@ Ingestion files arrive with a header whose field set and order vary
 (``TransactionAmount`` or ``Amount``...), and possibly another delimiter.
 Only the first line of each file is read on the driver (through the Hadoop
 file system, concurrently, no Spark job); files are grouped by (delimiter,
-header) and each
-group is one distributed ``spark.read.csv`` with an all-string schema built
-from that header, so inference never turns ``00123`` into 123. Rows with more
+header) and each group is one distributed ``spark.read.csv`` with an
+all-string schema built from that header, so inference never turns ``00123``
+into 123. Rows with more
 fields than the header are kept and marked in ``_corrupt_record``.
 """
 

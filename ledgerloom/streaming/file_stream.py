@@ -32,7 +32,10 @@ class IngestSink:
 
     Transaction and alert stores are partitioned by day, and a batch merges
     into the days it touches only (a transaction's id and time fix its day).
-    Profiles are a snapshot table keyed by document id."""
+    Profile documents are partitioned by a hash bucket of their id; a batch
+    rewrites only the buckets holding documents it changes."""
+
+    PROFILE_BUCKETS = 64
 
     def __init__(self, out_root: str, as_of=None, rule_params: dict | None = None):
         self.root = out_root.rstrip("/")
@@ -42,6 +45,30 @@ class IngestSink:
     def table(self, spark: SparkSession, name: str) -> SnapshotTable:
         return SnapshotTable(spark, f"{self.root}/{name}")
 
+    def profiles(self, spark: SparkSession) -> PartitionedTable:
+        return PartitionedTable(spark, f"{self.root}/profiles", ["bucket"], f"{self.root}/_staging/profiles")
+
+    def _bucket(self, col: str = "id"):
+        return F.pmod(F.xxhash64(F.col(col)), F.lit(self.PROFILE_BUCKETS)).cast("int")
+
+    def merge_profiles(self, spark: SparkSession, touched: DataFrame, build, run_id: str) -> None:
+        """Read only the touched buckets, rebuild their documents with
+        ``build(current_or_None)`` and replace exactly those buckets."""
+        table = self.profiles(spark)
+        if not table.exists():
+            table.create(build(None).withColumn("bucket", self._bucket()))
+            return
+        cur = table.read().join(F.broadcast(touched.distinct()), "bucket", "left_semi").drop("bucket")
+        new = build(cur).withColumn("bucket", self._bucket())
+        stage = f"{self.root}/_staging/profiles/{run_id}"
+        new.write.mode("overwrite").partitionBy("bucket").parquet(stage)
+        (spark.read.schema(new.schema).parquet(stage).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table.root))
+
+    def read_profiles(self, spark: SparkSession) -> DataFrame | None:
+        t = self.profiles(spark)
+        return t.read().drop("bucket") if t.exists() else None
+
     def by_day(self, spark: SparkSession, name: str) -> PartitionedTable:
         return PartitionedTable(spark, f"{self.root}/{name}", ["day"], f"{self.root}/_staging/{name}")
 
@@ -86,25 +113,38 @@ class IngestSink:
             audits.append(out["counters"].withColumns({
                 "source_type": C.source_type(F.col("file_name")),
                 "status": F.lit(STATUS_COMPLETED)}))
-        profiles = self.table(spark, "profiles")
         if by_type.get("ACCOUNT"):
             from ..operators.rules_profile import customer_lookup
             from ..plans.ingest import merge_accounts_into_profiles
-            current = profiles.read_or_none()
+            current = self.read_profiles(spark)
             # Income of the customer documents already stored.
             customers = None if current is None else customer_lookup(current).select(
                 "CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
             out = ingest_accounts(read_delimited(spark, by_type["ACCOUNT"]), customers, as_of=self.as_of)
-            profiles.write(merge_accounts_into_profiles(current, out["documents"]))
+            docs = out["documents"]
+            touched = docs.select(self._bucket().alias("bucket"))
+            self.merge_profiles(spark, touched, lambda cur: merge_accounts_into_profiles(cur, docs),
+                                f"a{batch_id}")
             self.table(spark, "profile_alerts").merge(out["alerts"], ["alert_id"])
             audits.append(out["counters"].withColumns(
                 {"source_type": F.lit("ACCOUNT"), "status": F.lit(STATUS_COMPLETED)}))
         if by_type.get("CUSTOMER"):
-            from ..plans.ingest import merge_customer_profiles
+            from ..plans.ingest import empty_profiles, merge_customer_profiles
             out = ingest_customers(read_delimited(spark, by_type["CUSTOMER"]))
-            cur = profiles.read_or_none()
-            if cur is not None:
-                profiles.write(merge_customer_profiles(cur, out["customers"]))
+            current = self.read_profiles(spark)
+            batch = out["customers"].select("CustomerID").distinct()
+            # Buckets of every stored document of these customers, and of the
+            # standalone documents that customers without one get.
+            standalone_ids = batch.select(F.concat(F.lit("CUSTOMER_"), "CustomerID").alias("id"))
+            touched = standalone_ids.select(self._bucket().alias("bucket"))
+            if current is not None:
+                touched = touched.unionByName(
+                    current.join(batch, "CustomerID", "left_semi").select(self._bucket().alias("bucket")))
+            customers = out["customers"]
+            self.merge_profiles(
+                spark, touched,
+                lambda cur: merge_customer_profiles(cur if cur is not None else empty_profiles(spark), customers),
+                f"c{batch_id}")
             audits.append(out["counters"].withColumns(
                 {"source_type": F.lit("CUSTOMER"), "status": F.lit(STATUS_COMPLETED)}))
         audit = None

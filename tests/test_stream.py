@@ -51,7 +51,21 @@ def test_account_alerts_use_stored_customers(spark, scratch):
     from ledgerloom.sources.tables import SnapshotTable
     ids = {r.alert_id for r in SnapshotTable(spark, f"{out}/profile_alerts").read().collect()}
     assert "ALERT_BALANCE_INCOME_MISMATCH_A2" in ids and "ALERT_BALANCE_INCOME_MISMATCH_A1" not in ids
-    prof = {r.id: r for r in SnapshotTable(spark, f"{out}/profiles").read().collect()}
+    prof = {r.id: r for r in spark.read.parquet(f"{out}/profiles").collect()}
     # A1 got its customer part when the customer file came; a new account
     # document carries none until customers are ingested again.
     assert prof["A1"].Customer.AnnualIncome == 100.0 and prof["A2"].Customer is None
+
+
+def test_customers_before_any_account(spark, scratch):
+    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/out", f"{scratch}/ckpt"
+    os.makedirs(inbox)
+    with open(f"{inbox}/customer_master.csv", "w") as f:
+        f.write("CustomerID,DOB,AnnualIncome,FirstName\nC9,1990-01-01,7,Ann\n")
+    start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
+    with open(f"{inbox}/account_x.csv", "w") as f:
+        f.write("AccountNumber,CustomerID,Balance,AccountOpenDate\nA9,C9,1,2020-01-01\n")
+    start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
+    prof = {r.id: r for r in spark.read.parquet(f"{out}/profiles").collect()}
+    assert set(prof) == {"CUSTOMER_C9", "A9"}
+    assert prof["CUSTOMER_C9"].Customer.FirstName == "Ann" and prof["A9"].Account.Balance == 1.0
