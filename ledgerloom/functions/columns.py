@@ -103,6 +103,17 @@ def iso_utc(ts: ColumnLike) -> Column:
         F.lit("+00:00")))
 
 
+def float_text(c: ColumnLike) -> Column:
+    """A double as Python's ``str(float)`` writes it. Spark's text of a double
+    switches to exponent form from 1e7 (``1.0E7``); Python only from 1e16.
+    Whole values in between are written plainly (``12500000.0``); other
+    values keep the shortest round-trip text both languages share."""
+    x = _c(c).cast("double")
+    plain_whole = (F.abs(x) >= 1e7) & (F.abs(x) < 1e16) & (x == F.floor(x))
+    return (F.when(plain_whole, F.concat(x.cast("decimal(17,0)").cast("string"), F.lit(".0")))
+            .otherwise(F.format_string("%s", x)))
+
+
 def as_of_date(as_of: str | _dt.date | None) -> Column:
     """The run date; ``None`` means today."""
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")

@@ -60,7 +60,7 @@ def profile_alerts(accounts: DataFrame, customers: DataFrame | None = None,
     def alert(kind, cond, reason):
         return F.when(cond, F.struct(F.lit(kind).alias("type"), reason.alias("reason")))
 
-    fmt = lambda c: F.format_string("%s", c.cast("double"))
+    fmt = C.float_text
     rules = F.array(
         alert("KYC_NOT_DONE", s("KYC_Done").isin(*KYC_NOT_DONE_WORDS), F.lit("KYC is not completed")),
         alert("KYC_VERIFICATION_FAILED", s("KYC_DocumentVerificationStatus") == "FAILED",

@@ -75,8 +75,8 @@ def _prepare_with_hot(rows: DataFrame, file_col: str, hot_rows: int | None):
 
 
 def _fmt_num(c: Column) -> Column:
-    """Python-like text of a float (``12.0``, ``1234.5``)."""
-    return F.format_string("%s", c.cast("double"))
+    """Python-like text of a float (``12.0``, ``1234.5``, ``12500000.0``)."""
+    return C.float_text(c)
 
 
 def _minutes(sec: int) -> str:

@@ -68,3 +68,10 @@ def test_silver_helpers(spark):
     # leap-day birthday: whole years by months_between
     assert one(spark, lambda c: C.age_years(c.cast("date"), "2024-02-28"), "2000-02-29") == 23
     assert one(spark, lambda c: C.age_years(c.cast("date"), "2024-02-29"), "2000-02-29") == 24
+
+
+def test_float_text_like_python(spark):
+    vals = [0.5, 12.0, 1234.5, 9999999.0, 12500000.0, 1e15, 123456789.0, -20000000.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.t for r in df.select(C.float_text("v").alias("t")).collect()]
+    assert got == [str(v) for v in vals]
