@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..plans.ingest import (STATUS_COMPLETED, STATUS_REJECTED, STATUS_UNKNOWN, ingest_accounts,
-                            ingest_customers, ingest_transactions)
+from ..plans.ingest import (STATUS_COMPLETED, STATUS_FAILED, STATUS_REJECTED, STATUS_UNKNOWN,
+                            ingest_accounts, ingest_customers, ingest_transactions)
 from ..sources.files import read_delimited
 from ..sources.tables import PartitionedTable, SnapshotTable, append_parquet
 
 AUDIT_COLUMNS = ("file_name", "source_type", "status", "rows_parsed", "valid", "invalid",
-                 "quarantined", "alerts_generated", "batch_id", "completed_at")
+                 "quarantined", "alerts_generated", "batch_id", "completed_at", "error")
 
 
 class IngestSink:
@@ -87,76 +87,92 @@ class IngestSink:
             "status", F.lit(STATUS_UNKNOWN))
         for df in (rejected, unknown):
             audits.append(df.select("file_name", "source_type", "status"))
-        by_type = {r.source_type: [] for r in routed.select("source_type").distinct().collect()}
+        by_type: dict[str, list[str]] = {}
         for r in routed.filter("is_csv").collect():
             by_type.setdefault(r.source_type, []).append(r.path)
-        txn_paths = by_type.get("ATM", []) + by_type.get("UPI", [])
-        if txn_paths:
-            # All transaction files of the batch in one pass (the rules are
-            # per file anyway); rows are routed to their store by file name.
-            raw = read_delimited(spark, txn_paths)
-            raw = raw.withColumn("source_type", C.source_type(F.col("file_name")))
-            out = ingest_transactions(raw, **self.rule_params)
-            # Several sinks read the validated rows and the alerts: keep them
-            # for this micro-batch (bounded by the trigger's file limit).
-            cached += [out["valid"].persist(), out["alerts"].persist()]
-            valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
-                     .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
-            for stype in ("ATM", "UPI"):
-                if by_type.get(stype):
-                    self.by_day(spark, stype.lower()).merge(
-                        valid.filter(F.col("source_type") == stype).drop("source_type"),
-                        ["TransactionID", "AccountNumber"], f"b{batch_id}")
-            alerts = out["alerts"].withColumn("day", F.to_date(F.try_to_timestamp("created_at")))
-            self.by_day(spark, "alerts").merge(alerts, ["alert_id"], f"b{batch_id}")
-            append_parquet(out["quarantine"], f"{self.root}/quarantine", ["source_type"])
-            audits.append(out["counters"].withColumns({
-                "source_type": C.source_type(F.col("file_name")),
-                "status": F.lit(STATUS_COMPLETED)}))
-        if by_type.get("ACCOUNT"):
-            from ..operators.rules_profile import customer_lookup
-            from ..plans.ingest import merge_accounts_into_profiles
-            current = self.read_profiles(spark)
-            # Income of the customer documents already stored.
-            customers = None if current is None else customer_lookup(current).select(
-                "CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
-            out = ingest_accounts(read_delimited(spark, by_type["ACCOUNT"]), customers, as_of=self.as_of)
-            docs = out["documents"]
-            touched = docs.select(self._bucket().alias("bucket"))
-            self.merge_profiles(spark, touched, lambda cur: merge_accounts_into_profiles(cur, docs),
-                                f"a{batch_id}")
-            self.table(spark, "profile_alerts").merge(out["alerts"], ["alert_id"])
-            audits.append(out["counters"].withColumns(
-                {"source_type": F.lit("ACCOUNT"), "status": F.lit(STATUS_COMPLETED)}))
-        if by_type.get("CUSTOMER"):
-            from ..plans.ingest import empty_profiles, merge_customer_profiles
-            out = ingest_customers(read_delimited(spark, by_type["CUSTOMER"]))
-            current = self.read_profiles(spark)
-            batch = out["customers"].select("CustomerID").distinct()
-            # Buckets of every stored document of these customers, and of the
-            # standalone documents that customers without one get.
-            standalone_ids = batch.select(F.concat(F.lit("CUSTOMER_"), "CustomerID").alias("id"))
-            touched = standalone_ids.select(self._bucket().alias("bucket"))
-            if current is not None:
-                touched = touched.unionByName(
-                    current.join(batch, "CustomerID", "left_semi").select(self._bucket().alias("bucket")))
-            customers = out["customers"]
-            self.merge_profiles(
-                spark, touched,
-                lambda cur: merge_customer_profiles(cur if cur is not None else empty_profiles(spark), customers),
-                f"c{batch_id}")
-            audits.append(out["counters"].withColumns(
-                {"source_type": F.lit("CUSTOMER"), "status": F.lit(STATUS_COMPLETED)}))
+        steps = [(["ATM", "UPI"], self._transactions), (["ACCOUNT"], self._accounts),
+                 (["CUSTOMER"], self._customers)]
+        for types, step in steps:
+            files = [p for t in types for p in by_type.get(t, [])]
+            if not files:
+                continue
+            try:
+                audits.append(step(spark, files, batch_id, cached))
+            except Exception as e:  # D6: the files are marked, the stream goes on
+                audits.append(self._failed(spark, files, e))
         audit = None
         for a in audits:
             a = a.withColumns({"batch_id": F.lit(batch_id), "completed_at": C.as_of_ts(self.as_of)})
             audit = a if audit is None else audit.unionByName(a, allowMissingColumns=True)
         if audit is not None:
-            append_parquet(audit.select(*[F.col(c) if c in audit.columns else F.lit(None).alias(c)
+            append_parquet(audit.select(*[F.col(c) if c in audit.columns else F.lit(None).cast("string").alias(c)
                                           for c in AUDIT_COLUMNS]), f"{self.root}/audit")
         for c in cached:
             c.unpersist()
 
+    def _failed(self, spark: SparkSession, files: list[str], error: Exception) -> DataFrame:
+        rows = [(p.rsplit("/", 1)[-1], str(error)[:1000]) for p in files]
+        df = spark.createDataFrame(rows, "file_name string, error string")
+        return df.withColumns({"source_type": C.source_type(F.col("file_name")),
+                               "status": F.lit(STATUS_FAILED)})
+
+    def _transactions(self, spark: SparkSession, files: list[str], batch_id: int, cached: list) -> DataFrame:
+        # All transaction files of the batch in one pass (the rules are per
+        # file anyway); rows are routed to their store by file name.
+        raw = read_delimited(spark, files)
+        raw = raw.withColumn("source_type", C.source_type(F.col("file_name")))
+        out = ingest_transactions(raw, **self.rule_params)
+        # Several sinks read the validated rows and the alerts: keep them for
+        # this micro-batch (bounded by the trigger's file limit).
+        cached += [out["valid"].persist(), out["alerts"].persist()]
+        valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
+                 .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
+        for stype in ("ATM", "UPI"):
+            part = valid.filter(F.col("source_type") == stype).drop("source_type")
+            self.by_day(spark, stype.lower()).merge(part, ["TransactionID", "AccountNumber"], f"b{batch_id}")
+        alerts = out["alerts"].withColumn("day", F.to_date(F.try_to_timestamp("created_at")))
+        self.by_day(spark, "alerts").merge(alerts, ["alert_id"], f"b{batch_id}")
+        append_parquet(out["quarantine"], f"{self.root}/quarantine", ["source_type"])
+        return out["counters"].withColumns({"source_type": C.source_type(F.col("file_name")),
+                                            "status": F.lit(STATUS_COMPLETED)})
+
+    def _accounts(self, spark: SparkSession, files: list[str], batch_id: int, cached: list) -> DataFrame:
+        from ..operators.rules_profile import customer_lookup
+        from ..plans.ingest import merge_accounts_into_profiles
+        current = self.read_profiles(spark)
+        # Income of the customer documents already stored.
+        customers = None if current is None else customer_lookup(current).select(
+            "CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
+        out = ingest_accounts(read_delimited(spark, files), customers, as_of=self.as_of)
+        docs = out["documents"]
+        touched = docs.select(self._bucket().alias("bucket"))
+        self.merge_profiles(spark, touched, lambda cur: merge_accounts_into_profiles(cur, docs), f"a{batch_id}")
+        self.table(spark, "profile_alerts").merge(out["alerts"], ["alert_id"])
+        append_parquet(out["quarantine"].withColumn("source_type", F.lit("ACCOUNT")),
+                       f"{self.root}/quarantine", ["source_type"])
+        return out["counters"].withColumns({"source_type": F.lit("ACCOUNT"), "status": F.lit(STATUS_COMPLETED)})
+
+    def _customers(self, spark: SparkSession, files: list[str], batch_id: int, cached: list) -> DataFrame:
+        from ..plans.ingest import empty_profiles, merge_customer_profiles
+        out = ingest_customers(read_delimited(spark, files))
+        current = self.read_profiles(spark)
+        batch = out["customers"].select("CustomerID").distinct()
+        # Buckets of every stored document of these customers, and of the
+        # standalone documents that customers without one get.
+        standalone_ids = batch.select(F.concat(F.lit("CUSTOMER_"), "CustomerID").alias("id"))
+        touched = standalone_ids.select(self._bucket().alias("bucket"))
+        if current is not None:
+            touched = touched.unionByName(
+                current.join(batch, "CustomerID", "left_semi").select(self._bucket().alias("bucket")))
+        customers = out["customers"]
+        self.merge_profiles(
+            spark, touched,
+            lambda cur: merge_customer_profiles(cur if cur is not None else empty_profiles(spark), customers),
+            f"c{batch_id}")
+        append_parquet(out["quarantine"].withColumn("source_type", F.lit("CUSTOMER")),
+                       f"{self.root}/quarantine", ["source_type"])
+        return out["counters"].withColumns({"source_type": F.lit("CUSTOMER"), "status": F.lit(STATUS_COMPLETED)})
+
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, out_root: str, checkpoint: str,
                         as_of=None, rule_params: dict | None = None,

@@ -69,3 +69,21 @@ def test_customers_before_any_account(spark, scratch):
     prof = {r.id: r for r in spark.read.parquet(f"{out}/profiles").collect()}
     assert set(prof) == {"CUSTOMER_C9", "A9"}
     assert prof["CUSTOMER_C9"].Customer.FirstName == "Ann" and prof["A9"].Account.Balance == 1.0
+
+
+def test_failed_step_is_audited_and_stream_goes_on(spark, scratch, monkeypatch):
+    from ledgerloom.streaming import file_stream
+
+    def boom(*a, **k):
+        raise RuntimeError("processor broke")
+    monkeypatch.setattr(file_stream, "ingest_accounts", boom)
+    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/out", f"{scratch}/ckpt"
+    os.makedirs(inbox)
+    with open(f"{inbox}/account_bad.csv", "w") as f:
+        f.write("AccountNumber,CustomerID,Balance,AccountOpenDate\nA1,C1,5,2020-01-01\n")
+    land(f"{inbox}/upi_ok.csv", ["U1,A2,,10,2024-01-01 00:00:05,L1\n"])
+    start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
+    audit = {r.file_name: r for r in read_audit(spark, out).collect()}
+    assert audit["account_bad.csv"].status == "PROCESSOR_FAILED"
+    assert "processor broke" in audit["account_bad.csv"].error
+    assert audit["upi_ok.csv"].status == "COMPLETED" and audit["upi_ok.csv"].valid == 1
