@@ -227,10 +227,11 @@ def _partner_window(df: DataFrame, window_sec: int) -> DataFrame:
 
 
 def _partner_scan(hot_p: DataFrame, window_sec: int) -> DataFrame:
-    """Same as ``_partner_window`` for hot groups, with range-partitioned
-    scans: previous row (exclusive running max of the row struct), the
-    run's previous-other-location row carried forward, then probes at t + W
-    whose exclusive running max over data rows is the window's last row."""
+    """Hot groups: ``_n_all`` and ``_partner`` with range-partitioned scans -
+    the previous row (exclusive running max of the row struct), the run's
+    previous-other-location row carried forward, then one scan over data and
+    probe rows (t + W) that yields both the count of rows before each element
+    and, for probes, the window's last row (exclusive running max)."""
     d = hot_p.withColumns({"_kind": F.lit(0), "_row": _row_struct()})
     d = _range_scan(d, _GROUP, _ORDER, {"_prev": ("max", "_row", False)})
     d = d.withColumns(_run_start(F.col("_prev"), "_pd_start"))
@@ -240,12 +241,17 @@ def _partner_scan(hot_p: DataFrame, window_sec: int) -> DataFrame:
     d = _range_scan(d, _GROUP, _ORDER, {"_pd_run": ("max", "_pd_key", True)})
     d = d.withColumn("_rowpd", _row_struct().withField("_pd", F.col("_pd_run")["pd"]))
     keep = _GROUP + ["_t", "_tid", "_h"]
-    data = d.select(*keep, F.lit(0).alias("_kind"), "_rowpd")
+    data = d.select(*keep, F.lit(0).alias("_kind"), "_rowpd", F.col("_mult").alias("_w"))
     probe = (d.select(*keep).withColumn("_t", F.col("_t") + F.lit(window_sec * 1_000_000))
-             .withColumn("_kind", F.lit(1)).withColumn("_rowpd", F.lit(None).cast(data.schema["_rowpd"].dataType)))
-    s = _range_scan(data.unionByName(probe), _GROUP, _ORDER, {"_last": ("max", "_rowpd", False)})
-    last = s.filter("_kind = 1").select(*_GROUP, "_tid", "_h", "_last")
-    j = hot_p.join(last, _GROUP + ["_tid", "_h"])
+             .withColumns({"_kind": F.lit(1), "_w": F.lit(0).cast("long"),
+                           "_rowpd": F.lit(None).cast(data.schema["_rowpd"].dataType)}))
+    s = _range_scan(data.unionByName(probe), _GROUP, _ORDER,
+                    {"_before": ("sum", "_w", False), "_last": ("max", "_rowpd", False)})
+    key = _GROUP + ["_tid", "_h"]
+    b0 = s.filter("_kind = 0").select(*key, F.col("_before").alias("_b0"))
+    b1 = s.filter("_kind = 1").select(*key, F.col("_before").alias("_b1"), "_last")
+    counts = b0.join(b1, key).select(*key, (F.col("_b1") - F.col("_b0")).alias("_n_all"), "_last")
+    j = hot_p.join(counts, key)
     return j.withColumn("_partner", _partner(F.col("_last"))).drop("_last")
 
 
@@ -272,10 +278,9 @@ def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
     j = _partner_window(cold, window_sec)
     if hot_p is not None:
         key = _GROUP + ["_tid", "_h"]
-        h = hot_p
-        for g, out in ((_GROUP, "_n_all"), (_GROUP + _LOC_GROUP, "_n_same")):
-            counted = _probe_counts(hot_p.select(*g, "_t", "_tid", "_h", "_mult"), g, window_sec, out)
-            h = h.join(counted.select(*key, out), key)
+        g = _GROUP + _LOC_GROUP
+        same = _probe_counts(hot_p.select(*g, "_t", "_tid", "_h", "_mult"), g, window_sec, "_n_same")
+        h = hot_p.join(same.select(*key, "_n_same"), key)
         j = j.unionByName(_partner_scan(h, window_sec))
     j = j.withColumn("_pairs", (F.col("_n_all") - F.col("_n_same")) * F.col("_mult"))
     hits = j.filter(F.col("_pairs") > 0)
