@@ -3,12 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerloom.catalog import ORACLES, QUERIES, load_all
 from ledgerloom.checks import compare, duck
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")
