@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, mixing, packing, quality, token_counts, warc
+from . import licences, minhash, mixing, packing, quality, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,6 +175,29 @@ def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "content_type", "payload_digest", "source_digest", "header", "block")
 
 
+# 5 -------------------------------------------------------- near duplicates
+_NEAR_SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws from documents),
+s as (select distinct doc_id, g from (
+        select doc_id, unnest(case when len(ws) < 2 then ws
+               else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end) g from w)),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id x, b.doc_id y, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 80 * (nx.n + ny.n - c)),
+e as (select x, y from l union all select y, x from l),
+r(x, y) as (select doc_id, doc_id from documents union select r.x, e.y from r join e on r.y = e.x),
+c as (select x doc_id, min(y) component_id from r group by x)
+select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept
+from documents join c using (doc_id) left join n using (doc_id)"""
+
+
+@register("op5_minhash_near_dedup", _NEAR_SQL)
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 # 8 -------------------------------------------------------------------- mixing
 _MIXING_SQL = r"""
 with d as (select doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
