@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, minhash, mixing, packing, quality, token_counts, warc
+from . import kneser_ney, langid, licences, minhash, mixing, packing, quality, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -198,6 +198,25 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+# 6 ------------------------------------------------------------------ LM scoring
+@register("op6_lm_scoring")
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs.filter(~kneser_ney.held_out()))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", kneser_ney.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+        "score", "perplexity")
+
+
+# 7 ---------------------------------------------------------------- language ID
+@register("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out(docs)))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(docs).alias("held_out"), "lang_pred", "score", "n_chars", "cross_entropy", "rejected")
+
+
 # 8 -------------------------------------------------------------------- mixing
 _MIXING_SQL = r"""
 with d as (select doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
