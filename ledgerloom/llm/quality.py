@@ -170,16 +170,27 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "tex
     table: no rows. Columns named like the added ones are replaced.
     """
     ordered = list(order) if order is not None else [r for r, _, _ in order_rules(docs, rules, text_col)]
-    text, hashes = F.col(text_col), prefix + "hashes"
-    d = docs.withColumn(hashes, word_hashes(text))
-    m = _expressions(text, F.col(hashes))
-    d = d.withColumns({prefix + c: m[c] for c in columns})
-    m |= {c: F.col(prefix + c) for c in columns}
-    failed = F.lit(None).cast("string")
-    for r in reversed(ordered):
-        failed = F.when(r.rejects(m), F.lit(r.name)).otherwise(failed)
-    return (d.withColumn(prefix + "failed", failed)
-            .withColumn(prefix + "kept", F.col(prefix + "failed").isNull()).drop(hashes))
+    text = F.col(text_col)
+
+    def judge(m: dict[str, Column]) -> Column:
+        failed = F.lit(None).cast("string")
+        for r in reversed(ordered):
+            failed = F.when(r.rejects(m), F.lit(r.name)).otherwise(failed)
+        return failed.alias("failed")
+
+    def verdict(h: Column) -> Column:
+        m = _expressions(text, h)
+        if not columns:
+            return F.struct(judge(m))
+        return let(F.struct(*[m[c].alias(c) for c in columns]), lambda s: F.struct(
+            *[s[c].alias(c) for c in columns], judge(m | {c: s[c] for c in columns})))
+
+    # Word hashes and measures are bound by ``let``: a filter on the verdict
+    # may be pushed below the projection without evaluating them again.
+    found = prefix + "found"
+    d = docs.withColumn(found, let(word_hashes(text), verdict))
+    return d.withColumns({**{prefix + c: F.col(found)[c] for c in columns}, prefix + "failed": F.col(found)["failed"],
+                          prefix + "kept": F.col(found)["failed"].isNull()}).drop(found)
 
 
 def filter_quality(docs: DataFrame, **options) -> DataFrame:

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney, langid, licences, minhash, mixing, packing, quality, token_counts, warc
+from . import ann, kneser_ney, langid, licences, minhash, mixing, packing, quality, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -247,3 +247,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+# 10 ------------------------------------------------------- nearest neighbours
+@register("op10_ann_forest")
+def op10_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors.filter(F.col("vec_id") % 50 == 0), vectors)
