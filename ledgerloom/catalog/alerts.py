@@ -312,3 +312,37 @@ def q_alerts_geo_switch_hot_key(spark, sf):
 def q_alerts_balance_drain_hot_key(spark, sf):
     return _alert_export(rules_txn.balance_drain(_valid_hot(spark, sf), fx.DRAIN_AMOUNT,
                                                  fx.DRAIN_WINDOW_SEC, hot_rows=HOT_ROWS))
+
+
+# ---- one customer holding a third of the rows, all inside the window -------
+# The default threshold keeps it an ordinary group: the window path must be
+# linear, and its results are the same as everywhere.
+
+_DENSE_TIME = "'2024-01-15 10:00:' || lpad(cast(cast(substring(AccountNumber, 3, 10) as int) % 60 as {}), 2, '0')"
+_DENSE_SQL = f"""fx_hot as (select * replace (
+    case when cast(substring(AccountNumber, 3, 10) as int) % 3 = 0 then 'C_HOT' else CustomerID end as CustomerID,
+    case when cast(substring(AccountNumber, 3, 10) as int) % 3 = 0 and TransactionTime <> 'not a date'
+         then {_DENSE_TIME.format('varchar')} else TransactionTime end as TransactionTime) from fx_txn_raw)"""
+
+
+def _dense(sql: str) -> str:
+    return sql.replace("with " + VALID_SQL, f"with {_DENSE_SQL}, " + valid_sql("fx_hot"), 1)
+
+
+def _valid_dense(spark, sf):
+    raw = fixture(spark, sf, "fx_txn_raw")
+    hot = F.substring("AccountNumber", 3, 10).cast("int") % 3 == 0
+    return valid_rows(validate_transactions(raw.withColumns({
+        "CustomerID": F.when(hot, F.lit("C_HOT")).otherwise(F.col("CustomerID")),
+        "TransactionTime": F.when(hot & (F.col("TransactionTime") != "not a date"), F.expr(_DENSE_TIME.format("string")))
+        .otherwise(F.col("TransactionTime"))})))
+
+
+@register("alerts_velocity_dense", with_fixtures(("fx_txn_raw",), _dense(_VEL_SQL)))
+def q_alerts_velocity_dense(spark, sf):
+    return _alert_export(rules_txn.velocity(_valid_dense(spark, sf), fx.VELOCITY_COUNT, fx.VELOCITY_WINDOW_SEC))
+
+
+@register("alerts_geo_dense", with_fixtures(("fx_txn_raw",), _dense(ORACLES_GEO)))
+def q_alerts_geo_dense(spark, sf):
+    return _alert_export(rules_txn.geo_switch(_valid_dense(spark, sf), fx.GEO_WINDOW_SEC))

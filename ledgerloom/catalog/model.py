@@ -228,8 +228,8 @@ def q_fact_partitioned_merge(spark, sf):
     t = PartitionedTable(spark, f"{base}/fact", ["Year", "Month"], f"{base}/_staging")
     f = _fact(spark, sf)
     day = F.dayofmonth("Transaction_Date")
-    t.merge(f.filter(day <= 20), ["TransactionID"], "run1")                      # B5: create
-    t.merge(f.filter(day >= 10).withColumn("Amount", F.col("Amount") * 2), ["TransactionID"], "run2")
+    t.merge(f.filter(day <= 20), ["TransactionID"], "run1", ["Amount"], moves=False)   # B5: create
+    t.merge(f.filter(day >= 10).withColumn("Amount", F.col("Amount") * 2), ["TransactionID"], "run2", ["Amount"], moves=False)
     return t.read().select("TransactionID", "Year", "Month", "Amount")
 
 
@@ -248,3 +248,77 @@ def q_ctas_fact(spark, sf):
     rows, _ = count_and_preview(table)                                                    # B14
     return table.select("TransactionID", "CustomerSK", "AccountSK", "DateKey", "Amount", "Channel",
                         "Year", "Month").withColumn("table_rows", F.lit(rows.first().rows))
+
+
+# ---- merges on the cases a plain MERGE gets wrong ---------------------------
+
+def _merge_table(spark, partition_by):
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.tables import PartitionedTable
+    base = f"{checkpoint_dir(spark)}/ledgerloom-merge-{uuid.uuid4().hex}"
+    return PartitionedTable(spark, f"{base}/table", partition_by, f"{base}/_staging")
+
+
+def _orders(spark, sf):
+    from ..fixtures import table
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"),
+        F.nullif("o_orderstatus", F.lit("P")).alias("s"), F.round(F.col("o_totalprice"), 0).cast("long").alias("v"))
+
+
+_ORDERS = """o as (select o_orderkey as k, o_custkey as c, nullif(o_orderstatus, 'P') as s,
+                         cast(round(o_totalprice, 0) as bigint) as v from orders)"""
+
+
+@register("merge_null_partition", f"""with {_ORDERS}
+select k, s, case when k % 4 = 0 then v + 1 else v end as v from o""")
+def q_merge_null_partition(spark, sf):
+    """Rows with a NULL partition value survive a merge that brings such a row."""
+    o, t = _orders(spark, sf).drop("c"), _merge_table(spark, ["s"])
+    t.merge(o.filter("k % 2 = 0"), ["k"], "1", ["v"])
+    t.merge(o.filter("k % 2 = 1").unionByName(o.filter("k % 4 = 0").withColumn("v", F.col("v") + 1)), ["k"], "2", ["v"])
+    return t.read().select("k", "s", "v")
+
+
+@register("merge_null_key_rerun", f"""with {_ORDERS},
+n as (select case when k % 5 = 0 then null else k end as k, c, max(v) as v from o group by 1, 2)
+select k, c, v from n""")
+def q_merge_null_key_rerun(spark, sf):
+    """A run repeated on rows with NULL keys inserts nothing twice."""
+    o, t = _orders(spark, sf).drop("s"), _merge_table(spark, ["b"])
+    rows = o.withColumns({"k": F.when(F.col("k") % 5 != 0, F.col("k")), "b": F.col("c") % 8})
+    t.merge(rows, ["k", "c"], "1", ["v"])
+    t.merge(rows, ["k", "c"], "2", ["v"])
+    return t.read().select("k", "c", "v")
+
+
+@register("merge_first_load_duplicates", f"""with {_ORDERS},
+l as (select c, max(k) as k from o where k % 3 <> 0 group by c),
+a as (select c, max(k) as k from o group by c)
+select 'snapshot' as kind, a.c, a.k from a
+union all select 'partitioned', l.c, l.k from l""")
+def q_merge_first_load_duplicates(spark, sf):
+    """One row per key, the last in order, on the first load too."""
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.tables import SnapshotTable
+    o = _orders(spark, sf).select("c", "k", (F.col("c") % 4).alias("b"))
+    t = _merge_table(spark, ["b"])
+    t.merge(o.filter("k % 3 <> 0"), ["c"], "1", ["k"])
+    snap = SnapshotTable(spark, f"{checkpoint_dir(spark)}/ledgerloom-merge-{uuid.uuid4().hex}")
+    snap.merge(o.filter("k % 3 <> 0"), ["c"], ["k"])
+    snap.merge(o, ["c"], ["k"])
+    return (snap.read().select(F.lit("snapshot").alias("kind"), "c", "k")
+            .unionByName(t.read().select(F.lit("partitioned").alias("kind"), "c", "k")))
+
+
+@register("merge_moved_key", f"""with {_ORDERS}
+select k, case when k % 10 = 0 or coalesce(s, '-') = 'F' then 'moved' else coalesce(s, '-') end as s, v from o""")
+def q_merge_moved_key(spark, sf):
+    """A key whose partition value changes leaves no old row; a partition all of
+    whose rows move away is gone."""
+    o, t = _orders(spark, sf).drop("c").fillna("-", ["s"]), _merge_table(spark, ["s"])
+    t.merge(o, ["k"], "1", ["v"])
+    t.merge(o.filter("k % 10 = 0 or s = 'F'").withColumn("s", F.lit("moved")), ["k"], "2", ["v"])
+    return t.read().select("k", "s", "v")

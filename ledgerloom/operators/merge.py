@@ -29,15 +29,29 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
             .select(*keys, "_r.*").select(*df.columns))
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the last in ``order``; without it the greatest over
+    all other columns, so the choice is repeatable. NULL keys are one key."""
+    return latest_per_key(df, keys, list(order) if order else [c for c in df.columns if c not in set(keys)])
+
+
+def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
+    """NULL-safe equality on every key column of two aliased frames."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return out
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            order: Sequence[str] | None = None) -> DataFrame:
-    """Update-all / insert-all on ``keys``. With ``order`` the source
-    is first reduced to its last row per key (a bulk upsert of several
-    versions of one key ends with the last)."""
+    """Update-all / insert-all on ``keys``, NULL-safe. The source is
+    first reduced to one row per key (the last in ``order``): a bulk upsert of
+    several versions of one key ends with the last."""
     keys = list(keys)
-    src = latest_per_key(source, keys, order) if order else source
+    src = one_per_key(source, keys, order)
     src = src.select(*target.columns) if set(target.columns) <= set(src.columns) else src
-    kept = target.join(src.select(*keys).distinct(), keys, "left_anti")
+    kept = target.alias("t").join(src.select(*keys).alias("s"), same_key("t", "s", keys), "left_anti")
     return kept.unionByName(src, allowMissingColumns=True)
 
 

@@ -30,6 +30,8 @@ VELOCITY_TXN_COUNT = 10
 GEO_WINDOW_SEC = 10 * 60
 DRAIN_WINDOW_SEC = 10 * 60
 DRAIN_THRESHOLD = 100000.0
+# Amounts above this count as this in running sums (decimal(22,6) holds it).
+MOST_AMOUNT = 1e15
 
 ALERT_COLUMNS = ("alert_id", "type", "reason", "created_at", "file_name", "group_key",
                  "AccountNumber", "CustomerID", "TransactionID", "anchor_ts", "metric")
@@ -108,24 +110,49 @@ def high_value(rows: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD,
 
 def _with_probes(p: DataFrame, window_sec: int, extra_group: list[str] = ()) -> DataFrame:
     """Data rows (kind 0, weight = copies) plus one probe per row at t + W
-    (kind 1, weight 0). Probes sort after data rows of the same instant, so a
-    row exactly W later is inside the window."""
+    (kind 1, weight 0); ``_t0`` is the time of the row itself. Probes sort after
+    data rows of the same instant, so a row exactly W later is inside the
+    window."""
     keep = _GROUP + list(extra_group) + ["_t", "_tid", "_h"]
-    data = p.select(*keep, F.col("_mult").alias("_w")).withColumn("_kind", F.lit(0))
-    probe = (p.select(*keep).withColumn("_t", F.col("_t") + F.lit(window_sec * 1_000_000))
+    data = p.select(*keep, F.col("_t").alias("_t0"), F.col("_mult").alias("_w")).withColumn("_kind", F.lit(0))
+    probe = (p.select(*keep, F.col("_t").alias("_t0"))
+             .withColumn("_t", F.col("_t") + F.lit(window_sec * 1_000_000))
              .withColumns({"_kind": F.lit(1), "_w": F.lit(0).cast("long")}))
     return data.unionByName(probe)
 
 
-def _window_counts(df: DataFrame, group: list[str], window_sec: int, out: str) -> DataFrame:
-    """Ordinary groups: a RANGE frame over time counts rows in [t, t + W];
-    rows at the same instant ordered before this one are subtracted (a RANGE
-    frame includes all peers)."""
-    w_range = Window.partitionBy(*group).orderBy("_t").rangeBetween(0, window_sec * 1_000_000)
-    w_peers = (Window.partitionBy(*group, "_t").orderBy("_tid", "_h")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn(out, F.sum("_mult").over(w_range)
-                         - F.coalesce(F.sum("_mult").over(w_peers), F.lit(0)))
+def _window_probes(df: DataFrame, groups: dict[str, list[str]], window_sec: int,
+                   last: Column | None = None) -> DataFrame:
+    """Ordinary groups, linear: each row stands at its own time and, as a
+    probe without weight, at t + W; the running weight before the probe minus
+    that before the row is the row's forward count in the group. ``groups``
+    maps an output name to a grouping that refines ``_GROUP``, so all running
+    sums and the final pairing of row and probe use one shuffle. ``last``
+    (a struct of the row) adds ``_last``, the greatest one up to t + W."""
+    rest = [c for c in df.columns if c not in _GROUP]
+    row = F.struct(*rest)
+    stands = F.explode(F.array(
+        F.struct(F.col("_t").alias("at"), F.lit(0).alias("kind"), F.col("_mult").alias("w")),
+        F.struct((F.col("_t") + F.lit(window_sec * 1_000_000)).alias("at"), F.lit(1).alias("kind"),
+                 F.lit(0).cast("long").alias("w"))))
+    carried = sorted({c for g in groups.values() for c in g if c not in _GROUP})
+    u = df.select(*_GROUP, *carried, "_t", "_tid", "_h", row.alias("_row"), stands.alias("_p"),
+                  *([last.alias("_own")] if last is not None else []))
+    order = ["_p.at", "_p.kind", "_tid", "_h"]
+    sums = {f"_b_{out}": F.sum("_p.w").over(
+        Window.partitionBy(*g).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+        for out, g in groups.items()}
+    if last is not None:
+        sums["_max"] = F.max(F.when(F.col("_p.kind") == 0, F.col("_own"))).over(
+            Window.partitionBy(*_GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    u = u.withColumns(sums)
+    probe, own = F.col("_p.kind") == 1, F.col("_p.kind") == 0
+    counts = [(F.coalesce(F.max(F.when(probe, F.col(f"_b_{out}"))), F.lit(0))
+               - F.coalesce(F.max(F.when(own, F.col(f"_b_{out}"))), F.lit(0))).alias(out) for out in groups]
+    found = u.groupBy(*_GROUP, "_t", "_tid", "_h").agg(
+        F.any_value("_row").alias("_row"), *counts,
+        *([F.max(F.when(probe, F.col("_max"))).alias("_last")] if last is not None else []))
+    return found.select(*_GROUP, "_row.*", *groups, *(["_last"] if last is not None else []))
 
 
 def _probe_counts(p: DataFrame, group: list[str], window_sec: int, out: str) -> DataFrame:
@@ -133,12 +160,12 @@ def _probe_counts(p: DataFrame, group: list[str], window_sec: int, out: str) ->
     extra = [g for g in group if g not in _GROUP]
     u = _with_probes(p, window_sec, extra)
     s = _range_scan(u, group, _ORDER, {"_before": ("sum", "_w", False)})
-    key = group + ["_tid", "_h"]
-    data = s.filter("_kind = 0").select(*key, F.col("_before").alias("_b0"))
-    probe = s.filter("_kind = 1").select(*key, F.col("_before").alias("_b1"))
-    # Join on (group, id, hash): the hash spreads a hot group over all tasks.
-    counts = data.join(probe, key).select(*key, (F.col("_b1") - F.col("_b0")).alias(out))
-    return p.join(counts, key)
+    key = group + ["_t0", "_tid", "_h"]
+    # Row and probe meet by (group, time, id, hash): the hash spreads a hot group over all tasks.
+    counts = s.groupBy(*key).agg(
+        (F.max(F.when(F.col("_kind") == 1, F.col("_before"))) - F.max(F.when(F.col("_kind") == 0, F.col("_before"))))
+        .alias(out)).withColumnRenamed("_t0", "_t")
+    return p.join(counts, group + ["_t", "_tid", "_h"])
 
 
 def forward_window_counts(p: DataFrame, window_sec: int, extra_groups: list[list[str]] = ([],),
@@ -154,11 +181,10 @@ def forward_window_counts(p: DataFrame, window_sec: int, extra_groups: list[list
     if isinstance(hot, str):
         hot = hot_groups(p, _GROUP, "_mult", hot_rows)
     cold, hot_p = (p, None) if hot is None else split_hot(p, hot, _GROUP)
-    for extra, out in zip(extra_groups, outs):
-        cold = _window_counts(cold, _GROUP + list(extra), window_sec, out)
+    cold = _window_probes(cold, {out: _GROUP + list(extra) for extra, out in zip(extra_groups, outs)}, window_sec)
     if hot_p is None:
         return cold
-    key = _GROUP + ["_tid", "_h"]
+    key = _GROUP + ["_t", "_tid", "_h"]
     hot_out = hot_p
     for extra, out in zip(extra_groups, outs):
         g = _GROUP + list(extra)
@@ -221,9 +247,9 @@ def _partner_window(df: DataFrame, window_sec: int) -> DataFrame:
     d = d.withColumns(_run_start(F.col("_prev"), "_pd_start"))
     d = d.withColumn("_pd", F.last("_pd_start", ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
-    frame = Window.partitionBy(*_GROUP).orderBy("_t").rangeBetween(0, window_sec * 1_000_000)
-    d = d.withColumn("_last", F.max(_row_struct().withField("_pd", F.col("_pd"))).over(frame))
-    return d.withColumn("_partner", _partner(F.col("_last"))).drop("_prev", "_pd_start", "_pd", "_last")
+    d = _window_probes(d.drop("_prev", "_pd_start"), {"_n_all": _GROUP, "_n_same": _GROUP + _LOC_GROUP}, window_sec,
+                       last=_row_struct().withField("_pd", F.col("_pd")))
+    return d.withColumn("_partner", _partner(F.col("_last"))).drop("_pd", "_last")
 
 
 def _partner_scan(hot_p: DataFrame, window_sec: int) -> DataFrame:
@@ -240,18 +266,18 @@ def _partner_scan(hot_p: DataFrame, window_sec: int) -> DataFrame:
                                                 F.col("_h").alias("k3"), F.col("_pd_start").alias("pd"))))
     d = _range_scan(d, _GROUP, _ORDER, {"_pd_run": ("max", "_pd_key", True)})
     d = d.withColumn("_rowpd", _row_struct().withField("_pd", F.col("_pd_run")["pd"]))
-    keep = _GROUP + ["_t", "_tid", "_h"]
+    keep = [*_GROUP, "_t", "_tid", "_h", F.col("_t").alias("_t0")]
     data = d.select(*keep, F.lit(0).alias("_kind"), "_rowpd", F.col("_mult").alias("_w"))
     probe = (d.select(*keep).withColumn("_t", F.col("_t") + F.lit(window_sec * 1_000_000))
              .withColumns({"_kind": F.lit(1), "_w": F.lit(0).cast("long"),
                            "_rowpd": F.lit(None).cast(data.schema["_rowpd"].dataType)}))
     s = _range_scan(data.unionByName(probe), _GROUP, _ORDER,
                     {"_before": ("sum", "_w", False), "_last": ("max", "_rowpd", False)})
-    key = _GROUP + ["_tid", "_h"]
-    b0 = s.filter("_kind = 0").select(*key, F.col("_before").alias("_b0"))
-    b1 = s.filter("_kind = 1").select(*key, F.col("_before").alias("_b1"), "_last")
-    counts = b0.join(b1, key).select(*key, (F.col("_b1") - F.col("_b0")).alias("_n_all"), "_last")
-    j = hot_p.join(counts, key)
+    probed = F.col("_kind") == 1
+    counts = s.groupBy(*_GROUP, "_t0", "_tid", "_h").agg(
+        (F.max(F.when(probed, F.col("_before"))) - F.max(F.when(~probed, F.col("_before")))).alias("_n_all"),
+        F.max(F.when(probed, F.col("_last"))).alias("_last")).withColumnRenamed("_t0", "_t")
+    j = hot_p.join(counts, _GROUP + ["_t", "_tid", "_h"])
     return j.withColumn("_partner", _partner(F.col("_last"))).drop("_last")
 
 
@@ -273,11 +299,9 @@ def geo_switch(rows: DataFrame, window_sec: int = GEO_WINDOW_SEC,
         "_loc": F.coalesce(F.col("Location"), F.lit("")),
     })
     cold, hot_p = (p, None) if hot is None else split_hot(p, hot, _GROUP)
-    cold = _window_counts(_window_counts(cold, _GROUP, window_sec, "_n_all"),
-                          _GROUP + _LOC_GROUP, window_sec, "_n_same")
     j = _partner_window(cold, window_sec)
     if hot_p is not None:
-        key = _GROUP + ["_tid", "_h"]
+        key = _GROUP + ["_t", "_tid", "_h"]
         g = _GROUP + _LOC_GROUP
         same = _probe_counts(hot_p.select(*g, "_t", "_tid", "_h", "_mult"), g, window_sec, "_n_same")
         h = hot_p.join(same.select(*key, "_n_same"), key)
@@ -310,17 +334,20 @@ def balance_drain(rows: DataFrame, threshold: float = DRAIN_THRESHOLD,
     within W of that first row whose running sum reaches the threshold raises
     one alert per group (the window is anchored, not sliding: Q16)."""
     p, hot = prepared or _prepare_with_hot(rows, file_col, hot_rows)
-    p = p.withColumns({"_kind": F.lit(0), "_amt": F.coalesce(F.col("Amount"), F.lit(0.0))})
-    p = p.withColumn("_wamt", F.col("_amt") * F.col("_mult"))
+    # Money is summed as decimal: the sum does not depend on the order of addition.
+    amount = F.least(F.coalesce(F.col("Amount"), F.lit(0.0)), F.lit(MOST_AMOUNT)).cast("decimal(22,6)")
+    p = p.withColumns({"_kind": F.lit(0), "_amt": amount})
+    p = p.withColumn("_wamt", (F.col("_amt") * F.col("_mult")).cast("decimal(28,6)"))
     s = segmented_scan(p, _GROUP, _ORDER, {"_run": ("sum", "_wamt", True),
                                            "_start": ("min", "_t", True)}, hot=hot)
     hits = s.filter((F.col("_t") - F.col("_start") <= window_sec * 1_000_000)
                     & (F.col("_run") >= threshold))
     # Copies are consecutive: find the first copy whose running sum reaches
     # the threshold (amounts of validated rows are positive).
-    amt, excl = F.col("_amt"), F.col("_run") - F.col("_amt") * F.col("_mult")
-    nth = F.when(excl + amt >= threshold, F.lit(1)).otherwise(F.ceil((F.lit(threshold) - excl) / amt))
-    hits = hits.withColumn("_run", excl + amt * nth)
+    amt, excl = F.col("_amt"), F.col("_run") - F.col("_wamt")
+    least = F.lit(threshold).cast("decimal(22,6)")
+    nth = F.when(excl + amt >= least, F.lit(1)).otherwise(F.ceil((least - excl) / amt)).cast("long")
+    hits = hits.withColumn("_run", (excl + amt * nth).cast("double"))
     first = hits.groupBy(*_GROUP).agg(
         F.min_by(F.struct(*[c for c in hits.columns if c not in _GROUP]),
                  F.struct(*[c for c in _ORDER if c != "_kind"])).alias("_r"))

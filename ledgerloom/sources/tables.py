@@ -1,11 +1,12 @@
 """Parquet tables with versioned snapshots and partition-level merges
 (A5, A6, A12, B1-B8, B10, B11, B13, B14).
 
-``SnapshotTable``: each write produces ``<root>/v=<n>/`` and then replaces the
-pointer file ``<root>/_CURRENT`` - readers see the old or the new version,
-never a half-written one, and a merge can read version n while writing n+1
-(overwriting a parquet path that is being read fails). A single writer per
-table is assumed.
+``SnapshotTable``: each write produces ``<root>/v=<n>/`` and then adds the
+pointer file ``<root>/_CURRENT.<n>``; the highest pointer names the current
+version, so readers see the old or the new version, never none or a
+half-written one, and a merge can read version n while writing n+1
+(overwriting a parquet path that is being read fails). ``keep`` versions are
+retained. A single writer per table is assumed.
 
 ``PartitionedTable``: a ``partitionBy`` table (the fact by Year/Month). A
 merge rewrites only the partitions its source touches: the touched
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import upsert
+from ..operators.merge import one_per_key, same_key, upsert
 
 POINTER = "_CURRENT"
 
@@ -31,38 +32,29 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
-
-
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, keep: int = 5):
+        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
+
+    def _versions(self) -> list[int]:
+        fs, p = _fs(self.spark, self.root)
+        if not fs.exists(p):
+            return []
+        names = (s.getPath().getName() for s in fs.listStatus(p))
+        return sorted(int(n.removeprefix(POINTER + ".")) for n in names if n.startswith(POINTER + "."))
 
     def version(self) -> int | None:
-        v = _read_text(self.spark, f"{self.root}/{POINTER}")
-        return None if v is None else int(v.strip())
+        return max(self._versions(), default=None)
+
+    def _commit(self, version: int) -> None:
+        """Creating an empty file is atomic; older versions beyond ``keep`` go
+        afterwards, pointer first."""
+        fs, p = _fs(self.spark, f"{self.root}/{POINTER}.{version:06d}")
+        fs.create(p, True).close()
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for old in self._versions()[:-self.keep]:
+            fs.delete(path(f"{self.root}/{POINTER}.{old:06d}"), False)
+            fs.delete(path(self.path(old)), True)
 
     def exists(self) -> bool:
         """The table has a committed version."""
@@ -88,18 +80,14 @@ class SnapshotTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(v))
-        _write_text(self.spark, f"{self.root}/{POINTER}", str(v))
+        self._commit(v)
         return v
 
-    def append(self, df: DataFrame) -> int:
-        """Next version = current rows + new rows."""
-        cur = self.read_or_none()
-        return self.write(df if cur is None else cur.unionByName(df, allowMissingColumns=True))
-
     def merge(self, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> int:
-        """Upsert into the next version (create when absent)."""
+        """Upsert into the next version (created when absent), one row
+        per key: the last of the source in ``order``."""
         cur = self.read_or_none()
-        return self.write(source if cur is None else upsert(cur, source, keys, order))
+        return self.write(one_per_key(source, keys, order) if cur is None else upsert(cur, source, keys, order))
 
 
 class PartitionedTable:
@@ -123,23 +111,59 @@ class PartitionedTable:
         """Partitioned write."""
         df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.root)
 
-    def merge(self, source: DataFrame, keys: Sequence[str], run_id: str) -> None:
-        """K20/B8 with partition pruning: only touched partitions are read
-        (the partition filter reaches the file listing) and rewritten.
-
-        Rows must not move between partitions for a key (the fact's key
-        includes its date)."""
+    def _in(self, target: DataFrame, touched: DataFrame) -> DataFrame:
+        """Rows of the touched partitions. Plain equality prunes partitions
+        at run time; rows with a NULL partition value, which it cannot match,
+        are found by a filter on the partition columns, which prunes too."""
+        cols = self.partition_by
+        some_null = F.lit(False)
+        for c in cols:
+            some_null = some_null | F.col(c).isNull()
+        t = F.broadcast(touched)
+        known = target.join(t, cols, "left_semi")
+        nulls = target.filter(some_null).alias("t").join(t.alias("s"), same_key("t", "s", cols), "left_semi")
+        return known.unionByName(nulls)
+
+    def merge(self, source: DataFrame, keys: Sequence[str], run_id: str, order: Sequence[str] | None = None,
+              moves: bool = True) -> None:
+        """One row per key, the last in ``order``, NULL-safe in keys and
+        partition values; only touched partitions are rewritten. These are the
+        source's and, as a key may ``move``, those that hold its keys now (one
+        scan of the key columns). ``moves=False`` skips that scan for keys
+        that fix their partition."""
+        keys = list(keys)
         if not self.exists():
-            self.create(source)
+            self.create(one_per_key(source, keys, order))
             return
+        table = self.read(source.schema)
         touched = source.select(*self.partition_by).distinct()
-        target = self.read(source.schema).join(F.broadcast(touched), self.partition_by, "left_semi")
-        merged = upsert(target, source, keys)
+        if moves:
+            held = table.select(*dict.fromkeys([*keys, *self.partition_by])).alias("t").join(
+                source.select(*keys).distinct().alias("s"), same_key("t", "s", keys), "left_semi")
+            touched = touched.union(held.select(*self.partition_by)).distinct()
+        # A partition that loses all its rows is still replaced: its rows are
+        # listed before, and an empty one is removed after.
+        merged = upsert(self._in(table, touched), source, keys, order)
         stage = f"{self.staging_root}/{run_id}"
         merged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(stage)
+        gone = []
+        if moves:
+            staged = self.spark.read.schema(merged.schema).parquet(stage).select(*self.partition_by).distinct()
+            left = touched.alias("t").join(staged.alias("s"), same_key("t", "s", self.partition_by), "left_anti")
+            gone = left.collect()                   # partitions emptied by moves
         staged = self.spark.read.schema(merged.schema).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.root))
+        for row in gone:
+            self._remove(row)
+
+    def _remove(self, row) -> None:
+        """Delete the folder of a partition all of whose rows moved away."""
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        parts = [escape.getPartitionPathString(c, None if row[c] is None else str(row[c])) for c in self.partition_by]
+        fs, p = _fs(self.spark, "/".join([self.root, *parts]))
+        if fs.exists(p):
+            fs.delete(p, True)
 
 
 # ---- plain sinks -----------------------------------------------------------
@@ -149,14 +173,6 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Parquet overwrite, optionally partitioned."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append (audit records, quarantined rows)."""
     w = df.write.mode("append")
