@@ -341,12 +341,11 @@ def q_documents_json_scan(spark, sf):
                     "Account_AccountOpenDate", "Account_Balance", "Account_KYC_Done")
 
 
-def _land_as(df, landing: str, stem: str) -> None:
-    """Land ``df`` as CSV part files named ``<stem>-partNNNNN.csv`` in the inbox."""
-    from ..sources.tables import write_csv
+def _land_as(df, landing: str, stem: str, extension: str = ".csv", sep: str = ",") -> None:
+    """Land ``df`` as part files named ``<stem>-partNNNNN<extension>`` in the inbox."""
     spark = df.sparkSession
     stage = f"{landing}/_stage_{stem}"
-    write_csv(df, stage)
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(stage)
     jvm = spark.sparkContext._jvm
     fs = jvm.org.apache.hadoop.fs.Path(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     inbox = jvm.org.apache.hadoop.fs.Path(f"{landing}/inbox")
@@ -354,7 +353,7 @@ def _land_as(df, landing: str, stem: str) -> None:
     parts = sorted((s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage))
                     if s.getPath().getName().endswith(".csv")), key=lambda x: x.getName())
     for i, p in enumerate(parts):
-        fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{landing}/inbox/{stem}-part{i:05d}.csv"))
+        fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{landing}/inbox/{stem}-part{i:05d}{extension}"))
 
 
 @register("lakehouse_end_to_end", with_fixtures(("fx_txn_raw",), f"""with {VALID_SQL}
@@ -379,3 +378,157 @@ def q_lakehouse_end_to_end(spark, sf):
     silver = L.build_silver(L.read_stores(spark, f"{base}/stores"), as_of=AS_OF)
     L.write_gold(spark, L.build_gold(silver, as_of=AS_OF), f"{base}/gold", "run1")
     return L.channel_summary(L.read_gold(spark, f"{base}/gold")["fact_transactions"])
+
+
+# ---- delimited files as they really come -------------------------------------
+
+@register("csv_quoted_fields", """
+select c_custkey as id, 'He said "' || c_name || '", ok' || chr(10) || c_mktsegment as "note, long",
+       case when c_custkey % 3 = 0 then null else '"' || c_mktsegment || '"' end as tail
+from customer""")
+def q_csv_quoted_fields(spark, sf):
+    """Quoted delimiters, doubled quotes and line breaks inside quotes, in
+    values and in header names, come back whole."""
+    from ..sources.files import read_delimited
+    base = _scratch(spark, "quoted")
+    c = fx.table(spark, sf, "customer")
+    quote = F.lit('"')
+    rows = c.select(F.col("c_custkey").alias("id"),
+                    F.concat(F.lit('He said "'), "c_name", F.lit('", ok\n'), "c_mktsegment").alias("note, long"),
+                    F.when(F.col("c_custkey") % 3 != 0, F.concat(quote, "c_mktsegment", quote)).alias("tail"))
+    (rows.write.option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("nullValue", None).csv(f"{base}/quoted.csv"))
+    back = read_delimited(spark, list_files(spark, f"{base}/quoted.csv"), multiline=True)
+    return back.select(F.col("id").cast("long").alias("id"), "note, long", C.blank_to_null("tail").alias("tail"))
+
+
+_MALFORMED_SQL = f"""with
+m as (select *, cast(substring(AccountNumber, 3, 10) as int) % 7 as u,
+             try_strptime(nullif(trim(TransactionTime), ''), '%Y-%m-%d %H:%M:%S') as ts from fx_txn_raw),
+e as (select *, u <> 0 and nullif(trim(TransactionID), '') is not null and ts is not null
+                and regexp_full_match(trim(Amount), '{NUM_RE}') and cast(Amount as double) > 0 as ok from m)"""
+
+
+@register("ingest_malformed_counters", with_fixtures(("fx_txn_raw",), _MALFORMED_SQL + """
+select count(*) as rows_parsed, count(*) filter (where ok) as valid, count(*) filter (where not ok) as invalid,
+       count(*) filter (where not ok) as quarantined, count(*) filter (where ok) as valid_narrow,
+       count(*) filter (where u = 0) as malformed, count(*) filter (where ok and u = 1) as short_kept
+from e"""))
+def q_ingest_malformed_counters(spark, sf):
+    """Rows with surplus fields are malformed and short rows are kept, in every
+    sink alike: the counters, the quarantine and a narrow read agree."""
+    from ..operators.validate import file_counters, invalid_rows, validate_transactions
+    from ..sources.files import read_delimited
+    base = _scratch(spark, "malformed")
+    u = F.substring("AccountNumber", 3, 10).cast("int") % 7
+    time = F.coalesce("TransactionTime", F.lit(""))
+    tail = F.when(u == 0, F.concat(time, F.lit(",L1,surplus"))).when(u == 1, time).otherwise(F.concat(time, F.lit(",L1")))
+    names = ["TransactionID", "AccountNumber", "CustomerID", "Amount"]
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in names], tail)
+    rows = fixture(spark, sf, "fx_txn_raw").select(line.alias(",".join([*names, "TransactionTime", "Location"])))
+    rows.write.option("header", True).option("sep", "\u0001").csv(f"{base}/atm_bad.csv")   # whole lines
+    raw = read_delimited(spark, list_files(spark, f"{base}/atm_bad.csv"))
+    checked = validate_transactions(raw)
+    one = F.lit(1)
+    counters = file_counters(checked).agg(*[F.sum(c).alias(c) for c in ("rows_parsed", "valid", "invalid")])
+    quarantine = invalid_rows(checked).agg(
+        F.count(one).alias("quarantined"), F.count_if(F.array_contains("errors", "Malformed row")).alias("malformed"))
+    narrow = valid_rows(checked).select("TransactionID", "Location").agg(
+        F.count(one).alias("valid_narrow"), F.count_if(F.col("Location").isNull()).alias("short_kept"))
+    # Three one-row frames side by side.
+    tag = F.lit(1).alias("_one")
+    out = counters.select("*", tag).join(quarantine.select("*", tag), "_one").join(narrow.select("*", tag), "_one")
+    return out.drop("_one")
+
+
+@register("stream_file_statuses", with_fixtures(("fx_txn_raw",), f"""with {VALID_SQL}
+select 'upi' as stem, 'COMPLETED' as status, count(*) as rows_parsed, count(*) filter (where errors = '') as valid,
+       false as has_error from ve where file_name like 'upi%'
+union all select 'account_bad', 'PROCESSOR_FAILED', null, null, true
+union all select 'customer_master', 'COMPLETED', (select count(*) from customer), (select count(*) from customer), false
+union all select 'ledger_x', 'UNKNOWN_SOURCE', null, null, false
+union all select 'notes', 'REJECTED_EXTENSION', null, null, false"""))
+def q_stream_file_statuses(spark, sf):
+    """One status per file; a file that cannot be processed (its header names
+    a column twice) does not keep the others of its batch from the stores."""
+    base = _scratch(spark, "statuses")
+    raw = fixture(spark, sf, "fx_txn_raw").filter(F.col("file_name").startswith("upi"))
+    _land_as(raw.drop("file_name"), base, "upi")
+    cust = fx.table(spark, sf, "customer").select(
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("CustomerID"), F.lit("1990-01-01").alias("DOB"),
+        F.lit("100").alias("AnnualIncome"))
+    _land_as(cust, base, "customer_master")
+    _land_as(cust, base, "ledger_x")
+    _land_as(cust, base, "notes", ".txt")
+    _land_as(cust.select(F.col("CustomerID").alias("AccountNumber,AccountNumber")), base, "account_bad", sep="\u0001")
+    start_ingest_stream(spark, f"{base}/inbox", f"{base}/out", f"{base}/checkpoint", as_of=AS_OF).awaitTermination()
+    audit = read_audit(spark, f"{base}/out").withColumn("stem", F.regexp_replace("file_name", "-part[0-9]+[.][a-z]+$", ""))
+    return audit.groupBy("stem", "status").agg(F.sum("rows_parsed").alias("rows_parsed"), F.sum("valid").alias("valid"),
+                                               F.bool_or(F.coalesce(F.length("error") > 0, F.lit(False))).alias("has_error"))
+
+
+@register("stream_store_contents", with_fixtures(("fx_txn_raw", "fx_account"), f"""with {VALID_SQL},
+p as (select count(distinct AccountNumber) as n, round(sum(Balance), 2) as amount from fx_account
+      where CustomerID is not null and Balance is not null and AccountOpenDate is not null)
+select split_part(file_name, '_', 1) as store, count(*) as n, round(sum(Amount), 2) as amount from valid group by 1
+union all select 'high value alerts', count(distinct TransactionID), null from valid where Amount >= {fx.HIGH_VALUE}
+union all select 'profiles', n, amount from p"""))
+def q_stream_store_contents(spark, sf):
+    """The stores after a stream over all files, each landed twice: a
+    transaction, an alert or a profile document stands in them once."""
+    base = _scratch(spark, "contents")
+    _land_files(fixture(spark, sf, "fx_txn_raw"), base)
+    raw = fixture(spark, sf, "fx_txn_raw")
+    _land_as(raw.filter(F.col("file_name").startswith("atm")).drop("file_name"), base, "atm_again")
+    acc = _account_text(spark, sf).select("AccountNumber", "CustomerID", "AccountOpenDate", "Balance", "KYC_Done")
+    _land_as(acc, base, "account_master")
+    _land_as(acc, base, "account_again")
+    start_ingest_stream(spark, f"{base}/inbox", f"{base}/out", f"{base}/checkpoint", as_of=AS_OF,
+                        rule_params=dict(high_value_threshold=fx.HIGH_VALUE)).awaitTermination()
+
+    def store(name, df, amount):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(amount), 2).alias("amount")).select(
+            F.lit(name).alias("store"), "n", "amount")
+
+    out = f"{base}/out"
+    alerts = spark.read.parquet(f"{out}/alerts").filter("type = 'HIGH_VALUE'")
+    return (store("atm", spark.read.parquet(f"{out}/atm"), F.col("Amount"))
+            .union(store("upi", spark.read.parquet(f"{out}/upi"), F.col("Amount")))
+            .union(store("high value alerts", alerts, F.lit(None).cast("double")))
+            .union(store("profiles", spark.read.parquet(f"{out}/profiles"), F.col("Account.Balance"))))
+
+
+@register("alerts_profile_lookup", with_fixtures(("fx_account",), """
+with c as (select CustomerID, max(AnnualIncome) as inc from fx_account
+           where CustomerID is not null and DOB is not null and AnnualIncome is not null
+             and cast(substring(CustomerID, 2, 10) as int) % 2 = 0 group by CustomerID)
+select a.AccountNumber, a.CustomerID, 'BALANCE_INCOME_MISMATCH' as type
+from fx_account a join c on a.CustomerID = c.CustomerID
+where a.Balance is not null and a.AccountOpenDate is not null and c.inc > 0 and a.Balance > c.inc * 10"""))
+def q_alerts_profile_lookup(spark, sf):
+    """The income rule reads the stored customer document, not the account row."""
+    from ..operators.rules_profile import customer_lookup
+    acc = _account_text(spark, sf)
+    known = acc.filter(F.substring("CustomerID", 2, 10).cast("int") % 2 == 0)
+    best = known.groupBy("CustomerID").agg(F.max(F.col("AnnualIncome").cast("double")).cast("string").alias("AnnualIncome"),
+                                           F.max("DOB").alias("DOB")).withColumn("file_name", F.lit("customer_master.csv"))
+    customers = ingest.ingest_customers(best)["customers"]
+    profiles = ingest.merge_customer_profiles(ingest.empty_profiles(spark), customers)
+    income = customer_lookup(profiles).select("CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
+    alerts = ingest.ingest_accounts(acc.drop("AnnualIncome").withColumn("file_name", F.lit("account_master.csv")), income, as_of=AS_OF)["alerts"]
+    return alerts.filter("type = 'BALANCE_INCOME_MISMATCH'").select("AccountNumber", "CustomerID", "type")
+
+
+@register("message_gate", """
+select o_orderkey, case o_orderkey % 4 when 0 then false when 1 then false when 2 then false else true end as ok
+from orders""")
+def q_message_gate(spark, sf):
+    """Messages without a file url or name, or that are no JSON, are refused."""
+    from ..operators.validate import message_ok
+    o = fx.table(spark, sf, "orders").select("o_orderkey")
+    name = F.concat(F.lit("atm_"), F.col("o_orderkey"), F.lit(".csv"))
+    body = (F.when(F.col("o_orderkey") % 4 == 0, F.lit("no json"))
+            .when(F.col("o_orderkey") % 4 == 1, F.to_json(F.struct(name.alias("file_name"))))
+            .when(F.col("o_orderkey") % 4 == 2, F.to_json(F.struct(name.alias("file_name"), F.lit("").alias("file_url"))))
+            .otherwise(F.to_json(F.struct(name.alias("file_name"), F.concat(F.lit("https://x/"), name).alias("file_url")))))
+    return o.select("o_orderkey", F.coalesce(message_ok(body), F.lit(False)).alias("ok"))

@@ -80,11 +80,6 @@ def fact_merge(target: DataFrame | None, source: DataFrame) -> DataFrame:
     return upsert(target, source, ["TransactionID"])
 
 
-def touched_partitions(source: DataFrame, cols=("Year", "Month")) -> DataFrame:
-    """The (Year, Month) partitions a merge must rewrite; the rest are kept."""
-    return source.select(*cols).distinct()
-
-
 def key_coverage(fact: DataFrame) -> DataFrame:
     """Rows and rows missing each surrogate key."""
     return fact.agg(

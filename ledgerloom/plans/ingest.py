@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import rules_profile, rules_txn
-from ..operators.merge import latest_per_key
+from ..operators.merge import latest_per_key, one_per_key
 from ..operators.validate import (file_counters, invalid_rows, valid_rows, validate_accounts,
                                   validate_customers, validate_transactions)
 from ..schemas import ACCOUNT_DOC_FIELDS, CUSTOMER_DOC_FIELDS
@@ -60,9 +60,10 @@ def customer_subdocuments(valid_customers: DataFrame) -> DataFrame:
 
 
 def merge_accounts_into_profiles(profiles: DataFrame | None, accounts: DataFrame) -> DataFrame:
-    """Account documents upserted by id; the ``Customer`` part of an existing
-    document is kept (Q11: the reference would drop it)."""
-    acc = accounts.withColumn("Customer", F.lit(None).cast(_customer_type(profiles, accounts)))
+    """Account documents upserted by id, one per id (of several rows of an
+    account the greatest); the ``Customer`` part of an existing document is
+    kept (Q11: the reference would drop it)."""
+    acc = one_per_key(accounts, ["id"]).withColumn("Customer", F.lit(None).cast(_customer_type(profiles, accounts)))
     if profiles is None:
         return acc
     kept = profiles.join(acc.select("id"), "id", "left_anti")
@@ -152,11 +153,3 @@ def ingest_customers(raw: DataFrame) -> dict[str, DataFrame]:
     annotated = validate_customers(raw)
     return {"customers": valid_rows(annotated), "quarantine": invalid_rows(annotated),
             "counters": file_counters(annotated)}
-
-
-def audit_records(counters: DataFrame, source_type: str, as_of=None,
-                  status: str = STATUS_COMPLETED) -> DataFrame:
-    """One audit row per file."""
-    return counters.withColumns({
-        "source_type": F.lit(source_type), "status": F.lit(status),
-        "completed_at": C.as_of_ts(as_of)})

@@ -63,7 +63,7 @@ def write_gold(spark: SparkSession, gold: dict[str, DataFrame], gold_root: str,
     for name in ("customer360", "dim_customer", "dim_account", "dim_date"):
         SnapshotTable(spark, f"{root}/{name}").write(gold[name])
     PartitionedTable(spark, f"{root}/fact_transactions", ["Year", "Month"],
-                     f"{root}/_staging/fact").merge(gold["fact_transactions"], ["TransactionID"], run_id)
+                     f"{root}/_staging/fact").merge(gold["fact_transactions"], ["TransactionID"], run_id, moves=False)
 
 
 def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:

@@ -62,11 +62,6 @@ def drop_present(df: DataFrame, *cols: str) -> DataFrame:
     return df.drop(*[c for c in cols if c in df.columns])
 
 
-def select_present(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Keep the listed columns that exist, in the listed order."""
-    return df.select(*[c for c in cols if c in df.columns])
-
-
 def align(df: DataFrame, schema: T.StructType | Mapping[str, T.DataType | str],
           keep_extra: bool = False) -> DataFrame:
     """Project onto a schema: absent columns become typed NULLs, present ones
@@ -79,8 +74,3 @@ def align(df: DataFrame, schema: T.StructType | Mapping[str, T.DataType | str],
         names = {n for n, _ in fields}
         cols += [F.col(c) for c in df.columns if c not in names]
     return df.select(*cols)
-
-
-def trim_header(df: DataFrame) -> DataFrame:
-    """Strip column names."""
-    return df.toDF(*[c.strip() for c in df.columns])

@@ -7,16 +7,19 @@ file system, concurrently, no Spark job); files are grouped by (delimiter,
 header) and each group is one distributed ``spark.read.csv`` with an
 all-string schema built from that header, so inference never turns ``00123``
 into 123. Rows with more
-fields than the header are kept and marked in ``_corrupt_record``.
+fields than the header are kept and marked in ``_corrupt_record``, whichever
+columns are read later; rows with fewer fields get NULLs and are not marked.
+Doubled quotes inside a quoted field stand for one quote.
 """
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,15 +69,22 @@ def list_files(spark: SparkSession, root: str) -> list[str]:
 
 
 def split_header(line: str, sep: str) -> list[str]:
-    """Header names, trimmed and unquoted."""
-    return [h.strip().strip('"').strip() for h in line.split(sep)]
+    """Header names, unquoted and trimmed; a quoted name may hold the delimiter."""
+    return [h.strip() for h in next(csv.reader([line], delimiter=sep, skipinitialspace=True))]
+
+
+def _surplus(raw: Column, sep: str, fields: int) -> Column:
+    """A marked row has more fields than the header: separators outside quotes."""
+    bare = F.regexp_replace(raw, r'"(?:[^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) >= fields
 
 
 def read_delimited(spark: SparkSession, paths: Iterable[str], sep: str | None = None,
-                   encoding: str = "UTF-8") -> DataFrame:
+                   encoding: str = "UTF-8", multiline: bool = False) -> DataFrame:
     """A1-A3: read header-bearing delimited files as all-string rows plus
     ``file_name``, ``file_path`` and ``_corrupt_record``. Empty files give
-    no rows."""
+    no rows. ``multiline`` keeps line breaks inside quotes; such a file is
+    read by one task, as it cannot be split."""
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
     paths = list(paths)
     # Header reads are latency-bound (one open per file); issue them
@@ -92,7 +102,10 @@ def read_delimited(spark: SparkSession, paths: Iterable[str], sep: str | None =
         df = (spark.read.schema(schema)
               .option("header", True).option("sep", d).option("encoding", encoding)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("columnPruning", False).option("escape", '"').option("multiLine", multiline)
               .csv(files))
+        raw = F.col(CORRUPT)
+        df = df.withColumn(CORRUPT, F.when(_surplus(raw, d, len(header)), raw))
         frames.append(df.select("*", F.col("_metadata.file_name").alias("file_name"),
                                 F.col("_metadata.file_path").alias("file_path")))
     if not frames:
@@ -110,8 +123,3 @@ def route(df: DataFrame, file_col: str = "file_name") -> DataFrame:
         "source_type": C.source_type(F.col(file_col)),
         "is_csv": C.is_csv_name(F.col(file_col)),
     })
-
-
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
-    """A1 for fixed layouts (bronze/silver CSV): explicit schema, header row."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)

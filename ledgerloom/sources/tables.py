@@ -141,20 +141,21 @@ class PartitionedTable:
             held = table.select(*dict.fromkeys([*keys, *self.partition_by])).alias("t").join(
                 source.select(*keys).distinct().alias("s"), same_key("t", "s", keys), "left_semi")
             touched = touched.union(held.select(*self.partition_by)).distinct()
-        # A partition that loses all its rows is still replaced: its rows are
-        # listed before, and an empty one is removed after.
-        merged = upsert(self._in(table, touched), source, keys, order)
+        self.replace(upsert(self._in(table, touched), source, keys, order), touched, run_id)
+
+    def replace(self, rows: DataFrame, touched: DataFrame, run_id: str) -> None:
+        """Replace exactly the touched partitions by ``rows``, staged first; a
+        touched partition without rows goes."""
         stage = f"{self.staging_root}/{run_id}"
-        merged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(stage)
-        gone = []
-        if moves:
-            staged = self.spark.read.schema(merged.schema).parquet(stage).select(*self.partition_by).distinct()
-            left = touched.alias("t").join(staged.alias("s"), same_key("t", "s", self.partition_by), "left_anti")
-            gone = left.collect()                   # partitions emptied by moves
-        staged = self.spark.read.schema(merged.schema).parquet(stage)
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(stage)
+        staged = self.spark.read.schema(rows.schema).parquet(stage)
+        there = self.read(rows.schema).select(*self.partition_by).distinct()
+        cols = self.partition_by
+        gone = (touched.alias("t").join(staged.select(*cols).distinct().alias("s"), same_key("t", "s", cols), "left_anti")
+                .alias("t").join(there.alias("s"), same_key("t", "s", cols), "left_semi").collect())
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.root))
-        for row in gone:
+        for row in gone:                            # a row per emptied partition
             self._remove(row)
 
     def _remove(self, row) -> None:
@@ -173,12 +174,11 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
-def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append (audit records, quarantined rows)."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """B10/B11 safe under replay: a batch writes its own partitions, so writing
+    it again replaces its rows instead of adding them."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def create_table_as_select(spark: SparkSession, name: str, df: DataFrame,

@@ -21,7 +21,7 @@ from ..functions import columns as C
 from ..plans.ingest import (STATUS_COMPLETED, STATUS_FAILED, STATUS_REJECTED, STATUS_UNKNOWN,
                             ingest_accounts, ingest_customers, ingest_transactions)
 from ..sources.files import read_delimited
-from ..sources.tables import PartitionedTable, SnapshotTable, append_parquet
+from ..sources.tables import PartitionedTable, SnapshotTable, replace_partitions
 
 AUDIT_COLUMNS = ("file_name", "source_type", "status", "rows_parsed", "valid", "invalid",
                  "quarantined", "alerts_generated", "batch_id", "completed_at", "error")
@@ -30,47 +30,60 @@ AUDIT_COLUMNS = ("file_name", "source_type", "status", "rows_parsed", "valid", "
 class IngestSink:
     """``foreachBatch`` target: stores under ``out_root``.
 
-    Transaction and alert stores are partitioned by day, and a batch merges
-    into the days it touches only (a transaction's id and time fix its day).
-    Profile documents are partitioned by a hash bucket of their id; a batch
-    rewrites only the buckets holding documents it changes."""
+    Transaction and alert stores are partitioned by day. Profile documents are
+    partitioned by a hash bucket of their CustomerID (they are looked up by
+    customer), profile alerts by a bucket of their account. A batch rewrites
+    only the partitions that hold rows it changes. ``buckets`` is a property of
+    the stores fixed when they are created (later sinks read it back); choose
+    it so that one bucket of the final store fits a task's share.
 
-    PROFILE_BUCKETS = 64
+    Reading and the rules come first, the stores after: a file whose
+    processing fails is marked PROCESSOR_FAILED and the other files of the
+    batch go on, while an error of the stores is raised, so the batch is
+    replayed. Replays change nothing: merges are by key, audit and quarantine
+    rows are written to partitions of their batch."""
 
-    def __init__(self, out_root: str, as_of=None, rule_params: dict | None = None):
+    def __init__(self, out_root: str, as_of=None, rule_params: dict | None = None, buckets: int = 64):
         self.root = out_root.rstrip("/")
         self.as_of = as_of
         self.rule_params = rule_params or {}
+        self.buckets = buckets
+        self._known_buckets: int | None = None
 
-    def table(self, spark: SparkSession, name: str) -> SnapshotTable:
-        return SnapshotTable(spark, f"{self.root}/{name}")
+    def _bucket(self, spark: SparkSession, col: str):
+        if self._known_buckets is None:
+            marks = SnapshotTable(spark, f"{self.root}/_buckets", keep=1)
+            if not marks.exists():
+                marks.write(spark.range(self.buckets, self.buckets + 1).withColumnRenamed("id", "buckets"))
+            self._known_buckets = marks.read().first()["buckets"]
+        return F.pmod(F.xxhash64(F.col(col)), F.lit(self._known_buckets)).cast("int")
 
-    def profiles(self, spark: SparkSession) -> PartitionedTable:
-        return PartitionedTable(spark, f"{self.root}/profiles", ["bucket"], f"{self.root}/_staging/profiles")
+    def store(self, spark: SparkSession, name: str, by: str) -> PartitionedTable:
+        return PartitionedTable(spark, f"{self.root}/{name}", [by], f"{self.root}/_staging/{name}")
 
-    def _bucket(self, col: str = "id"):
-        return F.pmod(F.xxhash64(F.col(col)), F.lit(self.PROFILE_BUCKETS)).cast("int")
+    def _held_in(self, spark: SparkSession, ids: DataFrame) -> DataFrame:
+        """Buckets that hold documents with these ids now (a scan of the id column)."""
+        held = self.store(spark, "profiles", "bucket").read().select("id", "bucket")
+        return held.join(ids.select("id").distinct(), "id", "left_semi").select("bucket")
 
     def merge_profiles(self, spark: SparkSession, touched: DataFrame, build, run_id: str) -> None:
         """Read only the touched buckets, rebuild their documents with
         ``build(current_or_None)`` and replace exactly those buckets."""
-        table = self.profiles(spark)
+        table = self.store(spark, "profiles", "bucket")
         if not table.exists():
-            table.create(build(None).withColumn("bucket", self._bucket()))
+            table.create(build(None).withColumn("bucket", self._bucket(spark, "CustomerID")))
             return
         cur = table.read().join(F.broadcast(touched.distinct()), "bucket", "left_semi").drop("bucket")
-        new = build(cur).withColumn("bucket", self._bucket())
-        stage = f"{self.root}/_staging/profiles/{run_id}"
-        new.write.mode("overwrite").partitionBy("bucket").parquet(stage)
-        (spark.read.schema(new.schema).parquet(stage).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table.root))
+        table.replace(build(cur).withColumn("bucket", self._bucket(spark, "CustomerID")), touched.distinct(), run_id)
 
-    def read_profiles(self, spark: SparkSession) -> DataFrame | None:
-        t = self.profiles(spark)
-        return t.read().drop("bucket") if t.exists() else None
-
-    def by_day(self, spark: SparkSession, name: str) -> PartitionedTable:
-        return PartitionedTable(spark, f"{self.root}/{name}", ["day"], f"{self.root}/_staging/{name}")
+    def read_profiles(self, spark: SparkSession, touched: DataFrame | None = None) -> DataFrame | None:
+        t = self.store(spark, "profiles", "bucket")
+        if not t.exists():
+            return None
+        rows = t.read()
+        if touched is not None:
+            rows = rows.join(F.broadcast(touched.distinct()), "bucket", "left_semi")
+        return rows.drop("bucket")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -90,100 +103,143 @@ class IngestSink:
         by_type: dict[str, list[str]] = {}
         for r in routed.filter("is_csv").collect():
             by_type.setdefault(r.source_type, []).append(r.path)
+        # All transaction files of the batch in one pass: the rules are per file anyway.
         steps = [(["ATM", "UPI"], self._transactions), (["ACCOUNT"], self._accounts),
                  (["CUSTOMER"], self._customers)]
         for types, step in steps:
             files = [p for t in types for p in by_type.get(t, [])]
             if not files:
                 continue
-            try:
-                audits.append(step(spark, files, batch_id, cached))
-            except Exception as e:  # D6: the files are marked, the stream goes on
-                audits.append(self._failed(spark, files, e))
+            process, save = step(spark, batch_id)
+            out, counters, errors = self._processed(files, process, cached)
+            if errors:
+                audits.append(self._failed(spark, errors))
+            if out is not None:
+                save(out)
+                audits.append(spark.createDataFrame(counters, out["counters"].schema).withColumns({
+                    "source_type": C.source_type(F.col("file_name")), "status": F.lit(STATUS_COMPLETED)}))
         audit = None
         for a in audits:
             a = a.withColumns({"batch_id": F.lit(batch_id), "completed_at": C.as_of_ts(self.as_of)})
             audit = a if audit is None else audit.unionByName(a, allowMissingColumns=True)
         if audit is not None:
-            append_parquet(audit.select(*[F.col(c) if c in audit.columns else F.lit(None).cast("string").alias(c)
-                                          for c in AUDIT_COLUMNS]), f"{self.root}/audit")
+            replace_partitions(
+                audit.select(*[F.col(c) if c in audit.columns else F.lit(None).cast("string").alias(c)
+                               for c in AUDIT_COLUMNS]), f"{self.root}/audit", ["batch_id"])
         for c in cached:
             c.unpersist()
 
-    def _failed(self, spark: SparkSession, files: list[str], error: Exception) -> DataFrame:
-        rows = [(p.rsplit("/", 1)[-1], str(error)[:1000]) for p in files]
+    @staticmethod
+    def _processed(files: list[str], process, cached: list):
+        """(outputs, counters, {file: error}) of the files that can be
+        processed. The counters (one row per file) are computed here, which
+        reads every row and runs every rule; if that fails, each file is tried
+        alone and the good ones are processed together (D6)."""
+        def run(some: list[str]):
+            out = process(some)
+            kept = [out[k].persist() for k in ("valid", "alerts") if k in out]
+            cached.extend(kept)
+            return out, out["counters"].collect()
+
+        try:
+            return *run(files), {}
+        except Exception as first:
+            errors = {}
+            for f in files:
+                try:
+                    if len(files) > 1:
+                        process([f])["counters"].collect()
+                    else:
+                        errors[f] = first
+                except Exception as e:
+                    errors[f] = e
+            good = [f for f in files if f not in errors]
+            if not errors:
+                raise                               # no file is at fault: the batch is replayed
+            return (*run(good), errors) if good else (None, [], errors)
+
+    def _failed(self, spark: SparkSession, errors: dict[str, Exception]) -> DataFrame:
+        rows = [(p.rsplit("/", 1)[-1], str(e)) for p, e in errors.items()]
         df = spark.createDataFrame(rows, "file_name string, error string")
         return df.withColumns({"source_type": C.source_type(F.col("file_name")),
                                "status": F.lit(STATUS_FAILED)})
 
-    def _transactions(self, spark: SparkSession, files: list[str], batch_id: int, cached: list) -> DataFrame:
-        # All transaction files of the batch in one pass (the rules are per
-        # file anyway); rows are routed to their store by file name.
-        raw = read_delimited(spark, files)
-        raw = raw.withColumn("source_type", C.source_type(F.col("file_name")))
-        out = ingest_transactions(raw, **self.rule_params)
-        # Several sinks read the validated rows and the alerts: keep them for
-        # this micro-batch (bounded by the trigger's file limit).
-        cached += [out["valid"].persist(), out["alerts"].persist()]
-        valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
-                 .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
-        for stype in ("ATM", "UPI"):
-            part = valid.filter(F.col("source_type") == stype).drop("source_type")
-            self.by_day(spark, stype.lower()).merge(part, ["TransactionID", "AccountNumber"], f"b{batch_id}")
-        alerts = out["alerts"].withColumn("day", F.to_date(F.try_to_timestamp("created_at")))
-        self.by_day(spark, "alerts").merge(alerts, ["alert_id"], f"b{batch_id}")
-        append_parquet(out["quarantine"], f"{self.root}/quarantine", ["source_type"])
-        return out["counters"].withColumns({"source_type": C.source_type(F.col("file_name")),
-                                            "status": F.lit(STATUS_COMPLETED)})
-
-    def _accounts(self, spark: SparkSession, files: list[str], batch_id: int, cached: list) -> DataFrame:
+    def _quarantine(self, rows: DataFrame, batch_id: int) -> None:
+        replace_partitions(rows.withColumn("batch_id", F.lit(batch_id)), f"{self.root}/quarantine",
+                           ["source_type", "batch_id"])
+
+    def _transactions(self, spark: SparkSession, batch_id: int):
+        def process(files):
+            raw = read_delimited(spark, files)
+            return ingest_transactions(raw.withColumn("source_type", C.source_type(F.col("file_name"))),
+                                       **self.rule_params)
+
+        def save(out):
+            valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
+                     .withColumns({"batch_id": F.lit(batch_id), "day": F.to_date("Timestamp")}))
+            for stype in ("ATM", "UPI"):
+                part = valid.filter(F.col("source_type") == stype).drop("source_type")
+                self.store(spark, stype.lower(), "day").merge(part, ["TransactionID", "AccountNumber"], f"b{batch_id}",
+                                                              ["Timestamp", "file_name", "Amount"])
+            alerts = out["alerts"].withColumn("day", F.to_date(F.try_to_timestamp("created_at")))
+            self.store(spark, "alerts", "day").merge(alerts, ["alert_id"], f"b{batch_id}", ["anchor_ts", "TransactionID"])
+            self._quarantine(out["quarantine"], batch_id)
+        return process, save
+
+    def _accounts(self, spark: SparkSession, batch_id: int):
         from ..operators.rules_profile import customer_lookup
         from ..plans.ingest import merge_accounts_into_profiles
-        current = self.read_profiles(spark)
-        # Income of the customer documents already stored.
-        customers = None if current is None else customer_lookup(current).select(
-            "CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
-        out = ingest_accounts(read_delimited(spark, files), customers, as_of=self.as_of)
-        docs = out["documents"]
-        touched = docs.select(self._bucket().alias("bucket"))
-        self.merge_profiles(spark, touched, lambda cur: merge_accounts_into_profiles(cur, docs), f"a{batch_id}")
-        self.table(spark, "profile_alerts").merge(out["alerts"], ["alert_id"])
-        append_parquet(out["quarantine"].withColumn("source_type", F.lit("ACCOUNT")),
-                       f"{self.root}/quarantine", ["source_type"])
-        return out["counters"].withColumns({"source_type": F.lit("ACCOUNT"), "status": F.lit(STATUS_COMPLETED)})
-
-    def _customers(self, spark: SparkSession, files: list[str], batch_id: int, cached: list) -> DataFrame:
+
+        def process(files):
+            raw = read_delimited(spark, files)
+            # Income of the customer documents already stored, in the buckets of these customers.
+            customers = None
+            if "CustomerID" in raw.columns:
+                own = raw.select(C.blank_to_null("CustomerID").alias("CustomerID")).distinct()
+                current = self.read_profiles(spark, own.select(self._bucket(spark, "CustomerID").alias("bucket")))
+                customers = None if current is None else customer_lookup(current).select(
+                    "CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
+            return ingest_accounts(raw, customers, as_of=self.as_of)
+
+        def save(out):
+            docs = out["documents"]
+            touched = docs.select(self._bucket(spark, "CustomerID").alias("bucket"))
+            if self.store(spark, "profiles", "bucket").exists():
+                touched = touched.union(self._held_in(spark, docs))     # an account may change its customer
+            self.merge_profiles(spark, touched, lambda cur: merge_accounts_into_profiles(cur, docs), f"a{batch_id}")
+            alerts = out["alerts"].withColumn("bucket", self._bucket(spark, "AccountNumber"))
+            self.store(spark, "profile_alerts", "bucket").merge(alerts, ["alert_id"], f"b{batch_id}", moves=False)
+            self._quarantine(out["quarantine"].withColumn("source_type", F.lit("ACCOUNT")), batch_id)
+        return process, save
+
+    def _customers(self, spark: SparkSession, batch_id: int):
         from ..plans.ingest import empty_profiles, merge_customer_profiles
-        out = ingest_customers(read_delimited(spark, files))
-        current = self.read_profiles(spark)
-        batch = out["customers"].select("CustomerID").distinct()
-        # Buckets of every stored document of these customers, and of the
-        # standalone documents that customers without one get.
-        standalone_ids = batch.select(F.concat(F.lit("CUSTOMER_"), "CustomerID").alias("id"))
-        touched = standalone_ids.select(self._bucket().alias("bucket"))
-        if current is not None:
-            touched = touched.unionByName(
-                current.join(batch, "CustomerID", "left_semi").select(self._bucket().alias("bucket")))
-        customers = out["customers"]
-        self.merge_profiles(
-            spark, touched,
-            lambda cur: merge_customer_profiles(cur if cur is not None else empty_profiles(spark), customers),
-            f"c{batch_id}")
-        append_parquet(out["quarantine"].withColumn("source_type", F.lit("CUSTOMER")),
-                       f"{self.root}/quarantine", ["source_type"])
-        return out["counters"].withColumns({"source_type": F.lit("CUSTOMER"), "status": F.lit(STATUS_COMPLETED)})
+
+        def process(files):
+            return ingest_customers(read_delimited(spark, files))
+
+        def save(out):
+            customers = out["customers"]
+            # All documents of a customer, and the standalone one of a customer without any, share a bucket.
+            touched = customers.select(self._bucket(spark, "CustomerID").alias("bucket"))
+            self.merge_profiles(
+                spark, touched,
+                lambda cur: merge_customer_profiles(cur if cur is not None else empty_profiles(spark), customers),
+                f"c{batch_id}")
+            self._quarantine(out["quarantine"].withColumn("source_type", F.lit("CUSTOMER")), batch_id)
+        return process, save
 
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, out_root: str, checkpoint: str,
                         as_of=None, rule_params: dict | None = None,
-                        max_files_per_trigger: int = 1000, available_now: bool = True):
+                        max_files_per_trigger: int = 1000, available_now: bool = True, buckets: int = 64):
     """Start the arrival-driven ingestion; returns the ``StreamingQuery``."""
     arrivals = (spark.readStream.format("binaryFile")
                 .schema("path string, modificationTime timestamp, length long, content binary")
                 .option("maxFilesPerTrigger", max_files_per_trigger)
                 .option("recursiveFileLookup", "true")
                 .load(landing_dir).select("path", "length"))
-    w = (arrivals.writeStream.foreachBatch(IngestSink(out_root, as_of, rule_params))
+    w = (arrivals.writeStream.foreachBatch(IngestSink(out_root, as_of, rule_params, buckets))
          .option("checkpointLocation", checkpoint)
          .queryName(f"ingest_{uuid.uuid4().hex[:8]}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

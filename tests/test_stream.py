@@ -48,8 +48,7 @@ def test_account_alerts_use_stored_customers(spark, scratch):
     with open(f"{inbox}/account_b.csv", "w") as f:
         f.write("AccountNumber,CustomerID,Balance,AccountOpenDate\nA2,C1,5000,2020-01-01\n")
     start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
-    from ledgerloom.sources.tables import SnapshotTable
-    ids = {r.alert_id for r in SnapshotTable(spark, f"{out}/profile_alerts").read().collect()}
+    ids = {r.alert_id for r in spark.read.parquet(f"{out}/profile_alerts").collect()}
     assert "ALERT_BALANCE_INCOME_MISMATCH_A2" in ids and "ALERT_BALANCE_INCOME_MISMATCH_A1" not in ids
     prof = {r.id: r for r in spark.read.parquet(f"{out}/profiles").collect()}
     # A1 got its customer part when the customer file came; a new account
