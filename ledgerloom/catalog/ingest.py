@@ -375,11 +375,68 @@ def q_lakehouse_end_to_end(spark, sf):
                   drain_threshold=fx.DRAIN_AMOUNT, drain_window_sec=fx.DRAIN_WINDOW_SEC)
     start_ingest_stream(spark, f"{base}/inbox", f"{base}/stores", f"{base}/checkpoint",
                         as_of=AS_OF, rule_params=params).awaitTermination()
-    silver = L.build_silver(L.read_stores(spark, f"{base}/stores"), as_of=AS_OF)
-    L.write_gold(spark, L.build_gold(silver, as_of=AS_OF), f"{base}/gold", "run1")
+    bronze = L.write_bronze(spark, L.read_stores(spark, f"{base}/stores"), f"{base}/bronze", as_of=AS_OF)
+    silver = L.write_silver(spark, bronze, f"{base}/silver", as_of=AS_OF)
+    L.write_gold(spark, silver, f"{base}/gold", "run1", as_of=AS_OF)
     return L.channel_summary(L.read_gold(spark, f"{base}/gold")["fact_transactions"])
 
 
+@register("lakehouse_layers", with_fixtures(("fx_txn_raw", "fx_account"), f"""with {VALID_SQL},
+t as (select count(*) as n, count(*) filter (where file_name like 'atm%') as atm, sum(Amount) as a,
+             sum(Amount) filter (where file_name like 'atm%') as atm_a,
+             count(distinct TransactionID) filter (where Amount >= {fx.HIGH_VALUE}) as high from valid),
+p as (select count(distinct AccountNumber) as n, count(distinct CustomerID) as c from fx_account
+      where CustomerID is not null and Balance is not null and AccountOpenDate is not null)
+select 'bronze' as layer, 'atm' as name, atm as n, atm_a as amount from t
+union all select 'bronze', 'alerts', high, null from t
+union all select 'bronze', 'ingested today', n, null from p
+union all select 'silver', 'upi', n - atm, a - atm_a from t
+union all select 'silver', 'alerts', high, null from t
+union all select 'silver', 'transactions', n, a from t
+union all select 'silver', 'account', n, null from p
+union all select 'gold', 'customer360', c, null from p
+union all select 'gold', 'fact_transactions', n, a from t
+union all select 'gold', 'fact with both keys', n, null from t
+union all select 'gold', 'missing dates', 0, null"""))
+def q_lakehouse_layers(spark, sf):
+    """Every layer of the chain as stored: rows, sums, keys, ingestion columns."""
+    from ..operators.validate import validate_transactions
+    from ..operators.rules_txn import high_value
+    from ..plans import fact, lakehouse as L
+    base = _scratch(spark, "layers")
+    good = valid_rows(validate_transactions(fixture(spark, sf, "fx_txn_raw")))
+    acc = _account_text(spark, sf).withColumn("file_name", F.lit("account_master.csv"))
+    docs = ingest.ingest_accounts(acc, as_of=AS_OF)["documents"]
+    alerts = ingest.normalize_alerts(high_value(good, fx.HIGH_VALUE))
+    rows = good.drop("errors", "is_valid")
+    stores = {"profiles": ingest.merge_accounts_into_profiles(None, docs), "alerts": alerts,
+              "atm": rows.filter(F.col("file_name").startswith("atm")),
+              "upi": rows.filter(F.col("file_name").startswith("upi"))}
+    bronze = L.write_bronze(spark, stores, f"{base}/bronze", as_of=AS_OF)
+    silver = L.write_silver(spark, bronze, f"{base}/silver", as_of=AS_OF)
+    L.write_gold(spark, silver, f"{base}/gold", "run1", as_of=AS_OF)
+    gold = L.read_gold(spark, f"{base}/gold")
+    f = gold["fact_transactions"]
+
+    def row(layer, name, df, amount=None):
+        a = F.sum("Amount") if amount else F.lit(None).cast("double")
+        return df.agg(F.count(F.lit(1)).alias("n"), a.alias("amount")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("name"), "n", "amount")
+
+    parts = [row("bronze", "atm", bronze["atm"], True), row("bronze", "alerts", bronze["alerts"]),
+             row("bronze", "ingested today", bronze["accounts"].filter(
+                 (F.col("ingest_date") == F.lit(AS_OF).cast("date")) & (F.col("ingest_source") == "accounts"))),
+             row("silver", "upi", silver["upi"], True), row("silver", "alerts", silver["alerts"]),
+             row("silver", "transactions", silver["transactions"], True), row("silver", "account", silver["account"]),
+             row("gold", "customer360", gold["customer360"]), row("gold", "fact_transactions", f, True),
+             row("gold", "fact with both keys", f.filter("CustomerSK is not null and AccountSK is not null")),
+             row("gold", "missing dates", fact.missing_dates(f, gold["dim_date"]))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---- delimited files as they really come -------------------------------------
 
 @register("csv_quoted_fields", """

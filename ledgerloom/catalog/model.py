@@ -131,8 +131,7 @@ def q_dim_date(spark, sf):
 
 def _fact(spark, sf):
     txn, acc = transactions(spark, sf), accounts(spark, sf)
-    return fact.fact_transactions(txn, acc, _dim_v1(spark, sf), dims.dim_account(acc),
-                                  dims.dim_date(txn))
+    return fact.fact_transactions(txn, acc, _dim_v1(spark, sf), dims.dim_account(acc))
 
 
 _FACT_SQL = f"""with {ACC_SQL}, {_D1_SQL},

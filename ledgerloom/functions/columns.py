@@ -135,8 +135,10 @@ def surrogate_id(key: ColumnLike, fallback_key: ColumnLike | None = None,
 # ---- silver derivations -------------------------------------------------
 
 def split_timestamp(ts_text: ColumnLike) -> tuple[Column, Column]:
-    """H8: text timestamp -> (date, ``HH:mm:ss`` string)."""
-    ts = F.try_to_timestamp(_c(ts_text).cast("string"))
+    """H8: text timestamp -> (date, ``HH:mm:ss`` string); text in another
+    layout is read as validation reads it."""
+    text = _c(ts_text).cast("string")
+    ts = F.coalesce(F.try_to_timestamp(text), parse_ts(text))
     return F.to_date(ts), F.date_format(ts, "HH:mm:ss")
 
 

@@ -58,14 +58,13 @@ def account_keys(silver_account: DataFrame, dim_customer: DataFrame,
 
 
 def fact_transactions(txn: DataFrame, silver_account: DataFrame, dim_customer: DataFrame,
-                      dim_account: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
-    """The 13-column fact."""
+                      dim_account: DataFrame) -> DataFrame:
+    """The 13-column fact. The DateKey follows from the date; the
+    calendar lookup (K18) changes no row and is a check of its own,
+    ``missing_dates``."""
     t = keyed_transactions(txn)
     keys = account_keys(silver_account, dim_customer, dim_account)
     f = t.join(keys, "AccountNumber", "left")
-    if dim_date is not None:
-        # Calendar lookup (a key check); one row per day -> broadcast.
-        f = f.join(F.broadcast(dim_date.select("DateKey")), "DateKey", "left")
     return f.select(
         "TransactionID", "CustomerSK", "AccountSK", "DateKey", "TxnDateTime", "Transaction_Date",
         "Transaction_Time", "Year", "Month", "Amount", "Channel",
@@ -80,6 +79,12 @@ def fact_merge(target: DataFrame | None, source: DataFrame) -> DataFrame:
     return upsert(target, source, ["TransactionID"])
 
 
+def missing_dates(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """DateKeys of the fact that the calendar lacks, with their rows."""
+    used = fact.groupBy("DateKey").agg(F.count(F.lit(1)).alias("rows"))
+    return used.join(dim_date.select("DateKey"), "DateKey", "left_anti")
+
+
 def key_coverage(fact: DataFrame) -> DataFrame:
     """Rows and rows missing each surrogate key."""
     return fact.agg(

@@ -1,10 +1,12 @@
 """The whole chain, as the notebooks run it: ingestion stores -> bronze ->
 silver -> unified transactions -> Customer 360 -> dimensions -> fact.
 
-``build_gold`` is lazy (DataFrames only); ``write_gold`` persists the layers:
-snapshot tables for silver, 360 and dimensions, the fact partitioned by
-Year/Month with touched-partition merges, so a re-run only rewrites the
-months its transactions fall in.
+Each layer is written and the next one reads it back, so no part is computed
+twice and every table of a run carries the same run time: ``write_bronze`` and
+``write_silver`` (snapshot tables), ``write_gold`` (360, dimensions, and the
+fact partitioned by Year/Month with touched-partition merges, so a re-run only
+rewrites the months its transactions fall in). ``build_silver`` and
+``build_gold`` give the DataFrames alone; numbering inside them runs jobs.
 """
 
 from __future__ import annotations
@@ -13,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import documents as D
+from ..operators.merge import scd2_rejects
+from ..operators.rules_flags import flag_alerts
 from ..sources.tables import PartitionedTable, SnapshotTable
 from . import dims, fact
-from .customer360 import customer360
-from .silver import silver_account, silver_atm, silver_kyc, silver_upi, union_channels
+from .customer360 import account_map_conflicts, customer360
+from .reports import with_ingest_columns
+from .silver import silver_account, silver_alerts, silver_atm, silver_kyc, silver_upi, union_channels
 
 KYC_EMPTY = "CustomerID string, VerificationStatus string, IssueDate date, ExpiryDate date"
 
@@ -24,9 +29,15 @@ KYC_EMPTY = "CustomerID string, VerificationStatus string, IssueDate date, Expir
 def read_stores(spark: SparkSession, stores_root: str) -> dict[str, DataFrame]:
     """The ingestion stores written by ``streaming.file_stream``."""
     root = stores_root.rstrip("/")
-    return {"profiles": spark.read.parquet(f"{root}/profiles").drop("bucket"),
-            "atm": spark.read.parquet(f"{root}/atm"),
-            "upi": spark.read.parquet(f"{root}/upi")}
+    out = {"profiles": spark.read.parquet(f"{root}/profiles").drop("bucket"),
+           "atm": spark.read.parquet(f"{root}/atm"),
+           "upi": spark.read.parquet(f"{root}/upi")}
+    for name, by in (("alerts", "day"), ("profile_alerts", "bucket")):     # raised or not
+        table = PartitionedTable(spark, f"{root}/{name}", [by], f"{root}/_staging/{name}")
+        if table.exists():
+            rows = table.read().drop(by)
+            out["alerts"] = out["alerts"].unionByName(rows, allowMissingColumns=True) if "alerts" in out else rows
+    return out
 
 
 def build_silver(stores: dict[str, DataFrame], kyc: DataFrame | None = None, as_of=None) -> dict[str, DataFrame]:
@@ -55,15 +66,67 @@ def build_gold(silver: dict[str, DataFrame], as_of=None,
     dim_a = dims.dim_account(acc, dim_account_current)
     dim_d = dims.dim_date(txn)
     return {"customer360": c360, "dim_customer": dim_c, "dim_account": dim_a, "dim_date": dim_d,
-            "fact_transactions": fact.fact_transactions(txn, acc, dim_c, dim_a, dim_d)}
+            "fact_transactions": fact.fact_transactions(txn, acc, dim_c, dim_a)}
+
+
+BRONZE = ("accounts", "atm", "upi", "alerts", "kyc")
+SILVER = ("account", "atm", "upi", "alerts", "kyc", "transactions", "flag_alerts")
+
+
+def _write(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    out = {}
+    for name, df in tables.items():
+        table = SnapshotTable(spark, f"{root.rstrip('/')}/{name}")
+        table.write(df)
+        out[name] = table.read()
+    return out
+
 
+def write_bronze(spark: SparkSession, stores: dict[str, DataFrame], root: str, kyc: DataFrame | None = None,
+                 as_of=None) -> dict[str, DataFrame]:
+    """Flattened store documents, transactions and alerts with the ingestion
+    columns (L7), written; returns the tables read back."""
+    accounts = D.bronze(stores["profiles"], numeric_fields=["Account_Balance", "Customer_AnnualIncome"])
+    tables = {"accounts": accounts, "atm": stores["atm"], "upi": stores["upi"],
+              "kyc": kyc if kyc is not None else spark.createDataFrame([], KYC_EMPTY)}
+    if stores.get("alerts") is not None:
+        tables["alerts"] = stores["alerts"]
+    return _write(spark, root, {n: with_ingest_columns(df, as_of, n) for n, df in tables.items()})
+
+
+INGEST_COLUMNS = ("ingest_ts", "ingest_date", "ingest_source")
+
+
+def write_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of=None) -> dict[str, DataFrame]:
+    """Silver tables, unified transactions and flag alerts (J10), written;
+    each is built from tables already stored."""
+    b = {n: df.drop(*INGEST_COLUMNS) for n, df in bronze.items()}
+    first = {"account": silver_account(b["accounts"], as_of), "atm": silver_atm(b["atm"]),
+             "upi": silver_upi(b["upi"]), "kyc": silver_kyc(b["kyc"], as_of)}
+    if "alerts" in b:
+        first["alerts"] = silver_alerts(b["alerts"], as_of)
+    out = _write(spark, root, first)
+    out |= _write(spark, root, {"transactions": union_channels(out["atm"], out["upi"])})
+    out |= _write(spark, root, {"flag_alerts": flag_alerts(out["transactions"], as_of)})
+    return out
 
-def write_gold(spark: SparkSession, gold: dict[str, DataFrame], gold_root: str, run_id: str) -> None:
+
+def write_gold(spark: SparkSession, silver: dict[str, DataFrame], gold_root: str, run_id: str, as_of=None) -> None:
+    """Customer 360, then the dimensions from it, then the fact from them,
+    each from stored tables; rows left out and accounts with several customers
+    are stored beside them (Q6, Q18)."""
     root = gold_root.rstrip("/")
-    for name in ("customer360", "dim_customer", "dim_account", "dim_date"):
-        SnapshotTable(spark, f"{root}/{name}").write(gold[name])
-    PartitionedTable(spark, f"{root}/fact_transactions", ["Year", "Month"],
-                     f"{root}/_staging/fact").merge(gold["fact_transactions"], ["TransactionID"], run_id, moves=False)
+    txn, acc = silver["transactions"], silver["account"]
+    dim_c, dim_a = current_dimensions(spark, root)
+    out = _write(spark, root, {"customer360": customer360(txn, acc, silver["kyc"], as_of=as_of)})
+    out |= _write(spark, root, {
+        "dim_customer": dims.dim_customer(dim_c, out["customer360"], as_of),
+        "dim_account": dims.dim_account(acc, dim_a), "dim_date": dims.dim_date(txn),
+        "rejected_customers": scd2_rejects(out["customer360"], "CustomerID"),
+        "account_conflicts": account_map_conflicts(acc)})
+    rows = fact.fact_transactions(txn, acc, out["dim_customer"], out["dim_account"])
+    PartitionedTable(spark, f"{root}/fact_transactions", ["Year", "Month"], f"{root}/_staging/fact").merge(
+        rows, ["TransactionID"], run_id, moves=False)
 
 
 def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:

@@ -67,6 +67,10 @@ def silver_account(bronze: DataFrame, as_of=None, distinct: bool = True) -> Data
 
 
 def _split_ts(df: DataFrame, src: str) -> DataFrame:
+    """Date and time from the validated ``Timestamp`` where there is one (it
+    accepts more layouts than the raw text's ISO form), else from the text."""
+    if dict(df.dtypes).get("Timestamp") == "timestamp":
+        src = "Timestamp"
     d, t = C.split_timestamp(src)
     return df.withColumns({"Transaction_Date": d, "Transaction_Time": t})
 

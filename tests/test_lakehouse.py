@@ -25,15 +25,14 @@ def test_gold_rerun_is_stable(spark, scratch):
                                 "U1,A2,C1,5,2024-01-02 12:00:00,Success\n")
     start_ingest_stream(spark, inbox, stores, f"{scratch}/ckpt", as_of="2024-01-31").awaitTermination()
     silver = L.build_silver(L.read_stores(spark, stores), as_of="2024-01-31")
-    L.write_gold(spark, L.build_gold(silver, as_of="2024-01-31"), gold, "run1")
+    L.write_gold(spark, silver, gold, "run1", as_of="2024-01-31")
     first = L.read_gold(spark, gold)
     assert first["fact_transactions"].count() == 3
     assert first["fact_transactions"].filter(F.col("CustomerSK").isNull()).count() == 0
     # collect now: the second run replaces the fact's partition files
     f1 = sorted(tuple(r) for r in first["fact_transactions"].select("TransactionID", "Amount").collect())
     cur_c, cur_a = L.current_dimensions(spark, gold)
-    L.write_gold(spark, L.build_gold(silver, as_of="2024-01-31", dim_customer_current=cur_c,
-                                     dim_account_current=cur_a), gold, "run2")
+    L.write_gold(spark, silver, gold, "run2", as_of="2024-01-31")
     second = L.read_gold(spark, gold)
     dim = second["dim_customer"]
     assert dim.count() == 2 and dim.filter(~F.col("CurrentFlag")).count() == 0
