@@ -80,7 +80,7 @@ class Model:
     backoff: dict[int, np.ndarray] = field(default_factory=dict)    # order -> [context, language]
     floor: np.ndarray | None = None                                 # log-probability of an unseen character
     centre: np.ndarray | None = None                                # calibration, by language
-    reach: np.ndarray | None = None
+    reach: float = np.inf
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +221,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
             for lang, parts in by.items():
                 key, c = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(key)), pa.array(key.view(np.int64)), pa.array(c)], ["lang", "key", "c"])
+                    [pa.array([lang] * len(key), pa.string()), pa.array(key.view(np.int64)), pa.array(c, pa.int64())], ["lang", "key", "c"])
 
     table = (chosen.filter(~held).mapInArrow(count, "lang string, key long, c long")
              .groupBy("lang", "key").agg(F.sum("c").alias("c")).toArrow())
@@ -246,13 +246,14 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
 
     back = chosen.filter(held).mapInArrow(measure, "lang string, n long, h double").toArrow()
     lang, n, h = (back.column(i).to_numpy() for i in range(3))
-    model.centre, model.reach = np.zeros(len(languages)), np.full(len(languages), np.inf)
-    for j, x in enumerate(languages):
-        of = lang == x
-        if of.sum() >= 20:                               # too few texts: nothing is rejected
-            model.centre[j] = np.median(h[of])
-            z = (h[of] - model.centre[j]) / _width(n[of])
-            model.reach[j] = 2.5 * max(np.quantile(z, 0.998), 1.0)
+    # A language's centre is its own median (with few texts: that of all); the
+    # reach is common, twice what all but 2 in 1000 held-back texts need.
+    everywhere = float(np.median(h)) if len(h) else 0.0
+    model.centre = np.array([np.median(h[lang == x]) if (lang == x).sum() >= 5 else everywhere for x in languages])
+    model.reach = np.inf                                 # too few texts: nothing is rejected
+    if len(h) >= 20:
+        z = (h - model.centre[[languages.index(x) for x in lang]]) / _width(n)
+        model.reach = 2.0 * max(float(np.quantile(z, 0.998)), 3.0)
     return model
 
 
@@ -285,7 +286,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 best = h.argmin(axis=1)
                 low = h[np.arange(len(h)), best]
                 score = 1.0 / np.exp(-SHARPNESS * (h - low[:, None])).sum(axis=1)
-                rejected = low > m.centre[best] + m.reach[best] * _width(n)
+                rejected = low > m.centre[best] + m.reach * _width(n)
             else:
                 best, low, score = np.zeros(len(n), int), np.zeros(len(n)), np.zeros(len(n))
                 rejected = np.ones(len(n), bool)
