@@ -5,18 +5,20 @@
    ``BITS`` bits of each minimum packed into longs, and adds a 128-bit digest
    of the set. The texts are not shuffled.
 2. Documents with equal sets are one class, represented by the least id.
-3. Representatives that share a band are candidates. Each bucket links its
-   members to its least id (a star, never all pairs).
-4. Candidates whose sizes allow the similarity and whose collision-corrected
-   estimate (bit counts of the packed signatures) is within a margin of it
-   are confirmed on the full shingle sets, read again for these documents.
-5. Buckets whose members are still in different components are compared in
-   blocks, by signature, and what comes near is confirmed too, so a bucket's
-   least id being far from a member loses no link.
-6. Components of the confirmed links (``components.py``).
-
-Chance to miss a pair with similarity s: (1 - s**ROWS)**BANDS, 5e-7 at 0.8, plus
-3e-7 that its estimate is more than ``MARGIN`` (five standard errors) low.
+3. Representatives that share a band meet in a bucket. Each bucket compares
+   its members with its least id (a star, never all pairs): sizes must allow
+   the similarity and the collision-corrected estimate (bit counts of the
+   packed signatures) be within ``MARGIN`` of it. Buckets whose members are
+   still apart are compared in blocks, by signature; each block passes on a
+   forest, at most one pair per member. The components are the clusters.
+4. The full shingle sets of clustered documents, read again, meet per cluster
+   in blocks of bounded size; a search along exact links of the similarity
+   asked for passes on its tree, at most one link per member.
+5. Components of these confirmed links (``components.py``).
+
+A pair with similarity s meets in no band with chance (1 - s**ROWS)**BANDS, 5e-7
+at 0.8, and its estimate is more than ``MARGIN`` (five standard errors) low with
+chance 3e-7; whatever meets is decided exactly.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ PER_LONG = 64 // BITS
 LONGS = HASHES // PER_LONG
 MARGIN = 0.14
 BLOCK = 1000                    # members of a bucket compared at once
+BLOCK_SHINGLES = 200_000        # shingles of a cluster compared at once
 _WORDS_KEPT = 500_000           # remembered word hashes per worker process
 _U = np.uint64
 _LOW = 0x5555555555555555       # the low bit of each 2-bit field
@@ -189,69 +192,96 @@ def _near(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         estimate(_different(F.col("siga"), F.col("sigb"))) >= percent / 100 - MARGIN).select("a", "b").distinct()
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose full sets have the similarity. Only the texts of documents
-    in a pair are read again and shuffled; sets go to the pairs by two joins."""
-    pairs = written(pairs, "near-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = _probably_in(docs, ids).join(ids, "id", "left_semi")
-    sets = written(shingle_sets(wanted, k), "shingle-sets")
-    sa = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    sb = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    joined = pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    kind = docs.schema["id"].dataType.simpleString()
-    return written(joined.mapInArrow(run, f"a {kind}, b {kind}"), "near-links")
+def _dealt(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
+    """Rows of each key dealt into blocks by a hash of the id, and each pair of
+    blocks (x <= y) one group, so that no task holds a large key."""
+    d = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return d.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop(
+        "blocks", "block", "other")
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of bucket members (key, id, n, sig, comp, size) in different
-    components whose sizes and signatures allow the similarity. A bucket is
-    dealt into blocks of about ``BLOCK`` members and each pair of blocks is one
-    small group, so no task holds a large bucket."""
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    d = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    d = d.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block",
-                 "id", "n", "sig", "comp")
+    """Pairs (a, b) that join the components (comp) of bucket members (key, id,
+    n, sig, comp, size) whose sizes and signatures allow the similarity: of all
+    such pairs of a group, a forest over its components."""
+    d = _dealt(rows, "key", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).select("key", "x", "y", "id", "n", "sig", "comp")
     least, c = percent / 100 - MARGIN, 1.0 / (1 << BITS)
     most = int((1 - (least * (1 - c) + c)) * HASHES) + 1         # fields that may differ
 
     def run(group: pa.Table) -> pa.Table:
         ids, n = group.column("id"), group.column("n").to_numpy()
-        comp = group.column("comp").to_pylist()
-        comp = np.unique(np.array([str(x) for x in comp]), return_inverse=True)[1]
-        block = group.column("block").to_numpy()
+        label = np.unique(np.array([str(x) for x in group.column("comp").to_pylist()]), return_inverse=True)[1]
         sig = np.array(group.column("sig").to_pylist(), np.int64).view(np.uint64)
-        one = group.column("x")[0].as_py() == group.column("y")[0].as_py()
         left, right = [], []
         for i in range(len(n)):
-            rest = np.arange(i + 1, len(n))
-            rest = rest[comp[rest] != comp[i]]
-            if not one:
-                rest = rest[block[rest] != block[i]]
+            rest = np.flatnonzero(label != label[i])
             if not len(rest):
-                continue
+                break
             rest = rest[100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])]
             x = sig[rest] ^ sig[i]
-            apart = np.bitwise_count((x | (x >> _U(1))) & _U(_LOW)).sum(axis=1)
-            rest = rest[apart <= most]
-            left += [i] * len(rest)
-            right += rest.tolist()
+            near = rest[np.bitwise_count((x | (x >> _U(1))) & _U(_LOW)).sum(axis=1) <= most]
+            for joined, first in zip(*np.unique(label[near], return_index=True), strict=True):
+                left.append(i)
+                right.append(int(near[first]))
+                label[label == joined] = label[i]
         return pa.table({"a": ids.take(pa.array(left, pa.int64())), "b": ids.take(pa.array(right, pa.int64()))})
 
     kind = rows.schema["id"].dataType.simpleString()
-    pairs = d.groupBy("key", "x", "y").applyInArrow(run, f"a {kind}, b {kind}")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return d.groupBy("key", "x", "y").applyInArrow(run, f"a {kind}, b {kind}")
+
+
+def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Tree edges of a search along exact links (100 * intersection >= percent
+    * union) through a list of sets: one intersection count with all sets at
+    once, by an inverted index, per set visited; it ends when all are reached."""
+    n = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    every = np.concatenate(sets)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    unique, start = np.unique(every, return_index=True)
+    end = np.append(start[1:], len(every))
+    seen, edges = np.zeros(len(sets), bool), []
+    for root in range(len(sets)):
+        if seen[root]:
+            continue
+        seen[root] = True
+        stack = [root]
+        while stack and not seen.all():
+            i = stack.pop()
+            at = np.searchsorted(unique, sets[i])
+            lo, size = start[at], end[at] - start[at]
+            place = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+            both = np.bincount(owner[place], minlength=len(sets))
+            for j in np.flatnonzero((100 * both >= percent * (n + n[i] - both)) & ~seen):
+                seen[j] = True
+                edges.append((i, int(j)))
+                stack.append(int(j))
+    return edges
+
+
+def _confirm(clusters: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Exact links (a, b) within clusters (id, n, cluster), a tree for each
+    group of blocks. Only the texts of clustered documents are read again and
+    shuffled."""
+    ids = clusters.select("id")
+    wanted = _probably_in(docs, ids).join(ids, "id", "left_semi")
+    sets = shingle_sets(wanted, k).join(clusters, "id")
+    totals = clusters.groupBy("cluster").agg(F.sum("n").alias("total"))
+    # Clusters are small but for a few: their totals decide the number of blocks.
+    sets = sets.join(totals, "cluster")
+    d = _dealt(sets, "cluster", F.ceil(F.col("total") / F.lit(BLOCK_SHINGLES)).cast("int")).select("cluster", "x", "y", "id", "shingles")
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("shingles")]
+        edges = linked(rows, percent) if len(rows) > 1 else []
+        ids = group.column("id")
+        return pa.table({"a": ids.take(pa.array([e[0] for e in edges], pa.int64())),
+                         "b": ids.take(pa.array([e[1] for e in edges], pa.int64()))})
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return written(d.groupBy("cluster", "x", "y").applyInArrow(run, f"a {kind}, b {kind}"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -279,16 +309,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     centres = rows.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = written(rows.join(centres, "key"), "shared-buckets")
     stars = shared.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    links = _confirm(_near(stars, reps, percent), d, k, percent)
+    near = written(_near(stars, reps, percent), "near-pairs")
 
-    comp = components(links)
+    comp = components(near)
     members = shared.filter("size > 2").join(comp, "id", "left").select(
         "key", "id", "size", F.coalesce("component", "id").alias("comp"))
     mixed = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-    open_rows = members.join(mixed, "key", "left_semi").join(reps.select("id", "n", "sig"), "id")
-    tested = stars.select("a", "b")
-    more = _across(open_rows, percent).join(tested, ["a", "b"], "left_anti")
-    links = links.union(_confirm(more, d, k, percent))
+    apart = members.join(mixed, "key", "left_semi").join(reps.select("id", "n", "sig"), "id")
+    comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).union(_across(apart, percent)))
+    heads = comp.select(F.col("component").alias("id"), "component").distinct()
+    clusters = written(comp.union(heads).join(reps.groupBy("id").agg(F.max("n").alias("n")), "id")
+                       .select("id", "n", F.col("component").alias("cluster")), "near-clusters")
+    links = _confirm(clusters, d, k, percent)
 
     # An id whose rows have different texts stands in several classes and links them.
     by_id = of_class.groupBy("id").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("classes"))
