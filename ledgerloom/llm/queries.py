@@ -124,9 +124,9 @@ def _warc_sql() -> str:
             else entities.replace("(x,", f"({x},", 1)
 
     text = f"regexp_replace(html, {_sql(warc.HIDDEN)}, ' ', 'g')"
-    text = f"regexp_replace(regexp_replace({text}, '[\\s]+', ' ', 'g'), {_sql(warc.BREAKS)}, chr(10), 'g')"
+    text = f"regexp_replace(regexp_replace({text}, {_sql(warc.FOLD)}, ' ', 'g'), {_sql(warc.BREAKS)}, chr(10), 'g')"
     text = unescape(f"regexp_replace({text}, {_sql(warc.TAGS)}, '', 'g')")
-    text = f"regexp_replace({text}, '[ \\t\\r]+', ' ', 'g')"
+    text = f"regexp_replace({text}, ' {{2,}}', ' ', 'g')"
     text = f"regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g')"
     text = f"regexp_replace({text}, '^[ \\n]+|[ \\n]+$', '', 'g')"
     title = unescape("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)")

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 CRLF = "\r\n"
 #: Blocks whose content is not text; an open one ends with the page.
-HIDDEN = (r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script[^>]*>|\z)|<style\b.*?(?:</style[^>]*>|\z)"
-          r"|<noscript\b.*?(?:</noscript[^>]*>|\z)|<template\b.*?(?:</template[^>]*>|\z)")
+HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script[^>]*>|\z)|style\b.*?(?:</style[^>]*>|\z)"
+          r"|noscript\b.*?(?:</noscript[^>]*>|\z)|template\b.*?(?:</template[^>]*>|\z))")
+#: White space to fold; single blanks stay untouched.
+FOLD = r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]"
 #: Tags that end a line of text.
 BREAKS = (r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|thead|tbody|h[1-6]|title|article|section|header|footer"
           r"|nav|aside|main|blockquote|pre|form|figure|figcaption|option)(?:[\s/][^<>]*)?>")
@@ -37,9 +39,9 @@ def plain_text(html: Column) -> Column:
     """Visible text: hidden blocks out, block tags as line ends, other tags
     out, references decoded, blanks and empty lines folded."""
     t = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
-    t = F.regexp_replace(F.regexp_replace(t, r"[\s]+", " "), BREAKS, "\n")
+    t = F.regexp_replace(F.regexp_replace(t, FOLD, " "), BREAKS, "\n")
     t = unescape(F.regexp_replace(t, TAGS, ""))
-    t = F.regexp_replace(t, r"[ \t\r]+", " ")
+    t = F.regexp_replace(t, r" {2,}", " ")
     t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
     return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
 
@@ -74,7 +76,7 @@ def _header(kind: str, target: Column, date: Column, extra: list[tuple[str, Colu
             block: Column) -> Column:
     lines = [F.lit("WARC/1.1"), F.lit(f"WARC-Type: {kind}"), F.concat(F.lit("WARC-Target-URI: "), target),
              F.concat(F.lit("WARC-Date: "), date), *[F.concat(F.lit(f"{k}: "), v) for k, v in extra],
-             F.concat(F.lit("WARC-Block-Digest: "), digest(block)), F.lit(f"Content-Type: {content_type}"),
+             F.concat(F.lit("WARC-Block-Digest: "), F.col("payload_digest")), F.lit(f"Content-Type: {content_type}"),
              F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string"))]
     return F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF))
 
