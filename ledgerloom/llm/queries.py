@@ -124,11 +124,11 @@ def _warc_sql() -> str:
             else entities.replace("(x,", f"({x},", 1)
 
     text = f"regexp_replace(html, {_sql(warc.HIDDEN)}, ' ', 'g')"
-    text = f"regexp_replace(regexp_replace({text}, {_sql(warc.FOLD)}, ' ', 'g'), {_sql(warc.BREAKS)}, chr(10), 'g')"
-    text = unescape(f"regexp_replace({text}, {_sql(warc.TAGS)}, '', 'g')")
-    text = f"regexp_replace({text}, ' {{2,}}', ' ', 'g')"
-    text = f"regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g')"
-    text = f"regexp_replace({text}, '^[ \\n]+|[ \\n]+$', '', 'g')"
+    for w in warc.WHITE:
+        text = f"replace({text}, chr({ord(w)}), ' ')"
+    text = f"regexp_replace(regexp_replace({text}, {_sql(warc.BREAKS)}, chr(10), 'g'), {_sql(warc.TAGS)}, '', 'g')"
+    text = f"replace(regexp_replace({unescape(text)}, ' {{2,}}', ' ', 'g'), ' ' || chr(10), chr(10))"
+    text = f"trim(regexp_replace({text}, '\\n[ \\n]+', chr(10), 'g'), ' ' || chr(10))"
     title = unescape("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)")
     crlf = "chr(13) || chr(10)"
 

@@ -19,8 +19,8 @@ CRLF = "\r\n"
 #: Blocks whose content is not text; an open one ends with the page.
 HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script[^>]*>|\z)|style\b.*?(?:</style[^>]*>|\z)"
           r"|noscript\b.*?(?:</noscript[^>]*>|\z)|template\b.*?(?:</template[^>]*>|\z))")
-#: White space to fold; single blanks stay untouched.
-FOLD = r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]"
+#: White space that becomes a blank.
+WHITE = ("\t", "\n", "\x0b", "\f", "\r")
 #: Tags that end a line of text.
 BREAKS = (r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|thead|tbody|h[1-6]|title|article|section|header|footer"
           r"|nav|aside|main|blockquote|pre|form|figure|figcaption|option)(?:[\s/][^<>]*)?>")
@@ -39,11 +39,10 @@ def plain_text(html: Column) -> Column:
     """Visible text: hidden blocks out, block tags as line ends, other tags
     out, references decoded, blanks and empty lines folded."""
     t = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
-    t = F.regexp_replace(F.regexp_replace(t, FOLD, " "), BREAKS, "\n")
-    t = unescape(F.regexp_replace(t, TAGS, ""))
-    t = F.regexp_replace(t, r" {2,}", " ")
-    t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
+    t = reduce(lambda c, w: F.replace(c, F.lit(w), F.lit(" ")), WHITE, t)
+    t = unescape(F.regexp_replace(F.regexp_replace(t, BREAKS, "\n"), TAGS, ""))
+    t = F.replace(F.regexp_replace(t, r" {2,}", " "), F.lit(" \n"), F.lit("\n"))
+    return F.btrim(F.regexp_replace(t, r"\n[ \n]+", "\n"), F.lit(" \n"))
 
 
 def digest(text: Column) -> Column:
@@ -60,16 +59,18 @@ def record_id(*parts: Column) -> Column:
 
 def responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", id_col: str = "page_id",
               url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Response records of pages: id, record_id, target_uri, date, http_headers, payload."""
-    id_, url, html = F.col(id_col), F.col(url_col), F.coalesce(F.col(html_col), F.lit(""))
+    """Response records of pages: id, record_id, target_uri, date, http_headers,
+    payload, payload_digest."""
+    pages = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
+                         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
+                         digest(F.coalesce(F.col(html_col), F.lit(""))).alias("payload_digest"))
+    id_, url, html = F.col("id"), F.col("url"), F.col("html")
     length = F.octet_length(html).cast("string")
     head = F.concat(F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF
                           + "Content-Length: "), length, F.lit(CRLF))
-    return pages.select(id_.alias("id"),
-                        record_id(F.lit("response"), F.coalesce(id_.cast("string"), F.lit("")),
-                                  F.coalesce(url, F.lit("")), digest(html)).alias("record_id"),
-                        F.coalesce(url, F.lit("")).alias("target_uri"), F.lit(date).alias("date"),
-                        head.alias("http_headers"), html.alias("payload"))
+    own = record_id(F.lit("response"), F.coalesce(id_.cast("string"), F.lit("")), url, F.col("payload_digest"))
+    return pages.select("id", own.alias("record_id"), url.alias("target_uri"), F.lit(date).alias("date"),
+                        head.alias("http_headers"), html.alias("payload"), "payload_digest")
 
 
 def _header(kind: str, target: Column, date: Column, extra: list[tuple[str, Column]], content_type: str,
@@ -100,7 +101,7 @@ def derive(response: DataFrame) -> DataFrame:
     lang = F.regexp_extract(html, r"(?i)<html[^>]*\blang=[\"']?([A-Za-z-]+)", 1)
     links = F.regexp_extract_all(html, F.lit(r"(?i)<a\b[^>]*?\bhref=\"([^\"]*)\""), 1)
     fields = F.filter(F.split("http_headers", CRLF), lambda s: s.contains(":"))
-    staged = response.select("id", "record_id", "target_uri", "date", digest(html).alias("source_digest"),
+    staged = response.select("id", "record_id", "target_uri", "date", F.col("payload_digest").alias("source_digest"),
                              F.octet_length(html).cast("string").alias("size"), title.alias("title"),
                              lang.alias("lang"), links.alias("links"), fields.alias("fields"),
                              plain_text(html).alias("text"))
@@ -118,8 +119,8 @@ def derive(response: DataFrame) -> DataFrame:
             F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
                      F.col("text").alias("block")))).alias("r")) \
         .select("id", "refers_to", "target_uri", "date", "source_digest", "r.*")
-    own = record_id(F.col("warc_type"), F.col("refers_to"), digest(F.col("block")))
-    out = both.withColumn("record_id", own).withColumn("payload_digest", digest(F.col("block")))
+    out = both.withColumn("payload_digest", digest(F.col("block"))).withColumn(
+        "record_id", record_id(F.col("warc_type"), F.col("refers_to"), F.col("payload_digest")))
     extra = [("WARC-Record-ID", F.col("record_id")), ("WARC-Refers-To", F.col("refers_to")),
              ("WARC-Refers-To-Target-URI", F.col("target_uri")), ("WARC-Refers-To-Date", F.col("date")),
              ("WARC-Source-Payload-Digest", F.col("source_digest"))]
