@@ -12,7 +12,7 @@ added token, go through the library whole.
 
 Whole-token shortcut: ``whole_tokens`` proves, by encoding each vocabulary
 string alone, which of them come back as their own single id. A pre-token in
-that table needs no merges; only the rest is merged by the library's model.
+that table needs no merges; only the rest is merged (``merger``).
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ import sys
 from functools import lru_cache
 
 _HARD = re.compile(r"\s{3}|\s\s\Z")
-_SIMPLE_TOP = "ɐ"          # code points below: letters as in any Unicode version
-_PIECES_KEPT = 400_000          # remembered pieces per worker process (about 80 MB)
+#: A text without any of these has no run of white space that matters; others are looked at closely.
+_SUSPECT = ("  ", "\n\n", " \n", "\n ", *(chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n"))
+_SIMPLE_TOP = "\u0250"          # code points below: letters as in any Unicode version
+_PIECES_KEPT = 600_000          # remembered pieces per worker process (about 120 MB)
 
 
 def cut(text: str) -> list[str]:
@@ -63,41 +65,76 @@ def cuts_safely(tok) -> bool:
             and not model.get("ignore_merges"))
 
 
-def whole_tokens(path: str) -> dict[str, int]:
-    """Offline proof: vocabulary strings (in the byte-level alphabet) that the
-    library's merges turn into exactly their own id, with that id. Its size is
-    bounded by the vocabulary."""
+def whole_tokens(path: str) -> dict[bytes, int]:
+    """Offline proof: vocabulary strings, as bytes, that the library's merges
+    turn into exactly their own id, with that id. Bounded by the vocabulary;
+    empty for tokenizers the piece rule is not proved for."""
     tok = load(path)
+    if not cuts_safely(tok):
+        return {}
+    byte = {c: b for b, c in enumerate(_byte_chars())}
     added = {t.content for t in tok.get_added_tokens_decoder().values()}
     out = {}
     for word, number in tok.get_vocab(with_added_tokens=False).items():
         got = tok.model.tokenize(word)
         if word not in added and len(got) == 1 and got[0].id == number:
-            out[word] = number
+            out[bytes(byte[c] for c in word)] = number
     return out
 
 
+def merger(path: str):
+    """Function from a pre-token's bytes to its ids. Where the id of each
+    merge's result grows with the merge's rank, rank-file BPE gives the same
+    ids and is faster; else the library's model merges."""
+    tok = load(path)
+    model = json.loads(tok.to_str())["model"]
+    char = _byte_chars()
+    byte = {c: b for b, c in enumerate(char)}
+    made = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+    single = all(c in model["vocab"] for c in char)
+    if single and all(x < y for x, y in zip(made, made[1:], strict=False)):
+        try:
+            import tiktoken
+        except ImportError:
+            pass
+        else:
+            some = set(made) | {model["vocab"][c] for c in char}
+            ranks = {bytes(byte[c] for c in word): i for word, i in model["vocab"].items() if i in some}
+            if len(ranks) == len(some):
+                return tiktoken.Encoding("merges", pat_str=r"(?s).+", mergeable_ranks=ranks,
+                                         special_tokens={})._core_bpe.encode_single_piece
+    table = dict(enumerate(char))
+
+    def merge(piece: bytes) -> list[int]:
+        return [t.id for t in tok.model.tokenize(piece.decode("latin-1").translate(table))]
+    return merge
+
+
 class Pieces(dict):
-    """piece -> its ids, filled on first use. ``pack`` turns a tuple of ids
-    into what is remembered (a count, or packed bytes); results add up."""
+    """piece -> its ids, filled on first use. ``pack`` turns ids into what is
+    remembered (a count, or packed bytes); results add up. ``whole`` has the
+    proved whole tokens."""
 
-    def __init__(self, path: str, whole: dict[str, int], pack):
+    def __init__(self, path: str, whole: dict[bytes, int], pack):
         super().__init__()
         self.tok = load(path)
         self.whole = whole
         self.pack = pack
-        self.table = {b: c for b, c in enumerate(_byte_chars())}
-        self.model = self.tok.model
-
-    def pre_token(self, mapped: str) -> list[int]:
-        number = self.whole.get(mapped)
-        return [number] if number is not None else [t.id for t in self.model.tokenize(mapped)]
+        self.merge = merger(path)
+        self.char = {c: b for b, c in enumerate(_byte_chars())}
 
     def ids(self, piece: str) -> list[int]:
         body = piece[1:] if piece[0] == " " else piece
         if body.isalpha() and max(body) < _SIMPLE_TOP:      # one pre-token: letters with a blank or without
-            return self.pre_token(piece.encode().decode("latin-1").translate(self.table))
-        return [i for mapped, _ in self.tok.pre_tokenizer.pre_tokenize_str(piece) for i in self.pre_token(mapped)]
+            raw = piece.encode()
+            number = self.whole.get(raw)
+            return self.merge(raw) if number is None else [number]
+        out = []
+        for mapped, _ in self.tok.pre_tokenizer.pre_tokenize_str(piece):
+            raw = bytes(self.char[c] for c in mapped)
+            number = self.whole.get(raw)
+            out += self.merge(raw) if number is None else [number]
+        return out
 
     def __missing__(self, piece: str):
         if not piece:
@@ -118,16 +155,17 @@ class Encoder:
     """Encodes whole texts; equal to the library's ``encode`` without special
     tokens added, with strings of added tokens handled as its default."""
 
-    def __init__(self, path: str, whole: dict[str, int], pack):
+    def __init__(self, path: str, whole: dict[bytes, int], pack):
         self.tok = load(path)
         self.pack = pack
         self.fast = cuts_safely(self.tok)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.pieces = Pieces(path, whole, pack)
+        self.pieces = Pieces(path, whole, pack) if self.fast else {}
 
     def by_pieces(self, text: str) -> bool:
-        return (self.fast and "\0" not in text and not any(a in text for a in self.added)
-                and not _HARD.search(text))
+        has = text.__contains__
+        return (self.fast and not has("\0") and not any(map(has, self.added))
+                and not (any(map(has, _SUSPECT)) and _HARD.search(text)))
 
     def slow(self, text: str):
         return self.pack(self.tok.encode(text, add_special_tokens=False).ids)
@@ -146,7 +184,7 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, whole: dict[str, int], width: int) -> Encoder:
+def encoder(path: str, whole: dict[bytes, int], width: int) -> Encoder:
     """The encoder of this worker process. ``width`` 0 counts tokens, 2 or 4
     packs ids as little-endian integers of so many bytes."""
     key = (path, width)
