@@ -98,8 +98,9 @@ class PartitionedTable:
         self.staging_root = staging_root.rstrip("/")
 
     def exists(self) -> bool:
+        """The table holds a partition (an empty batch leaves none)."""
         fs, p = _fs(self.spark, self.root)
-        return fs.exists(p)
+        return fs.exists(p) and any("=" in s.getPath().getName() for s in fs.listStatus(p))
 
     def read(self, schema=None) -> DataFrame:
         """The table; with ``schema``, a table holding no file yet (created
