@@ -38,8 +38,8 @@ from .minhash import WordHashes, _splitmix
 
 _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)     # hashes of the text's start and end
-FOLD_TOKENS = 2_000_000         # tokens a task folds at once
-SHARD_BYTES = 64 << 20          # bytes of text a shard
+FOLD_TOKENS = 1_500_000         # tokens a task folds at once
+SHARD_BYTES = 32 << 20          # bytes of text a shard
 SCORE_TOKENS = 400_000          # tokens looked up at once
 FULL = 255                      # counts from here on stand in a list of their own
 _WORDS = WordHashes()
@@ -82,6 +82,22 @@ def _sums(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return (key[first], *(np.add.reduceat(v[order].astype(np.int64), first) for v in values))
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """An array byte plane by byte plane: the upper planes of small numbers are
+    zeros, which the shuffle's compression removes."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
+
+def _from_planes(raw, kind, n: int, at: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
+
+
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Differences of a sorted unsigned array, the first from zero."""
+    return np.diff(a, prepend=a.dtype.type(0))
+
+
 def _open(uri: str):
     """(file system, path) of a folder of the shared storage."""
     from pyarrow import fs
@@ -163,10 +179,12 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
                 if lo == hi:
                     continue
                 known, place = np.unique(np.concatenate((before[lo:hi], after[lo:hi])), return_inverse=True)
-                place = place.astype(np.uint16 if len(known) <= 1 << 16 else np.uint32)
+                place = place.astype(np.uint32)
+                b, a = place[:hi - lo], place[hi - lo:]
+                order = np.argsort(b, kind="stable")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
-                        known, place[:hi - lo], place[hi - lo:], c[lo:hi].astype(np.uint32)))],
+                    [pa.array([s], pa.int32()), *(pa.array([_planes(x)], pa.binary()) for x in (
+                        _steps(known), _steps(b[order]), a[order], c[lo:hi].astype(np.uint32)[order]))],
                     ["shard", "words", "before", "after", "c"])
 
         for batch in batches:
@@ -183,37 +201,45 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
     folded = d.mapInArrow(fold, "shard int, words binary, before binary, after binary, c binary")
 
     def buf(x, kind):
-        return np.frombuffer(x.as_buffer(), kind)
+        raw = x.as_buffer()
+        return _from_planes(raw, kind, raw.size // np.dtype(kind).itemsize)
 
     def add_pairs(group: pa.Table) -> pa.Table:
-        before, after, c = [], [], []
-        for words, b, a, n in zip(*(group.column(i) for i in range(1, 5)), strict=True):
-            known, n = buf(words, np.uint64), buf(n, np.uint32)
-            kind = np.uint16 if len(b.as_buffer()) == 2 * len(n) else np.uint32
-            before.append(known[buf(b, kind)])
-            after.append(known[buf(a, kind)])
-            c.append(n)
-        before, after, c = np.concatenate(before), np.concatenate(after), np.concatenate(c)
+        sizes = [x.as_buffer().size // 4 for x in group.column("c")]
+        before, after = (np.empty(sum(sizes), np.uint64) for _ in range(2))
+        c, at = np.empty(sum(sizes), np.uint32), 0
+        for size, words, b, a, n in zip(sizes, *(group.column(i) for i in range(1, 5)), strict=True):
+            known = np.cumsum(buf(words, np.uint64), dtype=np.uint64)
+            before[at:at + size] = known[np.cumsum(buf(b, np.uint32), dtype=np.uint32)]
+            after[at:at + size] = known[buf(a, np.uint32)]
+            c[at:at + size] = buf(n, np.uint32)
+            at += size
         key = pair_hash(before, after)
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         c = np.add.reduceat(c[order].astype(np.uint64), first)
-        key, before, after = key[first], before[order[first]], after[order[first]]
+        key, order = key[first], order[first]
+        before, after = before[order], after[order]
+        del order, first
         big = np.flatnonzero(c >= FULL)
         name = _save(folder, {"keys": key, "small": np.minimum(c, FULL).astype(np.uint8),
                               "place": big.astype(np.uint64), "count": c[big]})
-        freq = np.bincount(np.minimum(c, 5).astype(np.int64), minlength=6)[1:5]
-        # What this shard knows of each word, dealt to the word shards.
-        w, *cols = _sums(np.concatenate((after, before)), *(np.concatenate((x, y)) for x, y in (
-            (c, np.zeros_like(c)), (np.ones_like(c), np.zeros_like(c)), *((np.zeros_like(c), f(c).astype(np.uint64)) for f in (
-                lambda n: n == 1, lambda n: n == 2, lambda n: n > 2)))))
+        freq, kinds = np.bincount(np.minimum(c, 5).astype(np.int64), minlength=6)[1:5], len(key)
+        del key
+        # What this shard knows of each word, dealt to the word shards: its
+        # count and the distinct words before it; how many follow it once, twice, more often.
+        w, place = np.unique(np.concatenate((after, before)), return_inverse=True)
+        a, b = place[:len(after)], place[len(after):]
+        del before, after, place
+        cols = [np.bincount(a, c, len(w)), np.bincount(a, minlength=len(w)),
+                *(np.bincount(b[some], minlength=len(w)) for some in (c == 1, c == 2, c > 2))]
         edges = np.searchsorted(_range_of(w, shards), np.arange(shards + 1))
-        rows = [(-1, name, int(group.column("shard")[0].as_py()), *map(int, freq), len(key), None)]
+        rows = [(-1, name, int(group.column("shard")[0].as_py()), *map(int, freq), kinds, None)]
         for s in range(shards):
             lo, hi = edges[s], edges[s + 1]
             if lo < hi:
-                blob = b"".join([w[lo:hi].tobytes(), *(x[lo:hi].astype(np.uint32).tobytes() for x in cols)])
+                blob = b"".join([_planes(_steps(w[lo:hi])), *(_planes(x[lo:hi].astype(np.uint32)) for x in cols)])
                 rows.append((s, None, 0, 0, 0, 0, 0, int(hi - lo), blob))
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (
             pa.int32(), pa.string(), pa.int32(), *[pa.int64()] * 5, pa.binary()), strict=True)],
@@ -232,9 +258,9 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
         w, cols = [], [[] for _ in range(5)]
         for n, blob in zip(group.column("n").to_pylist(), group.column("blob"), strict=True):
             raw = blob.as_buffer()
-            w.append(np.frombuffer(raw, np.uint64, n))
+            w.append(np.cumsum(_from_planes(raw, np.uint64, n), dtype=np.uint64))
             for i in range(5):
-                cols[i].append(np.frombuffer(raw, np.uint32, n, 8 * n + 4 * n * i))
+                cols[i].append(_from_planes(raw, np.uint32, n, 8 * n + 4 * n * i))
         w, *cols = _sums(np.concatenate(w), *map(np.concatenate, cols))
         name = _save(folder, {part: x.astype(kind) for (part, kind), x in zip(WORD_PARTS, (w, *cols), strict=True)})
         seen = cols[1][cols[1] > 0]
