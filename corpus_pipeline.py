@@ -4,8 +4,8 @@ packing, over ``documents``. Part of subpackage ``ledgerloom.llm``.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``. All but the
 last return the columns of ``documents``. SQL cannot express the stages
-(language models, tokenizer), so ORACLE_SQL is None; the tests hold each stage
-against a brute-force version.
+(language models, tokenizer), so ORACLE_SQL is None; the tests hold near-dedup
+against a brute-force version and run every stage on odd rows.
 """
 
 from __future__ import annotations
