@@ -1,13 +1,15 @@
 """Licence scan (1): sentence-rule recognition, DataFrame functions only.
 
-Texts are cut into sentences; each is normalised and looked up in a table of
-known licence sentences (hash set membership, no shuffle); the identifiers of
-the hits, in the order of the text, form a sequence that is matched against
-ordered licence rules: a rule holds if its identifiers occur in that order.
+Texts are normalised: comment leaders go, wrapped lines are joined, sentences
+are kept apart. Known licence sentences are then found as phrases, each whole
+and inside one sentence (one pattern, no shuffle); the identifiers of the hits,
+in the order of the text, form a sequence that is matched against ordered
+licence rules: a rule holds if its identifiers occur in that order.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -84,26 +86,109 @@ RULES = (
     ("Proprietary", "proprietary", ("reserved",)),
 )
 
-#: Ends of sentences: line ends, or a full stop, mark or semicolon and blanks.
-SENTENCE_END = r"[\n\r]+|[.!?;]+[ \t]+"
-#: Everything but letters, digits and what stands inside names and versions.
-NOISE = r"[^a-z0-9./+-]+"
-
-
-def normalise(sentence: Column) -> Column:
-    """Lower case; other characters become blanks; no blanks or dots at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.lower(sentence), NOISE, " "), r"^[ .]+|[ .]+$", "")
-
-
-def sentences(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), SENTENCE_END)
+# Sentences of the published texts and notices as they run there,
+# where the fragments above leave words out or stop short.
+PUBLISHED = {
+    "apache license version 2.0 january 2004": "apache-2-text",
+    "redistribution and use in source and binary forms with or without modification are permitted":
+        "bsd-redistribute",
+    "nor the names of its contributors may be used to endorse or promote products derived from this software":
+        "bsd-names",
+    "nor the names of the contributors may be used to endorse or promote products derived from this software":
+        "bsd-names",
+    "the names of its contributors may not be used to endorse or promote products derived from this software":
+        "bsd-names",
+    "the name of the author may not be used to endorse or promote products derived from this software": "bsd-names",
+    "permission to use copy modify and/or distribute this software for any purpose with or without fee is hereby granted":
+        "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted":
+        "isc-grant",
+    "gnu general public license version 3 29 june 2007": "gpl-3-text",
+    "gnu general public license version 2 june 1991": "gpl-2-text",
+    "gnu affero general public license version 3 19 november 2007": "agpl-3-text",
+    "gnu lesser general public license version 3 29 june 2007": "lgpl-3-text",
+    "gnu lesser general public license version 2.1 february 1999": "lgpl-2.1-text",
+    "under the terms of the gnu general public license version 3 as published by the free software foundation":
+        "gpl-3-notice",
+    "under the terms of the gnu general public license as published by the free software foundation version 3":
+        "gpl-3-notice",
+    "under the terms of the gnu general public license version 2 as published by the free software foundation":
+        "gpl-2-notice",
+    "under the terms of the gnu general public license as published by the free software foundation version 2":
+        "gpl-2-notice",
+    "you can redistribute it and/or modify it under the terms of the gnu lesser general public license": "lgpl-terms",
+    "you can redistribute it and/or modify it under the terms of the gnu affero general public license": "agpl-terms",
+    "either version 2.1 of the license or at your option any later version": "lgpl-2.1-later",
+    "this source code form is subject to the terms of the mozilla public license": "mpl-terms",
+    "if a copy of the mpl was not distributed with this file you can obtain one at": "mpl-2-obtain",
+}
 
+KNOWN = SENTENCES | PUBLISHED
 
-def scan(docs: DataFrame, known: dict[str, str] = SENTENCES,
-         rules: Sequence[tuple[str, str, Sequence[str]]] = RULES, id_col: str = "doc_id",
+# Rules for these. A whole GPL text ends with a sample notice
+# "or any later version", so the texts stand before the notices.
+_TEXT_RULES = (
+    ("AGPL-3.0", "copyleft", ("agpl-3-text",)),
+    ("LGPL-3.0", "copyleft", ("lgpl-3-text",)),
+    ("LGPL-2.1", "copyleft", ("lgpl-2.1-text",)),
+    ("GPL-3.0", "copyleft", ("gpl-3-text",)),
+    ("GPL-2.0", "copyleft", ("gpl-2-text",)),
+)
+_NOTICE_RULES = (
+    ("AGPL-3.0-or-later", "copyleft", ("agpl-terms", "gpl-3-later")),
+    ("LGPL-3.0-or-later", "copyleft", ("lgpl-terms", "gpl-3-later")),
+    ("LGPL-2.1-or-later", "copyleft", ("lgpl-terms", "lgpl-2.1-later")),
+    ("GPL-3.0-or-later", "copyleft", ("gpl-terms", "gpl-3-later")),
+    ("GPL-2.0-or-later", "copyleft", ("gpl-terms", "gpl-2-later")),
+    ("MPL-2.0", "copyleft", ("mpl-terms", "mpl-2-obtain")),
+    ("Apache-2.0", "permissive", ("apache-2-text",)),
+)
+ALL_RULES = RULES[:4] + _TEXT_RULES + RULES[4:6] + _NOTICE_RULES + RULES[6:]
+
+#: Comment leaders at the start of a line; a blank or the line's end follows.
+LEADER = r"""(?m)^(?:[ \t]*(?:[#*;%!/<>+"'-]+|\.\.|\.?\\"|@?rem|dnl|::)(?=[ \t\r]|$)){1,4}"""
+#: Ends of sentences: a full stop, mark or semicolon (and what closes after it) before white space, or an empty line.
+SENTENCE_END = r"""[.!?;]+(?=["')\]*]*(?:\s|\z))|\n[ \t\r]*\n|\r[ \t]*\r"""
+#: Everything but letters, digits, ends of sentences and what stands inside names and versions.
+NOISE = r"[^a-z0-9./+|-]+|(?<![a-z0-9])[./+-]+|[./-]+(?![a-z0-9])"
+
+
+def normalise(text: Column) -> Column:
+    """Lower case; comment leaders out; ends of sentences become '|', all else
+    that is not part of a word, line ends too, becomes a blank."""
+    t = F.regexp_replace(F.translate(F.lower(text), "|", " "), LEADER, "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(t, SENTENCE_END, "|"), NOISE, " "), " {2,}", " ")
+
+
+def anchors(known: Sequence[str]) -> list[str]:
+    """A few words of which every known sentence has one at least."""
+    left, out = [set(k.split()) for k in known], []
+    while left:
+        words = sorted({w for ws in left for w in ws}, key=lambda w: (-sum(w in ws for ws in left), -len(w), w))
+        # Words that any prose has would let every text through.
+        out.append(next((w for w in words if len(w) > 6), words[0]))
+        left = [ws for ws in left if not any(out[-1] in w for w in ws)]
+    return out
+
+
+def phrases(text: Column, known: Sequence[str]) -> Column:
+    """The known sentences in the text, in order; of those that begin at one word the longest."""
+    longest_first = sorted(known, key=lambda k: (-len(k), k))
+    pattern = "(?<![^ |])(?=(" + "|".join(map(re.escape, longest_first)) + ")(?![^ |]))"
+    low = F.lower(text)
+    some = F.lit(False)
+    for word in anchors(known):
+        some = some | low.contains(word)
+    return F.when(some, F.regexp_extract_all(normalise(text), F.lit(pattern), F.lit(1))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def scan(docs: DataFrame, known: dict[str, str] = KNOWN,
+         rules: Sequence[tuple[str, str, Sequence[str]]] = ALL_RULES, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """One row per input row: id, sentence_ids (identifiers in text order,
-    each in angle brackets), n_licence_sentences, licence and licence_class of
+    """One row per input row: id, sentence_ids (identifiers of the known
+    sentences found, alone or inside longer ones, in text order, each in angle
+    brackets), n_licence_sentences (how many), licence and licence_class of
     the first rule that holds ('none' if no rule holds), n_rules (rules that
     hold) and licences (all that hold, in rule order, joined by commas).
 
@@ -111,10 +196,7 @@ def scan(docs: DataFrame, known: dict[str, str] = SENTENCES,
     repeated rows give a row each. Texts are scanned whole. Empty table: no
     rows. Other columns are not read.
     """
-    # Sentences much longer or shorter than any known one are not normalised.
-    longest = 2 * max(map(len, known)) + 16
-    near = F.filter(sentences(F.col("text")), lambda s: F.char_length(s).between(min(map(len, known)), longest))
-    hits = F.filter(F.transform(near, normalise), lambda s: s.isin(list(known)))
+    hits = phrases(F.col("text"), list(known))
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     ids = F.transform(hits, lambda s: F.concat(F.lit("<"), table[s], F.lit(">")))
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
