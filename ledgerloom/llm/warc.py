@@ -10,11 +10,15 @@ writes the same records.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
+
 CRLF = "\r\n"
 #: Blocks whose content is not text; an open one ends with the page.
 HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script[^>]*>|\z)|style\b.*?(?:</style[^>]*>|\z)"
@@ -25,14 +29,66 @@ WHITE = ("\t", "\n", "\x0b", "\f", "\r")
 BREAKS = (r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|thead|tbody|h[1-6]|title|article|section|header|footer"
           r"|nav|aside|main|blockquote|pre|form|figure|figcaption|option)(?:[\s/][^<>]*)?>")
 TAGS = r"<[/!?]?[A-Za-z][^<>]*>"
-# Common named references; &amp; is decoded last.
+# Common references; &amp; is decoded last.
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
             ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"),
             ("&hellip;", "…"), ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"), ("&amp;", "&"))
 
 
-def unescape(text: Column) -> Column:
-    return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+#: A reference that ENTITIES lacks.
+RARE = (r"&(?!(?:" + "|".join(re.escape(e[1:-1]) for e, _ in ENTITIES)
+        + r");)(?:#[0-9]|#[xX][0-9A-Fa-f]|[A-Za-z][A-Za-z0-9]*;)")
+REFERENCE = r"^(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;)"
+#: The first href of a link; other attributes are passed whole, so no value or longer name is taken for it.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+HREF = (r"(?i)<a(?=[\s/])(?:[\s/]*+[^\s/>=]++(?:\s*+=\s*+" + _VALUE + r")?)*?[\s/]*+(?<![^\s/\"'])href\s*+=\s*+("
+        + _VALUE + r"|(?=>))")
+
+
+def _blank(text: str) -> str:
+    """White space and no-break spaces of references become blanks, as those of the page do."""
+    return " " if text in (*WHITE, "\xa0") else text
+
+
+def _table() -> str:
+    """name; or number (8 hexadecimal digits) and text of references: the
+    common names, all other names of HTML, and the numbers that do not stand
+    for their own code point or that UTF-32 would drop."""
+    names = {e[1:]: t for e, t in ENTITIES if e[1] != "#"}
+    names |= {n: _blank(t) for n, t in html5.items() if n.endswith(";") and n not in names}
+    numbers = {n: _blank(chr(n)) for n in (9, 10, 11, 12, 13, 0xA0, 0xFEFF)} | {0: "�"}
+    for n in range(0x80, 0xA0):
+        numbers[n] = bytes([n]).decode("cp1252", "ignore") or chr(n)
+    return "\x01".join(f"{k}\x02{v}" for k, v in {**names, **{f"{n:08X}": t for n, t in numbers.items()}}.items())
+
+
+TABLE = _table()
+
+
+def references(text: Column) -> Column:
+    """Every numeric and named reference of HTML decoded, once, from left to right."""
+    table = F.str_to_map(F.lit(TABLE), F.lit("\x01"), F.lit("\x02"))
+
+    def numeric(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"^#[xX]?0*([0-9A-Fa-f]*)", 1)
+        code = F.when(F.length(digits) > 8, "FFFFFFFF").when(ref.rlike("^#[xX]"), F.lpad(F.upper(digits), 8, "0")) \
+            .otherwise(F.lpad(F.hex(F.concat(F.lit("0"), digits).try_cast("bigint")), 8, "0"))
+        return let(code, lambda c: F.coalesce(
+            table[c], F.when((c > "0010FFFF") | c.between("0000D800", "0000DFFF"), "�")
+            .otherwise(F.decode(F.unhex(c), "UTF-32"))))
+
+    def decoded(part: Column) -> Column:
+        return let(F.regexp_extract(part, REFERENCE, 0), lambda ref: F.concat(
+            F.coalesce(F.when(ref.startswith("#"), numeric(ref)).otherwise(table[ref]), F.concat(F.lit("&"), ref)),
+            F.substring(part, F.length(ref) + 1, F.length(part))))
+
+    return F.array_join(F.transform(F.split(text, "&"), lambda part, k: F.when(k == 0, part).otherwise(decoded(part))), "")
+
+
+def unescape(text: Column, page: Column) -> Column:
+    """References decoded. Most pages hold common ones only, which needs no cutting."""
+    common = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    return F.when(page.rlike(RARE), references(text)).otherwise(common)
 
 
 def plain_text(html: Column) -> Column:
@@ -40,7 +96,7 @@ def plain_text(html: Column) -> Column:
     out, references decoded, blanks and empty lines folded."""
     t = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
     t = reduce(lambda c, w: F.replace(c, F.lit(w), F.lit(" ")), WHITE, t)
-    t = unescape(F.regexp_replace(F.regexp_replace(t, BREAKS, "\n"), TAGS, ""))
+    t = unescape(F.regexp_replace(F.regexp_replace(t, BREAKS, "\n"), TAGS, ""), html)
     t = F.replace(F.regexp_replace(t, r" {2,}", " "), F.lit(" \n"), F.lit("\n"))
     return F.btrim(F.regexp_replace(t, r"\n[ \n]+", "\n"), F.lit(" \n"))
 
@@ -88,7 +144,10 @@ def derive(response: DataFrame) -> DataFrame:
 
     'metadata' holds application/warc-fields: the response's HTTP headers, one
     field each, prefixed ``source-``; its payload digest and length; title,
-    language and the outlinks of the page. 'conversion' holds the plain text.
+    language and the outlinks of the page (the href of each <a>, in double,
+    single or no quotes, as written). 'conversion' holds the plain text.
+    References are decoded in text and title: all names of HTML, which need
+    their ';' (one cut off stays as it is), and numbers, decimal and hex.
     Both name the response in WARC-Refers-To and repeat its target and date,
     and the conversion's header also carries the source's digest.
 
@@ -97,9 +156,10 @@ def derive(response: DataFrame) -> DataFrame:
     long payloads are converted whole. Empty table: no rows.
     """
     html = F.col("payload")
-    title = F.regexp_replace(unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)), r"\s+", " ")
+    title = F.regexp_replace(unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1), html), r"\s+", " ")
     lang = F.regexp_extract(html, r"(?i)<html[^>]*\blang=[\"']?([A-Za-z-]+)", 1)
-    links = F.regexp_extract_all(html, F.lit(r"(?i)<a\b[^>]*?\bhref=\"([^\"]*)\""), 1)
+    links = F.transform(F.regexp_extract_all(html, F.lit(HREF), 1), lambda v: F.when(
+        F.substring(v, 1, 1).isin('"', "'"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v))
     fields = F.filter(F.split("http_headers", CRLF), lambda s: s.contains(":"))
     staged = response.select("id", "record_id", "target_uri", "date", F.col("payload_digest").alias("source_digest"),
                              F.octet_length(html).cast("string").alias("size"), title.alias("title"),
