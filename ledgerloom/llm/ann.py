@@ -7,6 +7,8 @@ visit them meet in one shuffle, in blocks, so neither a full leaf nor a popular
 one lands whole in one task; each block ranks its candidates exactly, and the
 best of all blocks are merged per query. Each query also ranks a small part
 of the sample first, and blocks send on only what is no worse than its k-th.
+Copies of a row are folded first, and wherever the best k are taken, they are
+the best k ids.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from .common import written
 TREES = 8
 LEAF = 256                  # rows a leaf aims at
 SAMPLE = 16_384             # vectors the hyperplanes are fitted on (the bound)
-PRUNE = 2_048               # of these, vectors that bound a query's k-th score from below
+PRUNE = 2_048               # of these, vectors of distinct ids that bound a query's k-th score from below
 VISITS = 1.25               # leaves visited by a query, over all trees, per leaf of one tree
 LEAST_VISITS = 16
 BLOCK = 4_096               # rows, or queries, of a leaf in one group
@@ -101,18 +103,18 @@ class Forest:
 
 def fit(vectors: DataFrame, rows: int, id_col: str, vec_col: str, trees: int = TREES, leaf: int = LEAF,
         sample: int = SAMPLE, visits: float = VISITS, seed: int = 10) -> Forest | None:
-    """Forest on about ``sample`` vectors chosen by a hash of the id; the sample
+    """Forest on about ``sample`` vectors chosen by a hash of the row; the sample
     is collected to the driver (16,384 vectors by default, 8 MB at 64
     dimensions). None without a valid vector."""
     share = min(1.0, sample / max(rows, 1))
-    draw = F.pmod(F.xxhash64(F.lit("forest"), F.col(id_col)), F.lit(1_000_000))
+    draw = F.pmod(F.xxhash64(F.lit("forest"), F.col(id_col), F.col(vec_col)), F.lit(1_000_000))
     got = vectors.filter(draw < int(share * 1_000_000) + 1).select(id_col, vec_col).limit(2 * sample).toArrow()
     column = got.column(vec_col).combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.float64()))
     x, at = _matrix(column, None)
     if not len(x):
         return None
     ids = np.asarray(got.column(id_col).combine_chunks().take(pa.array(at)))
-    order = np.lexsort((ids,))
+    order = np.lexsort((*x.T, ids))
     x, ids = x[order], ids[order]
     depth = 0
     while (rows >> (depth + 1)) >= leaf // 2 and (len(x) >> (depth + 1)) >= 16:
@@ -130,7 +132,8 @@ def fit(vectors: DataFrame, rows: int, id_col: str, vec_col: str, trees: int = T
                 if (node == k).any():
                     offsets[t, k] = np.median(p[node == k])
             node = 2 * node + 1 + (p > offsets[t][node])
-    some = rng.permutation(len(x))[:PRUNE]
+    first = np.unique(ids, return_index=True)[1]            # one row an id: the k-th bounds k ids
+    some = first[rng.permutation(len(first))[:PRUNE]]
     return Forest(dim, depth, normals, offsets, max(LEAST_VISITS, round(visits * (1 << depth))), x[some], ids[some])
 
 
@@ -146,11 +149,12 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "ve
 
     Vectors that are NULL, zero, hold NULL or non-finite components, or are of
     another length than most of the sample take no part, nor do NULL ids. Rows
-    with one id count once. Fewer than k candidates: all of them. Empty tables:
+    with one id count once, by the vector nearest to the query. Fewer than k candidates: all of them. Empty tables:
     no rows. Other columns are not read.
     """
     v = vectors.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
     q = queries.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
+    v = written(v.distinct(), "vectors")
     kind = v.schema["id"].dataType.simpleString()
     rows, n_queries = v.count(), q.count()
     spark = vectors.sparkSession
@@ -212,7 +216,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "ve
     sizes = written(sizes.select("tree", "leaf", F.ceil(F.col("rows") / F.lit(BLOCK)).cast("int").alias("blocks")), "leaf-sizes")
     keys = ["tree", "leaf", "block", "part"]
     dealt = dealt.join(F.broadcast(sizes), ["tree", "leaf"]).select(
-        "tree", "leaf", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"),
+        "tree", "leaf", F.pmod(F.xxhash64("id", "vec"), "blocks").cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("part"), "id", "vec")
     asked = asked.join(F.broadcast(sizes), ["tree", "leaf"]).select(
         "tree", "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
@@ -230,12 +234,20 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "ve
         asks, y, bound = np.asarray(right.column("id")), rows_of(right), np.asarray(right.column("bound"))
         s = _unit(y) @ _unit(x).T
         s[asks[:, None] == ids[None, :]] = -np.inf
-        if s.shape[1] > k:
-            bound = np.maximum(bound, -np.partition(-s, k - 1, axis=1)[:, k - 1])
+        names, name = np.unique(ids, return_inverse=True)
+        per_id = s
+        if len(names) < len(ids):                           # an id with several vectors counts by its nearest
+            by = np.argsort(name, kind="stable")
+            per_id = np.maximum.reduceat(s[:, by], np.searchsorted(name[by], np.arange(len(names))), axis=1)
+        if len(names) > k:
+            bound = np.maximum(bound, -np.partition(-per_id, k - 1, axis=1)[:, k - 1])
         i, j = np.nonzero((s >= bound[:, None] - 1e-9) & np.isfinite(s))
         exact = cosines(y[i], x[j])
         order = np.lexsort((ids[j], -exact, i))             # a query's best k here, ties to the smaller id
         i, j, exact = i[order], j[order], exact[order]
+        if len(names) < len(ids):
+            first = np.sort(np.unique(i * len(names) + name[j], return_index=True)[1])
+            i, j, exact = i[first], j[first], exact[first]
         place = np.arange(len(i)) - np.searchsorted(i, i)
         top = place < k
         return pa.table({"query_id": right.column("id").take(pa.array(i[top])),
@@ -270,12 +282,14 @@ def exact(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "vec
                 for n in range(len(y)):
                     s = cosines(y[n][None, :], x)
                     s[ids == asks[n]] = -np.inf
-                    top = np.lexsort((ids, -s))[:k]
+                    top = np.lexsort((ids, -s))
+                    top = top[np.sort(np.unique(ids[top], return_index=True)[1])[:k]]
                     top = top[np.isfinite(s[top])]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(top), asks[n])), pa.array(ids[top]),
                                                       pa.array(s[top])], ["query_id", "id", "score"])
 
-    found = vectors.select(id_col, vec_col).mapInArrow(run, f"query_id {kind}, id {kind}, score double").distinct()
+    found = vectors.select(id_col, vec_col).mapInArrow(run, f"query_id {kind}, id {kind}, score double") \
+        .groupBy("query_id", "id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id")))
     return found.withColumn("rank", place.cast("int")).filter(F.col("rank") <= k).select(
         "query_id", "rank", F.col("id").alias(id_col), "score")
