@@ -23,6 +23,9 @@ ORDER = 4                   # 16 bits a character: a 4-gram is one 64-bit key
 BITS = 16
 SAMPLE = 2500               # labelled texts a language the model is fitted on (expected; the bound of the sample)
 HELD_BACK = 5               # every so many sampled texts one is held back for calibration
+DEVIATIONS = 30.0           # median absolute deviations above its median at which a language rejects
+LEAST_REACH = 6.0           # in units of _width; a language of near copies hardly deviates
+FEW, FEW_REACH = 20, 12.0   # with fewer held-back texts than this, the least reach is this
 SHARPNESS = 12.0            # of the score: softmax of -cross-entropy (nats a character)
 UNKNOWN = "und"
 _SPACE = 32
@@ -80,7 +83,7 @@ class Model:
     backoff: dict[int, np.ndarray] = field(default_factory=dict)    # order -> [context, language]
     floor: np.ndarray | None = None                                 # log-probability of an unseen character
     centre: np.ndarray | None = None                                # calibration, by language
-    reach: float = np.inf
+    reach: np.ndarray | None = None
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,10 +196,30 @@ def _chunks(texts: list, most: int = 300_000) -> Iterator[list]:
         yield run
 
 
+def calibrate(model: Model, lang: np.ndarray, n: np.ndarray, h: np.ndarray) -> None:
+    """Set centre and reach from held-back texts: their labels, characters and
+    cross-entropies. Both are medians, so wrong labels and junk must be near
+    half of a language's texts to move them far, where a high quantile follows
+    a few in a thousand. Languages with few texts take those of all."""
+    if not len(h):
+        # Nothing to measure: what is less likely than letters drawn evenly is rejected.
+        model.centre, model.reach = np.full(len(model.languages), np.log(len(model.keys[1]) + 1)), np.zeros(len(model.languages))
+        return
+    at = np.array([model.languages.index(x) for x in lang])
+    own = [at == j if (at == j).sum() >= 5 else np.ones(len(h), bool) for j in range(len(model.languages))]
+    model.centre = np.array([np.median(h[o]) for o in own])
+    z = (h - model.centre[at]) / _width(n)
+    own = [at == j if (at == j).sum() >= FEW else np.ones(len(h), bool) for j in range(len(model.languages))]
+    middle = [np.median(z[o]) for o in own]
+    spread = [DEVIATIONS * np.median(np.abs(z[o] - m)) for o, m in zip(own, middle)]
+    model.reach = np.array([m + max(s, LEAST_REACH if o.sum() >= FEW else FEW_REACH) for o, m, s in zip(own, middle, spread)])
+
+
 def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Model:
     """Fit and calibrate on about ``sample`` rows a language, chosen by a hash
-    of the id. Rows with NULL text or language are left out. The sampled texts
+    of the id. Rows with NULL text or language are left out; every language
+    with a sampled text that has a letter is fitted. The sampled texts
     are counted whole in Spark; the n-gram table they give is bounded by the
     sample and the alphabet, and is the only thing collected besides one
     cross-entropy for each held-back text."""
@@ -223,9 +246,17 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(key), pa.string()), pa.array(key.view(np.int64)), pa.array(c, pa.int64())], ["lang", "key", "c"])
 
-    table = (chosen.filter(~held).mapInArrow(count, "lang string, key long, c long")
-             .groupBy("lang", "key").agg(F.sum("c").alias("c")).toArrow())
-    lang, key, c = (table.column(i).to_numpy() for i in range(3))
+    def counted(rows: DataFrame) -> list[np.ndarray]:
+        table = (rows.mapInArrow(count, "lang string, key long, c long")
+                 .groupBy("lang", "key").agg(F.sum("c").alias("c")).toArrow())
+        return [table.column(i).to_numpy() for i in range(3)]
+
+    lang, key, c = counted(chosen.filter(~held))
+    # A rare language may have all its texts held back: it is fitted on them instead.
+    rare = [x for x in languages if not (lang == x).any()]
+    if rare:
+        lang, key, c = (np.concatenate(p) for p in zip((lang, key, c), counted(chosen.filter(held & F.col("lang").isin(rare)))))
+        held = held & ~F.col("lang").isin(rare)
     languages = [x for x in languages if (lang == x).any()]
     if not languages:
         return Model([])
@@ -246,14 +277,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
 
     back = chosen.filter(held).mapInArrow(measure, "lang string, n long, h double").toArrow()
     lang, n, h = (back.column(i).to_numpy() for i in range(3))
-    # A language's centre is its own median (with few texts: that of all); the
-    # reach is common, twice what all but 2 in 1000 held-back texts need.
-    everywhere = float(np.median(h)) if len(h) else 0.0
-    model.centre = np.array([np.median(h[lang == x]) if (lang == x).sum() >= 5 else everywhere for x in languages])
-    model.reach = np.inf                                 # too few texts: nothing is rejected
-    if len(h) >= 20:
-        z = (h - model.centre[[languages.index(x) for x in lang]]) / _width(n)
-        model.reach = 2.0 * max(float(np.quantile(z, 0.998)), 3.0)
+    calibrate(model, lang, n, h)
     return model
 
 
@@ -286,7 +310,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 best = h.argmin(axis=1)
                 low = h[np.arange(len(h)), best]
                 score = 1.0 / np.exp(-SHARPNESS * (h - low[:, None])).sum(axis=1)
-                rejected = low > m.centre[best] + m.reach * _width(n)
+                rejected = low > m.centre[best] + m.reach[best] * _width(n)
             else:
                 best, low, score = np.zeros(len(n), int), np.zeros(len(n)), np.zeros(len(n))
                 rejected = np.ones(len(n), bool)
