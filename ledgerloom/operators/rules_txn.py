@@ -30,7 +30,7 @@ VELOCITY_TXN_COUNT = 10
 GEO_WINDOW_SEC = 10 * 60
 DRAIN_WINDOW_SEC = 10 * 60
 DRAIN_THRESHOLD = 100000.0
-# Amounts above this count as this in running sums (decimal(22,6) holds it).
+# Running sums are exact decimals up to this a row (decimal(22,6) holds it); what is above is summed as double.
 MOST_AMOUNT = 1e15
 
 ALERT_COLUMNS = ("alert_id", "type", "reason", "created_at", "file_name", "group_key",
@@ -335,19 +335,25 @@ def balance_drain(rows: DataFrame, threshold: float = DRAIN_THRESHOLD,
     one alert per group (the window is anchored, not sliding: Q16)."""
     p, hot = prepared or _prepare_with_hot(rows, file_col, hot_rows)
     # Money is summed as decimal: the sum does not depend on the order of addition.
-    amount = F.least(F.coalesce(F.col("Amount"), F.lit(0.0)), F.lit(MOST_AMOUNT)).cast("decimal(22,6)")
-    p = p.withColumns({"_kind": F.lit(0), "_amt": amount})
-    p = p.withColumn("_wamt", (F.col("_amt") * F.col("_mult")).cast("decimal(28,6)"))
+    whole = F.coalesce(F.col("Amount"), F.lit(0.0))
+    p = p.withColumns({"_kind": F.lit(0), "_amt": F.least(whole, F.lit(MOST_AMOUNT)).cast("decimal(22,6)"),
+                       "_over": F.greatest(whole - F.lit(MOST_AMOUNT), F.lit(0.0))})
+    p = p.withColumns({"_wamt": (F.col("_amt") * F.col("_mult")).cast("decimal(28,6)"),
+                       "_wover": F.col("_over") * F.col("_mult")})
     s = segmented_scan(p, _GROUP, _ORDER, {"_run": ("sum", "_wamt", True),
+                                           "_over_before": ("sum", "_wover", False),
                                            "_start": ("min", "_t", True)}, hot=hot)
     hits = s.filter((F.col("_t") - F.col("_start") <= window_sec * 1_000_000)
-                    & (F.col("_run") >= threshold))
+                    & (F.col("_run").cast("double") + F.col("_over_before") + F.col("_wover") >= threshold))
     # Copies are consecutive: find the first copy whose running sum reaches
     # the threshold (amounts of validated rows are positive).
     amt, excl = F.col("_amt"), F.col("_run") - F.col("_wamt")
     least = F.lit(threshold).cast("decimal(22,6)")
     nth = F.when(excl + amt >= least, F.lit(1)).otherwise(F.ceil((least - excl) / amt)).cast("long")
-    hits = hits.withColumn("_run", (excl + amt * nth).cast("double"))
+    before, each = excl.cast("double") + F.col("_over_before"), amt.cast("double") + F.col("_over")
+    nth_over = F.when(before + each >= threshold, F.lit(1)).otherwise(F.ceil((F.lit(threshold) - before) / each)).cast("long")
+    hits = hits.withColumn("_run", F.when(F.col("_over_before") + F.col("_over") > 0, before + each * nth_over)
+                           .otherwise((excl + amt * nth).cast("double")))
     first = hits.groupBy(*_GROUP).agg(
         F.min_by(F.struct(*[c for c in hits.columns if c not in _GROUP]),
                  F.struct(*[c for c in _ORDER if c != "_kind"])).alias("_r"))
