@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, kneser_ney, langid, licences, minhash, mixing, packing, quality, token_counts, warc
+from . import ann, kneser_ney, langid, licences, minhash, mixing, packing, quality, records, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -254,3 +254,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors.filter(F.col("vec_id") % 50 == 0), vectors)
+
+
+# 11 ------------------------------------------------------------ binary records
+@register("op11_binary_records")
+def op11_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = records.new_folder(spark)
+    records.write_records(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), folder)
+    return records.read_records(spark, folder).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
