@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, kneser_ney, langid, licences, minhash, mixing, packing, quality, records, token_counts, warc
+from . import (ann, kneser_ney, langid, lexical, licences, minhash, mixing, packing, quality, records, token_counts,
+               warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -262,3 +263,27 @@ def op11_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = records.new_folder(spark)
     records.write_records(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), folder)
     return records.read_records(spark, folder).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+# 12 ----------------------------------------------------------- lexical search
+_LEXICAL_SQL = r"""
+with d as (select row_number() over () r, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') ts from documents),
+s as (select count(*) n, sum(len(ts))::bigint l from d where len(ts) > 0),
+p as (select r, t, count(*) tf from (select r, unnest(ts) t from d) group by r, t),
+w as (select t, floor(1000 * ln((2 * any_value(n) + 2)::double / (2 * count(*) + 1)))::bigint w from p, s group by t),
+m as (select r, doc_id, 100 - 90 + (90 * len(ts) * n) // l m from d, s where len(ts) > 0),
+q as (select row_number() over () qr, item_id, list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) ts from benchmark),
+x as (select qr, item_id, unnest(ts) t from q),
+f as (select qr, item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint score
+      from x join p using (t) join w using (t) join m using (r) group by all),
+k as (select *, row_number() over (partition by qr order by score desc, doc_id) rank from f where score > 0)
+select item_id, rank::int rank, doc_id, score from k where rank <= 10"""
+
+
+@register("op12_lexical_search", _LEXICAL_SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
