@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, kneser_ney, langid, lexical, licences, minhash, mixing, packing, quality, records, token_counts,
-               warc)
+from . import (ann, conversations, kneser_ney, langid, lexical, licences, minhash, mixing, packing, quality, records,
+               token_counts, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -287,3 +287,10 @@ select item_id, rank::int rank, doc_id, score from k where rank <= 10"""
 @register("op12_lexical_search", _LEXICAL_SQL)
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+# 13 ----------------------------------------------------- conversation repair
+@register("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows).withColumnRenamed("conv", "conv_id")
