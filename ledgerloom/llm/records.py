@@ -278,15 +278,19 @@ def _decoder(folder: str, with_ids: bool):
                     + (", ids array<int>" if with_ids else ""))
 
 
-def read_records(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, folder: str, with_ids: bool = False,
+                 partitions: int | None = None) -> DataFrame:
     """Every record, read in spans of whole frames and checked: id, start
     (token ids of all documents before), n_tokens, ids_crc32 (of the ids as
-    little-endian unsigned 32-bit integers), file, record, and the ids."""
+    little-endian unsigned 32-bit integers), file, record, and the ids.
+    ``partitions`` is stated, as the rows that name the spans are far smaller
+    than what they stand for."""
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spans = index(spark, folder).groupBy("file", "name", F.floor(F.col("at") / SPAN_BYTES).alias("span")).agg(
         F.min("record").alias("record"), F.min("at").alias("at"), F.max(F.col("at") + F.col("size") + 16).alias("end"),
         F.min("start").alias("start"), F.count(F.lit(1)).alias("records"))
     decode, schema = _decoder(folder, with_ids)
-    return spans.repartition("file", "span").mapInArrow(decode, schema)
+    return spans.repartition(parts, "file", "span").mapInArrow(decode, schema)
 
 
 def shuffled(spark: SparkSession, folder: str, seed: int, with_ids: bool = True,
