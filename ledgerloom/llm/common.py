@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, release: Callable[[], None]) -> None:
+    """Called in a Python worker by an operator that remembers things from task
+    to task: what other operators remember there is released, so a worker that
+    serves many stages holds the memory of one."""
+    others = [name for name in _HELD if name != owner]
+    for name in others:
+        _HELD.pop(name)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    _HELD[owner] = release
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it, so that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def as_rows(df: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` beside the whole row as one struct ``row``, so that no column
+    an operator adds can clash with those of ``df``."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *columns)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once: bound as the variable of
     a one-element ``transform``, so Catalyst cannot copy a costly expression

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder, written
+from .common import claim, shared_folder, written
 from .langid import discounts
 from .minhash import WordHashes, _splitmix
 
@@ -45,6 +45,10 @@ FULL = 255                      # counts from here on stand in a list of their o
 _WORDS = WordHashes()
 
 
+def _claim() -> None:
+    claim("kneser_ney", _WORDS.clear)
+
+
 def token_hashes(text: bytes | None) -> np.ndarray:
     """Hashes of the words (A-Z in lower case) and of the end."""
     words = (text or b"").lower().split()

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import claim
+
 ORDER = 4                   # 16 bits a character: a 4-gram is one 64-bit key
 BITS = 16
 SAMPLE = 2500               # labelled texts a language the model is fitted on (expected; the bound of the sample)
@@ -215,6 +217,11 @@ def calibrate(model: Model, lang: np.ndarray, n: np.ndarray, h: np.ndarray) -> N
     model.reach = np.array([m + max(s, LEAST_REACH if o.sum() >= FEW else FEW_REACH) for o, m, s in zip(own, middle, spread)])
 
 
+def sample_limit(sample: int, n: int) -> int:
+    """Greatest 63-bit hash that is drawn so that of ``n`` rows about ``sample`` are."""
+    return max(0, min((1 << 63) - 1, (sample << 63) // n - 1))
+
+
 def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Model:
     """Fit and calibrate on about ``sample`` rows a language, chosen by a hash
@@ -229,11 +236,12 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
     languages = sorted(sizes)
     if not languages:
         return Model([])
-    draw = F.pmod(F.xxhash64(F.lit("language sample"), F.coalesce("id", F.lit(""))), F.lit(1_000_000))
+    # 63 bits, so that no language is too large to be drawn from.
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("language sample"), F.coalesce("id", F.lit(""))), 1)
     share = F.lit(None)
     for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(int(min(1.0, sample / n) * 1_000_000))).otherwise(share)
-    chosen = d.filter((draw < share) & F.col("text").isNotNull())
+        share = F.when(F.col("lang") == lang, F.lit(sample_limit(sample, n))).otherwise(share)
+    chosen = d.filter((draw <= share) & F.col("text").isNotNull())
     held = F.pmod(F.xxhash64(F.lit("held back"), F.coalesce("id", F.lit(""))), F.lit(HELD_BACK)) == 0
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +277,8 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
         m = shared.value
         for batch in batches:
             langs = batch.column(2).to_pylist()
-            n, h = entropies(m, batch.column(1).to_pylist())
+            parts = [entropies(m, some) for some in _chunks(batch.column(1).to_pylist())]
+            n, h = map(np.concatenate, zip(*parts or [entropies(m, [])], strict=True))
             ok = [i for i in range(len(langs)) if n[i] and langs[i] in m.languages]
             own = [h[i, m.languages.index(langs[i])] for i in ok]
             yield pa.RecordBatch.from_arrays([pa.array([langs[i] for i in ok], pa.string()), pa.array(n[ok]),
@@ -281,6 +290,20 @@ def train(labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", tex
     return model
 
 
+def _judged(m: Model, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Per text: characters, least cross-entropy, its language's place (one
+    past the languages: none), score, rejected."""
+    n, h = entropies(m, texts)
+    if not m.languages:
+        return n, np.zeros(len(n)), np.zeros(len(n), int), np.zeros(len(n)), np.ones(len(n), bool)
+    best = h.argmin(axis=1)
+    low = h[np.arange(len(h)), best]
+    score = 1.0 / np.exp(-SHARPNESS * (h - low[:, None])).sum(axis=1)
+    none = n == 0
+    rejected = none | (low > m.centre[best] + m.reach[best] * _width(n))
+    return n, low, np.where(none, len(m.languages), best), np.where(none, 0.0, score), rejected
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
             keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, *keep, lang_pred, score, n_letters_and_gaps as n_chars,
@@ -297,25 +320,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     n_keep = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("langid", int)
         m = shared.value
         names = np.array([*m.languages, UNKNOWN], object)
         for batch in batches:
-            n_all, h_all = [], []
-            for texts in _chunks(batch.column(1).to_pylist()):
-                n, h = entropies(m, texts)
-                n_all.append(n)
-                h_all.append(h)
-            n, h = np.concatenate(n_all or [np.zeros(0, np.int64)]), np.concatenate(h_all or [np.zeros((0, len(m.languages)))])
-            if m.languages:
-                best = h.argmin(axis=1)
-                low = h[np.arange(len(h)), best]
-                score = 1.0 / np.exp(-SHARPNESS * (h - low[:, None])).sum(axis=1)
-                rejected = low > m.centre[best] + m.reach[best] * _width(n)
-            else:
-                best, low, score = np.zeros(len(n), int), np.zeros(len(n)), np.zeros(len(n))
-                rejected = np.ones(len(n), bool)
-            none = (n == 0) | (not m.languages)
-            best, score, rejected = np.where(none, len(m.languages), best), np.where(none, 0.0, score), rejected | none
+            parts = [_judged(m, texts) for texts in _chunks(batch.column(1).to_pylist())]
+            n, low, best, score, rejected = map(np.concatenate, zip(*parts or [_judged(m, [])], strict=True))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(batch.column(2 + i) for i in range(n_keep)),
                  pa.array(names[best].tolist(), pa.string()), pa.array(score.astype(float)), pa.array(n),
@@ -334,8 +344,18 @@ def held_out(docs: DataFrame, id_col: str = "doc_id", fold: int = 2, folds: int
     return F.crc32(text.cast("binary")) % folds == fold
 
 
-def filter_language(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` the model does not reject, with their columns."""
-    names = docs.columns
-    out = predict(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in names])), model, id_col, text_col, ("_row",))
-    return out.filter(~F.col("rejected")).select("_row.*")
+def filter_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` the model does not reject, with their columns,
+    whatever their names. NULL texts and those without a letter go; a model
+    without languages rejects all. NULL ids, ties and repeated rows are judged
+    row by row, very long texts whole. Empty table: no rows. Only the text goes
+    to Python, once, and only the verdict comes back."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("langid", int)
+        m = shared.value
+        for texts in batches:
+            out = [_judged(m, some)[-1] for some in _chunks(texts.to_pylist())]
+            yield pa.array(np.concatenate(out or [np.zeros(0, bool)]))
+    return docs.filter(~F.arrow_udf(judge, "boolean")(F.col(text_col)))

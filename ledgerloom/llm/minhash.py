@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import as_rows, claim, written
 from .components import components
 
 BANDS, ROWS, BITS = 48, 6, 2
@@ -67,6 +67,10 @@ class WordHashes(dict):
 _WORDS = WordHashes()
 
 
+def _claim() -> None:
+    claim("minhash", _WORDS.clear)
+
+
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's k-word shingles (A-Z in
     lower case); fewer than k words: the whole sequence as one."""
@@ -128,6 +132,7 @@ def features(docs: DataFrame, k: int) -> DataFrame:
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _claim()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 some = batch.slice(lo, 1024)
@@ -154,6 +159,7 @@ def features(docs: DataFrame, k: int) -> DataFrame:
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     """(id, shingles) with the full sets, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _claim()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 some = batch.slice(lo, 1024)
@@ -336,15 +342,14 @@ def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str =
                   text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near duplicates, the one with
     the least id; of rows that share a kept id one stays, the least when
-    written as JSON. NULL ids stay."""
+    written as JSON. NULL ids stay. NULL and empty texts are like nothing and
+    stay; very long texts are compared whole. Empty table: no rows. Any column
+    names are allowed and all values come back."""
     kept = near_duplicates(docs, k, percent, id_col, text_col).filter("kept")
-    ids = kept.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_rows"))
-    joined = docs.join(ids, F.col(id_col) == F.col("_id"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    single = joined.filter("_rows = 1").select(*names)
-    again = joined.filter("_rows > 1")
+    ids = kept.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    joined = as_rows(docs, F.col(id_col).alias("key")).join(ids, F.col("key") == F.col("id"))
+    single = joined.filter("n = 1").select("row.*")
     # Equal rows of one id are folded by the aggregate.
-    first = again.groupBy("_id").agg(F.min_by(F.struct(*names), F.to_json(F.struct(*names))).alias("_row")) \
-        .select("_row.*")
+    first = joined.filter("n > 1").groupBy("id").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
     nulls = docs.filter(F.col(id_col).isNull())
     return single.unionByName(first).unionByName(nulls)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import as_rows, free_name, words
 
 #: Above so many sources the table of rates is joined, not broadcast.
 BROADCAST_SOURCES = 100_000
@@ -85,13 +85,14 @@ def copies(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: st
     replaced.
     """
     table = targets(source_sizes(docs, size, source_col), weights, share, most)
-    table = table.select(F.col("source").alias("_mix_source"), F.col("source_size").alias(prefix + "source_size"),
+    key = free_name(docs, "mixed_source")
+    table = table.select(F.col("source").alias(key), F.col("source_size").alias(prefix + "source_size"),
                          F.col("target").alias(prefix + "target"))
     small = table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     names = [prefix + n for n in ("size", "source_size", "target", "rate", "copies")]
     d = docs.drop(*names).withColumn(prefix + "size", size)
     d = d.join(F.broadcast(table) if small else table,
-               F.col(source_col).eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
+               F.col(source_col).eqNullSafe(F.col(key))).drop(key)
     rate = F.when(F.col(prefix + "source_size") > 0, F.col(prefix + "target") / F.col(prefix + "source_size")) \
         .otherwise(0.0)
     d = d.withColumn(prefix + "rate", rate)
@@ -104,8 +105,12 @@ def copies(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: st
 
 
 def mix(docs: DataFrame, size: Column, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, each row as often as taken."""
-    taken = copies(docs, size, prefix="_mix_", **options)
-    out = taken.filter(F.col("_mix_copies") > 0) \
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mix itself: the columns of ``docs``, whatever their names, each row
+    as often as taken. NULL sources, NULL ids, empty texts and repeated rows as
+    in ``copies``; a row of size 0 is emitted like the others of its source,
+    none where the source has size 0. Very long texts count whole. Empty table:
+    no rows."""
+    own = as_rows(docs, F.col(options.pop("id_col", "doc_id")).alias("doc_id"),
+                  F.col(options.pop("source_col", "source")).alias("source"), size.alias("size"))
+    taken = copies(own, F.col("size"), **options).filter("mix_copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select("row.*")

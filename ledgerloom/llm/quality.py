@@ -1,26 +1,25 @@
 """Quality rules (2): a short-circuit cascade, DataFrame functions only.
 
 Each rule is a boolean expression over a text's measures. On a bounded sample
-the cost (time a row) and the selectivity (share rejected) of every rule are
-estimated; rules run in the order of rejection per cost, nested in one CASE
+the cost (the words and characters of a row times what each takes) and the
+selectivity (share rejected) of every rule are estimated; rules run in the order of rejection per cost, nested in one CASE
 whose later branches are not evaluated once one rejects. The order changes
 only the time and which rule is named; ``kept`` is the same in every order.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
-from .common import WHITE, let, words
+from .common import WHITE, as_rows, free_name, let, words
 
 SYMBOLS = "#*$%&|<>"
-SAMPLE_ROWS = 1000          # bound of the sample that orders the rules
-SAMPLE_CHARS = 20_000       # longer texts are left out of that sample (not out of the cascade)
+SAMPLE_ROWS = 1000          # size of the sample that orders the rules
 
 
 def word_hashes(text: Column) -> Column:
@@ -105,19 +104,24 @@ def measures(text: Column) -> dict[str, Callable[[Column], Column]]:
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects(m)``: boolean Column over measures ``m[name]``."""
+    """``rejects(m)``: boolean Column over measures ``m[name]``; ``per_word``
+    and ``per_char``: nanoseconds that its measures take for a word and for a
+    character of a text (measured once; constants, so that the order of the
+    rules, and with it the rule named, is the same on every run and machine)."""
     name: str
     rejects: Callable[[dict[str, Column]], Column]
+    per_word: float = 0.0
+    per_char: float = 0.0
 
 
 RULES: tuple[Rule, ...] = (
-    Rule("few_words", lambda m: m["n_words"] < 20),
-    Rule("repeated_passages", lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
-    Rule("symbols", lambda m: 100 * m["n_symbols"] > 10 * m["n_words"]),
-    Rule("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 12 * m["n_words"])),
-    Rule("repeated_lines", lambda m: m["dup_line_percent"] > 50.0),
-    Rule("repeated_words", lambda m: 100 * m["n_run_words"] > 50 * m["n_words"]),
-    Rule("few_letters", lambda m: 100 * m["n_letters"] < 40 * m["word_chars"]),
+    Rule("few_words", lambda m: m["n_words"] < 20, 0.1),
+    Rule("repeated_passages", lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"], 1450),
+    Rule("symbols", lambda m: 100 * m["n_symbols"] > 10 * m["n_words"], 0, 70),
+    Rule("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 12 * m["n_words"]), 0, 50),
+    Rule("repeated_lines", lambda m: m["dup_line_percent"] > 50.0, 0, 60),
+    Rule("repeated_words", lambda m: 100 * m["n_run_words"] > 50 * m["n_words"], 130),
+    Rule("few_letters", lambda m: 100 * m["n_letters"] < 40 * m["word_chars"], 0, 105),
 )
 BASE = ("few_words", "repeated_passages")
 
@@ -127,36 +131,30 @@ def _expressions(text: Column, hashes: Column) -> dict[str, Column]:
 
 
 def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text",
-                rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[Rule, float, float]]:
-    """(rule, seconds a row, share rejected), most rejection per cost first.
-
-    The sample has at most ``rows`` rows; it orders the rules and decides
-    nothing else. An empty sample keeps the given order."""
+                rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
+    """(rule, nanoseconds a row, share rejected), most rejection per cost first.
+
+    Both are estimated on a sample of about ``rows`` rows with their whole
+    texts, chosen by a hash of the row, in one aggregate; nothing but its sums
+    leaves the executors. The sample orders the rules and decides nothing else.
+    An empty sample keeps the given order."""
+    total = docs.count()
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, AtomicType) and f.dataType != VariantType()]
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("rule sample"), *plain), 1)
+    limit = min((1 << 63) - 1, (rows << 63) // max(total, 1))
     text = F.col("text")
-    sample = (docs.select(F.col(text_col).alias("text")).filter(F.length("text") <= chars).limit(rows)
-              .withColumn("hashes", word_hashes(text))).persist()
-    try:
-        n = sample.count()
-        if n == 0:
-            return [(r, 0.0, 0.0) for r in rules]
-        m = _expressions(text, F.col("hashes"))
-
-        def timed(c: Column) -> tuple[float, int]:
-            best, hits = float("inf"), 0
-            for _ in range(2):
-                t = time.perf_counter()
-                hits = sample.agg(F.count_if(c)).first()[0]
-                best = min(best, time.perf_counter() - t)
-            return best, hits
-
-        idle, _ = timed(F.size("hashes") < 0)
-        found = []
-        for r in rules:
-            took, hits = timed(r.rejects(m))
-            found.append((r, max(took - idle, 1e-3) / n, hits / n))
-    finally:
-        sample.unpersist()
-    return sorted(found, key=lambda x: (-x[2] / x[1], x[0].name))
+    sample = docs.filter(draw <= limit).select(F.col(text_col).alias("text"))
+    m = {k: F.col("m")[k] for k in measures(text)}
+    found = sample.select(
+        F.coalesce(F.char_length(text), F.lit(0)).alias("chars"),
+        let(word_hashes(text), lambda h: F.struct(*[c.alias(k) for k, c in _expressions(text, h).items()])).alias("m")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(r.per_word * m["n_words"] + r.per_char * F.col("chars")).alias(f"cost_{k}") for k, r in enumerate(rules)],
+        *[F.count_if(r.rejects(m)).alias(f"hits_{k}") for k, r in enumerate(rules)]).first()
+    if not (n := found["n"]):
+        return [(r, 0.0, 0.0) for r in rules]
+    out = [(r, max(found[f"cost_{k}"] / n, 1.0), found[f"hits_{k}"] / n) for k, r in enumerate(rules)]
+    return sorted(out, key=lambda x: (-x[2] / x[1], x[0].name))
 
 
 def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text", prefix: str = "quality_",
@@ -187,13 +185,19 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "tex
 
     # Word hashes and measures are bound by ``let``: a filter on the verdict
     # may be pushed below the projection without evaluating them again.
-    found = prefix + "found"
+    found = free_name(docs, prefix + "found")
     d = docs.withColumn(found, let(word_hashes(text), verdict))
     return d.withColumns({**{prefix + c: F.col(found)[c] for c in columns}, prefix + "failed": F.col(found)["failed"],
                           prefix + "kept": F.col(found)["failed"].isNull()}).drop(found)
 
 
 def filter_quality(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that pass every rule, with the columns of ``docs``."""
-    out = cascade(docs, prefix="_quality_", **options).filter("_quality_kept")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that pass every rule, with the columns of ``docs``,
+    whatever their names. NULL and empty texts go (too few words); NULL ids,
+    ties and repeated rows are judged row by row, very long texts whole. Empty
+    table: no rows."""
+    text_col = options.pop("text_col", "text")
+    if options.get("order") is None:
+        options["order"] = [r for r, _, _ in order_rules(docs, options.get("rules", RULES), text_col)]
+    judged = cascade(as_rows(docs, F.col(text_col).alias("text")), **options)
+    return judged.filter("quality_kept").select("row.*")

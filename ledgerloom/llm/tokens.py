@@ -24,6 +24,8 @@ import re
 import sys
 from functools import lru_cache
 
+from .common import claim
+
 _HARD = re.compile(r"\s{3}|\s\s\Z")
 #: A text without any of these has no run of white space that matters; others are looked at closely.
 _SUSPECT = ("  ", "\n\n", " \n", "\n ", *(chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n"))
@@ -187,6 +189,7 @@ _ENCODERS: dict[tuple, Encoder] = {}
 def encoder(path: str, whole: dict[bytes, int], width: int) -> Encoder:
     """The encoder of this worker process. ``width`` 0 counts tokens, 2 or 4
     packs ids as little-endian integers of so many bytes."""
+    claim("tokens", _ENCODERS.clear)
     key = (path, width)
     if key not in _ENCODERS:
         kind = {0: "", 2: "H", 4: "I"}[width]

@@ -6,7 +6,9 @@ from pyspark.sql import types as T
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      T.StructField("n_chars", T.LongType())])
-EXTRA = ("id", "n", "key", "part", "hashes", "size", "score", "_one", "mix_size", "quality_kept", "n_tokens", "words")
+EXTRA = ("id", "n", "key", "part", "size", "score", "_one", "mix_size", "quality_kept", "n_tokens", "words",
+         "_id", "_rows", "row", "_row", "_mix_source", "_mix_size", "_mix_rate", "_mix_copies", "_mix_copy", "mixed_source",
+         "_quality_found", "_quality_kept", "quality_found", "quality_failed", "mix_copies", "hashes", "found", "col")
 
 
 def sentences(rng, n, words):
