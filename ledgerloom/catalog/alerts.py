@@ -277,6 +277,20 @@ def q_global_row_number(spark, sf):
     return r.select("file_name", "TransactionID", "AccountNumber", "rn")
 
 
+@register("global_row_number_frequent", with_fixtures(("fx_txn_raw",), """
+with k as (select case when cast(substring(AccountNumber, 3, 10) as int) % 3 = 0 then 'HOT' else AccountNumber end as k
+           from fx_txn_raw),
+n as (select k, row_number() over (order by k nulls first) as rn from k)
+select k, min(rn) as first_rn, max(rn) as last_rn, count(*) as rows, count(distinct rn) as numbers from n group by k"""))
+def q_global_row_number_frequent(spark, sf):
+    """A third of the rows equal in the order column, in buckets of few rows."""
+    raw = fixture(spark, sf, "fx_txn_raw")
+    hot = F.when(F.substring("AccountNumber", 3, 10).cast("int") % 3 == 0, F.lit("HOT"))
+    r = global_row_number(raw.withColumn("k", hot.otherwise(F.col("AccountNumber"))), ["k"], "rn", bucket_rows=200)
+    return r.groupBy("k").agg(F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"),
+                              F.count(F.lit(1)).alias("rows"), F.count_distinct("rn").alias("numbers"))
+
+
 # ---- the same rules with one customer holding a third of the accounts ------
 # The hot threshold is lowered so that the hot customer takes the
 # range-partitioned scan path on the whole table (the default threshold,

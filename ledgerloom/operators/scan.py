@@ -21,12 +21,15 @@ The scans here instead:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .splits import BUCKET_ROWS, find_splits
 
+BUCKETS_PER_PARTITION = 4       # buckets a shuffle partition, so that partitions come out even
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 _MERGE = {"sum": lambda a, b: a + b, "min": F.least, "max": F.greatest}
 
@@ -170,31 +173,43 @@ def segmented_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_number",
                       group: Sequence[str] = (), num_partitions: int | None = None,
-                      hot_rows: int | None = None) -> DataFrame:
+                      hot_rows: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Dense 1-based row numbers over a total order, without
     ``Exchange SinglePartition``; with ``group`` it numbers within groups
     (same result as ``row_number`` over ``partitionBy(group)``) without
     putting a hot group in one task.
 
-    Without a group: range-partition, sort inside partitions, take each row's
-    position from ``monotonically_increasing_id`` (partition id in the high
-    bits, position in the low 33 bits), checkpoint, and add the count of all
-    earlier partitions (a table of one row per partition, broadcast)."""
+    Without a group: repeatable splits (``splits.py``) give each row a bucket,
+    the buckets are counted, and a row's number is the rows in earlier buckets
+    plus its place in its own, found by one shuffle of the rows by bucket.
+    Nothing is written. Copies of a row whose value fills several buckets are
+    folded first and unfolded with consecutive numbers. The rows must be the
+    same whenever ``df`` is computed; rows equal in every order column are
+    numbered in no stated order."""
     if group:
         d = df.withColumn("_one", F.lit(1))
         r = segmented_scan(d, group, order, {out: ("sum", "_one", True)}, num_partitions, hot_rows)
         return r.drop("_one").withColumn(out, F.col(out).cast("long"))
-    n = _partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = materialize(ranged).withColumns({
-        "_pid": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, (F.col("_off") + F.col("_pos") + 1).cast("long"))
-            .drop("_mid", "_pid", "_pos", "_off"))
+    names = [f"`{c}`" for c in df.columns if c != out]
+    splits = find_splits(df, order, BUCKETS_PER_PARTITION * _partitions(df, num_partitions), bucket_rows=bucket_rows)
+    d = splits.assign(df, "_bucket", "_frequent")
+    # Maps cannot be grouped by; rows that hold some are dealt by their hash alone.
+    fold = splits.repeated and not any(x in f.dataType.simpleString() for f in df.schema for x in ("map<", "variant"))
+    if fold:
+        some = d.filter("_frequent").groupBy(*names, "_bucket").agg(F.count(F.lit(1)).alias("_copies"))
+        d = d.filter("not _frequent").select(*names, "_bucket", F.lit(1).cast("long").alias("_copies")).unionByName(some)
+    else:
+        d = d.select(*names, "_bucket", F.lit(1).cast("long").alias("_copies"))
+    counts = {r["_bucket"]: r["n"] for r in d.groupBy("_bucket").agg(F.sum("_copies").alias("n")).collect()}
+    before = list(accumulate((counts.get(b, 0) for b in range(splits.buckets)), initial=0))[:-1]    # one number a bucket
+    offsets = df.sparkSession.createDataFrame([(before,)], "b array<bigint>").scalar()
+    own = Window.partitionBy("_bucket").orderBy(*_cols(order))
+    if not fold:
+        place = F.row_number().over(own)
+        return d.withColumn(out, (F.get(offsets, F.col("_bucket")) + place).cast("long")).select(*names, out)
+    last = F.get(offsets, F.col("_bucket")) + F.sum("_copies").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    return d.withColumn("_last", last).select(
+        *names, F.explode(F.sequence(F.col("_last") - F.col("_copies") + 1, F.col("_last"))).alias(out))
 
 
 def systematic_sample(df: DataFrame, k: int, order: Sequence[str], out: str = "row_number",
