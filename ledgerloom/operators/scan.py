@@ -200,7 +200,7 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_numbe
         d = d.filter("not _frequent").select(*names, "_bucket", F.lit(1).cast("long").alias("_copies")).unionByName(some)
     else:
         d = d.select(*names, "_bucket", F.lit(1).cast("long").alias("_copies"))
-    counts = {r["_bucket"]: r["n"] for r in d.groupBy("_bucket").agg(F.sum("_copies").alias("n")).collect()}
+    counts = {} if splits.buckets == 1 else {r["_bucket"]: r["n"] for r in d.groupBy("_bucket").agg(F.sum("_copies").alias("n")).collect()}
     before = list(accumulate((counts.get(b, 0) for b in range(splits.buckets)), initial=0))[:-1]    # one number a bucket
     offsets = df.sparkSession.createDataFrame([(before,)], "b array<bigint>").scalar()
     own = Window.partitionBy("_bucket").orderBy(*_cols(order))

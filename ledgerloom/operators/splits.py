@@ -21,10 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, VariantType
 
-FAN = 64                        # buckets found by one search tree; two levels of them at most
-MOST_BUCKETS = FAN * FAN
+MOST_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 32          # sampled rows a border; a bucket's size is within half and twice its share
-BUCKET_ROWS = 20_000            # fewer rows need no more buckets
+BUCKET_ROWS = 100_000           # fewer rows need no more buckets
 
 
 def row_hash(df: DataFrame, *salt: Column) -> Column:
@@ -40,24 +39,21 @@ def _key(order: Sequence[str]) -> Column:
 
 
 def _rank(borders: Column, n: int, key: Column, equal: bool) -> Column:
-    """How many of ``n`` ascending borders are below ``key`` (or equal to it),
-    by a binary search written as nested conditions."""
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        border = F.get(borders, F.lit(mid))
-        return F.when(border <= key if equal else border < key, node(mid + 1, hi)).otherwise(node(lo, mid))
-    return node(0, n)
+    """How many of ``n`` ascending borders are below ``key`` (or equal to it):
+    a binary search, one comparison for each bit of ``n``."""
+    def step(found: Column, width: Column) -> Column:
+        border = F.get(borders, found + width - 1)              # NULL past the end
+        return F.when(border <= key if equal else border < key, found + width).otherwise(found)
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))]), F.lit(0), step)
 
 
 @dataclass
 class Splits:
-    """``buckets`` buckets over ``order``; ``borders`` is one row: coarse (array
-    of values), fine (array of such arrays), repeated (a border occurs twice)."""
+    """``buckets`` buckets over ``order``; ``borders``: the ascending border
+    values, an array of constants; ``repeated``: some occur more than once."""
     order: list[str]
     buckets: int
-    borders: DataFrame | None = None
+    borders: Column | None = None
     repeated: bool = False
 
     def assign(self, df: DataFrame, bucket: str, frequent: str) -> DataFrame:
@@ -65,46 +61,46 @@ class Splits:
         several buckets."""
         if self.buckets == 1:
             return df.withColumns({bucket: F.lit(0), frequent: F.lit(False)})
-        coarse, fine = (self.borders.select(c).scalar() for c in ("coarse", "fine"))
-        groups = -(-self.buckets // FAN)
-        size = min(self.buckets, FAN) - 1
-        key, low, up = (f"{bucket}_{x}" for x in ("key", "low", "up"))
+        key, low, n = f"{bucket}_key", f"{bucket}_low", self.buckets - 1
         d = df.withColumn(key, _key(self.order))
-        d = d.withColumns({c: _rank(coarse, groups - 1, F.col(key), equal) for c, equal in ((low, False), (up, True))})
-        d = d.withColumns({c: F.col(c) * FAN + _rank(F.get(fine, F.col(c)), size, F.col(key), equal)
-                           for c, equal in ((low, False), (up, True))})
-        own = F.col(up) - F.col(low)
-        spread = F.when(own > 0, F.col(low) + 1 + F.pmod(row_hash(df), own)).otherwise(F.col(up))
-        return d.withColumns({bucket: spread.cast("int"), frequent: own > 1}).drop(key, low, up)
+        d = d.withColumn(bucket, _rank(self.borders, n, F.col(key), True))
+        if not self.repeated:
+            return d.withColumn(frequent, F.lit(False)).drop(key)
+        d = d.withColumn(low, _rank(self.borders, n, F.col(key), False))
+        own = F.col(bucket) - F.col(low)
+        spread = F.when(own > 0, F.col(low) + 1 + F.pmod(row_hash(df), own).cast("int")).otherwise(F.col(bucket))
+        return d.withColumns({bucket: spread, frequent: own > 1}).drop(key, low)
+
+
+def _constant(value: str | None, kind: str) -> str:
+    """SQL of a constant from its text in hexadecimal."""
+    if value is None:
+        return f"cast(null as {kind})"
+    return f"unhex('{value}')" if kind == "binary" else f"cast(cast(unhex('{value}') as string) as {kind})"
 
 
 def find_splits(df: DataFrame, order: Sequence[str], buckets: int, total: int | None = None,
                 bucket_rows: int = BUCKET_ROWS) -> Splits:
     """Borders for about ``buckets`` buckets of equally many rows, at most
-    ``MOST_BUCKETS``. Reads the order columns, and all columns for the hash
-    that draws the sample; ``SAMPLE_PER_BUCKET`` values a bucket are gathered."""
+    ``MOST_BUCKETS``. The order columns hold plain values (no arrays, structs
+    or maps). Reads them, and all columns for the hash that draws the sample;
+    ``SAMPLE_PER_BUCKET`` values a bucket are gathered, the borders collected."""
     order = list(order)
     total = df.count() if total is None else total
     buckets = max(1, min(buckets, MOST_BUCKETS, -(-total // bucket_rows)))
     if buckets == 1:
         return Splits(order, 1)
-    groups = -(-buckets // FAN)
-    if groups > 1:
-        buckets = groups * FAN
     limit = min((1 << 63) - 1, (SAMPLE_PER_BUCKET * buckets << 63) // total)
     drawn = df.filter(F.shiftrightunsigned(row_hash(df, F.lit("splits")), 1) <= limit).select(_key(order).alias("key"))
-    ranked = drawn.agg(F.sort_array(F.collect_list("key")).alias("a")).filter(F.size("a") > 0)
-    borders = ranked.select(F.transform(
-        F.sequence(F.lit(1), F.lit(buckets - 1)),
-        lambda j: F.get("a", F.floor(j * F.size("a") / buckets).cast("int"))).alias("s"))
-    size = min(buckets, FAN) - 1
-    borders = borders.select(
-        F.transform(F.sequence(F.lit(1), F.lit(groups)), lambda g: F.get("s", g * FAN - 1)).alias("coarse"),
-        F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.slice("s", g * FAN + 1, size)).alias("fine"),
-        (F.size("s") > F.size(F.array_distinct("s"))).alias("repeated"))
-    # At most MOST_BUCKETS values; fixed from here on.
-    found = borders.toArrow()
-    if not found.num_rows:
+    kinds = [df.schema[c].dataType.simpleString() for c in order]
+    text = [F.hex(F.col("b")[f"k{i}"] if kind == "binary" else F.col("b")[f"k{i}"].cast("string")) for i, kind in enumerate(kinds)]
+    found = (drawn.agg(F.sort_array(F.collect_list("key")).alias("a")).filter(F.size("a") > 0)
+             .select(F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)), lambda j: F.get(
+                 "a", F.floor(j * F.size("a") / buckets).cast("int")))).alias("j", "b"))
+             .select("j", *[t.alias(f"k{i}") for i, t in enumerate(text)]).collect())    # at most MOST_BUCKETS rows
+    if not found:
         return Splits(order, 1)
-    local = df.sparkSession.createDataFrame(found, borders.schema)
-    return Splits(order, buckets, local, found.column("repeated")[0].as_py())
+    values = [tuple(r)[1:] for r in sorted(found)]
+    one = ", ".join("named_struct(" + ", ".join(f"'k{i}', {_constant(v, k)}" for i, (v, k) in enumerate(zip(b, kinds))) + ")"
+                    for b in values)
+    return Splits(order, buckets, F.expr(f"array({one})"), len(set(values)) < len(values))
