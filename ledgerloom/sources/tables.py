@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import one_per_key, same_key, upsert
+from .key_index import KeyIndex
 
 POINTER = "_CURRENT"
 
@@ -108,56 +109,82 @@ class PartitionedTable:
         r = self.spark.read
         return (r.schema(schema) if schema is not None else r).parquet(self.root)
 
-    def create(self, df: DataFrame) -> None:
-        """Partitioned write."""
+    def create(self, df: DataFrame, keys: Sequence[str] = ()) -> None:
+        """Partitioned write; with ``keys``, also their index."""
         df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.root)
+        if keys and self.exists():
+            self.index(keys).replace(self.read(df.schema))
+
+    def index(self, keys: Sequence[str]) -> KeyIndex:
+        return KeyIndex(self.spark, self.root, self.partition_by, keys)
+
+    def may_hold(self, source: DataFrame, keys: Sequence[str], schema=None) -> DataFrame:
+        """The table's partitions that may hold a key of ``source``, found by
+        the key index (built now if the table has none); no other is opened."""
+        index = self.index(keys)
+        table = self.read(schema)
+        if not index.exists():
+            index.replace(table)
+        return self._in(table, index.candidates(source))
 
     def _in(self, target: DataFrame, touched: DataFrame) -> DataFrame:
-        """Rows of the touched partitions. Plain equality prunes partitions
-        at run time; rows with a NULL partition value, which it cannot match,
-        are found by a filter on the partition columns, which prunes too."""
-        cols = self.partition_by
-        some_null = F.lit(False)
-        for c in cols:
-            some_null = some_null | F.col(c).isNull()
-        t = F.broadcast(touched)
-        known = target.join(t, cols, "left_semi")
-        nulls = target.filter(some_null).alias("t").join(t.alias("s"), same_key("t", "s", cols), "left_semi")
-        return known.unionByName(nulls)
+        """Rows of the touched partitions, whose values (a row per partition)
+        become literals, so that the others are pruned while planning."""
+        rows, wanted = touched.distinct().collect(), F.lit(False)
+        if len(self.partition_by) == 1:
+            c = self.partition_by[0]
+            wanted = F.col(c).isin([r[c] for r in rows if r[c] is not None])
+            if any(r[c] is None for r in rows):
+                wanted = wanted | F.col(c).isNull()
+        else:
+            for r in rows:
+                one = F.lit(True)
+                for c in self.partition_by:
+                    one = one & (F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]))
+                wanted = wanted | one
+        return target.filter(wanted)
 
     def merge(self, source: DataFrame, keys: Sequence[str], run_id: str, order: Sequence[str] | None = None,
               moves: bool = True) -> None:
         """One row per key, the last in ``order``, NULL-safe in keys and
         partition values; only touched partitions are rewritten. These are the
-        source's and, as a key may ``move``, those that hold its keys now (one
-        scan of the key columns). ``moves=False`` skips that scan for keys
-        that fix their partition."""
+        source's and, as a key may ``move``, those that hold its keys now: the
+        key index names the partitions that may, and only their key columns are
+        read. ``moves=False`` is for keys that fix their partition; no index is
+        kept for them."""
         keys = list(keys)
         if not self.exists():
-            self.create(one_per_key(source, keys, order))
+            self.create(one_per_key(source, keys, order), keys if moves else ())
             return
         table = self.read(source.schema)
         touched = source.select(*self.partition_by).distinct()
         if moves:
-            held = table.select(*dict.fromkeys([*keys, *self.partition_by])).alias("t").join(
+            near = self.may_hold(source, keys, source.schema)
+            held = near.select(*dict.fromkeys([*keys, *self.partition_by])).alias("t").join(
                 source.select(*keys).distinct().alias("s"), same_key("t", "s", keys), "left_semi")
             touched = touched.union(held.select(*self.partition_by)).distinct()
-        self.replace(upsert(self._in(table, touched), source, keys, order), touched, run_id)
+        self.replace(upsert(self._in(table, touched), source, keys, order), touched, run_id, keys if moves else ())
 
-    def replace(self, rows: DataFrame, touched: DataFrame, run_id: str) -> None:
+    def replace(self, rows: DataFrame, touched: DataFrame, run_id: str, keys: Sequence[str] = ()) -> None:
         """Replace exactly the touched partitions by ``rows``, staged first; a
-        touched partition without rows goes."""
+        touched partition without rows goes. With ``keys`` their index is kept
+        up: filters of the new rows are there before the rows are."""
         stage = f"{self.staging_root}/{run_id}"
         rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(stage)
         staged = self.spark.read.schema(rows.schema).parquet(stage)
-        there = self.read(rows.schema).select(*self.partition_by).distinct()
         cols = self.partition_by
-        gone = (touched.alias("t").join(staged.select(*cols).distinct().alias("s"), same_key("t", "s", cols), "left_anti")
-                .alias("t").join(there.alias("s"), same_key("t", "s", cols), "left_semi").collect())
+        if keys and self.index(keys).exists():
+            self.index(keys).add(staged)
+        gone = touched.alias("t").join(staged.select(*cols).distinct().alias("s"), same_key("t", "s", cols), "left_anti").collect()
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.root))
         for row in gone:                            # a row per emptied partition
             self._remove(row)
+        if keys:
+            index = self.index(keys)
+            index.replace(staged if index.exists() else self.read(rows.schema))
+        fs, p = _fs(self.spark, stage)
+        fs.delete(p, True)
 
     def _remove(self, row) -> None:
         """Delete the folder of a partition all of whose rows moved away."""

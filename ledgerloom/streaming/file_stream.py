@@ -62,8 +62,9 @@ class IngestSink:
         return PartitionedTable(spark, f"{self.root}/{name}", [by], f"{self.root}/_staging/{name}")
 
     def _held_in(self, spark: SparkSession, ids: DataFrame) -> DataFrame:
-        """Buckets that hold documents with these ids now (a scan of the id column)."""
-        held = self.store(spark, "profiles", "bucket").read().select("id", "bucket")
+        """Buckets that hold documents with these ids now; the key index of the
+        store names those that may, and only their ids are read."""
+        held = self.store(spark, "profiles", "bucket").may_hold(ids, ["id"]).select("id", "bucket")
         return held.join(ids.select("id").distinct(), "id", "left_semi").select("bucket")
 
     def merge_profiles(self, spark: SparkSession, touched: DataFrame, build, run_id: str) -> None:
@@ -71,10 +72,11 @@ class IngestSink:
         ``build(current_or_None)`` and replace exactly those buckets."""
         table = self.store(spark, "profiles", "bucket")
         if not table.exists():
-            table.create(build(None).withColumn("bucket", self._bucket(spark, "CustomerID")))
+            table.create(build(None).withColumn("bucket", self._bucket(spark, "CustomerID")), ["id"])
             return
         cur = table.read().join(F.broadcast(touched.distinct()), "bucket", "left_semi").drop("bucket")
-        table.replace(build(cur).withColumn("bucket", self._bucket(spark, "CustomerID")), touched.distinct(), run_id)
+        table.replace(build(cur).withColumn("bucket", self._bucket(spark, "CustomerID")), touched.distinct(), run_id,
+                      ["id"])
 
     def read_profiles(self, spark: SparkSession, touched: DataFrame | None = None) -> DataFrame | None:
         t = self.store(spark, "profiles", "bucket")
@@ -170,7 +172,7 @@ class IngestSink:
 
     def _transactions(self, spark: SparkSession, batch_id: int):
         def process(files):
-            raw = read_delimited(spark, files)
+            raw = read_delimited(spark, files, multiline=True)
             return ingest_transactions(raw.withColumn("source_type", C.source_type(F.col("file_name"))),
                                        **self.rule_params)
 
@@ -191,7 +193,7 @@ class IngestSink:
         from ..plans.ingest import merge_accounts_into_profiles
 
         def process(files):
-            raw = read_delimited(spark, files)
+            raw = read_delimited(spark, files, multiline=True)
             # Income of the customer documents already stored, in the buckets of these customers.
             customers = None
             if "CustomerID" in raw.columns:
@@ -216,7 +218,7 @@ class IngestSink:
         from ..plans.ingest import empty_profiles, merge_customer_profiles
 
         def process(files):
-            return ingest_customers(read_delimited(spark, files))
+            return ingest_customers(read_delimited(spark, files, multiline=True))
 
         def save(out):
             customers = out["customers"]
