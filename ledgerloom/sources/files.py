@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..schemas import all_strings
+from .quoted import files_with_breaks, records
 
 # Delimiters considered, comma is the fallback.
 DELIMITERS = (",", ";", "\t", "|")
@@ -59,6 +60,11 @@ def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str |
         stream.close()
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def list_files(spark: SparkSession, root: str) -> list[str]:
     """Files directly under ``root`` (or ``root`` itself when it is a file)."""
     fs, p = _fs(spark, root)
@@ -75,16 +81,27 @@ def split_header(line: str, sep: str) -> list[str]:
 
 def _surplus(raw: Column, sep: str, fields: int) -> Column:
     """A marked row has more fields than the header: separators outside quotes."""
-    bare = F.regexp_replace(raw, r'"(?:[^"]|"")*"', "")
+    bare = F.regexp_replace(raw, r'"[^"]*+(?:""[^"]*+)*+"', "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) >= fields
 
 
+def _from_records(found: DataFrame, header: Sequence[str], sep: str) -> DataFrame:
+    """Rows of whole records, parsed as the reader parses lines."""
+    schema = all_strings(header)
+    row = F.from_csv("record", ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema),
+                     {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
+    raw = F.col("record")
+    return found.select(row.alias("row"), F.when(_surplus(raw, sep, len(header)), raw).alias(CORRUPT), "name", "path").select(
+        "row.*", CORRUPT, F.col("name").alias("file_name"), F.col("path").alias("file_path"))
+
+
 def read_delimited(spark: SparkSession, paths: Iterable[str], sep: str | None = None,
                    encoding: str = "UTF-8", multiline: bool = False) -> DataFrame:
     """A1-A3: read header-bearing delimited files as all-string rows plus
     ``file_name``, ``file_path`` and ``_corrupt_record``. Empty files give
-    no rows. ``multiline`` keeps line breaks inside quotes; such a file is
-    read by one task, as it cannot be split."""
+    no rows. ``multiline`` keeps line breaks inside quotes: files that have
+    some (one scan of the lines with quotes tells) are put together from their
+    splits (``quoted.py``), the others are read as without it."""
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
     paths = list(paths)
     # Header reads are latency-bound (one open per file); issue them
@@ -99,10 +116,16 @@ def read_delimited(spark: SparkSession, paths: Iterable[str], sep: str | None =
     frames = []
     for (d, header), files in groups.items():
         schema = all_strings(header).add(T.StructField(CORRUPT, T.StringType(), True))
+        if multiline and (broken := files_with_breaks(spark, files, d, encoding)):
+            frames.append(_from_records(records(spark, sorted(broken), d, encoding), header, d))
+            done = {_qualified(spark, b) for b in broken}
+            files = [f for f in files if _qualified(spark, f) not in done]
+            if not files:
+                continue
         df = (spark.read.schema(schema)
               .option("header", True).option("sep", d).option("encoding", encoding)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("columnPruning", False).option("escape", '"').option("multiLine", multiline)
+              .option("columnPruning", False).option("escape", '"')
               .csv(files))
         raw = F.col(CORRUPT)
         df = df.withColumn(CORRUPT, F.when(_surplus(raw, d, len(header)), raw))

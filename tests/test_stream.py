@@ -86,3 +86,13 @@ def test_failed_step_is_audited_and_stream_goes_on(spark, scratch, monkeypatch):
     assert audit["account_bad.csv"].status == "PROCESSOR_FAILED"
     assert "processor broke" in audit["account_bad.csv"].error
     assert audit["upi_ok.csv"].status == "COMPLETED" and audit["upi_ok.csv"].valid == 1
+
+
+def test_line_breaks_inside_quotes(spark, scratch):
+    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/out", f"{scratch}/ckpt"
+    os.makedirs(inbox)
+    land(f"{inbox}/atm_q.csv", ["T1,A1,C1,5,2024-01-01 00:00:00,\"First\nfloor\"\n", "T2,A1,C1,6,2024-01-01 00:00:01,L\n"])
+    start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
+    audit, = read_audit(spark, out).collect()
+    assert (audit.rows_parsed, audit.valid, audit.invalid) == (2, 2, 0)
+    assert {r.TransactionID: r.Location for r in spark.read.parquet(f"{out}/atm").collect()} == {"T1": "First\nfloor", "T2": "L"}
