@@ -124,7 +124,8 @@ def _warc_sql() -> str:
         return entities.replace("replace(x,", f"replace({x},", 1) if entities.startswith("replace(x,") \
             else entities.replace("(x,", f"({x},", 1)
 
-    text = f"regexp_replace(html, {_sql(warc.HIDDEN)}, ' ', 'g')"
+    text = shown = f"regexp_replace(html, {_sql(warc.HIDDEN)}, ' ', 'g')"
+    value = r"""(?:"[^"]*"|''[^'']*''|[^\s"''>][^\s>]*)"""
     for w in warc.WHITE:
         text = f"replace({text}, chr({ord(w)}), ' ')"
     text = f"regexp_replace(regexp_replace({text}, {_sql(warc.BREAKS)}, chr(10), 'g'), {_sql(warc.TAGS)}, '', 'g')"
@@ -149,8 +150,8 @@ t as (select *, {uuid('h')} refers_to, {text} plain,
              || 'source-Content-Type: text/html; charset=utf-8' || {crlf}
              || 'source-Content-Length: ' || size || {crlf}
              || array_to_string(list_transform(
-                  regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref="([^"]*)"', 1),
-                  lambda l: 'outlink: ' || l || {crlf}), '') fields from i),
+                  regexp_extract_all({shown}, '(?i)<a(?:[\\s/]+[^\\s/>=<]+(?:\\s*=\\s*{value})?)*?[\\s/]+href\\s*=\\s*({value})', 1),
+                  lambda l: 'outlink: ' || case when l[1] in ('"', '''') then l[2:-2] else l end || {crlf}), '') fields from i),
 b as (select page_id, refers_to, source_digest, url, 'metadata' warc_type, fields block from t
       union all select page_id, refers_to, source_digest, url, 'conversion', plain from t),
 d as (select *, 'sha256:' || sha256(block) payload_digest from b),

@@ -41,7 +41,8 @@ RARE = (r"&(?!(?:" + "|".join(re.escape(e[1:-1]) for e, _ in ENTITIES)
 REFERENCE = r"^(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;)"
 #: The first href of a link; other attributes are passed whole, so no value or longer name is taken for it.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
-HREF = (r"(?i)<a(?=[\s/])(?:[\s/]*+[^\s/>=]++(?:\s*+=\s*+" + _VALUE + r")?)*?[\s/]*+(?<![^\s/\"'])href\s*+=\s*+("
+#: Attributes before it are passed by a possessive group, which Java's matcher repeats in a loop, not by recursion.
+HREF = (r"(?i)<a(?=[\s/])(?:[\s/]*+(?!href\s*+=)[^\s/>=<]++(?:\s*+=\s*+" + _VALUE + r")?+)*+[\s/]*+href\s*+=\s*+("
         + _VALUE + r"|(?=>))")
 
 
@@ -91,10 +92,15 @@ def unescape(text: Column, page: Column) -> Column:
     return F.when(page.rlike(RARE), references(text)).otherwise(common)
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text: hidden blocks out, block tags as line ends, other tags
-    out, references decoded, blanks and empty lines folded."""
-    t = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
+def shown(html: Column) -> Column:
+    """The page without comments, scripts, styles, noscript and template blocks."""
+    return F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
+
+
+def plain_text(html: Column, body: Column) -> Column:
+    """Visible text of ``body`` (the page's ``shown`` part): block tags as line
+    ends, other tags out, references decoded, blanks and empty lines folded."""
+    t = body
     t = reduce(lambda c, w: F.replace(c, F.lit(w), F.lit(" ")), WHITE, t)
     t = unescape(F.regexp_replace(F.regexp_replace(t, BREAKS, "\n"), TAGS, ""), html)
     t = F.replace(F.regexp_replace(t, r" {2,}", " "), F.lit(" \n"), F.lit("\n"))
@@ -145,7 +151,7 @@ def derive(response: DataFrame) -> DataFrame:
     'metadata' holds application/warc-fields: the response's HTTP headers, one
     field each, prefixed ``source-``; its payload digest and length; title,
     language and the outlinks of the page (the href of each <a>, in double,
-    single or no quotes, as written). 'conversion' holds the plain text.
+    single or no quotes, as written; none from comments, scripts and the like). 'conversion' holds the plain text.
     References are decoded in text and title: all names of HTML, which need
     their ';' (one cut off stays as it is), and numbers, decimal and hex.
     Both name the response in WARC-Refers-To and repeat its target and date,
@@ -158,13 +164,13 @@ def derive(response: DataFrame) -> DataFrame:
     html = F.col("payload")
     title = F.regexp_replace(unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1), html), r"\s+", " ")
     lang = F.regexp_extract(html, r"(?i)<html[^>]*\blang=[\"']?([A-Za-z-]+)", 1)
-    links = F.transform(F.regexp_extract_all(html, F.lit(HREF), 1), lambda v: F.when(
+    links = F.transform(F.regexp_extract_all("shown", F.lit(HREF), 1), lambda v: F.when(
         F.substring(v, 1, 1).isin('"', "'"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v))
     fields = F.filter(F.split("http_headers", CRLF), lambda s: s.contains(":"))
-    staged = response.select("id", "record_id", "target_uri", "date", F.col("payload_digest").alias("source_digest"),
+    staged = response.withColumn("shown", shown(html)).select("id", "record_id", "target_uri", "date", F.col("payload_digest").alias("source_digest"),
                              F.octet_length(html).cast("string").alias("size"), title.alias("title"),
                              lang.alias("lang"), links.alias("links"), fields.alias("fields"),
-                             plain_text(html).alias("text"))
+                             plain_text(html, F.col("shown")).alias("text"))
     lines = F.concat(
         F.array(F.concat(F.lit("source-digest: "), F.col("source_digest")),
                 F.concat(F.lit("source-length: "), F.col("size")),

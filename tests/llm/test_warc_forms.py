@@ -38,3 +38,18 @@ def test_every_named_reference(spark):
     names = [n for n, t in sorted(html5.items()) if n.endswith(";") and t.strip("\t\n\xa0")]
     page = "".join(f"<p>x&{n}x" for n in names)
     assert blocks(spark, [page])["conversion"] == ["\n".join(f"x{html5[n]}x" for n in names)]
+
+
+def test_links_that_are_not_shown(spark):
+    page = ("<a href=/1>x</a><!-- <a href=/no>x</a> --><script>'<a href=\"/no\">'</script><style><a href=/no></style>"
+            "<template><a href=/no></template><a <a href=/2>x</a><a href title=t href=/3>")
+    got = blocks(spark, [page])["metadata"][0]
+    assert [x[9:] for x in got.split("\r\n") if x.startswith("outlink: ")] == ["/1", "/2", "/3"]
+
+
+def test_long_tags(spark):
+    words = " ".join(["word"] * 1_000_000)
+    many = " ".join(f"a{k}=v" for k in range(100_000))
+    got = blocks(spark, [f"<p>before<a {words}", f"<a {many} href=/far>x</a>", "<a " * 30_000, f"<a title='{words}' href='/t'>"])
+    links = [[x[9:] for x in b.split("\r\n") if x.startswith("outlink: ")] for b in got["metadata"]]
+    assert links == [[], ["/far"], [], ["/t"]] and len(got["conversion"]) == 4
