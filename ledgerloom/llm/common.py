@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable
@@ -45,10 +46,19 @@ def claim(owner: str, release: Callable[[], None]) -> None:
         _HELD.pop(name)()
     if others:
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
     _HELD[owner] = release
 
 
+def give_back() -> None:
+    """Freed memory of a Python worker back to the system: workers live on
+    between tasks, and the C library keeps what numpy frees."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # GNU systems have it
+    if trim is not None:
+        trim(0)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or with underscores before it, so that ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

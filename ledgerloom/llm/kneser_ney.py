@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, shared_folder, written
+from .common import claim, give_back, shared_folder, written
 from .langid import discounts
 from .minhash import WordHashes, _splitmix
 
@@ -45,8 +45,13 @@ FULL = 255                      # counts from here on stand in a list of their o
 _WORDS = WordHashes()
 
 
-def _claim() -> None:
+def _claim(keep_words: bool = False) -> None:
+    """At the start and end of a task: other operators' caches, this one's
+    words where they are not needed, and freed memory go."""
     claim("kneser_ney", _WORDS.clear)
+    if not keep_words:
+        _WORDS.clear()
+    give_back()
 
 
 def token_hashes(text: bytes | None) -> np.ndarray:
@@ -136,6 +141,8 @@ def _map(folder: str, name: str, part: str, kind, own: str) -> np.ndarray:
     return np.asarray(np.memmap(file, kind, "r"))
 
 
+#: A word's count may pass 2^32 in one shard; its distinct neighbours there cannot, as each is a pair of the shard.
+COUNT_KINDS = (np.uint64, *[np.uint32] * 4)
 WORD_PARTS = (("words", np.uint64), ("c", np.uint64), ("before", np.uint32), ("once", np.uint32),
               ("twice", np.uint32), ("more", np.uint32))
 
@@ -191,9 +198,10 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
                         _steps(known), _steps(b[order]), a[order], c[lo:hi].astype(np.uint32)[order]))],
                     ["shard", "words", "before", "after", "c"])
 
+        _claim(keep_words=True)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                h = token_hashes(text)
+            for text in batch.column(0):
+                h = token_hashes(text.as_py())
                 parts.append(h)
                 held += len(h)
                 if held >= FOLD_TOKENS:
@@ -201,6 +209,8 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
                     parts, held = [], 0
         if parts:
             yield from flush()
+        parts = []
+        _claim(keep_words=True)
 
     folded = d.mapInArrow(fold, "shard int, words binary, before binary, after binary, c binary")
 
@@ -209,6 +219,7 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
         return _from_planes(raw, kind, raw.size // np.dtype(kind).itemsize)
 
     def add_pairs(group: pa.Table) -> pa.Table:
+        _claim()
         sizes = [x.as_buffer().size // 4 for x in group.column("c")]
         before, after = (np.empty(sum(sizes), np.uint64) for _ in range(2))
         c, at = np.empty(sum(sizes), np.uint32), 0
@@ -243,7 +254,7 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
         for s in range(shards):
             lo, hi = edges[s], edges[s + 1]
             if lo < hi:
-                blob = b"".join([_planes(_steps(w[lo:hi])), *(_planes(x[lo:hi].astype(np.uint32)) for x in cols)])
+                blob = b"".join([_planes(_steps(w[lo:hi])), *(_planes(x[lo:hi].astype(k)) for x, k in zip(cols, COUNT_KINDS, strict=True))])
                 rows.append((s, None, 0, 0, 0, 0, 0, int(hi - lo), blob))
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (
             pa.int32(), pa.string(), pa.int32(), *[pa.int64()] * 5, pa.binary()), strict=True)],
@@ -259,12 +270,15 @@ def train(docs: DataFrame, shards: int | None = None, text_col: str = "text") ->
         model.kinds += r["n"]
 
     def add_words(group: pa.Table) -> pa.Table:
+        _claim()
         w, cols = [], [[] for _ in range(5)]
         for n, blob in zip(group.column("n").to_pylist(), group.column("blob"), strict=True):
             raw = blob.as_buffer()
             w.append(np.cumsum(_from_planes(raw, np.uint64, n), dtype=np.uint64))
-            for i in range(5):
-                cols[i].append(_from_planes(raw, np.uint32, n, 8 * n + 4 * n * i))
+            at = 8 * n
+            for col, kind in zip(cols, COUNT_KINDS, strict=True):
+                col.append(_from_planes(raw, kind, n, at))
+                at += n * np.dtype(kind).itemsize
         w, *cols = _sums(np.concatenate(w), *map(np.concatenate, cols))
         name = _save(folder, {part: x.astype(kind) for (part, kind), x in zip(WORD_PARTS, (w, *cols), strict=True)})
         seen = cols[1][cols[1] > 0]
@@ -376,6 +390,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _claim(keep_words=True)
         arrays = Arrays(shared.value)
         try:
             for batch in batches:
@@ -392,6 +407,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     done += len(parts)
         finally:
             arrays.close()
+            _claim(keep_words=True)
 
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     out = d.mapInArrow(run, f"id {d.schema['id'].dataType.simpleString()}, n_tokens long, n_known long, "
