@@ -16,6 +16,7 @@ from ..plans import ingest
 from ..plans.silver import silver_alerts, silver_atm, silver_upi, union_channels
 from ..session import checkpoint_dir
 from ..sources import documents as D
+from ..sources import shapes
 from ..sources.files import list_files
 from ..streaming.file_stream import read_audit, start_ingest_stream
 from . import export, register
@@ -341,6 +342,39 @@ def q_documents_json_scan(spark, sf):
                     "Account_AccountOpenDate", "Account_Balance", "Account_KYC_Done")
 
 
+@register("documents_varying_fields", with_fixtures(("fx_account",), """
+with a as (select *, cast(substring(AccountNumber, 3, 10) as int) as n from fx_account)
+select AccountNumber as id, case when n % 5 = 0 then AccountHolderName end as Contact,
+       case when n % 5 <> 0 then AccountHolderName end as Contact_Name,
+       case when n % 5 <> 0 and n % 3 = 0 then AccountType end as Contact_Type_Kind,
+       case when n % 5 <> 0 and n % 3 <> 0 then AccountType end as Contact_Type,
+       case when n % 7 = 0 then cast(Balance as varchar) end as Account_Balance,
+       case when n % 11 = 0 then KYC_Done end as Account_KYC_Done,
+       case when n % 11 <> 0 then '["' || CustomerID || '"]' end as Holders, cast(null as varchar) as corrupt
+from a
+union all
+select null, null, null, null, null, null, null, null, 'broken ' || AccountNumber from a where n % 13 = 0"""))
+def q_documents_varying_fields(spark, sf):
+    base, n = _scratch(spark, "varying"), F.substring("AccountNumber", 3, 10).cast("int")
+
+    def some(name, condition, alias=None):
+        return F.when(condition, F.col(name)).alias(alias or name)      # absent fields are not written
+    account = F.struct(some("Balance", n % 7 == 0), some("KYC_Done", n % 11 == 0)).alias("Account")
+    holders = F.when(n % 11 != 0, F.array("CustomerID")).alias("Holders")
+    kind = F.struct(F.col("AccountType").alias("Kind"))
+    plain = [F.col("AccountNumber").alias("id"), account, holders, F.lit(1).alias("_ts")]
+    name = F.col("AccountHolderName").alias("Name")
+    line = (F.when(n % 5 == 0, F.to_json(F.struct(*plain, F.col("AccountHolderName").alias("Contact"))))
+            .when(n % 3 == 0, F.to_json(F.struct(*plain, F.struct(name, kind.alias("Type")).alias("Contact"))))
+            .otherwise(F.to_json(F.struct(*plain, F.struct(name, F.col("AccountType").alias("Type")).alias("Contact")))))
+    rows = fixture(spark, sf, "fx_account")
+    broken = rows.filter(n % 13 == 0).select(F.concat(F.lit("broken "), "AccountNumber").alias("line"))
+    rows.select(line.alias("line")).union(broken).write.mode("overwrite").text(base)
+    b = shapes.bronze_documents(spark, base, numeric_fields=["Account_Balance"])
+    return b.select("id", "Contact", "Contact_Name", "Contact_Type_Kind", "Contact_Type", "Account_Balance",
+                    "Account_KYC_Done", "Holders", F.col(shapes.CORRUPT).alias("corrupt"))
+
+
 def _land_as(df, landing: str, stem: str, extension: str = ".csv", sep: str = ",") -> None:
     """Land ``df`` as part files named ``<stem>-partNNNNN<extension>`` in the inbox."""
     spark = df.sparkSession
