@@ -280,6 +280,26 @@ def q_merge_null_partition(spark, sf):
     return t.read().select("k", "s", "v")
 
 
+@register("merge_pinned_reader", f"""with {_ORDERS}
+select 'before' as seen, k, s, v from o where k % 2 = 0
+union all select 'after', k, case when k % 4 = 0 then 'moved' else s end, case when k % 4 = 0 then v + 1 else v end from o
+union all select 'changed', null, s, null from (select distinct s from o union select 'moved')""")
+def q_merge_pinned_reader(spark, sf):
+    """A reader of the version before a merge that moves keys sees its rows whole."""
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.versions import VersionedTable
+    o = _orders(spark, sf).drop("c")
+    t = VersionedTable(spark, f"{checkpoint_dir(spark)}/ledgerloom-versions-{uuid.uuid4().hex}", ["s"])
+    t.merge(o.filter("k % 2 = 0"), ["k"], "1", ["v"])
+    pinned = t.read().select(F.lit("before").alias("seen"), "k", "s", "v")
+    moved = o.filter("k % 4 = 0").withColumns({"v": F.col("v") + 1, "s": F.lit("moved")})
+    t.merge(o.filter("k % 2 = 1").unionByName(moved), ["k"], "2", ["v"])
+    changed = t.partition_frame(t.changed_since(1), t.read().schema).select(
+        F.lit("changed").alias("seen"), F.lit(None).cast("long").alias("k"), "s", F.lit(None).cast("long").alias("v"))
+    return pinned.union(t.read().select(F.lit("after").alias("seen"), "k", "s", "v")).union(changed)
+
+
 @register("merge_null_key_rerun", f"""with {_ORDERS},
 n as (select case when k % 5 = 0 then null else k end as k, c, max(v) as v from o group by 1, 2)
 select k, c, v from n""")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from .. import fixtures as fx
 from ..fixtures import AS_OF, fixture, with_fixtures
 from ..operators import rules_txn
 from ..plans import customer360 as c360
-from ..plans import dims, reports
+from ..plans import dims, report_state, reports
 from ..plans.silver import silver_alerts
+from ..session import checkpoint_dir
+from ..sources.versions import VersionedTable
 from . import export, register
 from .alerts import VALID_SQL, _valid
 from .c360 import _C360_SQL
@@ -51,6 +57,37 @@ def q_report_trend_monthly(spark, sf):
     return export(reports.trend(f, dims.dim_date(transactions(spark, sf)), "YearMonth"))
 
 
+@register("report_state_refresh", with_fixtures(_FACT_FX, _FACT_SQL + """,
+g as (select * replace (case when cast(substring(Transaction_Date, 9, 2) as int) >= 10 then Amount * 2 else Amount end
+                        as Amount) from f)
+select 'channel' as report, Channel as grp, count(*) as Transactions, sum(abs(Amount)) as a, round(avg(Amount), 6) as b
+from g group by Channel
+union all
+select 'month', strftime(strptime(cast(DateKey as varchar), '%Y%m%d'), '%Y-%m'), count(*), sum(Amount), sum(abs(Amount))
+from g group by 2
+union all select 'day', cast(DateKey as varchar), count(*), sum(Amount), sum(abs(Amount)) from g group by 2
+union all
+select 'customer', cast(CustomerSK as varchar), count(*), sum(case when Amount < 0 then -Amount else 0.0 end),
+       sum(case when Amount > 0 then Amount else 0.0 end) from g group by 2"""))
+def q_report_state_refresh(spark, sf):
+    """Reports from state kept over two merges of the fact, the second into some of its days."""
+    base = f"{checkpoint_dir(spark)}/ledgerloom-state-{uuid.uuid4().hex}"
+    fact, rows = VersionedTable(spark, f"{base}/fact", ["Year", "Month"]), _fact(spark, sf)
+    day = F.dayofmonth("Transaction_Date")
+    for run, part in (("1", rows.filter(day <= 20)), ("2", rows.filter(day >= 10).withColumn("Amount", F.col("Amount") * 2))):
+        fact.merge(part, ["TransactionID"], run, ["Amount"], moves=False)
+        report_state.refresh_reports(spark, fact, f"{base}/state")
+    daily, customers = (report_state.state_table(spark, f"{base}/state", n).read() for n in ("daily", "customers"))
+
+    def out(report, df, grp, a, b):
+        return df.select(F.lit(report).alias("report"), F.col(grp).cast("string").alias("grp"), "Transactions",
+                         F.col(a).alias("a"), F.col(b).alias("b"))
+    return export(out("channel", report_state.channel_kpi(daily), "Channel", "Volume", "AvgAmount")
+                  .union(out("month", report_state.trend(daily, "YearMonth"), "YearMonth", "NetAmount", "Volume"))
+                  .union(out("day", report_state.trend(daily), "DateKey", "NetAmount", "Volume"))
+                  .union(out("customer", report_state.spend_income(customers), "CustomerSK", "Spend", "Income")))
+
+
 @register("report_risk_by_segment", with_fixtures(
     ("fx_transactions", "fx_account", "fx_kyc"),
     _C360_SQL.rsplit("select CustomerID, FirstName", 1)[0] + """,

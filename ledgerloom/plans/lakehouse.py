@@ -4,8 +4,9 @@ silver -> unified transactions -> Customer 360 -> dimensions -> fact.
 Each layer is written and the next one reads it back, so no part is computed
 twice and every table of a run carries the same run time: ``write_bronze`` and
 ``write_silver`` (snapshot tables), ``write_gold`` (360, dimensions, and the
-fact partitioned by Year/Month with touched-partition merges, so a re-run only
-rewrites the months its transactions fall in). ``build_silver`` and
+fact partitioned by Year/Month with atomic touched-partition merges, so a re-run
+only rewrites the months its transactions fall in, and the report state only
+reads those). ``build_silver`` and
 ``build_gold`` give the DataFrames alone; numbering inside them runs jobs.
 """
 
@@ -18,8 +19,10 @@ from ..sources import documents as D
 from ..operators.merge import scd2_rejects
 from ..operators.rules_flags import flag_alerts
 from ..sources.tables import PartitionedTable, SnapshotTable
+from ..sources.versions import VersionedTable
 from . import dims, fact
 from .customer360 import account_map_conflicts, customer360
+from .report_state import refresh_reports
 from .reports import with_ingest_columns
 from .silver import silver_account, silver_alerts, silver_atm, silver_kyc, silver_upi, union_channels
 
@@ -125,15 +128,20 @@ def write_gold(spark: SparkSession, silver: dict[str, DataFrame], gold_root: str
         "rejected_customers": scd2_rejects(out["customer360"], "CustomerID"),
         "account_conflicts": account_map_conflicts(acc)})
     rows = fact.fact_transactions(txn, acc, out["dim_customer"], out["dim_account"])
-    PartitionedTable(spark, f"{root}/fact_transactions", ["Year", "Month"], f"{root}/_staging/fact").merge(
-        rows, ["TransactionID"], run_id, moves=False)
+    table = fact_table(spark, root)
+    table.merge(rows, ["TransactionID"], run_id, moves=False)
+    refresh_reports(spark, table, f"{root}/report_state")
+
+
+def fact_table(spark: SparkSession, gold_root: str) -> VersionedTable:
+    return VersionedTable(spark, f"{gold_root.rstrip('/')}/fact_transactions", ["Year", "Month"])
 
 
 def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
     root = gold_root.rstrip("/")
     out = {n: SnapshotTable(spark, f"{root}/{n}").read()
            for n in ("customer360", "dim_customer", "dim_account", "dim_date")}
-    out["fact_transactions"] = spark.read.parquet(f"{root}/fact_transactions")
+    out["fact_transactions"] = fact_table(spark, root).read()
     return out
 
 
