@@ -13,7 +13,9 @@ per file, so no state store is needed.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,23 @@ from ..sources.tables import PartitionedTable, SnapshotTable, replace_partitions
 
 AUDIT_COLUMNS = ("file_name", "source_type", "status", "rows_parsed", "valid", "invalid",
                  "quarantined", "alerts_generated", "batch_id", "completed_at", "error")
+PROBES_AT_ONCE = 8
+
+
+def _at_fault(files: list[str], error_of) -> dict[str, Exception]:
+    """{file: error} of the files that fail on their own, by halving the groups
+    that fail, the groups of a level side by side: about 2 log2(n) probes for
+    each bad file among n. ``error_of(group)`` gives the group's error or None."""
+    errors: dict[str, Exception] = {}
+    probe = inheritable_thread_target(SparkSession.active())(error_of)      # jobs keep the batch's tags
+    groups = [files[:len(files) // 2], files[len(files) // 2:]]
+    with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
+        while groups:
+            found = list(pool.map(probe, groups))
+            failing = [(g, e) for g, e in zip(groups, found) if e is not None]
+            errors |= {g[0]: e for g, e in failing if len(g) == 1}
+            groups = [h for g, _ in failing if len(g) > 1 for h in (g[:len(g) // 2], g[len(g) // 2:])]
+    return errors
 
 
 class IngestSink:
@@ -96,7 +115,15 @@ class IngestSink:
         names = spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in paths], "path string, file_name string")
         routed = names.withColumns({"source_type": C.source_type(F.col("file_name")),
                                     "is_csv": C.is_csv_name(F.col("file_name"))})
-        audits, cached = [], []
+        cached: list[DataFrame] = []
+        try:
+            self._ingest(spark, batch_id, routed, cached)
+        finally:
+            for c in cached:
+                c.unpersist()
+
+    def _ingest(self, spark: SparkSession, batch_id: int, routed: DataFrame, cached: list) -> None:
+        audits = []
         rejected = routed.filter(~F.col("is_csv")).withColumn("status", F.lit(STATUS_REJECTED))
         unknown = routed.filter(F.col("is_csv") & (F.col("source_type") == "UNKNOWN")).withColumn(
             "status", F.lit(STATUS_UNKNOWN))
@@ -128,33 +155,29 @@ class IngestSink:
             replace_partitions(
                 audit.select(*[F.col(c) if c in audit.columns else F.lit(None).cast("string").alias(c)
                                for c in AUDIT_COLUMNS]), f"{self.root}/audit", ["batch_id"])
-        for c in cached:
-            c.unpersist()
 
     @staticmethod
     def _processed(files: list[str], process, cached: list):
         """(outputs, counters, {file: error}) of the files that can be
         processed. The counters (one row per file) are computed here, which
-        reads every row and runs every rule; if that fails, each file is tried
-        alone and the good ones are processed together (D6)."""
+        reads every row and runs every rule; if that fails, the files at fault
+        are found by halving and the good ones are processed together (D6)."""
         def run(some: list[str]):
             out = process(some)
             kept = [out[k].persist() for k in ("valid", "alerts") if k in out]
             cached.extend(kept)
             return out, out["counters"].collect()
 
+        def error_of(some: list[str]):
+            try:
+                process(some)["counters"].collect()
+            except Exception as e:
+                return e
+
         try:
             return *run(files), {}
         except Exception as first:
-            errors = {}
-            for f in files:
-                try:
-                    if len(files) > 1:
-                        process([f])["counters"].collect()
-                    else:
-                        errors[f] = first
-                except Exception as e:
-                    errors[f] = e
+            errors = {files[0]: first} if len(files) == 1 else _at_fault(files, error_of)
             good = [f for f in files if f not in errors]
             if not errors:
                 raise                               # no file is at fault: the batch is replayed
@@ -191,6 +214,7 @@ class IngestSink:
     def _accounts(self, spark: SparkSession, batch_id: int):
         from ..operators.rules_profile import customer_lookup
         from ..plans.ingest import merge_accounts_into_profiles
+        self._bucket(spark, "CustomerID")           # the stores' number of buckets is fixed before probes run side by side
 
         def process(files):
             raw = read_delimited(spark, files, multiline=True)

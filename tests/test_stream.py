@@ -96,3 +96,45 @@ def test_line_breaks_inside_quotes(spark, scratch):
     audit, = read_audit(spark, out).collect()
     assert (audit.rows_parsed, audit.valid, audit.invalid) == (2, 2, 0)
     assert {r.TransactionID: r.Location for r in spark.read.parquet(f"{out}/atm").collect()} == {"T1": "First\nfloor", "T2": "L"}
+
+
+def test_bad_files_are_found_by_halving(spark):
+    """One bad file of 200 takes about 2 log2(200) probes; several are all found."""
+    from types import SimpleNamespace
+
+    from ledgerloom.streaming.file_stream import IngestSink
+
+    def tried(bad, n=200):
+        calls = []
+
+        def process(files):
+            calls.append(list(files))
+
+            def collect():
+                wrong = sorted(set(files) & bad)
+                if wrong:
+                    raise RuntimeError("cannot read " + wrong[0])
+                return list(files)
+            return {"counters": SimpleNamespace(collect=collect)}
+        _, counters, errors = IngestSink._processed([f"f{i:03d}" for i in range(n)], process, [])
+        assert set(errors) == bad and all(str(e) == f"cannot read {f}" for f, e in errors.items())
+        assert counters == [f"f{i:03d}" for i in range(n) if f"f{i:03d}" not in bad]
+        return len(calls)
+    assert tried({"f123"}) <= 2 * 8 + 2
+    assert tried({"f000", "f001", "f199"}) <= 3 * 2 * 8 + 2
+    assert tried(set()) == 1
+    tried({f"f{i:03d}" for i in range(5)}, 5)
+    tried({"f000"}, 1)
+
+
+def test_a_bad_file_among_many(spark, scratch):
+    inbox, out = f"{scratch}/inbox", f"{scratch}/out"
+    os.makedirs(inbox)
+    for i in range(6):
+        land(f"{inbox}/upi_{i}.csv", [f"U{i},A{i},,10,2024-01-01 00:00:05,L1\n"])
+    with open(f"{inbox}/upi_bad.csv", "w") as f:
+        f.write("TransactionID,AccountNumber,AccountNumber,TransactionAmount\nT,A,A,1\n")
+    start_ingest_stream(spark, inbox, out, f"{scratch}/ckpt", as_of="2024-01-31").awaitTermination()
+    status = {r.file_name: (r.status, r.valid) for r in read_audit(spark, out).collect()}
+    assert status == {"upi_bad.csv": ("PROCESSOR_FAILED", None), **{f"upi_{i}.csv": ("COMPLETED", 1) for i in range(6)}}
+    assert spark.read.parquet(f"{out}/upi").count() == 6
