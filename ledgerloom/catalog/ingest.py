@@ -11,7 +11,7 @@ from .. import fixtures as fx
 from ..fixtures import AS_OF, fixture, with_fixtures
 from ..functions import columns as C
 from ..operators import rules_profile
-from ..operators.validate import valid_rows, validate_accounts, validate_customers
+from ..operators.validate import valid_rows, validate_accounts, validate_customers, validate_transactions
 from ..plans import ingest
 from ..plans.silver import silver_alerts, silver_atm, silver_upi, union_channels
 from ..session import checkpoint_dir
@@ -239,6 +239,70 @@ def q_silver_alerts(spark, sf):
     return export(s.select("alert_id", "type", "AccountNumber", "AlertSeverity", "AlertDate"))
 
 
+_RICH_ACCOUNT = """'Bank ' || AccountType as BankName, 'Branch ' || City as BranchName,
+       'IF' || substring(AccountNumber, 3, 10) as IFSC_Code, 'DOC' || CustomerID as KYC_DocID,
+       case when cast(substring(AccountNumber, 3, 10) as int) % 3 = 0 then 'INR' else 'EUR' end as Currency"""
+_RICH_KYC = """case when AccountStatus <> 'Active' and cast(substring(AccountNumber, 3, 10) as int) % 2 = 0
+       then 'True' else KYC_Done end"""
+
+
+@register("silver_alerts_payload", with_fixtures(("fx_account", "fx_txn_raw"), f"""with {VALID_SQL},
+inc as (select CustomerID, max(AnnualIncome) as inc from fx_account group by CustomerID),
+acc as (select * replace ({_RICH_KYC} as KYC_Done), {_RICH_ACCOUNT} from fx_account
+        where CustomerID is not null and Balance is not null and AccountOpenDate is not null),
+x as (select acc.*, inc.inc, date_diff('day', AccountOpenDate, date '{AS_OF}') / 365 as age
+      from acc join inc on acc.CustomerID = inc.CustomerID),
+r as (select *, 'KYC_NOT_DONE' as type, true as w from x where upper(KYC_Done) in ('NO', 'FALSE', '0', 'N')
+      union all select *, 'KYC_VERIFICATION_FAILED', true from x where upper(KYC_DocumentVerificationStatus) = 'FAILED'
+      union all select *, 'ACCOUNT_DORMANT', true from x where upper(AccountStatus) in ('DORMANT', 'INACTIVE')
+      union all select *, 'ACCOUNT_CLOSED', true from x where upper(AccountStatus) = 'CLOSED'
+      union all select *, 'BALANCE_INCOME_MISMATCH', false from x where inc > 0 and Balance > inc * 10
+      union all select *, 'STALE_ACCOUNT', false from x where age >= 5 and Balance < 100)
+select 'ALERT_' || type || '_' || AccountNumber as alert_id, type, AccountNumber,
+       case when w then AccountHolderName end as AccountHolderName, case when w then BankName end as BankName,
+       case when w then BranchName end as BranchName, case when w then IFSC_Code end as IFSC_Code,
+       case when w then AccountType end as AccountType, case when w then AccountStatus end as AccountStatus,
+       case when w then cast(AccountOpenDate as varchar) end as AccountOpenDate, Balance,
+       case when w then Currency end as Currency,
+       w and lower(coalesce(KYC_Done, '')) in ('verified', 'true') as KYC_Done,
+       case when w then KYC_DocID end as KYC_DocID,
+       case when w then KYC_DocumentVerificationStatus end as KYC_VerificationStatus,
+       case when type = 'BALANCE_INCOME_MISMATCH' then inc end as income,
+       case when type = 'STALE_ACCOUNT' then round(age, 6) end as age_years,
+       cast(null as varchar) as txn, cast(null as double) as txn_amount, cast(null as varchar) as txn_time,
+       cast(null as varchar) as txn_raw_time, cast(null as varchar) as txn_location,
+       'LOW' as AlertSeverity
+from r
+union all
+select 'ALERT_HIGHVALUE_' || TransactionID, 'HIGH_VALUE', coalesce(AccountNumber, 'UNKNOWN'), null, null, null, null,
+       null, null, null, null, null, false, null, null, null, null, TransactionID, Amount,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00', strftime(ts, '%Y-%m-%d %H:%M:%S'), Location, 'LOW'
+from valid where Amount >= {fx.HIGH_VALUE}"""))
+def q_silver_alerts_payload(spark, sf):
+    """Alerts with what they are about, from both ingestion paths: stored as
+    structs, flattened in bronze, the twelve account fields renamed in silver."""
+    from ..operators.rules_txn import high_value
+    from ..plans.lakehouse import alert_documents
+    from ..sources.documents import flatten
+    acc = fixture(spark, sf, "fx_account")
+    income = acc.groupBy("CustomerID").agg(F.max("AnnualIncome").alias("AnnualIncome"))
+    rich = spark.sql(f"select *, {_RICH_ACCOUNT} from {{acc}}", acc=acc.withColumn("KYC_Done", F.expr(_RICH_KYC)))
+    text = rich.select(*[F.col(c).cast("string").alias(c) for c in rich.columns])
+    good = valid_rows(validate_transactions(fixture(spark, sf, "fx_txn_raw")))
+    docs = alert_documents(ingest.normalize_alerts(high_value(good, fx.HIGH_VALUE)),
+                           ingest.ingest_accounts(text.withColumn("file_name", F.lit("account_master.csv")), income,
+                                                  as_of=AS_OF)["alerts"])
+    s = silver_alerts(flatten(docs), as_of=AS_OF)
+    return export(s.select(
+        "alert_id", "type", "AccountNumber", "AccountHolderName", "BankName", "BranchName", "IFSC_Code", "AccountType",
+        "AccountStatus", F.col("AccountOpenDate").cast("string").alias("AccountOpenDate"), "Balance", "Currency", "KYC_Done",
+        "KYC_DocID", "KYC_VerificationStatus", F.col("payload_income").alias("income"),
+        F.round("payload_age_years", 6).alias("age_years"), F.col("payload_TransactionID").alias("txn"),
+        F.col("payload_Amount").alias("txn_amount"), F.col("payload_Timestamp").alias("txn_time"),
+        F.col("payload_TransactionTime").alias("txn_raw_time"), F.col("payload_Location").alias("txn_location"),
+        "AlertSeverity"))
+
+
 def _land_files(raw, landing: str) -> None:
     """Test input of the stream: the rows of each ``file_name`` land as CSV
     part files named after it (``atm_0-part00000.csv``...). Rows are written
@@ -409,8 +473,9 @@ def q_lakehouse_end_to_end(spark, sf):
                   drain_threshold=fx.DRAIN_AMOUNT, drain_window_sec=fx.DRAIN_WINDOW_SEC)
     start_ingest_stream(spark, f"{base}/inbox", f"{base}/stores", f"{base}/checkpoint",
                         as_of=AS_OF, rule_params=params).awaitTermination()
-    bronze = L.write_bronze(spark, L.read_stores(spark, f"{base}/stores"), f"{base}/bronze", as_of=AS_OF)
-    silver = L.write_silver(spark, bronze, f"{base}/silver", as_of=AS_OF)
+    bronze = L.write_bronze(spark, L.read_stores(spark, f"{base}/stores"), f"{base}/bronze", as_of=AS_OF,
+                            stores_root=f"{base}/stores")
+    silver = L.write_silver(spark, bronze, f"{base}/silver", as_of=AS_OF, bronze_root=f"{base}/bronze")
     L.write_gold(spark, silver, f"{base}/gold", "run1", as_of=AS_OF)
     return L.channel_summary(L.read_gold(spark, f"{base}/gold")["fact_transactions"])
 
@@ -434,7 +499,6 @@ union all select 'gold', 'fact with both keys', n, null from t
 union all select 'gold', 'missing dates', 0, null"""))
 def q_lakehouse_layers(spark, sf):
     """Every layer of the chain as stored: rows, sums, keys, ingestion columns."""
-    from ..operators.validate import validate_transactions
     from ..operators.rules_txn import high_value
     from ..plans import fact, lakehouse as L
     base = _scratch(spark, "layers")

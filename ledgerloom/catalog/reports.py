@@ -123,7 +123,8 @@ from al group by all"""))
 def q_report_alert_patterns(spark, sf):
     v = _valid(spark, sf)
     a = (rules_txn.high_value(v, fx.HIGH_VALUE)
-         .unionByName(rules_txn.velocity(v, fx.VELOCITY_COUNT, fx.VELOCITY_WINDOW_SEC)))
+         .unionByName(rules_txn.velocity(v, fx.VELOCITY_COUNT, fx.VELOCITY_WINDOW_SEC),
+                      allowMissingColumns=True))
     silver = silver_alerts(a.drop("anchor_ts"), as_of=AS_OF)
     return export(reports.alert_patterns(silver))
 

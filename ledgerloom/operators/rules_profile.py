@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..schemas import ACCOUNT_DOC_FIELDS, PROFILE_PAYLOAD_EXTRA
 
 STALE_ACCOUNT_YEARS = 5
 STALE_ACCOUNT_BALANCE_THRESHOLD = 100.0
@@ -38,7 +39,11 @@ def profile_alerts(accounts: DataFrame, customers: DataFrame | None = None,
 
     Income comes from ``customers`` (CustomerID, AnnualIncome; one row per
     customer - E3) when given, else from ``income_col`` on the account row.
-    Without a known customer the income rule cannot fire."""
+    Without a known customer the income rule cannot fire.
+
+    ``payload`` holds what the rule looked at: the account (``ACCOUNT_DOC_FIELDS``;
+    absent ones NULL) for the KYC and status rules, ``Balance`` and ``income`` for
+    the mismatch, ``Balance`` and ``age_years`` for the stale account."""
     a = accounts
     if customers is not None:
         a = a.join(customers.select("CustomerID", F.col("AnnualIncome").alias("_income_src")),
@@ -73,11 +78,20 @@ def profile_alerts(accounts: DataFrame, customers: DataFrame | None = None,
                        fmt(income))),
         alert("STALE_ACCOUNT", stale, F.lit("Account is very old and balance is too low")),
     )
-    out = a.select("AccountNumber", "CustomerID",
-                   bal.alias("Balance"), income.alias("AnnualIncome"),
-                   (days / 365).alias("age_years"),
+    record = {f: F.col(f).cast("string") if f in a.columns else F.lit(None).cast("string") for f in ACCOUNT_DOC_FIELDS}
+    record |= {"Balance": bal, "income": income, "age_years": days / 365}
+    out = a.select("AccountNumber", "CustomerID", F.struct(*[c.alias(n) for n, c in record.items()]).alias("_r"),
                    F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("_a"))
     return out.select(
         F.concat(F.lit("ALERT_"), F.col("_a.type"), F.lit("_"), F.col("AccountNumber")).alias("alert_id"),
         F.col("_a.type").alias("type"), "AccountNumber", "CustomerID",
-        F.col("_a.reason").alias("reason"), "Balance", "AnnualIncome", "age_years")
+        F.col("_a.reason").alias("reason"), _payload())
+
+
+def _payload():
+    """The fields of ``_r`` that an alert of ``_a.type`` carries."""
+    whole = ~F.col("_a.type").isin("BALANCE_INCOME_MISMATCH", "STALE_ACCOUNT")
+    shown = {"income": F.col("_a.type") == "BALANCE_INCOME_MISMATCH", "age_years": F.col("_a.type") == "STALE_ACCOUNT",
+             "Balance": F.lit(True)}
+    return F.struct(*[F.when(shown.get(f, whole), F.col(f"_r.{f}")).alias(f)
+                      for f in (*ACCOUNT_DOC_FIELDS, *PROFILE_PAYLOAD_EXTRA)]).alias("payload")

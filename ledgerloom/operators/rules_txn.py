@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..schemas import TXN_PAYLOAD_FIELDS
 from .scan import AUTO, _range_scan, hot_groups, segmented_scan, split_hot
 
 # Reference thresholds (defaults of the rule functions).
@@ -98,14 +99,26 @@ def _alert(kind: str, alert_id: Column, reason: Column, df: DataFrame, metric: C
 
 def high_value(rows: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD,
                file_col: str = "file_name") -> DataFrame:
-    """Amount >= threshold; one alert per transaction. Needs no time."""
+    """Amount >= threshold; one alert per transaction. Needs no time. The
+    alert's ``payload`` is the transaction's row (``TXN_PAYLOAD_FIELDS``)."""
     base = rows if file_col in rows.columns else rows.withColumn(file_col, F.lit(None).cast("string"))
     hits = base.filter(F.coalesce(F.col("Amount"), F.lit(0.0)) >= threshold).withColumn(
         "_key", group_key())
     reason = F.concat(F.lit("Transaction amount "), _fmt_num(F.col("Amount")),
                       F.lit(f" exceeds threshold {float(threshold)}"))
     aid = F.concat(F.lit("ALERT_HIGHVALUE_"), F.coalesce(F.col("TransactionID"), F.lit("None")))
-    return _alert("HIGH_VALUE", aid, reason, hits, F.col("Amount"), file_col)
+    return _alert("HIGH_VALUE", aid, reason, hits, F.col("Amount"), file_col, {"payload": _transaction(hits)})
+
+
+def _transaction(df: DataFrame) -> Column:
+    """E5: a transaction's row as a struct of one type for all sources."""
+    def field(f: str) -> Column:
+        if f not in df.columns:
+            return F.lit(None).cast("double" if f == "Amount" else "string")
+        if dict(df.dtypes)[f] == "timestamp":
+            return C.iso_utc(f)
+        return F.col(f).cast("double" if f == "Amount" else "string")
+    return F.struct(*[field(f).alias(f) for f in TXN_PAYLOAD_FIELDS])
 
 
 def _with_probes(p: DataFrame, window_sec: int, extra_group: list[str] = ()) -> DataFrame:
@@ -380,12 +393,14 @@ def fraud_detection(rows: DataFrame, high_value_threshold: float = HIGH_VALUE_TH
                     drain_threshold: float = DRAIN_THRESHOLD,
                     drain_window_sec: int = DRAIN_WINDOW_SEC,
                     file_col: str = "file_name", hot_rows: int | None = None) -> DataFrame:
-    """All four rules, one alert schema (E5). The windowed rules share one
+    """All four rules, one alert schema (E5; only alerts about one transaction
+    have a payload). The windowed rules share one
     folding of the rows and one hot-group sizing; in the single plan of the
     union their identical fold subtrees reuse one exchange."""
     shared = _prepare_with_hot(rows, file_col, hot_rows)
     return (high_value(rows, high_value_threshold, file_col)
-            .unionByName(velocity(rows, velocity_count, velocity_window_sec, file_col, prepared=shared))
+            .unionByName(velocity(rows, velocity_count, velocity_window_sec, file_col, prepared=shared),
+                         allowMissingColumns=True)
             .unionByName(geo_switch(rows, geo_window_sec, file_col, prepared=shared),
                          allowMissingColumns=True)
             .unionByName(balance_drain(rows, drain_threshold, drain_window_sec, file_col, prepared=shared),

@@ -116,7 +116,7 @@ def merge_customer_profiles(profiles: DataFrame, customers: DataFrame,
 
 def normalize_alerts(alerts: DataFrame) -> DataFrame:
     """E5: one alert document shape (id = alert_id, AccountNumber default
-    UNKNOWN)."""
+    UNKNOWN). Alerts about one record keep it as ``payload``, a struct."""
     return alerts.select(
         F.col("alert_id").alias("id"), "alert_id", "type", "reason",
         F.col("created_at") if "created_at" in alerts.columns else F.lit(None).cast("string").alias("created_at"),

@@ -3,10 +3,14 @@ silver -> unified transactions -> Customer 360 -> dimensions -> fact.
 
 Each layer is written and the next one reads it back, so no part is computed
 twice and every table of a run carries the same run time: ``write_bronze`` and
-``write_silver`` (snapshot tables), ``write_gold`` (360, dimensions, and the
+``write_silver``, ``write_gold`` (360, dimensions, and the
 fact partitioned by Year/Month with atomic touched-partition merges, so a re-run
 only rewrites the months its transactions fall in, and the report state only
-reads those). ``build_silver`` and
+reads those). Transactions are the large tables: bronze, silver and unified
+ones are versioned by day, and a run reads and writes only the days that changed
+in the layer before (``stores_root``, ``bronze_root``). Tables of a row per
+account, document or alert are snapshots, for their ages and dates follow the
+run's date. ``build_silver`` and
 ``build_gold`` give the DataFrames alone; numbering inside them runs jobs.
 """
 
@@ -19,7 +23,7 @@ from ..sources import documents as D
 from ..operators.merge import scd2_rejects
 from ..operators.rules_flags import flag_alerts
 from ..sources.tables import PartitionedTable, SnapshotTable
-from ..sources.versions import VersionedTable
+from ..sources.versions import VersionedTable, refresh, refresh_all, refresh_from_folders
 from . import dims, fact
 from .customer360 import account_map_conflicts, customer360
 from .report_state import refresh_reports
@@ -39,7 +43,16 @@ def read_stores(spark: SparkSession, stores_root: str) -> dict[str, DataFrame]:
         table = PartitionedTable(spark, f"{root}/{name}", [by], f"{root}/_staging/{name}")
         if table.exists():
             rows = table.read().drop(by)
-            out["alerts"] = out["alerts"].unionByName(rows, allowMissingColumns=True) if "alerts" in out else rows
+            out["alerts"] = alert_documents(out["alerts"], rows) if "alerts" in out else rows
+    return out
+
+
+def alert_documents(*kinds: DataFrame) -> DataFrame:
+    """Transaction and profile alerts as one table; ``payload`` then has the
+    fields of both, NULL where an alert's kind has none of them."""
+    out = kinds[0]
+    for more in kinds[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
     return out
 
 
@@ -85,31 +98,68 @@ def _write(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dict
     return out
 
 
+DAILY = ("atm", "upi")                  # the two channels, and "transactions", by day
+
+
+def daily_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, f"{root.rstrip('/')}/{name}", ["day"])
+
+
+def _by_day(df: DataFrame) -> DataFrame:
+    return df if "day" in df.columns else df.withColumn("day", F.to_date("Timestamp"))
+
+
 def write_bronze(spark: SparkSession, stores: dict[str, DataFrame], root: str, kyc: DataFrame | None = None,
-                 as_of=None) -> dict[str, DataFrame]:
+                 as_of=None, stores_root: str | None = None) -> dict[str, DataFrame]:
     """Flattened store documents, transactions and alerts with the ingestion
-    columns (L7), written; returns the tables read back."""
+    columns (L7), written; returns the tables read back. With ``stores_root``,
+    the folder ``stores`` were read from, only days of transactions whose files
+    changed since the last run are read and written; else all are."""
     accounts = D.bronze(stores["profiles"], numeric_fields=["Account_Balance", "Customer_AnnualIncome"])
-    tables = {"accounts": accounts, "atm": stores["atm"], "upi": stores["upi"],
-              "kyc": kyc if kyc is not None else spark.createDataFrame([], KYC_EMPTY)}
+    tables = {"accounts": accounts, "kyc": kyc if kyc is not None else spark.createDataFrame([], KYC_EMPTY)}
     if stores.get("alerts") is not None:
-        tables["alerts"] = stores["alerts"]
-    return _write(spark, root, {n: with_ingest_columns(df, as_of, n) for n, df in tables.items()})
+        tables["alerts"] = D.flatten(stores["alerts"])              # payload_* columns
+    out = _write(spark, root, {n: with_ingest_columns(df, as_of, n) for n, df in tables.items()})
+    for name in DAILY:
+        table = daily_table(spark, root, name)
+
+        def build(rows, name=name):
+            return with_ingest_columns(_by_day(rows), as_of, name)
+        if stores_root is None:
+            table.create(build(stores[name]))
+        else:
+            store = PartitionedTable(spark, f"{stores_root.rstrip('/')}/{name}", ["day"], "")
+            refresh_from_folders(table, store, build)
+        out[name] = table.read().drop("day")
+    return out
 
 
 INGEST_COLUMNS = ("ingest_ts", "ingest_date", "ingest_source")
 
 
-def write_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of=None) -> dict[str, DataFrame]:
+def write_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of=None,
+                 bronze_root: str | None = None) -> dict[str, DataFrame]:
     """Silver tables, unified transactions and flag alerts (J10), written;
-    each is built from tables already stored."""
+    each is built from tables already stored. With ``bronze_root``, the folder
+    of the bronze tables, only changed days of transactions are read and
+    written (equal rows agree on their time, so the distinct of a day is whole)."""
     b = {n: df.drop(*INGEST_COLUMNS) for n, df in bronze.items()}
-    first = {"account": silver_account(b["accounts"], as_of), "atm": silver_atm(b["atm"]),
-             "upi": silver_upi(b["upi"]), "kyc": silver_kyc(b["kyc"], as_of)}
+    first = {"account": silver_account(b["accounts"], as_of), "kyc": silver_kyc(b["kyc"], as_of)}
     if "alerts" in b:
         first["alerts"] = silver_alerts(b["alerts"], as_of)
     out = _write(spark, root, first)
-    out |= _write(spark, root, {"transactions": union_channels(out["atm"], out["upi"])})
+    shape = {"atm": silver_atm, "upi": silver_upi}
+    tables = {n: daily_table(spark, root, n) for n in DAILY}
+    for name, table in tables.items():
+        if bronze_root is None:
+            table.create(shape[name](_by_day(b[name])))
+        else:
+            refresh(table, daily_table(spark, bronze_root, name),
+                    lambda rows, f=shape[name]: f(rows.drop(*INGEST_COLUMNS)))
+        out[name] = table.read().drop("day")
+    unified = daily_table(spark, root, "transactions")
+    refresh_all(unified, tables, lambda rows: union_channels(rows["atm"], rows["upi"], keep=["day"]))
+    out["transactions"] = unified.read().drop("day")
     out |= _write(spark, root, {"flag_alerts": flag_alerts(out["transactions"], as_of)})
     return out
 

@@ -7,6 +7,8 @@ skip them. Full-row de-duplication is one shuffle on all columns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,17 +146,18 @@ def _opt(df: DataFrame, name: str):
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def union_channels(silver_atm_df: DataFrame, silver_upi_df: DataFrame) -> DataFrame:
+def union_channels(silver_atm_df: DataFrame, silver_upi_df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """I1 + I2: project both channels onto the unified transaction shape
-    (optional source columns that are absent become NULL)."""
+    (optional source columns that are absent become NULL). ``keep`` names
+    columns of both that are carried along."""
     atm = silver_atm_df.select(
         "AccountNumber", "Transaction_Date", "Transaction_Time", "Amount",
         F.lit("ATM").alias("Channel"), _opt(silver_atm_df, "ATM_ID").alias("Location_ID"),
         _opt(silver_atm_df, "Transaction_Type").alias("Transaction_Type"),
-        _opt(silver_atm_df, "Transaction_Status").alias("Transaction_Status"))
+        _opt(silver_atm_df, "Transaction_Status").alias("Transaction_Status"), *keep)
     upi = silver_upi_df.select(
         "AccountNumber", "Transaction_Date", "Transaction_Time", "Amount",
         F.lit("UPI").alias("Channel"), _opt(silver_upi_df, "Payer_UPI_ID").alias("Location_ID"),
         _opt(silver_upi_df, "TransactionType").alias("Transaction_Type"),
-        _opt(silver_upi_df, "Status").alias("Transaction_Status"))
+        _opt(silver_upi_df, "Status").alias("Transaction_Status"), *keep)
     return atm.unionByName(upi)

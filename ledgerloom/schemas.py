@@ -40,6 +40,11 @@ CUSTOMER_DOC_FIELDS = ("CustomerID", "FirstName", "LastName", "DOB", "Gender", "
                        "Address", "City", "State", "ZipCode", "KYC_Status", "KYC_Tier",
                        "Occupation", "AnnualIncome")
 
+# Payload of the alerts about one record (E5): a high-value transaction's row,
+# or what a profile rule looked at.
+TXN_PAYLOAD_FIELDS = tuple(dict.fromkeys(ATM_FIELDS + UPI_FIELDS))
+PROFILE_PAYLOAD_EXTRA = ("income", "age_years")
+
 TRANSACTIONS_SCHEMA = T.StructType([
     T.StructField("AccountNumber", T.StringType()),
     T.StructField("Transaction_Date", T.DateType()),

@@ -14,7 +14,9 @@ a failed write left behind goes with the next one.
 
 ``changed_since`` compares two manifests: the partitions written or emptied
 between them, without opening a file. A table built from another one records in
-its own manifest (``note``) which version it was built from.
+its own manifest (``note``) which version it was built from; one built from a
+plainly partitioned table (``refresh_from_folders``) a mark for each of its
+partitions, made of the names of the files in it.
 """
 
 from __future__ import annotations
@@ -173,3 +175,51 @@ def refresh(target: VersionedTable, source: VersionedTable, build, keys: Sequenc
         rows = build(source.read_partitions(changed, now))
         target.replace(rows, target.partition_frame(changed, rows.schema), "refresh", keys, note=str(now))
     return changed
+
+
+def refresh_all(target: VersionedTable, sources: dict[str, VersionedTable], build) -> list[Part] | None:
+    """``refresh`` from several sources, all partitioned like ``target``:
+    ``build`` maps their rows (by name) to target rows. A partition is done
+    again where it changed in any of them."""
+    now, note = {n: s.version() for n, s in sources.items()}, target.note()
+    since = {} if note is None else json.loads(note)
+    feeds = [s.changed_since(since.get(n), now[n]) for n, s in sources.items()]
+    if any(f is None for f in feeds):
+        target.create(build({n: s.read(version=now[n]) for n, s in sources.items()}), note=json.dumps(now))
+        return None
+    changed = [p for i, f in enumerate(feeds) for p in f if not any(p in g for g in feeds[:i])]
+    if changed:
+        rows = build({n: s.read_partitions(changed, now[n]) for n, s in sources.items()})
+        target.replace(rows, target.partition_frame(changed, rows.schema), "refresh", note=json.dumps(now))
+    return changed
+
+
+def folder_marks(source: PartitionedTable) -> dict[Part, str]:
+    """A text for each partition of a plainly partitioned table that changes
+    when its files do: their number and the sum of hashes of their paths, sizes
+    and times. Files are listed, not opened; a row per partition comes back."""
+    files = (source.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(source.root)
+             .withColumn("mark", F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")))
+    parts = [F.col(f"`{c}`").cast("string").alias(f"p{i}") for i, c in enumerate(source.partition_by)]
+    rows = files.groupBy(*parts).agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"),
+                                                 F.sum("mark").cast("string")).alias("mark")).collect()
+    return {tuple(r)[:-1]: r.mark for r in rows}
+
+
+def refresh_from_folders(target: VersionedTable, source: PartitionedTable, build) -> list[Part] | None:
+    """``refresh`` from a table without versions, partitioned like ``target``:
+    the partitions whose mark is not the one noted are read and replaced. Marks
+    are taken before rows are read, so what is written meanwhile is done again
+    by the next run."""
+    marks, note = folder_marks(source), target.note()
+    noted = json.dumps([[list(p), m] for p, m in marks.items()])
+    if note is None:
+        target.create(build(source.read()), note=noted)
+        return None
+    old = {tuple(p): m for p, m in json.loads(note)}
+    changed = [p for p in dict.fromkeys([*old, *marks]) if old.get(p) != marks.get(p)]
+    if changed:
+        table = source.read()
+        rows = build(source._in(table, target.partition_frame(changed, table.schema)))
+        target.replace(rows, target.partition_frame(changed, rows.schema), "refresh", note=noted)
+    return changed
