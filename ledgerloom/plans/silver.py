@@ -2,7 +2,8 @@
 
 Each function is ``DataFrame -> DataFrame`` over the flattened bronze shape;
 absent optional columns are skipped the way the notebooks' presence guards
-skip them. Full-row de-duplication is one shuffle on all columns.
+skip them. Full-row de-duplication of the channels goes by row hashes
+(``operators.distinct``), that of the smaller tables is one shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators.distinct import distinct_rows
 from ..schemas import drop_present, rename_present
 
 # Rename maps of the silver notebooks.
@@ -88,7 +90,7 @@ def silver_atm(bronze: DataFrame, distinct: bool = True) -> DataFrame:
                          if c in df.columns})
     if "BalanceAfter" in df.columns and "BalanceBefore" in df.columns:
         df = df.withColumn("BalanceChange", F.col("BalanceAfter") - F.col("BalanceBefore"))
-    return df.dropDuplicates() if distinct else df
+    return distinct_rows(df) if distinct else df
 
 
 def silver_upi(bronze: DataFrame, distinct: bool = True) -> DataFrame:
@@ -101,7 +103,7 @@ def silver_upi(bronze: DataFrame, distinct: bool = True) -> DataFrame:
     df = df.withColumns({c: C.to_float(c) for c in ("Amount", "BalanceBefore", "BalanceAfter")
                          if c in df.columns})
     df = drop_present(df, "Timestamp", "TransactionTime", "Transaction_TS")
-    return df.dropDuplicates() if distinct else df
+    return distinct_rows(df) if distinct else df
 
 
 def silver_alerts(bronze: DataFrame, as_of=None, reason_col: str = "reason",
