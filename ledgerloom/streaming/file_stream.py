@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..plans.ingest import (STATUS_COMPLETED, STATUS_FAILED, STATUS_REJECTED, STATUS_UNKNOWN,
                             ingest_accounts, ingest_customers, ingest_transactions)
+from ..session import materialize
 from ..sources.files import read_delimited
 from ..sources.tables import PartitionedTable, SnapshotTable, replace_partitions
 
@@ -30,6 +31,10 @@ AUDIT_COLUMNS = ("file_name", "source_type", "status", "rows_parsed", "valid", "
 PROBES_AT_ONCE = 8
 
 
+class StoreError(RuntimeError):
+    """A store could not be read: no file is at fault, the batch is replayed."""
+
+
 def _at_fault(files: list[str], error_of) -> dict[str, Exception]:
     """{file: error} of the files that fail on their own, by halving the groups
     that fail, the groups of a level side by side: about 2 log2(n) probes for
@@ -58,8 +63,8 @@ class IngestSink:
 
     Reading and the rules come first, the stores after: a file whose
     processing fails is marked PROCESSOR_FAILED and the other files of the
-    batch go on, while an error of the stores is raised, so the batch is
-    replayed. Replays change nothing: merges are by key, audit and quarantine
+    batch go on, while an error of the stores, also of the lookup that the
+    account rules make in them, is raised, so the batch is replayed. Replays change nothing: merges are by key, audit and quarantine
     rows are written to partitions of their batch."""
 
     def __init__(self, out_root: str, as_of=None, rule_params: dict | None = None, buckets: int = 64):
@@ -171,11 +176,15 @@ class IngestSink:
         def error_of(some: list[str]):
             try:
                 process(some)["counters"].collect()
+            except StoreError:
+                raise
             except Exception as e:
                 return e
 
         try:
             return *run(files), {}
+        except StoreError:
+            raise
         except Exception as first:
             errors = {files[0]: first} if len(files) == 1 else _at_fault(files, error_of)
             good = [f for f in files if f not in errors]
@@ -218,14 +227,22 @@ class IngestSink:
 
         def process(files):
             raw = read_delimited(spark, files, multiline=True)
-            # Income of the customer documents already stored, in the buckets of these customers.
-            customers = None
-            if "CustomerID" in raw.columns:
-                own = raw.select(C.blank_to_null("CustomerID").alias("CustomerID")).distinct()
-                current = self.read_profiles(spark, own.select(self._bucket(spark, "CustomerID").alias("bucket")))
-                customers = None if current is None else customer_lookup(current).select(
-                    "CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome"))
-            return ingest_accounts(raw, customers, as_of=self.as_of)
+            return ingest_accounts(raw, incomes(raw) if "CustomerID" in raw.columns else None, as_of=self.as_of)
+
+        def incomes(raw):
+            """Income of the files' customers as stored, looked up in their
+            buckets. The buckets are found first (an error there is a file's),
+            then the store is read (an error here is the store's)."""
+            bucket = self._bucket(spark, "CustomerID").alias("bucket")
+            own = materialize(raw.select(C.blank_to_null("CustomerID").alias("CustomerID")).distinct())
+            try:
+                current = self.read_profiles(spark, own.select(bucket))
+                if current is None:
+                    return None
+                known = customer_lookup(current.join(own, "CustomerID", "left_semi"))
+                return materialize(known.select("CustomerID", F.col("Customer.AnnualIncome").alias("AnnualIncome")))
+            except Exception as e:
+                raise StoreError("profiles could not be read") from e
 
         def save(out):
             docs = out["documents"]

@@ -138,3 +138,34 @@ def test_a_bad_file_among_many(spark, scratch):
     status = {r.file_name: (r.status, r.valid) for r in read_audit(spark, out).collect()}
     assert status == {"upi_bad.csv": ("PROCESSOR_FAILED", None), **{f"upi_{i}.csv": ("COMPLETED", 1) for i in range(6)}}
     assert spark.read.parquet(f"{out}/upi").count() == 6
+
+
+def test_unreadable_store_replays_the_batch(spark, scratch):
+    """An error of the profile store marks no file: the batch fails and is done
+    again once the store can be read."""
+    import glob
+
+    import pytest
+    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/out", f"{scratch}/ckpt"
+    os.makedirs(inbox)
+    with open(f"{inbox}/customer_master.csv", "w") as f:
+        f.write("CustomerID,DOB,AnnualIncome\nC1,1990-01-01,100\n")
+    start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
+    held = {p: open(p, "rb").read()
+            for end in ("*.parquet", ".*.crc") for p in glob.glob(f"{out}/profiles/**/{end}", recursive=True)}
+    for p in held:
+        with open(p, "wb") as f:
+            f.write(b"unreadable")
+    with open(f"{inbox}/account_a.csv", "w") as f:
+        f.write("AccountNumber,CustomerID,Balance,AccountOpenDate\nA1,C1,5000,2020-01-01\n")
+    with pytest.raises(Exception, match="profiles could not be read"):
+        start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
+    assert {r.file_name for r in read_audit(spark, out).collect()} == {"customer_master.csv"}
+    for p, data in held.items():
+        with open(p, "wb") as f:
+            f.write(data)
+    start_ingest_stream(spark, inbox, out, ckpt, as_of="2024-01-31").awaitTermination()
+    audit = {r.file_name: r.status for r in read_audit(spark, out).collect()}
+    assert audit == {"customer_master.csv": "COMPLETED", "account_a.csv": "COMPLETED"}
+    ids = {r.alert_id for r in spark.read.parquet(f"{out}/profile_alerts").collect()}
+    assert "ALERT_BALANCE_INCOME_MISMATCH_A1" in ids
