@@ -535,6 +535,92 @@ def q_lakehouse_layers(spark, sf):
     return out
 
 
+_SECOND_RUN_DAY = 20        # the second run adds the days of the month after it
+
+
+@register("lakehouse_second_run", with_fixtures(("fx_txn_raw", "fx_account", "fx_kyc"), f"""with {VALID_SQL},
+t as (select valid.AccountNumber, ts as Transaction_TS, valid.Amount, upper(split_part(valid.file_name, '_', 1)) as Channel,
+             r.TransactionType as Transaction_Type, case when r.Channel = 'UPI' then r.Status end as Transaction_Status
+      from valid join fx_txn_raw r on trim(r.TransactionID) = valid.TransactionID),
+f as (select *, row_number() over (order by AccountNumber nulls first, Transaction_TS nulls first, Amount nulls first,
+               Channel nulls first, Transaction_Type nulls first, Transaction_Status nulls first) as RowNum from t),
+g as (select *, case when abs(Amount) > 10000 then 1 else 0 end
+                + case when lower(Transaction_Status) in ('failed', 'declined', 'rejected') then 1 else 0 end
+                + case when Channel = 'ATM' and abs(Amount) > 5000 then 1 else 0 end
+                + case when Channel = 'UPI' and Amount > 8000 then 1 else 0 end
+                + case when RowNum % 3 = 0 then 1 else 0 end as Flags_Count from f),
+p as (select *, cast(substring(AccountNumber, 3, 10) as int) as k from fx_account
+      where CustomerID is not null and Balance is not null and AccountOpenDate is not null),
+changed as (select distinct CustomerID from p
+            where k % 10 = 0 or AccountNumber in (select AccountNumber from t where day(Transaction_TS) > {_SECOND_RUN_DAY})),
+c as (select count(distinct CustomerID) as n from p)
+select 'bronze' as layer, 'days of the second run' as name,
+       count(distinct cast(Transaction_TS as date)) filter (where day(Transaction_TS) > {_SECOND_RUN_DAY}) as n,
+       cast(null as double) as amount from t where Channel = 'ATM'
+union all select 'silver', 'atm', count(*), sum(Amount) from t where Channel = 'ATM'
+union all select 'silver', 'kyc', count(*), sum(case when lower(VerificationStatus) in ('verified', 'true') then 1.0 else 0.0 end)
+          from (select distinct * from fx_kyc)
+union all select 'silver', 'flag_alerts', count(*), sum(Flags_Count) from g where Flags_Count > 0
+union all select 'silver', 'flag alert numbers', cast(sum(RowNum) as bigint), null from g where Flags_Count > 0
+union all select 'gold', 'customer versions', n + (select count(*) from changed), null from c
+union all select 'gold', 'current customers', n, null from c
+union all select 'gold', 'closed customers', count(*), null from changed
+union all select 'gold', 'accounts', count(*), sum(Balance + case when k % 10 = 0 then 1 else 0 end) from p
+union all select 'gold', 'account keys', cast(count(*) * (count(*) + 1) // 2 as bigint), null from p
+union all select 'gold', 'rejected customers', 0, null
+union all select 'gold', 'account conflicts', 0, null
+union all select 'gold', 'facts of current customers', count(*), sum(Amount) from t"""))
+def q_lakehouse_second_run(spark, sf):
+    """The chain run twice: new days of transactions and changed balances come
+    between the runs. Stored flag alerts, KYC, dimensions and rejects compared."""
+    from ..plans import lakehouse as L
+    from ..sources.tables import PartitionedTable
+    base = _scratch(spark, "second")
+    good = valid_rows(validate_transactions(fixture(spark, sf, "fx_txn_raw"))).drop("errors", "is_valid")
+    good = good.withColumn("day", F.to_date("Timestamp"))
+    kyc = fixture(spark, sf, "fx_kyc")
+    acc = _account_text(spark, sf).withColumn("file_name", F.lit("account_master.csv"))
+    tenth = F.substring("AccountNumber", 3, 10).cast("int") % 10 == 0
+    raised = acc.withColumn("Balance", F.when(tenth, (F.col("Balance").cast("double") + 1).cast("string"))
+                            .otherwise(F.col("Balance")))
+    stores = {n: PartitionedTable(spark, f"{base}/stores/{n}", ["day"], f"{base}/stores/_staging/{n}") for n in L.DAILY}
+    early = F.dayofmonth("day") <= _SECOND_RUN_DAY
+    for run, rows, accounts in (("run1", good.filter(early), acc), ("run2", good.filter(~early), raised)):
+        for name, store in stores.items():
+            store.merge(rows.filter(F.col("file_name").startswith(name)), ["TransactionID", "AccountNumber"], run)
+        docs = ingest.ingest_accounts(accounts, as_of=AS_OF)["documents"]
+        now = {"profiles": ingest.merge_accounts_into_profiles(None, docs), **{n: s.read() for n, s in stores.items()}}
+        bronze = L.write_bronze(spark, now, f"{base}/bronze", kyc, AS_OF, stores_root=f"{base}/stores")
+        silver = L.write_silver(spark, bronze, f"{base}/silver", AS_OF, bronze_root=f"{base}/bronze")
+        L.write_gold(spark, silver, f"{base}/gold", run, as_of=AS_OF)
+    gold = L.read_gold(spark, f"{base}/gold")
+    beside = {n: L.SnapshotTable(spark, f"{base}/gold/{n}").read() for n in ("rejected_customers", "account_conflicts")}
+    days = L.daily_table(spark, f"{base}/bronze", "atm")
+    changed = days.partition_frame(days.changed_since(1) or [], days.manifest().schema)
+    dim, keys = gold["dim_customer"], gold["dim_account"]
+    facts = gold["fact_transactions"].join(dim.filter("CurrentFlag").select("CustomerSK"), "CustomerSK", "left_semi")
+
+    def row(layer, name, df, n=None, amount=None):
+        return df.agg((F.count(F.lit(1)) if n is None else F.sum(n)).cast("long").alias("n"),
+                      (F.lit(None) if amount is None else F.sum(amount)).cast("double").alias("amount")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("name"), "n", "amount")
+
+    parts = [row("bronze", "days of the second run", changed), row("silver", "atm", silver["atm"], amount="Amount"),
+             row("silver", "kyc", silver["kyc"], amount=F.col("IsVerified").cast("int")),
+             row("silver", "flag_alerts", silver["flag_alerts"], amount="Flags_Count"),
+             row("silver", "flag alert numbers", silver["flag_alerts"], n="RowNum"),
+             row("gold", "customer versions", dim), row("gold", "current customers", dim.filter("CurrentFlag")),
+             row("gold", "closed customers", dim.filter("not CurrentFlag")),
+             row("gold", "accounts", keys, amount="Balance"), row("gold", "account keys", keys, n="AccountSK"),
+             row("gold", "rejected customers", beside["rejected_customers"]),
+             row("gold", "account conflicts", beside["account_conflicts"]),
+             row("gold", "facts of current customers", facts, amount="Amount")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---- delimited files as they really come -------------------------------------
 
 @register("csv_quoted_fields", """
