@@ -17,13 +17,18 @@ find too much, never too little.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_BITS = 32_768             # size of a built-in bitmap
 BITS_PER_KEY = 32
 PROBES = 12
+TASK_KEYS = 200_000             # keys whose filters a task builds
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -31,11 +36,11 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.struct(F.col(f"`{k}`").isNull(), F.col(f"`{k}`").cast("string")) for k in keys])
 
 
-def _probes(h: Column) -> Column:
-    """Bit positions of a hash in its slice: from bits 34-48 on, in odd steps from bits 49-63."""
+def _probe(h: Column, i: int) -> Column:
+    """Bit position i of a hash in its slice: from bits 34-48 on, in odd steps from bits 49-63."""
     first = F.shiftrightunsigned(h, 34).bitwiseAND(F.lit(SLICE_BITS - 1))
     step = F.shiftrightunsigned(h, 49).bitwiseOR(F.lit(1))
-    return F.transform(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda i: (first + i * step) % SLICE_BITS)
+    return (first + i * step) % SLICE_BITS
 
 
 def _is_set(bits: Column, position: Column) -> Column:
@@ -53,7 +58,10 @@ class KeyIndex:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
     def filters(self, rows: DataFrame) -> DataFrame:
-        """(slices, slice, bits, partition columns) of the rows' keys."""
+        """(slices, slice, bits, partition columns) of the rows' keys, which
+        are of a stored table (they are counted first). Hashes are dealt by
+        slice, ``TASK_KEYS`` to a task however few partitions there are; the
+        sizes, a row per partition, are broadcast. Copies of a key fold."""
         parts = self.partition_by
         d = rows.select(*parts, key_hash(self.keys).alias("h"))
         slices = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), F.count(F.lit(1)) * BITS_PER_KEY / SLICE_BITS))))
@@ -61,19 +69,37 @@ class KeyIndex:
         same = F.lit(True)
         for c in parts:
             same = same & F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}"))
-        sized = d.alias("d").join(sizes.alias("s"), same).select(*[F.col(f"d.{c}").alias(c) for c in parts], "h", "slices")
-        bits = sized.select(*parts, "slices", F.col("h").bitwiseAND(F.col("slices") - 1).alias("slice"),
-                            F.explode(_probes(F.col("h"))).alias("position"))
-        return bits.groupBy("slices", "slice", *parts).agg(F.bitmap_construct_agg("position").alias("bits")).select(
-            "slices", "slice", "bits", *parts)
-
-    def add(self, rows: DataFrame) -> None:
-        """Filters of the rows, besides those there are."""
-        self.filters(rows).write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
-
-    def replace(self, rows: DataFrame) -> None:
+        sized = d.alias("d").join(F.broadcast(sizes).alias("s"), same).select(
+            "slices", F.col("h").bitwiseAND(F.col("slices") - 1).alias("slice"), *[F.col(f"d.{c}").alias(c) for c in parts], "h")
+        group = ["slices", "slice", *parts]
+        dealt = sized.repartition(max(1, -(-rows.count() // TASK_KEYS)), *group).distinct()
+
+        size, probes = SLICE_BITS, PROBES
+
+        def build(keys: pa.Table) -> pa.Table:
+            """A slice with the positions (``_probe``) of its hashes set, laid
+            out as by Spark's own bitmap functions. Needs nothing of this
+            module, which workers may not have."""
+            h = keys.column("h").to_numpy().view(np.uint64)
+            first, step = (h >> np.uint64(34)) & np.uint64(size - 1), (h >> np.uint64(49)) | np.uint64(1)
+            bits = np.zeros(size, np.bool_)
+            for i in range(probes):
+                bits[(first + np.uint64(i) * step) % np.uint64(size)] = True
+            packed = np.packbits(bits, bitorder="little").tobytes()
+            return keys.slice(0, 1).select(group).append_column("bits", pa.array([packed], pa.binary()))
+
+        schema = T.StructType([*(dealt.schema[c] for c in group), T.StructField("bits", T.BinaryType())])
+        return dealt.groupBy(*group).applyInArrow(build, schema).select("slices", "slice", "bits", *parts)
+
+    def add(self, rows: DataFrame, filters: DataFrame | None = None) -> None:
+        """Filters of the rows (given where they are built already), besides those there are."""
+        filters = self.filters(rows) if filters is None else filters
+        filters.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+
+    def replace(self, rows: DataFrame, filters: DataFrame | None = None) -> None:
         """The filters of exactly the rows' partitions."""
-        (self.filters(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        filters = self.filters(rows) if filters is None else filters
+        (filters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.path))
 
     def candidates(self, source: DataFrame) -> DataFrame:
@@ -90,6 +116,8 @@ class KeyIndex:
         wanted = source.select(key_hash(self.keys).alias("h")).distinct().select(
             "h", F.explode(F.array(*[F.lit(n).cast("long") for n in sizes])).alias("slices"))
         wanted = wanted.withColumn("slice", F.col("h").bitwiseAND(F.col("slices") - 1))
-        found = index.join(wanted, ["slices", "slice"]).filter(
-            F.forall(_probes(F.col("h")), lambda p: _is_set(F.col("bits"), p)))
+        # A slice is done with its first key found; a key that is not there mostly fails its first probes.
+        hit = reduce(Column.__and__, [_is_set(F.col("i.bits"), _probe(F.col("w.h"), k)) for k in range(PROBES)])
+        at = (F.col("i.slices") == F.col("w.slices")) & (F.col("i.slice") == F.col("w.slice"))
+        found = index.alias("i").join(wanted.alias("w"), at & hit, "left_semi")
         return found.select(*self.partition_by).distinct()
