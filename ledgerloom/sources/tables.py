@@ -173,16 +173,20 @@ class PartitionedTable:
         rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(stage)
         staged = self.spark.read.schema(rows.schema).parquet(stage)
         cols = self.partition_by
-        if keys and self.index(keys).exists():
-            self.index(keys).add(staged)
+        index = self.index(keys) if keys else None
+        filters = index.filters(staged).persist() if index is not None and index.exists() else None     # built once, written twice
+        if filters is not None:
+            index.add(staged, filters)
         gone = touched.alias("t").join(staged.select(*cols).distinct().alias("s"), same_key("t", "s", cols), "left_anti").collect()
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.root))
         for row in gone:                            # a row per emptied partition
             self._remove(row)
-        if keys:
-            index = self.index(keys)
-            index.replace(staged if index.exists() else self.read(rows.schema))
+        if filters is not None:
+            index.replace(staged, filters)
+            filters.unpersist()
+        elif index is not None:
+            index.replace(self.read(rows.schema))
         fs, p = _fs(self.spark, stage)
         fs.delete(p, True)
 
