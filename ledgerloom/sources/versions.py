@@ -136,16 +136,19 @@ class VersionedTable(PartitionedTable):
         live = {} if old is None or touched is None else {p: w for p, w in old.live.items() if p not in touched}
         live |= {p: write for p in fresh}
         index = self.index(keys) if keys else None
-        has_index = index is not None and index.exists()
-        if has_index:
-            index.add(written)                      # filters are there before the rows are
+        filters = index.filters(written).persist() if index is not None and index.exists() else None    # built once, written twice
+        if filters is not None:
+            index.add(written, filters)             # filters are there before the rows are
         head = ("table", None, None, rows.schema.json(), note)
         entries = [head, *(("partition", w, list(p), None, None) for p, w in live.items())]
         given_up = self.manifests._versions()[:-self.keep + 1] if self.keep > 1 else self.manifests._versions()
         outdated = {(p, w) for v in given_up for p, w in self.manifest(v).live.items()}
         self.manifests.write(self.spark.createDataFrame(entries, MANIFEST))
-        if index is not None and (fresh or has_index):
-            index.replace(written if has_index else self.read())
+        if filters is not None:
+            index.replace(written, filters)
+            filters.unpersist()
+        elif index is not None and fresh:
+            index.replace(self.read())
         if outdated:
             kept = {(p, w) for v in self.manifests._versions() for p, w in self.manifest(v).live.items()}
             for p, w in outdated - kept:
