@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import accumulate
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,11 +56,12 @@ def _range_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
     ranged = materialize(ranged)
 
     slice_w = Window.partitionBy("_pid", *group).orderBy(*_cols(order))
+    by_slice = ranged.repartition(n, "_pid", *group)       # else few tasks get many slices each
     local = {}
     for name, (fn, col, inclusive) in aggs.items():
         frame = slice_w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         local[name] = _COMBINE[fn](F.col(col)).over(frame)
-    scanned = ranged.withColumns(local)
+    scanned = by_slice.withColumns(local)
 
     # One row per (partition, group) slice with the slice totals.
     slices = ranged.groupBy("_pid", *group).agg(
@@ -93,31 +95,49 @@ def _range_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return joined.withColumns(out).drop("_pid", *[f"_carry_{k}" for k in aggs])
 
 
-# A window task may hold this many rows of one group; larger groups are hot.
-DEFAULT_HOT_ROWS = 2_000_000
+# Larger groups than this are hot: a window task may hold one such group.
+DEFAULT_HOT_ROWS = 100_000
 # Groups larger than total/MAX_HOT_GROUPS are hot too, so at most this many
 # groups can be hot: the broadcast hot list is bounded (about 100k keys, a
-# few MB), while an ordinary group stays below max(2M, total/100k) rows -
+# few MB), while an ordinary group stays below max(100k, total/100k) rows -
 # about 1e7 rows per window task even at 1e12 rows in total.
 MAX_HOT_GROUPS = 100_000
+# Rows a window task gets, so that its memory does not grow with the input;
+# small inputs are dealt to all cores.
+TASK_ROWS = 40_000
+LEAST_TASK_ROWS = 10_000
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], weight: str | None = None,
-               hot_rows: int | None = None) -> DataFrame | None:
-    """Groups whose row count exceeds ``max(hot_rows, total / MAX_HOT_GROUPS)``,
-    or None when there are none. Sizes come from a partial aggregate; one
-    scalar pair (largest group, total) is read on the driver to choose the
-    plan."""
+class Groups(NamedTuple):
+    """Hot groups (None: there are none) and the number of tasks for all rows."""
+    hot: DataFrame | None
+    tasks: int
+
+
+def size_groups(df: DataFrame, group: Sequence[str], weight: str | None = None,
+                hot_rows: int | None = None) -> Groups:
+    """Hot groups, whose row count exceeds ``max(hot_rows, total / MAX_HOT_GROUPS)``,
+    and how many tasks the rows need. Sizes come from a partial aggregate; one
+    row (largest group, total, rows without their weight) is read on the
+    driver to choose the plan."""
     w = F.col(weight) if weight else F.lit(1)
-    sizes = df.groupBy(*group).agg(F.sum(w).alias("_gsize"))
-    largest, total = sizes.agg(F.max("_gsize"), F.sum("_gsize")).first()
+    sizes = df.groupBy(*group).agg(F.sum(w).alias("_gsize"), F.count(F.lit(1)).alias("_grows"))
+    largest, total, rows = sizes.agg(F.max("_gsize"), F.sum("_gsize"), F.sum("_grows")).first()
     if largest is None:
-        return None
+        return Groups(None, 1)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-rows // TASK_ROWS), min(cores, -(-rows // LEAST_TASK_ROWS)))
     threshold = max(DEFAULT_HOT_ROWS if hot_rows is None else hot_rows,
                     -(-int(total) // MAX_HOT_GROUPS))
     if largest <= threshold:
-        return None
-    return sizes.filter(F.col("_gsize") > threshold).select(*group)
+        return Groups(None, tasks)
+    return Groups(sizes.filter(F.col("_gsize") > threshold).select(*group), tasks)
+
+
+def hot_groups(df: DataFrame, group: Sequence[str], weight: str | None = None,
+               hot_rows: int | None = None) -> DataFrame | None:
+    """The hot groups of ``size_groups``."""
+    return size_groups(df, group, weight, hot_rows).hot
 
 
 def split_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +151,9 @@ def split_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> tuple[Data
 
 
 def _window_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                 aggs: dict[str, tuple[str, str, bool]]) -> DataFrame:
+                 aggs: dict[str, tuple[str, str, bool]], num_partitions: int | None = None) -> DataFrame:
+    if num_partitions:
+        df = df.repartition(num_partitions, *group)
     w = Window.partitionBy(*group).orderBy(*_cols(order))
     cols = {}
     for name, (fn, col, inclusive) in aggs.items():
@@ -157,17 +179,19 @@ def segmented_scan(df: DataFrame, group: Sequence[str], order: Sequence[str],
     group is below the hot threshold, so no task gets an outsized share);
     hot groups - and the whole frame when there is no group - go through the
     range-partitioned scan. ``hot`` may pass a hot-group list already computed
-    for these groups (None: there are none).
+    for these groups (None: there are none), and then ``num_partitions`` the
+    number of tasks; by default both come from the sizes.
     """
     group = list(group)
     if not group:
         return _range_scan(df, group, order, aggs, num_partitions)
     if isinstance(hot, str):
-        hot = hot_groups(df, group, None, hot_rows)
+        hot, tasks = size_groups(df, group, None, hot_rows)
+        num_partitions = num_partitions or tasks
     if hot is None:
-        return _window_scan(df, group, order, aggs)
+        return _window_scan(df, group, order, aggs, num_partitions)
     cold, hot_df = split_hot(df, hot, group)
-    return _window_scan(cold, group, order, aggs).unionByName(
+    return _window_scan(cold, group, order, aggs, num_partitions).unionByName(
         _range_scan(hot_df, group, order, aggs, num_partitions))
 
 
