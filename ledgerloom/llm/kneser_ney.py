@@ -38,8 +38,8 @@ from .minhash import WordHashes, _splitmix
 
 _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)     # hashes of the text's start and end
-FOLD_TOKENS = 1_500_000         # tokens a task folds at once
-SHARD_BYTES = 32 << 20          # bytes of text a shard
+FOLD_TOKENS = 1_000_000         # tokens a task folds at once
+SHARD_BYTES = 24 << 20          # bytes of text a shard
 SCORE_TOKENS = 400_000          # tokens looked up at once
 FULL = 255                      # counts from here on stand in a list of their own
 _WORDS = WordHashes()
