@@ -4,6 +4,7 @@ C1-C14, D2-D7, E1-E5, H4-H6, I1-I2)."""
 from __future__ import annotations
 
 import uuid
+from itertools import accumulate
 
 from pyspark.sql import functions as F
 
@@ -303,14 +304,33 @@ def q_silver_alerts_payload(spark, sf):
         "AlertSeverity"))
 
 
+_LAND_ROWS = 200_000        # rows a landed file, so that no task sorts more
+
+
+def _dealt(raw, file_rows: int = _LAND_ROWS):
+    """Rows by landed file: a name's rows are dealt in turn to as many tasks as
+    they need, whatever the splits they are read in (a split of a few MB of a
+    columnar table can hold millions of rows). A row per name is collected."""
+    name = F.coalesce("file_name", F.lit(""))
+    sizes = raw.groupBy(name.alias("name")).count().collect()
+    if not sizes:
+        return raw
+    files = [(r["name"], -(-r["count"] // file_rows)) for r in sizes]
+    firsts = accumulate((n for _, n in files), initial=0)
+    place = F.create_map(*[F.lit(x) for (f, n), first in zip(files, firsts)
+                           for x in (f, first)])[name] + F.pmod(
+        F.monotonically_increasing_id(), F.create_map(*[F.lit(x) for f in files for x in f])[name])
+    return (raw.withColumn("_file", place.cast("int")).repartitionById(sum(n for _, n in files), "_file").drop("_file"))
+
+
 def _land_files(raw, landing: str) -> None:
     """Test input of the stream: the rows of each ``file_name`` land as CSV
     part files named after it (``atm_0-part00000.csv``...). Rows are written
     by as many tasks as the data needs - a large name is split, never sent
-    to one task."""
+    to one task, and a large split of the input is dealt to many."""
     spark = raw.sparkSession
     stage = f"{landing}/_stage"
-    raw.write.mode("overwrite").option("header", True).partitionBy("file_name").csv(stage)
+    _dealt(raw).write.mode("overwrite").option("header", True).partitionBy("file_name").csv(stage)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(stage)
