@@ -18,6 +18,8 @@ of rows in ``[row i, t_i + W]``. No pair of rows is ever materialised.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,10 +74,11 @@ _ORDER = ["_t", "_kind", "_tid", "_h"]
 _ROW_KEY = [*_GROUP, "_t", "_tid", "_h"]        # names a folded row
 
 
-def _prepare_with_hot(rows: DataFrame, file_col: str, hot_rows: int | None):
+def _prepare_with_hot(rows: DataFrame, file_col: str, hot_rows: int | None, keep: Callable = lambda p: p):
     """Folded rows and the sizes of their (file, key) groups: one sizing job
-    that all windowed rules of a batch can share."""
-    p = prepare(rows, file_col)
+    that all windowed rules of a batch can share. ``keep`` may persist the
+    folded rows before they are sized."""
+    p = keep(prepare(rows, file_col))
     return p, size_groups(p, _GROUP, "_mult", hot_rows)
 
 
@@ -392,12 +395,13 @@ def fraud_detection(rows: DataFrame, high_value_threshold: float = HIGH_VALUE_TH
                     geo_window_sec: int = GEO_WINDOW_SEC,
                     drain_threshold: float = DRAIN_THRESHOLD,
                     drain_window_sec: int = DRAIN_WINDOW_SEC,
-                    file_col: str = "file_name", hot_rows: int | None = None) -> DataFrame:
+                    file_col: str = "file_name", hot_rows: int | None = None,
+                    keep: Callable = lambda p: p) -> DataFrame:
     """All four rules, one alert schema (E5; only alerts about one transaction
     have a payload). The windowed rules share one
-    folding of the rows and one hot-group sizing; in the single plan of the
-    union their identical fold subtrees reuse one exchange."""
-    shared = _prepare_with_hot(rows, file_col, hot_rows)
+    folding of the rows and one hot-group sizing; a ``keep`` that persists
+    makes the folding run once for all of them."""
+    shared = _prepare_with_hot(rows, file_col, hot_rows, keep)
     return (high_value(rows, high_value_threshold, file_col)
             .unionByName(velocity(rows, velocity_count, velocity_window_sec, file_col, prepared=shared),
                          allowMissingColumns=True)

@@ -124,12 +124,20 @@ def normalize_alerts(alerts: DataFrame) -> DataFrame:
         *[c for c in alerts.columns if c not in ("alert_id", "type", "reason", "created_at", "AccountNumber")])
 
 
-def ingest_transactions(raw: DataFrame, **rule_params) -> dict[str, DataFrame]:
-    """ATM/UPI files: validated rows, quarantine, alerts, per-file counters."""
-    annotated = validate_transactions(raw)
+def ingest_transactions(raw: DataFrame, kept: list[DataFrame] | None = None, **rule_params) -> dict[str, DataFrame]:
+    """ATM/UPI files: validated rows, quarantine, alerts, per-file counters.
+    With ``kept``, the checked rows and the folded ones of the rules are kept,
+    so that files are parsed and rows folded once; they are added to it, for
+    the caller to release, also after an error."""
+    def keep(df: DataFrame) -> DataFrame:
+        if kept is not None:
+            kept.append(df.persist())
+        return df
+
+    annotated = keep(validate_transactions(raw))
     good = valid_rows(annotated)
     # The counters read the alerts that are stored: kept in memory, they are raised once.
-    alerts = normalize_alerts(rules_txn.fraud_detection(good, **rule_params))
+    alerts = normalize_alerts(rules_txn.fraud_detection(good, keep=keep, **rule_params))
     counters = file_counters(annotated, alerts)
     return {"valid": good, "quarantine": invalid_rows(annotated), "alerts": alerts, "counters": counters}
 

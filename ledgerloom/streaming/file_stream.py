@@ -35,6 +35,11 @@ class StoreError(RuntimeError):
     """A store could not be read: no file is at fault, the batch is replayed."""
 
 
+def _release(cached) -> None:
+    for c in cached:
+        c.unpersist()
+
+
 def _at_fault(files: list[str], error_of) -> dict[str, Exception]:
     """{file: error} of the files that fail on their own, by halving the groups
     that fail, the groups of a level side by side: about 2 log2(n) probes for
@@ -124,8 +129,7 @@ class IngestSink:
         try:
             self._ingest(spark, batch_id, routed, cached)
         finally:
-            for c in cached:
-                c.unpersist()
+            _release(cached)
 
     def _ingest(self, spark: SparkSession, batch_id: int, routed: DataFrame, cached: list) -> None:
         audits = []
@@ -169,17 +173,22 @@ class IngestSink:
         are found by halving and the good ones are processed together (D6)."""
         def run(some: list[str]):
             out = process(some)
-            kept = [out[k].persist() for k in ("valid", "alerts") if k in out]
-            cached.extend(kept)
+            cached.extend(out.get("kept", ()))
+            if "alerts" in out:
+                cached.append(out["alerts"].persist())
             return out, out["counters"].collect()
 
         def error_of(some: list[str]):
+            out = {}
             try:
-                process(some)["counters"].collect()
+                out = process(some)
+                out["counters"].collect()
             except StoreError:
                 raise
             except Exception as e:
                 return e
+            finally:
+                _release(out.get("kept", ()))
 
         try:
             return *run(files), {}
@@ -205,8 +214,14 @@ class IngestSink:
     def _transactions(self, spark: SparkSession, batch_id: int):
         def process(files):
             raw = read_delimited(spark, files, multiline=True)
-            return ingest_transactions(raw.withColumn("source_type", C.source_type(F.col("file_name"))),
-                                       **self.rule_params)
+            kept: list[DataFrame] = []              # sizing the rules' groups reads them already
+            try:
+                out = ingest_transactions(raw.withColumn("source_type", C.source_type(F.col("file_name"))), kept,
+                                          **self.rule_params)
+            except Exception:
+                _release(kept)
+                raise
+            return out | {"kept": kept}
 
         def save(out):
             valid = (out["valid"].drop("errors", "is_valid", "_corrupt_record")
