@@ -156,6 +156,16 @@ class PartitionedTable:
         if not self.exists():
             self.create(one_per_key(source, keys, order), keys if moves else ())
             return
+        own = not (source.storageLevel.useMemory or source.storageLevel.useDisk)
+        if own:                                     # its keys, partitions and rows are read by several jobs
+            source = source.persist()
+        try:
+            self._merge(source, keys, run_id, order, moves)
+        finally:
+            if own:
+                source.unpersist()
+
+    def _merge(self, source: DataFrame, keys: list[str], run_id: str, order: Sequence[str] | None, moves: bool) -> None:
         table = self.read(source.schema)
         touched = source.select(*self.partition_by).distinct()
         if moves:
