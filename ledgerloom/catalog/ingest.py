@@ -738,9 +738,9 @@ def q_stream_store_contents(spark, sf):
     """The stores after a stream over all files, each landed twice: a
     transaction, an alert or a profile document stands in them once."""
     base = _scratch(spark, "contents")
-    _land_files(fixture(spark, sf, "fx_txn_raw"), base)
     raw = fixture(spark, sf, "fx_txn_raw")
-    _land_as(raw.filter(F.col("file_name").startswith("atm")).drop("file_name"), base, "atm_again")
+    again = raw.withColumn("file_name", F.regexp_replace("file_name", "[.]csv$", "_again.csv"))
+    _land_files(raw.union(again), base)
     acc = _account_text(spark, sf).select("AccountNumber", "CustomerID", "AccountOpenDate", "Balance", "KYC_Done")
     _land_as(acc, base, "account_master")
     _land_as(acc, base, "account_again")
